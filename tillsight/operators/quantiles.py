@@ -77,7 +77,14 @@ def rank_quantile_edges(n: Column, probs: Sequence[float] = QUARTILES) -> Column
 
 
 def bin_score(x: Column, inner_edges: Column, descending: bool = False, bins: int = 4) -> Column:
-    """1-based bin of x for right-closed bins; ``descending`` flips the labels."""
-    above = F.aggregate(inner_edges, F.lit(0), lambda acc, e: acc + F.when(x.cast("double") > e, 1).otherwise(0))
-    score = above + F.lit(1)
+    """1-based bin of x for right-closed bins; ``descending`` flips the labels.
+
+    ``inner_edges`` holds the bins - 1 inner edges (it may be a scalar subquery,
+    so it is indexed directly rather than folded by a higher-order function).
+    """
+    xd = x.cast("double")
+    above = [F.when(xd > inner_edges.getItem(i), 1).otherwise(0) for i in range(bins - 1)]
+    score = F.lit(1)
+    for a in above:
+        score = score + a
     return (F.lit(bins + 1) - score) if descending else score

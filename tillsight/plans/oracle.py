@@ -10,7 +10,7 @@ ratios are cast back to DECIMAL(38,6) before a half-away-from-zero ROUND.
 from __future__ import annotations
 
 ADAPTER = """
-WITH rc_customers AS (
+WITH RECURSIVE rc_customers AS (
   SELECT c.c_custkey AS customer_id,
          (DATE '1995-01-01' + CAST((c.c_custkey * 37) % 2000 AS INTEGER)) AS signup_date,
          r.r_name AS region, c.c_mktsegment AS acquisition_channel
@@ -52,10 +52,7 @@ rc_campaign AS (
 
 
 def _sql(body: str) -> str:
-    body = body.strip()
-    if body.startswith(","):
-        return ADAPTER + "\n" + body
-    return ADAPTER + "\n" + body
+    return ADAPTER + "\n" + body.strip()
 
 
 def _r(expr: str, digits: int) -> str:
@@ -63,6 +60,12 @@ def _r(expr: str, digits: int) -> str:
     return f"CAST(ROUND(CAST({expr} AS DECIMAL(38,6)), {digits}) AS DOUBLE)"
 
 
+def _re(expr: str, digits: int) -> str:
+    """numpy-style round (half to even on the scaled double)."""
+    scale = f"{10 ** digits}.0"
+    return f"(round_even(CAST({expr} AS DOUBLE) * {scale}, 0) / {scale})"
+
+
 CHANNELS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 
 _MONTHLY_FILLED = """
@@ -76,6 +79,111 @@ _CELLS = """
 , cells AS (SELECT region, acquisition_channel, SUM(order_revenue) AS revenue
             FROM rc_order_level GROUP BY region, acquisition_channel)"""
 
+_RFM = """
+, base AS (
+    SELECT customer_id,
+           (SELECT MAX(order_date) + 1 FROM rc_order_level) - MAX(order_date) AS recency,
+           COUNT(DISTINCT order_id) AS frequency, SUM(order_revenue) AS monetary
+    FROM rc_order_level GROUP BY customer_id),
+ranked AS (SELECT *, ROW_NUMBER() OVER (ORDER BY frequency, customer_id) AS f_rank FROM base),
+edges AS (SELECT quantile_cont(CAST(recency AS DOUBLE), [0.25, 0.5, 0.75]) AS re,
+                 quantile_cont(CAST(monetary AS DOUBLE), [0.25, 0.5, 0.75]) AS me,
+                 COUNT(*) AS n FROM base),
+scored AS (
+    SELECT r.customer_id, CAST(r.recency AS BIGINT) AS recency, CAST(r.frequency AS BIGINT) AS frequency, r.monetary,
+           CAST(4 - (CASE WHEN r.recency > e.re[1] THEN 1 ELSE 0 END)
+                   - (CASE WHEN r.recency > e.re[2] THEN 1 ELSE 0 END)
+                   - (CASE WHEN r.recency > e.re[3] THEN 1 ELSE 0 END) AS BIGINT) AS r_score,
+           CAST(1 + (CASE WHEN r.f_rank > 1 + (e.n - 1) * 0.25 THEN 1 ELSE 0 END)
+                   + (CASE WHEN r.f_rank > 1 + (e.n - 1) * 0.5 THEN 1 ELSE 0 END)
+                   + (CASE WHEN r.f_rank > 1 + (e.n - 1) * 0.75 THEN 1 ELSE 0 END) AS BIGINT) AS f_score,
+           CAST(1 + (CASE WHEN CAST(r.monetary AS DOUBLE) > e.me[1] THEN 1 ELSE 0 END)
+                   + (CASE WHEN CAST(r.monetary AS DOUBLE) > e.me[2] THEN 1 ELSE 0 END)
+                   + (CASE WHEN CAST(r.monetary AS DOUBLE) > e.me[3] THEN 1 ELSE 0 END) AS BIGINT) AS m_score
+    FROM ranked r, edges e),
+scores AS (
+    SELECT *, r_score + f_score + m_score AS rfm_sum,
+           CASE WHEN r_score >= 3 AND f_score >= 3 AND m_score >= 3 THEN 'Champions'
+                WHEN r_score >= 3 AND f_score >= 2 THEN 'Loyal Customers'
+                WHEN r_score >= 3 AND f_score <= 2 THEN 'Promising / New'
+                WHEN r_score = 2 AND f_score >= 2 THEN 'Needs Attention'
+                WHEN r_score <= 2 AND f_score >= 3 THEN 'At Risk'
+                WHEN r_score <= 1 AND f_score <= 2 THEN 'Hibernating / Lost'
+                ELSE 'Other' END AS segment
+    FROM scored)"""
+
+_SEGMENTS = f"""
+, seg AS (
+    SELECT segment, COUNT(*) AS customers,
+           {_re("AVG(recency)", 1)} AS avg_recency_days,
+           {_re("AVG(frequency)", 1)} AS avg_frequency,
+           {_re("AVG(monetary)", 1)} AS avg_monetary,
+           {_re("SUM(monetary)", 1)} AS total_revenue
+    FROM scores GROUP BY segment),
+seg_summary AS (
+    SELECT *, {_re("CAST(customers AS DOUBLE) / SUM(customers) OVER () * 100.0", 1)} AS pct_of_customers,
+              {_re("total_revenue / SUM(total_revenue) OVER () * 100.0", 1)} AS pct_of_revenue
+    FROM seg)"""
+
+_COHORTS = f"""
+, cm AS (SELECT DISTINCT customer_id, CAST(date_trunc('month', order_date) AS DATE) AS order_month
+         FROM rc_order_level),
+fc AS (SELECT customer_id, MIN(order_month) AS cohort_month FROM cm GROUP BY customer_id),
+counts AS (
+    SELECT fc.cohort_month,
+           CAST((year(cm.order_month) - year(fc.cohort_month)) * 12
+                + (month(cm.order_month) - month(fc.cohort_month)) AS BIGINT) AS period,
+           COUNT(DISTINCT cm.customer_id) AS customers
+    FROM cm JOIN fc ON fc.customer_id = cm.customer_id GROUP BY 1, 2),
+ret AS (
+    SELECT c.cohort_month, c.period, c.customers, c0.customers AS cohort_size,
+           {_re("CAST(c.customers AS DOUBLE) / c0.customers", 3)} AS retention
+    FROM counts c JOIN counts c0 ON c0.cohort_month = c.cohort_month AND c0.period = 0)"""
+
+_CURVE = """
+, curve0 AS (SELECT period, COUNT(*) AS cohorts, SUM(CAST(round(retention * 1000) AS BIGINT)) * 10 AS num
+             FROM ret GROUP BY period),
+curve AS (SELECT period, cohorts,
+                 CAST(num // cohorts + CASE WHEN 2 * (num % cohorts) > cohorts
+                                             OR (2 * (num % cohorts) = cohorts AND (num // cohorts) % 2 = 1)
+                                            THEN 1 ELSE 0 END AS DOUBLE) / 100.0 AS avg_retention_pct
+          FROM curve0)"""
+
+_AB_COUNTS = """
+, a AS (
+    SELECT COUNT(*) FILTER (WHERE grp = 'control') AS n1, COUNT(*) FILTER (WHERE grp = 'variant') AS n2,
+           COALESCE(SUM(converted) FILTER (WHERE grp = 'control'), 0) AS x1,
+           COALESCE(SUM(converted) FILTER (WHERE grp = 'variant'), 0) AS x2,
+           CAST(SUM(order_value) FILTER (WHERE converted = 1) AS DOUBLE)
+             / COUNT(*) FILTER (WHERE converted = 1) AS vconv
+    FROM rc_campaign),
+b AS (SELECT *, CAST(x1 AS DOUBLE) / n1 AS p1, CAST(x2 AS DOUBLE) / n2 AS p2,
+             (SELECT COUNT(*) FROM rc_customers) AS base FROM a)"""
+
+_AB = _AB_COUNTS + """,
+c AS (SELECT *, (p2 - p1) / sqrt(CAST(x1 + x2 AS DOUBLE) / (n1 + n2) * (1.0 - CAST(x1 + x2 AS DOUBLE) / (n1 + n2))
+                                 * (1.0 / CAST(n1 AS DOUBLE) + 1.0 / CAST(n2 AS DOUBLE))) AS z,
+             sqrt(p1 * (1.0 - p1) / n1 + p2 * (1.0 - p2) / n2) AS se FROM b),
+ex AS (SELECT abs(z) / sqrt(2.0::DOUBLE) AS x FROM c),
+series(k, t, s) AS (
+    SELECT 0, x, x FROM ex
+    UNION ALL
+    SELECT k + 1, t * 2.0 * x * x / (2.0 * (k + 1) + 1.0), s + t * 2.0 * x * x / (2.0 * (k + 1) + 1.0)
+    FROM series, ex WHERE k < 300),
+erfv AS (SELECT CASE WHEN ex.x > 8.0 THEN 1.0::DOUBLE ELSE 2.0 / sqrt(pi()) * exp(-ex.x * ex.x) * s END AS erf
+         FROM series, ex WHERE k = 300),
+final AS (SELECT c.*, 2.0 * (1.0 - 0.5 * (1.0 + sign(abs(c.z)) * erfv.erf)) AS p_value FROM c, erfv)"""
+
+
+def _profile(name: str, rel: str, cols: list[str]) -> str:
+    nulls = " + ".join(f"(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END)" for c in cols)
+    col_list = ", ".join(cols)
+    return f"""SELECT '{name}' AS table_name, CAST(COALESCE(SUM(k), 0) AS BIGINT) AS rows,
+       CAST(COALESCE(SUM(k * ({nulls})), 0) AS BIGINT) AS null_cells,
+       CAST(COALESCE(SUM(k - 1), 0) AS BIGINT) AS duplicate_rows
+FROM (SELECT {col_list}, COUNT(*) AS k FROM {rel} GROUP BY {col_list})"""
+
+
 ORACLE: dict[str, str] = {
     "monthly_revenue_growth": _sql(f"""
 , monthly_revenue AS (
@@ -178,4 +286,173 @@ FROM months ORDER BY 1"""),
 SELECT product_id, category,
        upper(substr(category, 1, 4)) || '-' || right(lpad(CAST(product_id AS VARCHAR), 4, '0'), 4) AS product_code
 FROM rc_products"""),
+
+    "rfm_inputs": _sql("""
+, order_value AS (
+    SELECT o.customer_id, o.order_id, o.order_date, SUM(oi.quantity * oi.unit_price) AS order_total
+    FROM rc_orders o JOIN rc_items oi ON oi.order_id = o.order_id
+    WHERE o.status = 'completed'
+    GROUP BY o.customer_id, o.order_id, o.order_date),
+last_date AS (SELECT MAX(order_date) AS max_date FROM order_value)
+SELECT ov.customer_id,
+       CAST((SELECT max_date FROM last_date) - MAX(ov.order_date) AS BIGINT) AS recency_days,
+       COUNT(*) AS frequency,
+       CAST(ROUND(SUM(ov.order_total), 2) AS DOUBLE) AS monetary
+FROM order_value ov GROUP BY ov.customer_id ORDER BY monetary DESC"""),
+
+    "top_customers_by_region": _sql("""
+, customer_totals AS (
+    SELECT c.customer_id, c.region, SUM(oi.quantity * oi.unit_price) AS lifetime_value
+    FROM rc_customers c
+    JOIN rc_orders o ON o.customer_id = c.customer_id AND o.status = 'completed'
+    JOIN rc_items oi ON oi.order_id = o.order_id
+    GROUP BY c.customer_id, c.region),
+ranked AS (
+    SELECT customer_id, region, lifetime_value,
+           RANK() OVER (PARTITION BY region ORDER BY lifetime_value DESC) AS region_rank
+    FROM customer_totals)
+SELECT customer_id, region, CAST(lifetime_value AS DOUBLE) AS lifetime_value, region_rank
+FROM ranked WHERE region_rank <= 5 ORDER BY region, region_rank"""),
+
+    "churn_candidates": _sql("""
+SELECT DISTINCT c.customer_id, c.region, c.acquisition_channel
+FROM rc_customers c
+WHERE EXISTS (SELECT 1 FROM rc_orders o WHERE o.customer_id = c.customer_id
+                AND strftime(o.order_date, '%Y') = '2000' AND o.status = 'completed')
+  AND NOT EXISTS (SELECT 1 FROM rc_orders o WHERE o.customer_id = c.customer_id
+                AND strftime(o.order_date, '%Y') = '2001' AND o.status = 'completed')"""),
+
+    "rfm_scores": _sql(_RFM + """
+SELECT customer_id, recency, frequency, CAST(monetary AS DOUBLE) AS monetary, r_score, f_score, m_score,
+       rfm_sum, segment
+FROM scores"""),
+
+    "rfm_quartile_edges": _sql(_RFM + """
+SELECT 'recency' AS metric, ROUND(re[1], 6) AS q25, ROUND(re[2], 6) AS q50, ROUND(re[3], 6) AS q75 FROM edges
+UNION ALL
+SELECT 'frequency_rank', ROUND(CAST(1 + (n - 1) * 0.25 AS DOUBLE), 6), ROUND(CAST(1 + (n - 1) * 0.5 AS DOUBLE), 6),
+       ROUND(CAST(1 + (n - 1) * 0.75 AS DOUBLE), 6) FROM edges
+UNION ALL
+SELECT 'monetary', ROUND(me[1], 6), ROUND(me[2], 6), ROUND(me[3], 6) FROM edges"""),
+
+    "rfm_segment_summary": _sql(_RFM + _SEGMENTS + """
+SELECT * FROM seg_summary ORDER BY total_revenue DESC"""),
+
+    "rfm_top_segment": _sql(_RFM + _SEGMENTS + """
+SELECT segment, pct_of_customers, pct_of_revenue FROM seg_summary
+ORDER BY pct_of_revenue DESC, total_revenue DESC LIMIT 1"""),
+
+    "signup_cohort_activity": _sql("""
+, cohort AS (SELECT customer_id, strftime(signup_date, '%Y-%m') AS cohort_month FROM rc_customers),
+activity AS (SELECT DISTINCT customer_id, strftime(order_date, '%Y-%m') AS activity_month
+             FROM rc_orders WHERE status = 'completed')
+SELECT c.cohort_month, a.activity_month, COUNT(DISTINCT a.customer_id) AS active_customers
+FROM cohort c JOIN activity a ON a.customer_id = c.customer_id
+WHERE a.activity_month >= c.cohort_month
+GROUP BY c.cohort_month, a.activity_month
+ORDER BY c.cohort_month, a.activity_month"""),
+
+    "purchase_cohort_counts": _sql(_COHORTS + """
+SELECT strftime(cohort_month, '%Y-%m-%d') AS cohort_month, period, customers FROM counts"""),
+
+    "purchase_cohort_retention": _sql(_COHORTS + """
+SELECT strftime(cohort_month, '%Y-%m-%d') AS cohort_month, period, customers, cohort_size, retention
+FROM ret ORDER BY 1, 2"""),
+
+    "purchase_cohort_matrix": _sql(_COHORTS + "SELECT strftime(cohort_month, '%Y-%m-%d') AS cohort_month, "
+        + ", ".join(f"MAX(CASE WHEN period = {p} THEN retention END) AS m{p}" for p in range(12))
+        + " FROM ret GROUP BY cohort_month ORDER BY 1"),
+
+    "avg_retention_curve": _sql(_COHORTS + _CURVE + """
+SELECT * FROM curve ORDER BY period"""),
+
+    "retention_m1_m3": _sql(_COHORTS + _CURVE + """
+SELECT MAX(CASE WHEN period = 1 THEN avg_retention_pct END) AS m1_retention_pct,
+       MAX(CASE WHEN period = 3 THEN avg_retention_pct END) AS m3_retention_pct
+FROM curve"""),
+
+    "ab_summary": _sql(f"""
+SELECT grp, COUNT(*) AS n, CAST(SUM(converted) AS BIGINT) AS conversions,
+       {_r("100.0 * SUM(converted) / COUNT(*)", 2)} AS conversion_rate_pct,
+       {_r("AVG(order_value)", 2)} AS avg_order_value_incl_zero
+FROM rc_campaign GROUP BY grp"""),
+
+    "ab_test_result": _sql(_AB + f"""
+SELECT n1 AS control_n, n2 AS variant_n,
+       {_re("p1", 4)} AS control_conv_rate, {_re("p2", 4)} AS variant_conv_rate,
+       {_re("p2 - p1", 4)} AS absolute_lift,
+       {_re("(p2 / p1 - 1.0) * 100.0", 2)} AS relative_lift_pct,
+       {_re("z", 3)} AS z_stat,
+       {_re("p_value", 4)} AS p_value,
+       {_re("(p2 - p1) - 1.96 * se", 4)} AS ci_95_low,
+       {_re("(p2 - p1) + 1.96 * se", 4)} AS ci_95_high,
+       p_value < 0.05 AS significant_at_05,
+       {_re("(p2 - p1) * base * vconv", 0)} AS projected_incremental_revenue
+FROM final"""),
+
+    "ab_arm_intervals": _sql(f"""
+, per_arm AS (SELECT grp, COUNT(*) AS n, CAST(SUM(converted) AS BIGINT) AS conversions FROM rc_campaign GROUP BY grp),
+w AS (SELECT *, CAST(conversions AS DOUBLE) / n AS p FROM per_arm),
+h AS (SELECT *, CAST(1.96 AS DOUBLE) * sqrt(p * (1.0 - p) / n) AS hw FROM w)
+SELECT grp, n, conversions, {_re("p", 4)} AS conv_rate, {_re("hw", 4)} AS half_width,
+       {_re("p - hw", 4)} AS ci_low, {_re("p + hw", 4)} AS ci_high
+FROM h"""),
+
+    "ab_projection": _sql(_AB_COUNTS + f"""
+SELECT {_re("vconv", 2)} AS avg_value_when_converted,
+       {_re("(p2 - p1) * 1000.0", 1)} AS incremental_conversions_per_1000,
+       base AS full_base,
+       {_re("(p2 - p1) * base * vconv", 0)} AS projected_incremental_revenue
+FROM b"""),
+
+    "ab_sample_size": _sql(_AB_COUNTS + """
+, v AS (SELECT p1 * (1.0 - p1) + p2 * (1.0 - p2) AS var, (p2 - p1) * (p2 - p1) AS diff2 FROM b),
+powers AS (SELECT * FROM (VALUES (0.8, 0.8416212335729143), (0.9, 1.2815515655446004)) AS t(power, z_beta))
+SELECT CAST(power AS DOUBLE) AS power,
+       CAST(ceil((1.96::DOUBLE + z_beta::DOUBLE) * (1.96::DOUBLE + z_beta::DOUBLE) * var / NULLIF(diff2, 0)) AS BIGINT)
+         AS needed_per_arm
+FROM v, powers"""),
+
+    "dq_table_profile": _sql(" UNION ALL ".join(
+        _profile(name, rel, cols) for name, rel, cols in (
+            ("orders", "rc_orders", ["order_id", "customer_id", "order_date", "status", "region", "acquisition_channel"]),
+            ("order_items", "rc_items", ["order_id", "product_id", "quantity", "unit_price", "unit_cost"]),
+            ("products", "rc_products", ["product_id", "category", "unit_price", "unit_cost", "product_name"]),
+            ("customers", "rc_customers", ["customer_id", "signup_date", "region", "acquisition_channel"]),
+        ))),
+
+    "dq_invalid_values": _sql("""
+SELECT CAST(COUNT(*) FILTER (WHERE unit_price <= 0) AS BIGINT) AS invalid_prices,
+       CAST(COUNT(*) FILTER (WHERE quantity <= 0) AS BIGINT) AS invalid_quantities
+FROM rc_items"""),
+
+    "dq_primary_keys": _sql(" UNION ALL ".join(
+        f"""SELECT '{name}' AS table_name, '{key}' AS key_columns,
+       CAST(COUNT(*) FILTER (WHERE n > 1) AS BIGINT) AS duplicated_keys,
+       CAST(COALESCE(SUM(CASE WHEN {key} IS NULL THEN n END), 0) AS BIGINT) AS null_keys
+FROM (SELECT {key}, COUNT(*) AS n FROM {rel} GROUP BY {key})"""
+        for name, rel, key in (("customers", "rc_customers", "customer_id"),
+                               ("products", "rc_products", "product_id"),
+                               ("orders", "rc_orders", "order_id")))),
+
+    "dq_foreign_keys": _sql(" UNION ALL ".join(
+        f"""SELECT '{child}' AS child_table, '{fk}' AS child_column, '{parent}' AS parent_table,
+       COUNT(*) AS orphan_rows
+FROM {crel} x WHERE x.{fk} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {prel} p WHERE p.{pk} = x.{fk})"""
+        for child, crel, fk, parent, prel, pk in (
+            ("orders", "rc_orders", "customer_id", "customers", "rc_customers", "customer_id"),
+            ("order_items", "rc_items", "order_id", "orders", "rc_orders", "order_id"),
+            ("order_items", "rc_items", "product_id", "products", "rc_products", "product_id"),
+            ("ab_test_campaign", "rc_campaign", "customer_id", "customers", "rc_customers", "customer_id"),
+        ))),
+
+    "sample_customers": _sql("""
+SELECT customer_id, region, acquisition_channel FROM rc_customers
+ORDER BY md5(CAST(customer_id AS VARCHAR) || ':7'), customer_id LIMIT 1500"""),
+
+    "ab_assignment": _sql("""
+SELECT customer_id,
+       CASE WHEN substr(md5(CAST(customer_id AS VARCHAR) || ':arm'), 1, 1) < '8' THEN 'control' ELSE 'variant' END
+         AS grp
+FROM rc_customers"""),
 }

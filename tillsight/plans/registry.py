@@ -10,7 +10,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillsight.plans import sales
+from tillsight.plans import cohort, customers, experiment, quality, rfm, sales
+from tillsight.operators.sampling import assign_arm, sample_exact_n
 from tillsight.plans.order_level import order_level
 from tillsight.plans.present import present
 from tillsight.sources.adapter import retail_from_driver
@@ -19,6 +20,11 @@ from tillsight.sources.model import RetailTables
 # Fixed value: the channel domain of the mapped model (customer market segments).
 CHANNELS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 
+# Fixed values of the sampling step: 1,500 customers, seed 7.
+SAMPLE_N = 1500
+SAMPLE_SEED = "7"
+ARM_SALT = "arm"
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -46,4 +52,31 @@ def queries() -> dict[str, Query]:
         "trend_insight": _q(sales.trend_insight),
         "month_labels": _q(sales.month_labels),
         "product_codes": _q(sales.product_codes),
+        "rfm_inputs": _q(customers.rfm_inputs),
+        "top_customers_by_region": _q(customers.top_customers_by_region),
+        "churn_candidates": _q(customers.churn_candidates),
+        "rfm_scores": _q(rfm.rfm_scores),
+        "rfm_quartile_edges": _q(rfm.rfm_quartile_edges),
+        "rfm_segment_summary": _q(rfm.rfm_segment_summary),
+        "rfm_top_segment": _q(rfm.rfm_top_segment),
+        "signup_cohort_activity": _q(cohort.signup_cohort_activity),
+        "purchase_cohort_counts": _q(cohort.purchase_cohort_counts),
+        "purchase_cohort_retention": _q(cohort.purchase_cohort_retention),
+        "purchase_cohort_matrix": _q(cohort.purchase_cohort_matrix),
+        "avg_retention_curve": _q(cohort.avg_retention_curve),
+        "retention_m1_m3": _q(cohort.retention_m1_m3),
+        "ab_summary": _q(experiment.ab_summary),
+        "ab_test_result": _q(experiment.ab_test_result),
+        "ab_arm_intervals": _q(experiment.ab_arm_intervals),
+        "ab_projection": _q(experiment.ab_projection),
+        "ab_sample_size": _q(experiment.ab_sample_size),
+        "dq_table_profile": _q(quality.dq_table_profile),
+        "dq_invalid_values": _q(quality.dq_invalid_values),
+        "dq_primary_keys": _q(quality.dq_primary_keys),
+        "dq_foreign_keys": _q(quality.dq_foreign_keys),
+        "sample_customers": _q(lambda t: sample_exact_n(
+            t.customers.select("customer_id", "region", "acquisition_channel"),
+            "customer_id", SAMPLE_N, SAMPLE_SEED)),
+        "ab_assignment": _q(lambda t: t.customers.select(
+            "customer_id", assign_arm(t.customers.customer_id, ARM_SALT).alias("grp"))),
     }

@@ -40,8 +40,27 @@ CAMPAIGN_SALT = "campaign"
 ARM_SALT = "arm"
 
 
+# Declared schemas of the warehouse tables (no footer inference at read time;
+# Catalyst still prunes to the columns a plan uses).
+DRIVER_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": ("o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+               "o_orderdate timestamp_ntz, o_orderpriority string"),
+    "lineitem": ("l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                 "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                 "l_linestatus string, l_shipdate timestamp_ntz"),
+}
+
+
 def read_driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    reader = spark.read
+    if name in DRIVER_SCHEMAS:
+        reader = reader.schema(DRIVER_SCHEMAS[name])
+    return reader.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
 def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -135,12 +154,25 @@ def _campaign(customers: DataFrame, orders: DataFrame, order_items: DataFrame) -
 
 def retail_from_driver(spark: SparkSession, sf_dir: str) -> RetailTables:
     """Build the retail model lazily over the parquet tables in ``sf_dir``."""
-    customers = _customers(spark, sf_dir)
-    products = _products(spark, sf_dir)
-    orders = _orders(spark, sf_dir, customers)
-    order_items = _order_items(spark, sf_dir, products)
-    campaign = _campaign(customers, orders, order_items)
-    return RetailTables(customers, products, orders, order_items, campaign)
+    t: RetailTables
+
+    def customers():
+        return _customers(spark, sf_dir)
+
+    def products():
+        return _products(spark, sf_dir)
+
+    def orders():
+        return _orders(spark, sf_dir, t.customers)
+
+    def order_items():
+        return _order_items(spark, sf_dir, t.products)
+
+    def campaign():
+        return _campaign(t.customers, t.orders, t.order_items)
+
+    t = RetailTables(customers, products, orders, order_items, campaign)
+    return t
 
 
 __all__ = ["retail_from_driver", "read_driver_table", "COMPLETED"]

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -59,15 +57,31 @@ SCHEMAS = {
 COMPLETED = "completed"
 
 
-@dataclass(frozen=True)
 class RetailTables:
-    """Lazy DataFrames of the retail model; every plan takes one of these."""
+    """The five relations of the retail model as lazy DataFrames.
+
+    Each relation is given either as a DataFrame or as a zero-argument
+    function that builds it; builders run on first access only, so a query
+    pays planning time just for the relations it reads.
+    """
+
+    NAMES = ("customers", "products", "orders", "order_items", "campaign")
+
+    def __init__(self, customers, products, orders, order_items, campaign):
+        self._src = dict(zip(self.NAMES, (customers, products, orders, order_items, campaign)))
+        self._built: dict[str, DataFrame] = {}
+
+    def _get(self, name: str) -> DataFrame:
+        if name not in self._built:
+            src = self._src[name]
+            self._built[name] = src() if callable(src) and not isinstance(src, DataFrame) else src
+        return self._built[name]
 
-    customers: DataFrame
-    products: DataFrame
-    orders: DataFrame
-    order_items: DataFrame
-    campaign: DataFrame
+    customers = property(lambda self: self._get("customers"))
+    products = property(lambda self: self._get("products"))
+    orders = property(lambda self: self._get("orders"))
+    order_items = property(lambda self: self._get("order_items"))
+    campaign = property(lambda self: self._get("campaign"))
 
     def as_dict(self) -> dict[str, DataFrame]:
         return {
