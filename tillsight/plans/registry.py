@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillsight.plans import cohort, customers, experiment, quality, rfm, sales
+from tillsight.plans import cohort, customers, experiment, quality, report, rfm, sales
 from tillsight.operators.sampling import assign_arm, sample_exact_n
 from tillsight.plans.order_level import order_level
 from tillsight.plans.present import present
@@ -77,6 +77,7 @@ def queries() -> dict[str, Query]:
         "sample_customers": _q(lambda t: sample_exact_n(
             t.customers.select("customer_id", "region", "acquisition_channel"),
             "customer_id", SAMPLE_N, SAMPLE_SEED)),
+        "dashboard_dataset": _q(report.dashboard_json),
         "ab_assignment": _q(lambda t: t.customers.select(
             "customer_id", assign_arm(t.customers.customer_id, ARM_SALT).alias("grp"))),
     }
