@@ -38,7 +38,7 @@ def customer_months(t: RetailTables) -> DataFrame:
     Deduplicating (customer, month) first (partial aggregation map-side) caps a
     customer at one row per month, so the per-customer window that finds the
     first month never sees an unbounded group."""
-    cm = order_level(t.orders, t.order_items).select(
+    cm = t.order_level.select(
         "customer_id", month_start(F.col("order_date")).alias("order_month")).distinct()
     return cm.withColumn("cohort_month", F.min("order_month").over(Window.partitionBy("customer_id")))
 

@@ -17,7 +17,7 @@ def rfm_inputs(t: RetailTables) -> DataFrame:
     (0 for the latest buyers), number of completed orders, revenue.
 
     The data's last date is a global MAX run once as a scalar subquery."""
-    ov = customer_orders(t.orders, t.order_items)
+    ov = customer_orders(t.order_level)
     max_date = ov.select(F.max("order_date")).scalar()
     return (
         ov.groupBy("customer_id")
@@ -33,7 +33,7 @@ def customer_lifetime_value(t: RetailTables) -> DataFrame:
     customer's own region. Revenue is reduced to one row per customer before the
     join with customers."""
     per_customer = (
-        order_level(t.orders, t.order_items)
+        t.order_level
         .groupBy("customer_id")
         .agg(F.sum("order_revenue").alias("lifetime_value"))
     )

@@ -27,7 +27,9 @@ rc_orders AS (
   SELECT o.o_orderkey AS order_id, o.o_custkey AS customer_id, CAST(o.o_orderdate AS DATE) AS order_date,
          CASE o.o_orderstatus WHEN 'F' THEN 'completed' WHEN 'O' THEN 'returned' ELSE 'cancelled' END AS status,
          c.region, c.acquisition_channel
-  FROM orders o JOIN rc_customers c ON c.customer_id = o.o_custkey),
+  FROM orders o
+  LEFT JOIN (SELECT customer_id, MIN(region) AS region, MIN(acquisition_channel) AS acquisition_channel
+             FROM rc_customers GROUP BY customer_id) c ON c.customer_id = o.o_custkey),
 rc_items AS (
   SELECT l.l_orderkey AS order_id, l.l_partkey AS product_id, CAST(l.l_quantity AS INTEGER) AS quantity,
          p.unit_price, p.unit_cost

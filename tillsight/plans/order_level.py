@@ -36,7 +36,7 @@ def line_revenue(order_items: DataFrame):
     return F.col("quantity") * F.col("unit_price")
 
 
-def order_level(orders: DataFrame, order_items: DataFrame) -> DataFrame:
+def build_order_level(orders: DataFrame, order_items: DataFrame) -> DataFrame:
     revenue = (
         completed_lines(orders, order_items)
         .groupBy("order_id")
@@ -45,7 +45,12 @@ def order_level(orders: DataFrame, order_items: DataFrame) -> DataFrame:
     return completed_orders(orders).join(revenue, "order_id").select(*ORDER_LEVEL_COLUMNS)
 
 
-def customer_orders(orders: DataFrame, order_items: DataFrame) -> DataFrame:
+def order_level(orders: DataFrame, order_items: DataFrame) -> DataFrame:
+    """The order-level table built from the two relations."""
+    return build_order_level(orders, order_items)
+
+
+def customer_orders(ol: DataFrame) -> DataFrame:
     """(customer_id, order_id, order_date, order_total): the per-order CTE of the RFM query."""
-    return order_level(orders, order_items).select(
+    return ol.select(
         "customer_id", "order_id", "order_date", F.col("order_revenue").alias("order_total"))

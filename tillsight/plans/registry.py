@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tillsight.plans import cohort, customers, experiment, quality, report, rfm, sales
 from tillsight.operators.sampling import assign_arm, sample_exact_n
-from tillsight.plans.order_level import order_level
 from tillsight.plans.present import present
 from tillsight.sources.adapter import retail_from_driver
 from tillsight.sources.model import RetailTables
@@ -28,9 +27,30 @@ ARM_SALT = "arm"
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+_MODELS: dict[tuple[str, str], RetailTables] = {}
+
+
+def retail_model(spark: SparkSession, sf_dir: str) -> RetailTables:
+    """The retail model over ``sf_dir``, one per session: its DataFrames are
+    planned once and the order-level table is computed once and shared."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _MODELS:
+        _MODELS[key] = retail_from_driver(spark, sf_dir, share_order_level=True)
+    return _MODELS[key]
+
+
+def release(spark: SparkSession) -> None:
+    """Drop the shared copies of this session."""
+    app = spark.sparkContext.applicationId
+    for key in [k for k in _MODELS if k[0] == app]:
+        t = _MODELS.pop(key)
+        if "order_level" in t._built:
+            t.order_level.unpersist()
+
+
 def _q(plan: Callable[[RetailTables], DataFrame]) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return present(plan(retail_from_driver(spark, sf_dir)))
+        return present(plan(retail_model(spark, sf_dir)))
     run.__name__ = getattr(plan, "__name__", "query")
     run.__doc__ = plan.__doc__
     return run
@@ -40,7 +60,7 @@ def queries() -> dict[str, Query]:
     return {
         "monthly_revenue_growth": _q(sales.monthly_revenue_growth),
         "category_margin": _q(sales.category_margin),
-        "order_level": _q(lambda t: order_level(t.orders, t.order_items)),
+        "order_level": _q(lambda t: t.order_level),
         "kpis": _q(sales.kpis),
         "monthly_revenue_filled": _q(sales.monthly_revenue_filled),
         "monthly_revenue_filled_by_cell": _q(sales.monthly_revenue_filled_by_cell),

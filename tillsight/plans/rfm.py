@@ -45,7 +45,7 @@ def segment_of(r: Column, f: Column, m: Column) -> Column:
 
 def rfm_base(t: RetailTables, offset_days: int = 1) -> DataFrame:
     """customer_id, recency, frequency, monetary (one row per buying customer)."""
-    ol = order_level(t.orders, t.order_items)
+    ol = t.order_level
     snapshot = ol.select(F.date_add(F.max("order_date"), offset_days)).scalar()
     return (
         ol.groupBy("customer_id")
@@ -58,8 +58,10 @@ def rfm_base(t: RetailTables, offset_days: int = 1) -> DataFrame:
 class RfmModel:
     """Scores plus the edges that produced them.
 
-    The per-customer table is materialised once (by the frequency ordinal
-    rank's checkpoint); edges and scores are computed from that copy.
+    The per-customer table is materialised by the frequency ordinal rank's
+    checkpoint; the edges are computed from that copy, and the scored table
+    is checkpointed once more so that every consumer (scores, summary, top
+    segment, dashboard) reads the same materialised result.
     """
 
     def __init__(self, t: RetailTables, offset_days: int = 1):
@@ -69,8 +71,9 @@ class RfmModel:
         self.recency_edges = discrete_quantiles(ranked, "recency").select("edges").scalar()
         self.monetary_edges = exact_quantiles(ranked, "monetary").select("edges").scalar()
         self.rank_edges = rank_quantile_edges(self.n)
+        self._scores: DataFrame | None = None
 
-    def scores(self) -> DataFrame:
+    def _score(self) -> DataFrame:
         r = bin_score(F.col("recency"), self.recency_edges, descending=True)
         f = bin_score(F.col("f_rank"), self.rank_edges)
         m = bin_score(F.col("monetary"), self.monetary_edges)
@@ -80,6 +83,11 @@ class RfmModel:
         return scored.withColumn("rfm_sum", F.col("r_score") + F.col("f_score") + F.col("m_score")).withColumn(
             "segment", segment_of(F.col("r_score"), F.col("f_score"), F.col("m_score")))
 
+    def scores(self) -> DataFrame:
+        if self._scores is None:
+            self._scores = self._score().checkpoint(eager=True)
+        return self._scores
+
     def edges(self) -> DataFrame:
         def row(name: str, edges: Column) -> Column:
             return F.struct(F.lit(name).alias("metric"),
@@ -91,13 +99,20 @@ class RfmModel:
             row("monetary", self.monetary_edges),
         )).alias("e")).select("e.*")
 
+def rfm_model(t: RetailTables, offset_days: int = 1) -> RfmModel:
+    """One model per tables object and offset: scores, summary and edges share it."""
+    key = f"rfm_model:{offset_days}"
+    if key not in t.memo:
+        t.memo[key] = RfmModel(t, offset_days)
+    return t.memo[key]
+
 
 def rfm_scores(t: RetailTables, offset_days: int = 1) -> DataFrame:
-    return RfmModel(t, offset_days).scores()
+    return rfm_model(t, offset_days).scores()
 
 
 def rfm_quartile_edges(t: RetailTables, offset_days: int = 1) -> DataFrame:
-    return RfmModel(t, offset_days).edges()
+    return rfm_model(t, offset_days).edges()
 
 
 def segment_summary(scores: DataFrame) -> DataFrame:

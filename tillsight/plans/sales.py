@@ -31,7 +31,7 @@ def monthly_revenue_growth(t: RetailTables) -> DataFrame:
     aggregate, whose size is the number of calendar months, not the data size.
     """
     monthly = (
-        order_level(t.orders, t.order_items)
+        t.order_level
         .groupBy(month_key(F.col("order_date")).alias("order_month"))
         .agg(F.sum("order_revenue").alias("revenue"))
     )
@@ -76,7 +76,7 @@ def category_revenue(t: RetailTables) -> DataFrame:
 
 def kpis(t: RetailTables) -> DataFrame:
     """One row: revenue, completed orders, customers, average order value, completion rate."""
-    ol = order_level(t.orders, t.order_items)
+    ol = t.order_level
     completion = t.orders.select(
         (F.count_if(F.col("status") == F.lit(COMPLETED)) / F.count(F.lit(1))).alias("r")).scalar()
     return ol.agg(
@@ -90,7 +90,7 @@ def kpis(t: RetailTables) -> DataFrame:
 def monthly_revenue_filled(t: RetailTables) -> DataFrame:
     """Revenue per calendar month from first to last month, 0 for months without sales."""
     monthly = (
-        order_level(t.orders, t.order_items)
+        t.order_level
         .groupBy(month_start(F.col("order_date")).alias("month"))
         .agg(F.sum("order_revenue").alias("revenue"))
     )
@@ -101,7 +101,7 @@ def monthly_revenue_filled_by_cell(t: RetailTables) -> DataFrame:
     """The same series per (region, channel); here months without sales do occur."""
     keys = ["region", "acquisition_channel"]
     monthly = (
-        order_level(t.orders, t.order_items)
+        t.order_level
         .groupBy(*keys, month_start(F.col("order_date")).alias("month"))
         .agg(F.sum("order_revenue").alias("revenue"))
     )
@@ -111,7 +111,7 @@ def monthly_revenue_filled_by_cell(t: RetailTables) -> DataFrame:
 def region_channel_long(t: RetailTables) -> DataFrame:
     """Revenue per (order region, order channel), long form."""
     return (
-        order_level(t.orders, t.order_items)
+        t.order_level
         .groupBy("region", "acquisition_channel")
         .agg(F.sum("order_revenue").alias("revenue"))
         .orderBy("region", "acquisition_channel")
@@ -125,7 +125,7 @@ def region_channel_matrix(t: RetailTables, channels: list[str]) -> DataFrame:
     and the schema is stable.
     """
     return (
-        order_level(t.orders, t.order_items)
+        t.order_level
         .groupBy("region")
         .pivot("acquisition_channel", channels)
         .agg(F.sum("order_revenue"))
@@ -181,7 +181,7 @@ def trend_insight(t: RetailTables) -> DataFrame:
 
 def month_labels(t: RetailTables) -> DataFrame:
     """Chart labels for every month with completed revenue."""
-    months = order_level(t.orders, t.order_items).select(month_start(F.col("order_date")).alias("month")).distinct()
+    months = t.order_level.select(month_start(F.col("order_date")).alias("month")).distinct()
     return months.select(
         month_key(F.col("month")).alias("order_month"),
         month_label(F.col("month")).alias("label"),

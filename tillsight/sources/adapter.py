@@ -7,7 +7,8 @@ Mapping (fixed values, the same in the DuckDB oracle):
   part          -> products: category = p_type, price = p_retailprice,
                    cost = price * (40 + partkey % 26) %
   orders        -> orders: status F completed, O returned, else cancelled;
-                   region and channel copied from the customer
+                   region and channel copied from the customer (NULL when the
+                   customer is unknown)
   lineitem      -> order_items: quantity, price and cost of the product
   customers     -> campaign: a 3/8 hash sample of customers, arms by hash,
                    converted when the customer has completed revenue in
@@ -18,6 +19,7 @@ from __future__ import annotations
 
 import os
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -105,9 +107,16 @@ def _status(code):
 
 
 def _orders(spark: SparkSession, sf_dir: str, customers: DataFrame) -> DataFrame:
+    """Orders with the customer's region and channel copied on.
+
+    The attributes come from a LEFT join with one row per customer (grouped by
+    the key), so Catalyst drops the join entirely from every plan that does not
+    read region or channel (most of them only need ids, dates and status).
+    """
     o = read_driver_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
-    return o.join(customers.select("customer_id", "region", "acquisition_channel"),
-                  o.o_custkey == customers.customer_id).select(
+    attrs = customers.groupBy("customer_id").agg(
+        F.min("region").alias("region"), F.min("acquisition_channel").alias("acquisition_channel"))
+    return o.join(attrs, o.o_custkey == attrs.customer_id, "left").select(
         F.col("o_orderkey").alias("order_id"),
         F.col("o_custkey").alias("customer_id"),
         F.col("o_orderdate").cast("date").alias("order_date"),
@@ -129,11 +138,9 @@ def _order_items(spark: SparkSession, sf_dir: str, products: DataFrame) -> DataF
     )
 
 
-def _campaign(customers: DataFrame, orders: DataFrame, order_items: DataFrame) -> DataFrame:
-    from tillsight.plans.order_level import order_level
-
+def _campaign(customers: DataFrame, order_level: DataFrame) -> DataFrame:
     window_revenue = (
-        order_level(orders, order_items)
+        order_level
         .where((F.col("order_date") >= F.lit(CAMPAIGN_START).cast("date"))
                & (F.col("order_date") < F.lit(CAMPAIGN_END).cast("date")))
         .groupBy("customer_id")
@@ -152,8 +159,13 @@ def _campaign(customers: DataFrame, orders: DataFrame, order_items: DataFrame) -
     )
 
 
-def retail_from_driver(spark: SparkSession, sf_dir: str) -> RetailTables:
-    """Build the retail model lazily over the parquet tables in ``sf_dir``."""
+def retail_from_driver(spark: SparkSession, sf_dir: str, share_order_level: bool = False) -> RetailTables:
+    """Build the retail model lazily over the parquet tables in ``sf_dir``.
+
+    With ``share_order_level`` the order-level table is persisted (memory, then
+    disk) the first time a query computes it, and later queries of the same
+    session read that copy. Lost blocks are recomputed from the plan.
+    """
     t: RetailTables
 
     def customers():
@@ -169,9 +181,14 @@ def retail_from_driver(spark: SparkSession, sf_dir: str) -> RetailTables:
         return _order_items(spark, sf_dir, t.products)
 
     def campaign():
-        return _campaign(t.customers, t.orders, t.order_items)
+        return _campaign(t.customers, t.order_level)
+
+    def order_level():
+        from tillsight.plans.order_level import build_order_level
+        ol = build_order_level(t.orders, t.order_items)
+        return ol.persist(StorageLevel.MEMORY_AND_DISK) if share_order_level else ol
 
-    t = RetailTables(customers, products, orders, order_items, campaign)
+    t = RetailTables(customers, products, orders, order_items, campaign, order_level)
     return t
 
 

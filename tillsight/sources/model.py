@@ -65,11 +65,17 @@ class RetailTables:
     pays planning time just for the relations it reads.
     """
 
-    NAMES = ("customers", "products", "orders", "order_items", "campaign")
+    NAMES = ("customers", "products", "orders", "order_items", "campaign", "order_level")
 
-    def __init__(self, customers, products, orders, order_items, campaign):
-        self._src = dict(zip(self.NAMES, (customers, products, orders, order_items, campaign)))
+    def __init__(self, customers, products, orders, order_items, campaign, order_level=None):
+        if order_level is None:
+            def order_level():
+                from tillsight.plans.order_level import build_order_level
+                return build_order_level(self.orders, self.order_items)
+        self._src = dict(zip(self.NAMES, (customers, products, orders, order_items, campaign, order_level)))
         self._built: dict[str, DataFrame] = {}
+        # derived results shared by several queries over the same tables (e.g. the RFM model)
+        self.memo: dict[str, object] = {}
 
     def _get(self, name: str) -> DataFrame:
         if name not in self._built:
@@ -82,6 +88,8 @@ class RetailTables:
     orders = property(lambda self: self._get("orders"))
     order_items = property(lambda self: self._get("order_items"))
     campaign = property(lambda self: self._get("campaign"))
+    # completed orders with their revenue: shared by most queries
+    order_level = property(lambda self: self._get("order_level"))
 
     def as_dict(self) -> dict[str, DataFrame]:
         return {
