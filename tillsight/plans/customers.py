@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from tillsight.functions.dates import year_range
 from tillsight.functions.numeric import round_sql
-from tillsight.operators.ranking import top_k_per_group
+from tillsight.functions.text import padded_id
+from tillsight.operators.ranking import ordinal_rank, top_k_per_group
 from tillsight.plans.order_level import completed_orders, customer_orders, order_level
 from tillsight.sources.model import RetailTables
 
@@ -53,11 +54,28 @@ def churn_candidates(t: RetailTables, active_year: int = 2000, lapsed_year: int
     (EXISTS -> left semi join, NOT EXISTS -> left anti join). Years are date ranges
     so the filter reaches the Parquet scan."""
     done = completed_orders(t.orders)
-    in_active = done.where(year_range(F.col("order_date"), active_year)).select("customer_id")
-    in_lapsed = done.where(year_range(F.col("order_date"), lapsed_year)).select("customer_id")
+    # distinct ids: partial aggregation folds a heavy customer's orders map-side, so
+    # the right side of the semi/anti joins has one row per key (AQE can split a
+    # skewed left side of such joins, not the right one)
+    in_active = done.where(year_range(F.col("order_date"), active_year)).select("customer_id").distinct()
+    in_lapsed = done.where(year_range(F.col("order_date"), lapsed_year)).select("customer_id").distinct()
     return (
         t.customers.join(in_active, "customer_id", "left_semi")
         .join(in_lapsed, "customer_id", "left_anti")
         .select("customer_id", "region", "acquisition_channel")
         .distinct()
     )
+
+
+def customers_by_signup(t: RetailTables) -> DataFrame:
+    """Customers in signup order with a fresh 0-based row index (ties by id),
+    numbered by the distributed ordinal rank rather than a one-task window."""
+    ranked = ordinal_rank(t.customers.select("customer_id", "signup_date", "region", "acquisition_channel"),
+                          [F.col("signup_date"), F.col("customer_id")], "row_index")
+    return ranked.select((F.col("row_index") - 1).alias("row_index"), "customer_id", "signup_date",
+                         "region", "acquisition_channel")
+
+
+def customer_codes(t: RetailTables) -> DataFrame:
+    """Zero-padded text ids (``CUST00042``) for integer customer keys."""
+    return t.customers.select("customer_id", padded_id("CUST", F.col("customer_id"), 5).alias("customer_code"))

@@ -457,4 +457,33 @@ SELECT customer_id,
        CASE WHEN substr(md5(CAST(customer_id AS VARCHAR) || ':arm'), 1, 1) < '8' THEN 'control' ELSE 'variant' END
          AS grp
 FROM rc_customers"""),
+
+    "eda_key_figures": _sql(f"""
+, c AS (SELECT COUNT(*) AS total_orders, COUNT(*) FILTER (WHERE status = 'completed') AS completed_orders
+        FROM rc_orders),
+r AS (SELECT CAST(ROUND(SUM(order_revenue), 2) AS DOUBLE) AS total, {_r("AVG(order_revenue)", 2)} AS aov
+      FROM rc_order_level)
+SELECT 'total_orders' AS metric, CAST(total_orders AS DOUBLE) AS value FROM c
+UNION ALL SELECT 'completed_orders', CAST(completed_orders AS DOUBLE) FROM c
+UNION ALL SELECT 'completion_rate', ROUND(CAST(completed_orders AS DOUBLE) / total_orders, 4) FROM c
+UNION ALL SELECT 'total_revenue', total FROM r
+UNION ALL SELECT 'average_order_value', aov FROM r"""),
+
+    "kpi_strip": _sql(f"""
+, k AS (SELECT ROUND(SUM(order_revenue), 2) AS total_revenue, COUNT(*) AS total_orders,
+               COUNT(DISTINCT customer_id) AS total_customers, {_r("AVG(order_revenue)", 2)} AS aov
+        FROM rc_order_level)
+SELECT '$' || format('{{:,.2f}}', {_r("total_revenue / 1000000", 2)}) || 'M' AS total_revenue_text,
+       format('{{:,}}', total_orders) AS total_orders_text,
+       format('{{:,}}', total_customers) AS total_customers_text,
+       '$' || format('{{:,.2f}}', aov) AS aov_text
+FROM k"""),
+
+    "customers_by_signup": _sql("""
+SELECT ROW_NUMBER() OVER (ORDER BY signup_date, customer_id) - 1 AS row_index, customer_id,
+       strftime(signup_date, '%Y-%m-%d') AS signup_date, region, acquisition_channel
+FROM rc_customers"""),
+
+    "customer_codes": _sql("""
+SELECT customer_id, printf('CUST%05d', customer_id) AS customer_code FROM rc_customers"""),
 }

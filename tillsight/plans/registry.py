@@ -98,6 +98,10 @@ def queries() -> dict[str, Query]:
             t.customers.select("customer_id", "region", "acquisition_channel"),
             "customer_id", SAMPLE_N, SAMPLE_SEED)),
         "dashboard_dataset": _q(report.dashboard_json),
+        "eda_key_figures": _q(sales.eda_key_figures),
+        "kpi_strip": _q(sales.kpi_strip),
+        "customers_by_signup": _q(customers.customers_by_signup),
+        "customer_codes": _q(customers.customer_codes),
         "ab_assignment": _q(lambda t: t.customers.select(
             "customer_id", assign_arm(t.customers.customer_id, ARM_SALT).alias("grp"))),
     }

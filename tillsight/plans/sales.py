@@ -87,6 +87,37 @@ def kpis(t: RetailTables) -> DataFrame:
     ).withColumn("completion_rate", F.round(completion, 4))
 
 
+def eda_key_figures(t: RetailTables) -> DataFrame:
+    """The figures the exploration step prints, as (metric, value) rows."""
+    counts = t.orders.agg(F.count(F.lit(1)).alias("total_orders"),
+                          F.count_if(F.col("status") == F.lit(COMPLETED)).alias("completed_orders"))
+    rev = t.order_level.select(F.sum("order_revenue").alias("r"), F.avg("order_revenue").alias("a"))
+    total = rev.select(round_sql(F.col("r"), 2).cast("double")).scalar()
+    aov = rev.select(round_sql(F.col("a"), 2).cast("double")).scalar()
+    def row(name: str, value):
+        return F.struct(F.lit(name).alias("metric"), value.cast("double").alias("value"))
+    rows = F.array(
+        row("total_orders", F.col("total_orders")),
+        row("completed_orders", F.col("completed_orders")),
+        row("completion_rate", F.round(F.col("completed_orders") / F.col("total_orders"), 4)),
+        row("total_revenue", total),
+        row("average_order_value", aov),
+    )
+    return counts.select(F.inline(rows))
+
+
+def kpi_strip(t: RetailTables) -> DataFrame:
+    """The dashboard's KPI tiles as display text: $M revenue, thousands separators."""
+    k = kpis(t)
+    millions = round_sql(F.col("total_revenue").cast("decimal(38,2)") / F.lit(Decimal(1000000)), 2)
+    return k.select(
+        F.concat(F.lit("$"), F.format_number(millions, 2), F.lit("M")).alias("total_revenue_text"),
+        F.format_number(F.col("total_orders"), 0).alias("total_orders_text"),
+        F.format_number(F.col("total_customers"), 0).alias("total_customers_text"),
+        F.concat(F.lit("$"), F.format_number(F.col("aov"), 2)).alias("aov_text"),
+    )
+
+
 def monthly_revenue_filled(t: RetailTables) -> DataFrame:
     """Revenue per calendar month from first to last month, 0 for months without sales."""
     monthly = (
