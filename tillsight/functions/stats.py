@@ -52,21 +52,26 @@ def two_sided_p(z: Column) -> Column:
     return F.lit(2.0) * (F.lit(1.0) - normal_cdf(F.abs(z)))
 
 
+def _nz(c: Column) -> Column:
+    """NULL instead of a zero denominator (ANSI mode raises on x / 0)."""
+    return F.nullif(c.cast("double"), F.lit(0.0))
+
+
 def proportion(x: Column, n: Column) -> Column:
-    return x.cast("double") / n.cast("double")
+    return x.cast("double") / _nz(n)
 
 
 def pooled_z(x1: Column, n1: Column, x2: Column, n2: Column) -> Column:
     """Two-proportion z statistic with pooled standard error, (p2 - p1) / se."""
     p1, p2 = proportion(x1, n1), proportion(x2, n2)
-    pool = (x1 + x2).cast("double") / (n1 + n2).cast("double")
-    se = F.sqrt(pool * (F.lit(1.0) - pool) * (F.lit(1.0) / n1 + F.lit(1.0) / n2))
-    return (p2 - p1) / se
+    pool = (x1 + x2).cast("double") / _nz(n1 + n2)
+    se = F.sqrt(pool * (F.lit(1.0) - pool) * (F.lit(1.0) / _nz(n1) + F.lit(1.0) / _nz(n2)))
+    return (p2 - p1) / _nz(se)
 
 
 def unpooled_se(p1: Column, n1: Column, p2: Column, n2: Column) -> Column:
-    return F.sqrt(p1 * (F.lit(1.0) - p1) / n1 + p2 * (F.lit(1.0) - p2) / n2)
+    return F.sqrt(p1 * (F.lit(1.0) - p1) / _nz(n1) + p2 * (F.lit(1.0) - p2) / _nz(n2))
 
 
 def arm_half_width(p: Column, n: Column, z: float = Z_95) -> Column:
-    return F.lit(z) * F.sqrt(p * (F.lit(1.0) - p) / n)
+    return F.lit(z) * F.sqrt(p * (F.lit(1.0) - p) / _nz(n))

@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillsight.functions.numeric import round_float_half_even as rnd
-from tillsight.functions.numeric import round_sql
-from tillsight.functions.stats import Z_95, arm_half_width, pooled_z, two_sided_p, unpooled_se
+from tillsight.functions.numeric import round_sql, safe_div
+from tillsight.functions.stats import Z_95, arm_half_width, pooled_z, proportion, two_sided_p, unpooled_se
 from tillsight.sources.model import RetailTables
 
 CONTROL, VARIANT = "control", "variant"
@@ -40,8 +40,8 @@ def _arm_counts(campaign: DataFrame) -> DataFrame:
         F.coalesce(F.sum(F.when(is_c, F.col("converted"))), F.lit(0)).alias("x1"),
         F.coalesce(F.sum(F.when(is_v, F.col("converted"))), F.lit(0)).alias("x2"),
         (F.sum(F.when(F.col("converted") == 1, F.col("order_value"))).cast("double")
-         / F.count_if(F.col("converted") == 1)).alias("value_when_converted"),
-    ).select("*", (F.col("x1") / F.col("n1")).alias("p1"), (F.col("x2") / F.col("n2")).alias("p2"))
+         / F.nullif(F.count_if(F.col("converted") == 1), F.lit(0))).alias("value_when_converted"),
+    ).select("*", proportion(F.col("x1"), F.col("n1")).alias("p1"), proportion(F.col("x2"), F.col("n2")).alias("p2"))
 
 
 def ab_test_result(t: RetailTables, alpha: float = ALPHA, full_base: int | None = None) -> DataFrame:
@@ -58,7 +58,7 @@ def ab_test_result(t: RetailTables, alpha: float = ALPHA, full_base: int | None
         F.col("n1").alias("control_n"), F.col("n2").alias("variant_n"),
         rnd(F.col("p1"), 4).alias("control_conv_rate"), rnd(F.col("p2"), 4).alias("variant_conv_rate"),
         rnd(F.col("lift"), 4).alias("absolute_lift"),
-        rnd((F.col("p2") / F.col("p1") - F.lit(1.0)) * F.lit(100.0), 2).alias("relative_lift_pct"),
+        rnd((safe_div(F.col("p2"), F.col("p1")) - F.lit(1.0)) * F.lit(100.0), 2).alias("relative_lift_pct"),
         rnd(F.col("z"), 3).alias("z_stat"),
         rnd(p, 4).alias("p_value"),
         rnd(F.col("lift") - F.lit(Z_95) * F.col("se"), 4).alias("ci_95_low"),
@@ -72,7 +72,7 @@ def ab_arm_intervals(t: RetailTables) -> DataFrame:
     """Per arm: rate and its 95 % half-width 1.96 sqrt(p(1-p)/n)."""
     per_arm = t.campaign.groupBy("grp").agg(F.count(F.lit(1)).alias("n"),
                                              F.sum("converted").alias("conversions"))
-    p = F.col("conversions") / F.col("n")
+    p = proportion(F.col("conversions"), F.col("n"))
     hw = arm_half_width(p, F.col("n"))
     return per_arm.select(
         "grp", "n", "conversions",

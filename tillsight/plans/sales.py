@@ -78,7 +78,7 @@ def kpis(t: RetailTables) -> DataFrame:
     """One row: revenue, completed orders, customers, average order value, completion rate."""
     ol = t.order_level
     completion = t.orders.select(
-        (F.count_if(F.col("status") == F.lit(COMPLETED)) / F.count(F.lit(1))).alias("r")).scalar()
+        safe_div(F.count_if(F.col("status") == F.lit(COMPLETED)), F.count(F.lit(1))).alias("r")).scalar()
     return ol.agg(
         round_sql(F.sum("order_revenue"), 2).alias("total_revenue"),
         F.count(F.lit(1)).alias("total_orders"),
@@ -99,7 +99,7 @@ def eda_key_figures(t: RetailTables) -> DataFrame:
     rows = F.array(
         row("total_orders", F.col("total_orders")),
         row("completed_orders", F.col("completed_orders")),
-        row("completion_rate", F.round(F.col("completed_orders") / F.col("total_orders"), 4)),
+        row("completion_rate", F.round(safe_div(F.col("completed_orders"), F.col("total_orders")), 4)),
         row("total_revenue", total),
         row("average_order_value", aov),
     )
