@@ -150,3 +150,19 @@ def test_sampling_is_exact_and_matches_brute_force(spark):
                for k in range(500))
     member = df.where(hash_fraction_member(F.col("k"), "campaign", "60")).count()
     assert member == sum(hashlib.md5(f"{k}:campaign".encode()).hexdigest()[:2] < "60" for k in range(500))
+
+
+def test_large_sample_uses_distributed_rank_and_matches_top_n(spark, monkeypatch):
+    from tillsight.operators import sampling
+    df = spark.range(0, 800).withColumnRenamed("id", "k")
+    small = sorted(r.k for r in sampling.sample_exact_n(df, "k", 300, "s").collect())
+    monkeypatch.setattr(sampling, "TOP_N_MERGE_LIMIT", 10)
+    large = sorted(r.k for r in sampling.sample_exact_n(df, "k", 300, "s").collect())
+    assert small == large and len(large) == 300
+
+
+def test_exact_quantiles_with_heavy_ties_and_tiebreak(spark):
+    vals = [5.0] * 400 + [float(i) for i in range(800)]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "id long, x double")
+    got = exact_quantiles(df, "x", tiebreak=["id"]).collect()[0].edges
+    assert got == list(np.quantile(np.array(vals), [0.25, 0.5, 0.75]))

@@ -25,15 +25,18 @@ def _lerp(a: Column, b: Column, t: Column) -> Column:
     return F.when(t >= F.lit(0.5), b - (b - a) * (F.lit(1.0) - t)).otherwise(a + (b - a) * t)
 
 
-def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float] = QUARTILES) -> DataFrame:
+def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float] = QUARTILES,
+                    tiebreak: Sequence[str] = ()) -> DataFrame:
     """One row ``edges: array<double>`` with the exact quantiles of ``value``, any cardinality.
 
-    Built on ``ordinal_rank`` (one range-partitioned sort of a single column);
-    only the 2 * len(probs) rows at the interpolation positions are picked out
-    by an equi-join with a tiny, broadcast table of target positions.
+    Built on ``ordinal_rank`` (one range-partitioned sort of the value plus the
+    ``tiebreak`` columns, e.g. the row key, so that a value shared by a large
+    share of rows is still spread over many partitions); only the
+    2 * len(probs) rows at the interpolation positions are picked out by an
+    equi-join with a tiny, broadcast table of target positions.
     """
-    vals = df.select(F.col(value).cast("double").alias("_q_v")).where(F.col("_q_v").isNotNull())
-    ranked = ordinal_rank(vals, [F.col("_q_v")], rank_col="_q_pos")
+    vals = df.select(F.col(value).cast("double").alias("_q_v"), *tiebreak).where(F.col("_q_v").isNotNull())
+    ranked = ordinal_rank(vals, [F.col("_q_v"), *[F.col(c) for c in tiebreak]], rank_col="_q_pos")
     n = ranked.agg(F.count(F.lit(1)).alias("_q_n"))
     spec = F.array(*[F.lit(float(p)) for p in probs])
     targets = (

@@ -69,7 +69,7 @@ class RfmModel:
         self.ranked = ranked
         self.n = ranked.select(F.count(F.lit(1))).scalar()
         self.recency_edges = discrete_quantiles(ranked, "recency").select("edges").scalar()
-        self.monetary_edges = exact_quantiles(ranked, "monetary").select("edges").scalar()
+        self.monetary_edges = exact_quantiles(ranked, "monetary", tiebreak=["customer_id"]).select("edges").scalar()
         self.rank_edges = rank_quantile_edges(self.n)
         self._scores: DataFrame | None = None
 
