@@ -43,10 +43,12 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; create a scratch one only when unset.
+    """Use the cluster's ``spark.checkpoint.dir``; create a scratch one only when
+    it is unset *and* the session runs in local mode (tests, laptop runs).
 
-    The fallback is only meant for local runs and tests; on a cluster the
-    setting must name a shared folder so that checkpoints survive lost executors.
+    On a cluster the setting must name a shared folder (checkpoints have to
+    survive lost executors), so a missing setting is an error there rather than
+    a silent fall-back to a machine-local folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -54,6 +56,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS or object storage)")
         configured = tempfile.mkdtemp(prefix="tillsight-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
