@@ -64,3 +64,31 @@ def test_streaming_monthly_refresh_equals_batch(spark, scratch):
     q.awaitTermination(120)
     got = {r.month: float(r.revenue) for r in spark.read.parquet(out).collect()}
     assert got == {dt.date(2024, 1, 1): 100.0, dt.date(2024, 2, 1): 75.0}
+
+
+def test_cli_runs_on_csv_exports_and_exports_reports(spark, scratch):
+    from retail_fixtures import d, make_tables, money
+    from tillsight.__main__ import main
+    from tillsight.plans.export import export_reports
+    custs = [(f"CUST{i:05d}", d("2024-01-01"), "West" if i % 2 else "South", "Email", 0.5) for i in range(1, 9)]
+    prods = [("PROD0001", "Electronics", money(10), money(4), "ELEC-0001")]
+    orders, items, camp = [], [], []
+    for i in range(1, 9):
+        for m in range(1, 1 + i % 4 + 1):
+            oid = f"ORD{i:03d}{m:02d}"
+            orders.append((oid, f"CUST{i:05d}", d(f"2024-{m:02d}-1{i % 9}"), "completed", "West", "Email"))
+            items.append((oid, "PROD0001", i, money(10), money(4)))
+        camp.append((f"CUST{i:05d}", "control" if i % 2 else "variant", i % 3 == 0, money(25 if i % 3 == 0 else 0)))
+    t = make_tables(spark, custs, prods, orders, items, [(a, b, int(c), e) for a, b, c, e in camp])
+    data = os.path.join(scratch, "data")
+    for name, df in t.as_dict().items():
+        out = df if name != "ab_test_campaign" else df.withColumnRenamed("grp", "group")
+        write_csv(out.coalesce(1), os.path.join(data, f"{name}.csv"))
+    assert main(["run", "rfm_segment_summary", "--csv", data, "--out", os.path.join(scratch, "seg"),
+                 "--format", "parquet"]) == 0
+    assert spark.read.parquet(os.path.join(scratch, "seg")).count() >= 1
+    assert main(["run", "customer_codes", "--csv", data, "--show", "3"]) == 0
+    written = export_reports(read_retail_csv(spark, data), os.path.join(scratch, "exports"))
+    wide = spark.read.option("header", True).csv(written["cohort_retention.csv"])
+    assert wide.columns[:2] == ["cohort_month", "0"]
+    assert spark.read.text(written["data.json"]).count() == 1

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillsight.functions.dates import year_range
 from tillsight.functions.numeric import round_sql
@@ -77,5 +78,11 @@ def customers_by_signup(t: RetailTables) -> DataFrame:
 
 
 def customer_codes(t: RetailTables) -> DataFrame:
-    """Zero-padded text ids (``CUST00042``) for integer customer keys."""
-    return t.customers.select("customer_id", padded_id("CUST", F.col("customer_id"), 5).alias("customer_code"))
+    """Zero-padded text ids (``CUST00042``) for integer customer keys; text keys
+    are already codes and pass through."""
+    cid = F.col("customer_id")
+    if isinstance(t.customers.schema["customer_id"].dataType, (T.LongType, T.IntegerType)):
+        code = padded_id("CUST", cid, 5)
+    else:
+        code = cid.cast("string")
+    return t.customers.select("customer_id", code.alias("customer_code"))

@@ -1,12 +1,15 @@
-"""Registered queries: name -> callable(spark, sf_dir) -> DataFrame.
+"""Registered queries.
 
-Each query builds the retail model over the parquet tables in ``sf_dir`` and
-runs one plan over all of it.
+``plans()`` maps each name to a function of the retail model and parameters,
+usable on any source of the model (warehouse tables, CSV exports).
+``queries()`` binds them to the warehouse tables of a folder: each call builds
+(or reuses) the model over ``sf_dir`` and runs the plan over all of it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,14 +22,81 @@ from tillsight.sources.model import RetailTables
 # Fixed value: the channel domain of the mapped model (customer market segments).
 CHANNELS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 
-# Fixed values of the sampling step: 1,500 customers, seed 7.
-SAMPLE_N = 1500
-SAMPLE_SEED = "7"
-ARM_SALT = "arm"
 
+@dataclass(frozen=True)
+class Params:
+    """Knobs of the queries. ``channels=None`` lets the pivot find the channels."""
+
+    channels: list[str] | None = None
+    active_year: int = 2024
+    lapsed_year: int = 2025
+    top_k: int = 5
+    recency_offset_days: int = 1
+    # fixed values of the sampling step: 1,500 customers, seed 7
+    sample_n: int = 1500
+    sample_seed: str = "7"
+    arm_salt: str = "arm"
+
+
+# The warehouse mapping: years 2000 / 2001 stand for 2024 / 2025.
+DRIVER_PARAMS = Params(channels=CHANNELS, active_year=2000, lapsed_year=2001)
+
+Plan = Callable[[RetailTables, Params], DataFrame]
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def plans() -> dict[str, Plan]:
+    """Every query as a function of the retail model and the parameters."""
+    return {
+        "monthly_revenue_growth": lambda t, p: sales.monthly_revenue_growth(t),
+        "category_margin": lambda t, p: sales.category_margin(t),
+        "order_level": lambda t, p: t.order_level,
+        "kpis": lambda t, p: sales.kpis(t),
+        "monthly_revenue_filled": lambda t, p: sales.monthly_revenue_filled(t),
+        "monthly_revenue_filled_by_cell": lambda t, p: sales.monthly_revenue_filled_by_cell(t),
+        "category_revenue": lambda t, p: sales.category_revenue(t),
+        "region_channel_long": lambda t, p: sales.region_channel_long(t),
+        "region_channel_matrix": lambda t, p: sales.region_channel_matrix(t, p.channels),
+        "channel_rank_by_region": lambda t, p: sales.channel_rank_by_region(t),
+        "revenue_share_of_max": lambda t, p: sales.revenue_share_of_max(t),
+        "trend_insight": lambda t, p: sales.trend_insight(t),
+        "month_labels": lambda t, p: sales.month_labels(t),
+        "product_codes": lambda t, p: sales.product_codes(t),
+        "rfm_inputs": lambda t, p: customers.rfm_inputs(t),
+        "top_customers_by_region": lambda t, p: customers.top_customers_by_region(t, p.top_k),
+        "churn_candidates": lambda t, p: customers.churn_candidates(t, p.active_year, p.lapsed_year),
+        "rfm_scores": lambda t, p: rfm.rfm_scores(t, p.recency_offset_days),
+        "rfm_quartile_edges": lambda t, p: rfm.rfm_quartile_edges(t, p.recency_offset_days),
+        "rfm_segment_summary": lambda t, p: rfm.rfm_segment_summary(t, p.recency_offset_days),
+        "rfm_top_segment": lambda t, p: rfm.rfm_top_segment(t, p.recency_offset_days),
+        "signup_cohort_activity": lambda t, p: cohort.signup_cohort_activity(t),
+        "purchase_cohort_counts": lambda t, p: cohort.purchase_cohort_counts(t),
+        "purchase_cohort_retention": lambda t, p: cohort.purchase_cohort_retention(t),
+        "purchase_cohort_matrix": lambda t, p: cohort.purchase_cohort_matrix(t),
+        "avg_retention_curve": lambda t, p: cohort.avg_retention_curve(t),
+        "retention_m1_m3": lambda t, p: cohort.retention_m1_m3(t),
+        "ab_summary": lambda t, p: experiment.ab_summary(t),
+        "ab_test_result": lambda t, p: experiment.ab_test_result(t),
+        "ab_arm_intervals": lambda t, p: experiment.ab_arm_intervals(t),
+        "ab_projection": lambda t, p: experiment.ab_projection(t),
+        "ab_sample_size": lambda t, p: experiment.ab_sample_size(t),
+        "dq_table_profile": lambda t, p: quality.dq_table_profile(t),
+        "dq_invalid_values": lambda t, p: quality.dq_invalid_values(t),
+        "dq_primary_keys": lambda t, p: quality.dq_primary_keys(t),
+        "dq_foreign_keys": lambda t, p: quality.dq_foreign_keys(t),
+        "sample_customers": lambda t, p: sample_exact_n(
+            t.customers.select("customer_id", "region", "acquisition_channel"),
+            "customer_id", p.sample_n, p.sample_seed),
+        "dashboard_dataset": lambda t, p: report.dashboard_json(t),
+        "eda_key_figures": lambda t, p: sales.eda_key_figures(t),
+        "kpi_strip": lambda t, p: sales.kpi_strip(t),
+        "customers_by_signup": lambda t, p: customers.customers_by_signup(t),
+        "customer_codes": lambda t, p: customers.customer_codes(t),
+        "ab_assignment": lambda t, p: t.customers.select(
+            "customer_id", assign_arm(t.customers.customer_id, p.arm_salt).alias("grp")),
+    }
+
+
 _MODELS: dict[tuple[str, str], RetailTables] = {}
 
 
@@ -48,60 +118,12 @@ def release(spark: SparkSession) -> None:
             t.order_level.unpersist()
 
 
-def _q(plan: Callable[[RetailTables], DataFrame]) -> Query:
+def _q(plan: Plan) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return present(plan(retail_model(spark, sf_dir)))
-    run.__name__ = getattr(plan, "__name__", "query")
-    run.__doc__ = plan.__doc__
+        return present(plan(retail_model(spark, sf_dir), DRIVER_PARAMS))
     return run
 
 
 def queries() -> dict[str, Query]:
-    return {
-        "monthly_revenue_growth": _q(sales.monthly_revenue_growth),
-        "category_margin": _q(sales.category_margin),
-        "order_level": _q(lambda t: t.order_level),
-        "kpis": _q(sales.kpis),
-        "monthly_revenue_filled": _q(sales.monthly_revenue_filled),
-        "monthly_revenue_filled_by_cell": _q(sales.monthly_revenue_filled_by_cell),
-        "category_revenue": _q(sales.category_revenue),
-        "region_channel_long": _q(sales.region_channel_long),
-        "region_channel_matrix": _q(lambda t: sales.region_channel_matrix(t, CHANNELS)),
-        "channel_rank_by_region": _q(sales.channel_rank_by_region),
-        "revenue_share_of_max": _q(sales.revenue_share_of_max),
-        "trend_insight": _q(sales.trend_insight),
-        "month_labels": _q(sales.month_labels),
-        "product_codes": _q(sales.product_codes),
-        "rfm_inputs": _q(customers.rfm_inputs),
-        "top_customers_by_region": _q(customers.top_customers_by_region),
-        "churn_candidates": _q(customers.churn_candidates),
-        "rfm_scores": _q(rfm.rfm_scores),
-        "rfm_quartile_edges": _q(rfm.rfm_quartile_edges),
-        "rfm_segment_summary": _q(rfm.rfm_segment_summary),
-        "rfm_top_segment": _q(rfm.rfm_top_segment),
-        "signup_cohort_activity": _q(cohort.signup_cohort_activity),
-        "purchase_cohort_counts": _q(cohort.purchase_cohort_counts),
-        "purchase_cohort_retention": _q(cohort.purchase_cohort_retention),
-        "purchase_cohort_matrix": _q(cohort.purchase_cohort_matrix),
-        "avg_retention_curve": _q(cohort.avg_retention_curve),
-        "retention_m1_m3": _q(cohort.retention_m1_m3),
-        "ab_summary": _q(experiment.ab_summary),
-        "ab_test_result": _q(experiment.ab_test_result),
-        "ab_arm_intervals": _q(experiment.ab_arm_intervals),
-        "ab_projection": _q(experiment.ab_projection),
-        "ab_sample_size": _q(experiment.ab_sample_size),
-        "dq_table_profile": _q(quality.dq_table_profile),
-        "dq_invalid_values": _q(quality.dq_invalid_values),
-        "dq_primary_keys": _q(quality.dq_primary_keys),
-        "dq_foreign_keys": _q(quality.dq_foreign_keys),
-        "sample_customers": _q(lambda t: sample_exact_n(
-            t.customers.select("customer_id", "region", "acquisition_channel"),
-            "customer_id", SAMPLE_N, SAMPLE_SEED)),
-        "dashboard_dataset": _q(report.dashboard_json),
-        "eda_key_figures": _q(sales.eda_key_figures),
-        "kpi_strip": _q(sales.kpi_strip),
-        "customers_by_signup": _q(customers.customers_by_signup),
-        "customer_codes": _q(customers.customer_codes),
-        "ab_assignment": _q(lambda t: t.customers.select(
-            "customer_id", assign_arm(t.customers.customer_id, ARM_SALT).alias("grp"))),
-    }
+    """Every plan over the warehouse tables of a folder (spark, sf_dir) -> DataFrame."""
+    return {name: _q(plan) for name, plan in plans().items()}

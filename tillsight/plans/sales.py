@@ -149,11 +149,12 @@ def region_channel_long(t: RetailTables) -> DataFrame:
     )
 
 
-def region_channel_matrix(t: RetailTables, channels: list[str]) -> DataFrame:
+def region_channel_matrix(t: RetailTables, channels: list[str] | None = None) -> DataFrame:
     """Pivot: one row per region, one column per channel (NULL where no revenue).
 
-    The channel list is passed, so the pivot needs no extra job to discover it
-    and the schema is stable.
+    With the channel list given, the pivot needs no extra job to discover it
+    and the schema is stable; without it Spark finds the (few) distinct
+    channels first.
     """
     return (
         t.order_level
