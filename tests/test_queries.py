@@ -35,6 +35,16 @@ def _key(row):
     return tuple((x is None, "" if x is None else (round(x, 6) if isinstance(x, float) else x)) for x in row)
 
 
+def assert_same_rows(got, want):
+    assert len(got) == len(want)
+    for a, b in zip(got, want):
+        for x, y in zip(a, b):
+            if isinstance(x, float) or isinstance(y, float):
+                assert x == pytest.approx(y, rel=1e-9, abs=1e-9)
+            else:
+                assert x == y
+
+
 def test_entry_runs(spark):
     df = entry.entry(spark)
     assert df.columns == ["order_month", "revenue", "revenue_change", "pct_change"]
@@ -56,13 +66,7 @@ def test_query_matches_oracle(spark, con, name):
     assert sorted(cols) == sorted(ocols)
     idx = [ocols.index(c) for c in cols]
     want = sorted((tuple(_norm(r[i]) for i in idx) for r in res.fetchall()), key=_key)
-    assert len(got) == len(want)
-    for a, b in zip(got, want):
-        for x, y in zip(a, b):
-            if isinstance(x, float) or isinstance(y, float):
-                assert x == pytest.approx(y, rel=1e-9, abs=1e-9)
-            else:
-                assert x == y
+    assert_same_rows(got, want)
 
 
 def test_revenue_invariants(spark):
