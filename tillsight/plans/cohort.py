@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tillsight.functions.dates import month_key, month_start, months_between_calendar
 from tillsight.functions.numeric import round_float_half_even
-from tillsight.plans.order_level import completed_orders, order_level
+from tillsight.plans.order_level import completed_orders
 from tillsight.sources.model import RetailTables
 
 MATRIX_PERIODS = 12  # the heat-map shows the first 12 periods

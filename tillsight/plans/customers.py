@@ -10,7 +10,7 @@ from tillsight.functions.dates import year_range
 from tillsight.functions.numeric import round_sql
 from tillsight.functions.text import padded_id
 from tillsight.operators.ranking import ordinal_rank, top_k_per_group
-from tillsight.plans.order_level import completed_orders, customer_orders, order_level
+from tillsight.plans.order_level import completed_orders, customer_orders
 from tillsight.sources.model import RetailTables
 
 

@@ -18,7 +18,6 @@ from tillsight.operators.quantiles import (bin_score, discrete_quantiles, exact_
                                           rank_quantile_edges)
 from tillsight.operators.ranking import ordinal_rank
 from tillsight.operators.shares import share_of_total
-from tillsight.plans.order_level import order_level
 from tillsight.sources.model import RetailTables
 
 # Segment labels, in rule order (first match wins).

@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillsight.functions.dates import month_key, month_label, month_label_short, month_start
-from tillsight.functions.numeric import round_float_half_even, round_sql, safe_div
+from tillsight.functions.numeric import round_sql, safe_div
 from tillsight.functions.text import product_code
 from tillsight.operators.gapfill import fill_month_gaps
 from tillsight.operators.shares import share_of_max
-from tillsight.plans.order_level import completed_lines, order_level
+from tillsight.plans.order_level import completed_lines
 from tillsight.sources.model import COMPLETED, RetailTables
 
 HOLIDAY_MONTHS = (11, 12)  # fixed value: Nov/Dec
@@ -224,10 +224,3 @@ def month_labels(t: RetailTables) -> DataFrame:
 def product_codes(t: RetailTables) -> DataFrame:
     return t.products.select("product_id", "category", product_code(F.col("category"), F.col("product_id")).alias("product_code"))
 
-
-__all__ = [
-    "monthly_revenue_growth", "category_margin", "category_revenue", "kpis",
-    "monthly_revenue_filled", "monthly_revenue_filled_by_cell", "region_channel_long",
-    "region_channel_matrix", "channel_rank_by_region", "revenue_share_of_max",
-    "trend_insight", "month_labels", "product_codes", "round_float_half_even",
-]
