@@ -92,3 +92,9 @@ def test_cli_runs_on_csv_exports_and_exports_reports(spark, scratch):
     wide = spark.read.option("header", True).csv(written["cohort_retention.csv"])
     assert wide.columns[:2] == ["cohort_month", "0"]
     assert spark.read.text(written["data.json"]).count() == 1
+    # a later job reuses the written order-level table
+    assert main(["run", "kpis", "--csv", data, "--order-level", written["order_level"],
+                 "--out", os.path.join(scratch, "kpis"), "--format", "json"]) == 0
+    k1 = spark.read.json(os.path.join(scratch, "kpis")).collect()[0]
+    k2 = sales.kpis(read_retail_csv(spark, data)).collect()[0]
+    assert (k1.total_orders, k1.total_revenue) == (k2.total_orders, float(k2.total_revenue))

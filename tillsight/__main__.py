@@ -41,6 +41,7 @@ def main(argv: list[str] | None = None) -> int:
         src.add_argument("--tables")
         src.add_argument("--csv")
         sp.add_argument("--out")
+        sp.add_argument("--order-level", help="reuse an order-level table written by an earlier export")
         sp.add_argument("--master")
         sp.add_argument("--active-year", type=int)
         sp.add_argument("--lapsed-year", type=int)
@@ -55,6 +56,9 @@ def main(argv: list[str] | None = None) -> int:
     from tillsight.session import build_session
     spark = build_session(args.master)
     t, params = _model(spark, args)
+    if args.order_level:
+        from tillsight.sources.files import read_order_level
+        t = t.with_order_level(read_order_level(spark, args.order_level))
     overrides = {k: v for k, v in (("active_year", args.active_year), ("lapsed_year", args.lapsed_year)) if v}
     if args.channels:
         overrides["channels"] = args.channels.split(",")

@@ -63,6 +63,12 @@ def write_order_level(order_level: DataFrame, path: str) -> None:
                   partition_by=["order_month"])
 
 
+def read_order_level(spark: SparkSession, path: str) -> DataFrame:
+    """An order-level table written by ``write_order_level``; filters on
+    order_date can be mirrored on order_month to prune folders."""
+    return spark.read.parquet(path).drop("order_month")
+
+
 def save_table(df: DataFrame, name: str, bucket_by: list[str] | None = None, buckets: int = 64,
                sort_by: list[str] | None = None, partition_by: list[str] | None = None,
                mode: str = "overwrite") -> None:

@@ -91,6 +91,11 @@ class RetailTables:
     # completed orders with their revenue: shared by most queries
     order_level = property(lambda self: self._get("order_level"))
 
+    def with_order_level(self, order_level: DataFrame) -> "RetailTables":
+        """The same model reading a precomputed order-level table (e.g. one
+        written by ``write_order_level`` in an earlier job)."""
+        return RetailTables(*(self._src[n] for n in self.NAMES[:-1]), order_level=order_level)
+
     def as_dict(self) -> dict[str, DataFrame]:
         return {
             "customers": self.customers,
