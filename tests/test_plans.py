@@ -30,9 +30,16 @@ def test_churn_uses_semi_and_anti_joins_with_range_pushdown(spark):
     assert "GreaterThanOrEqual(o_orderdate" in p or "o_orderdate >=" in p
 
 
-def test_order_lines_are_semi_joined_before_aggregation(spark):
-    p = plan(entry.queries()["order_level"](spark, SF))
-    assert "LeftSemi" in p
+def test_category_lines_are_semi_joined_to_completed_orders(spark):
+    assert "LeftSemi" in plan(entry.queries()["category_margin"](spark, SF))
+
+
+def test_order_revenue_is_partially_aggregated_before_the_join(spark):
+    from tillsight.plans.registry import DRIVER_PARAMS, plans  # noqa: F401
+    from tillsight.sources.adapter import retail_from_driver
+    t = retail_from_driver(spark, SF)
+    p = t.order_level._jdf.queryExecution().executedPlan().toString()
+    assert "partial_sum" in p
 
 
 def test_scan_reads_only_needed_columns(spark):

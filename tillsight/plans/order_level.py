@@ -1,16 +1,15 @@
 """The order-level table: one row per completed order that has lines.
 
 Shape of the plan (what Catalyst is given, and why):
-  * the completed filter is applied to orders once;
-  * order lines are semi-joined to the completed order ids *before* anything
-    else touches them (Catalyst pushes the semi join below the lines' own join
-    with products), so only completed lines travel further;
-  * line revenue is summed per order_id with a partial aggregate, which cuts the
-    rows to one per order before the final join;
-  * the join back to the completed orders is on the same key as the aggregate,
-    so the aggregate's output partitioning is reused (no extra shuffle of it).
+  * line revenue is summed per order_id first. The partial aggregate runs
+    map-side, before any shuffle of the lines, so when the lines' product join
+    is a broadcast (a catalogue is small) the lines cross the network as about
+    one row per order instead of one row per line;
+  * the per-order sums come out hash-partitioned by order_id, so the inner
+    join with the completed orders shuffles only the orders side. The inner
+    join also drops the sums of non-completed orders and drops completed orders
+    without lines, as in the source analysis.
 Revenue is quantity x the line's unit price, summed as an exact decimal.
-Orders without lines vanish (inner join), as in the source analysis.
 """
 
 from __future__ import annotations
@@ -28,7 +27,8 @@ def completed_orders(orders: DataFrame) -> DataFrame:
 
 
 def completed_lines(orders: DataFrame, order_items: DataFrame) -> DataFrame:
-    """Order lines that belong to completed orders (left semi join)."""
+    """Order lines that belong to completed orders (left semi join on the order
+    ids; the line-level aggregations that follow group by other keys)."""
     return order_items.join(completed_orders(orders).select("order_id"), "order_id", "left_semi")
 
 
@@ -37,11 +37,8 @@ def line_revenue(order_items: DataFrame):
 
 
 def build_order_level(orders: DataFrame, order_items: DataFrame) -> DataFrame:
-    revenue = (
-        completed_lines(orders, order_items)
-        .groupBy("order_id")
-        .agg(F.sum(F.col("quantity") * F.col("unit_price")).alias("order_revenue"))
-    )
+    revenue = order_items.groupBy("order_id").agg(
+        F.sum(F.col("quantity") * F.col("unit_price")).alias("order_revenue"))
     return completed_orders(orders).join(revenue, "order_id").select(*ORDER_LEVEL_COLUMNS)
 
 
