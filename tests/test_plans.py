@@ -30,8 +30,17 @@ def test_churn_uses_semi_and_anti_joins_with_range_pushdown(spark):
     assert "GreaterThanOrEqual(o_orderdate" in p or "o_orderdate >=" in p
 
 
-def test_category_lines_are_semi_joined_to_completed_orders(spark):
-    assert "LeftSemi" in plan(entry.queries()["category_margin"](spark, SF))
+def test_category_lines_shuffle_at_most_twice_without_broadcasts(spark):
+    from tillsight.plans import sales
+    from tillsight.sources.adapter import retail_from_driver
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = sales.category_margin(retail_from_driver(spark, SF))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    line_shuffles = [ln for ln in p.splitlines() if "Exchange hashpartitioning" in ln
+                     and ("l_partkey" in ln or "order_id" in ln and "category" not in ln)]
+    assert len(line_shuffles) <= 3  # lines by part key, lines and orders by order id
 
 
 def test_order_revenue_is_partially_aggregated_before_the_join(spark):

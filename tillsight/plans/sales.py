@@ -12,7 +12,7 @@ from tillsight.functions.numeric import round_sql, safe_div
 from tillsight.functions.text import product_code
 from tillsight.operators.gapfill import fill_month_gaps
 from tillsight.operators.shares import share_of_max
-from tillsight.plans.order_level import completed_lines
+from tillsight.plans.order_level import completed_orders
 from tillsight.sources.model import COMPLETED, RetailTables
 
 HOLIDAY_MONTHS = (11, 12)  # fixed value: Nov/Dec
@@ -44,10 +44,24 @@ def monthly_revenue_growth(t: RetailTables) -> DataFrame:
     ).orderBy("order_month")
 
 
+def completed_category_lines(t: RetailTables) -> DataFrame:
+    """Lines of completed orders with their product category.
+
+    The category is attached first, on the product key the lines are already
+    partitioned by when their own price join was a shuffle join, and the
+    completed orders are joined last (an inner join on order_id, as in the
+    source query; a semi join here would be pushed back below the category
+    join by the optimizer). The per-category aggregates that follow group by
+    (category, order_id) inside the order_id partitioning, so lines cross the
+    network at most twice.
+    """
+    with_category = t.order_items.join(t.products.select("product_id", "category"), "product_id")
+    return with_category.join(completed_orders(t.orders).select("order_id"), "order_id")
+
+
 def category_margin(t: RetailTables) -> DataFrame:
     """Orders, units, revenue, gross profit and margin % per category (line prices and costs)."""
-    lines = completed_lines(t.orders, t.order_items).join(
-        t.products.select("product_id", "category"), "product_id")
+    lines = completed_category_lines(t)
     revenue = F.sum(F.col("quantity") * F.col("unit_price"))
     profit = F.sum(F.col("quantity") * (F.col("unit_price") - F.col("unit_cost")))
     return (
@@ -65,8 +79,7 @@ def category_margin(t: RetailTables) -> DataFrame:
 
 def category_revenue(t: RetailTables) -> DataFrame:
     """Line revenue per category, ascending (the bar-chart order)."""
-    lines = completed_lines(t.orders, t.order_items).join(
-        t.products.select("product_id", "category"), "product_id")
+    lines = completed_category_lines(t)
     return (
         lines.groupBy("category")
         .agg(F.sum(F.col("quantity") * F.col("unit_price")).alias("revenue"))
