@@ -14,8 +14,11 @@ WITH RECURSIVE rc_customers AS (
   SELECT c.c_custkey AS customer_id,
          (DATE '1995-01-01' + CAST((c.c_custkey * 37) % 2000 AS INTEGER)) AS signup_date,
          r.r_name AS region, c.c_mktsegment AS acquisition_channel
-  FROM customer c JOIN nation n ON n.n_nationkey = c.c_nationkey
-                  JOIN region r ON r.r_regionkey = n.n_regionkey),
+  FROM customer c
+  LEFT JOIN (SELECT n_nationkey, MIN(n_regionkey) AS n_regionkey FROM nation GROUP BY n_nationkey) n
+         ON n.n_nationkey = c.c_nationkey
+  LEFT JOIN (SELECT r_regionkey, MIN(r_name) AS r_name FROM region GROUP BY r_regionkey) r
+         ON r.r_regionkey = n.n_regionkey),
 rc_products AS (
   SELECT p_partkey AS product_id, p_type AS category,
          CAST(p_retailprice AS DECIMAL(12,2)) AS unit_price,

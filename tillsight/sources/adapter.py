@@ -2,7 +2,7 @@
 onto the retail model.
 
 Mapping (fixed values, the same in the DuckDB oracle):
-  customer      -> customers: region from nation/region, channel = c_mktsegment,
+  customer      -> customers: region from nation/region (NULL if unknown), channel = c_mktsegment,
                    signup date = 1995-01-01 + (custkey * 37) % 2000 days
   part          -> products: category = p_type, price = p_retailprice,
                    cost = price * (40 + partkey % 26) %
@@ -66,14 +66,20 @@ def read_driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers with region (via nation) and channel.
+
+    Nation and region are attached by LEFT joins with one row per key, so
+    Catalyst removes both joins from every plan that does not read the region
+    (ids, signup dates and channels need neither). Where the region is read,
+    the planner broadcasts these small dimensions from their measured size.
+    """
     c = read_driver_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
-    n = read_driver_table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
-    r = read_driver_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    # nation and region are small dimensions: AQE/planner broadcast them from their
-    # measured size; no hint needed.
+    n = read_driver_table(spark, sf_dir, "nation").groupBy("n_nationkey").agg(
+        F.min("n_regionkey").alias("n_regionkey"))
+    r = read_driver_table(spark, sf_dir, "region").groupBy("r_regionkey").agg(F.min("r_name").alias("r_name"))
     return (
-        c.join(n, c.c_nationkey == n.n_nationkey)
-        .join(r, n.n_regionkey == r.r_regionkey)
+        c.join(n, c.c_nationkey == n.n_nationkey, "left")
+        .join(r, n.n_regionkey == r.r_regionkey, "left")
         .select(
             F.col("c_custkey").alias("customer_id"),
             F.date_add(
