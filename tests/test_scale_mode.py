@@ -22,6 +22,11 @@ SETTINGS = {"spark.sql.autoBroadcastJoinThreshold": "-1",
 
 @pytest.fixture(scope="module")
 def no_broadcast(spark):
+    # shared, persisted copies planned earlier (with broadcasts) would be
+    # substituted into these plans by the cache manager: drop them first
+    from tillsight.plans.registry import release
+    release(spark)
+    spark.catalog.clearCache()
     old = {k: spark.conf.get(k, None) for k in SETTINGS}
     for k, v in SETTINGS.items():
         spark.conf.set(k, v)
