@@ -6,7 +6,8 @@ re-planning): hash exchanges with their keys, range exchanges, single-partition
 exchanges (final merges of global aggregates and windows over bounded
 aggregates), and the join types.
 
-Usage: python tools/plan_report.py [sf_dir] [name ...]
+Usage: python tools/plan_report.py [sf_dir] [name ...]      (text)
+       python tools/plan_report.py --markdown [sf_dir] > PLANS.md
 """
 
 from __future__ import annotations
@@ -31,8 +32,11 @@ def summarize(plan: str) -> str:
 
 
 def main() -> None:
-    sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.001"
-    only = set(sys.argv[2:])
+    args = sys.argv[1:]
+    markdown = "--markdown" in args
+    args = [a for a in args if a != "--markdown"]
+    sf_dir = args[0] if args else "/root/testdata/sf0.001"
+    only = set(args[1:])
     from tillsight.plans.present import present
     from tillsight.plans.registry import DRIVER_PARAMS, plans
     from tillsight.session import build_session
@@ -43,11 +47,33 @@ def main() -> None:
                                                 "spark.sql.adaptive.enabled": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     t = retail_from_driver(spark, sf_dir)
+    if markdown:
+        print("# Plan shapes with no broadcast joins\n")
+        print("Generated by `python tools/plan_report.py --markdown`: every query planned over the")
+        print("warehouse tables with the planner and AQE broadcast thresholds at -1 and AQE off,")
+        print("i.e. the shape a plan takes when no input fits in a broadcast. `hash` lists the")
+        print("shuffle keys (each one exchange), `range` counts range exchanges (sorted output,")
+        print("ordinal ranks), `single` counts single-partition exchanges (final merge of a")
+        print("global aggregate or a window over a bounded aggregate). Exchanges below a")
+        print("reused/persisted relation are listed where the plan rebuilds it. With size-based")
+        print("broadcasting on (the default), the tiny nation/region dimensions and small")
+        print("aggregates are broadcast instead, so the keys n_nationkey / r_regionkey vanish.\n")
+        print("| query | hash | range | single | joins | shuffle keys |")
+        print("|---|---|---|---|---|---|")
     for name, plan in plans().items():
         if only and name not in only:
             continue
         df = present(plan(t, DRIVER_PARAMS))
-        print(f"{name}: {summarize(df._jdf.queryExecution().executedPlan().toString())}")
+        text = df._jdf.queryExecution().executedPlan().toString()
+        if markdown:
+            keys = [re.sub(r"#\d+L?", "", k) for k in re.findall(r"Exchange hashpartitioning\(([^)]*?), \d+\)", text)]
+            joins = re.findall(r"(SortMergeJoin|BroadcastHashJoin|ShuffledHashJoin|BroadcastNestedLoopJoin"
+                               r"|CartesianProduct)[^\n]*?(Inner|LeftSemi|LeftAnti|LeftOuter)", text)
+            print(f"| {name} | {len(keys)} | {text.count('Exchange rangepartitioning')} | "
+                  f"{text.count('Exchange SinglePartition')} | "
+                  f"{', '.join(sorted({f'{a} {b}' for a, b in joins})) or '-'} | {'; '.join(keys) or '-'} |")
+        else:
+            print(f"{name}: {summarize(text)}")
     spark.stop()
 
 
