@@ -98,3 +98,17 @@ def test_cli_runs_on_csv_exports_and_exports_reports(spark, scratch):
     k1 = spark.read.json(os.path.join(scratch, "kpis")).collect()[0]
     k2 = sales.kpis(read_retail_csv(spark, data)).collect()[0]
     assert (k1.total_orders, k1.total_revenue) == (k2.total_orders, float(k2.total_revenue))
+
+
+def test_sql_over_registered_views(spark):
+    from tillsight.sources.views import register_views
+    t = simple_orders(spark, [("o1", "c1", "2024-01-10", "completed", 100.0),
+                              ("o2", "c2", "2024-02-10", "returned", 50.0),
+                              ("o3", "c2", "2024-02-12", "completed", 25.0)])
+    register_views(spark, t, prefix="t_")
+    rows = spark.sql("""
+        SELECT date_format(o.order_date, 'yyyy-MM') AS m, SUM(oi.quantity * oi.unit_price) AS revenue
+        FROM t_orders o JOIN t_order_items oi ON oi.order_id = o.order_id
+        WHERE o.status = 'completed' GROUP BY 1 ORDER BY 1""").collect()
+    assert [(r.m, float(r.revenue)) for r in rows] == [("2024-01", 100.0), ("2024-02", 25.0)]
+    assert spark.table("t_order_level").count() == 2
