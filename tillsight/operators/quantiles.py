@@ -12,6 +12,7 @@ error here).
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,40 +30,27 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float] = QUARTILE
                     tiebreak: Sequence[str] = ()) -> DataFrame:
     """One row ``edges: array<double>`` with the exact quantiles of ``value``, any cardinality.
 
-    Built on ``ordinal_rank`` (one range-partitioned sort of the value plus the
-    ``tiebreak`` columns, e.g. the row key, so that a value shared by a large
-    share of rows is still spread over many partitions); only the
-    2 * len(probs) rows at the interpolation positions are picked out by an
-    equi-join with a tiny, broadcast table of target positions.
+    Built on ``ordinal_rank``: one range-partitioned sort of the value plus the
+    ``tiebreak`` columns (e.g. the row key, so that a value shared by a large
+    share of rows is still spread over many partitions). Every ranked row also
+    carries the row count, so the 2 * len(probs) rows at the interpolation
+    positions are picked by a filter, and one aggregate interpolates.
     """
     vals = df.select(F.col(value).cast("double").alias("_q_v"), *tiebreak).where(F.col("_q_v").isNotNull())
-    ranked = ordinal_rank(vals, [F.col("_q_v"), *[F.col(c) for c in tiebreak]], rank_col="_q_pos")
-    n = ranked.agg(F.count(F.lit(1)).alias("_q_n"))
-    spec = F.array(*[F.lit(float(p)) for p in probs])
-    targets = (
-        n.select("_q_n", F.posexplode(spec).alias("_q_i", "_q_p"))
-        .withColumn("_q_h", (F.col("_q_n") - 1).cast("double") * F.col("_q_p"))
-        .withColumn("_q_lo", F.floor("_q_h").cast("long") + 1)
-        .withColumn("_q_t", F.col("_q_h") - F.floor("_q_h"))
-        .select("_q_i", "_q_t", F.explode(F.array(
-            F.struct(F.lit("a").alias("role"), F.col("_q_lo").alias("pos")),
-            F.struct(F.lit("b").alias("role"), F.least(F.col("_q_lo") + 1, F.col("_q_n")).alias("pos")),
-        )).alias("_q_x"))
-        .select("_q_i", "_q_t", F.col("_q_x.role").alias("_q_role"), F.col("_q_x.pos").alias("_q_pos"))
-    )
-    # targets has exactly 2 * len(probs) rows: a proven bound for the broadcast.
-    picked = ranked.join(F.broadcast(targets), "_q_pos")
-    per_prob = picked.groupBy("_q_i").agg(
-        F.max(F.when(F.col("_q_role") == "a", F.col("_q_v"))).alias("_a"),
-        F.max(F.when(F.col("_q_role") == "b", F.col("_q_v"))).alias("_b"),
-        F.first("_q_t").alias("_t"),
-    )
-    return per_prob.agg(
-        F.transform(
-            F.sort_array(F.collect_list(F.struct("_q_i", _lerp(F.col("_a"), F.col("_b"), F.col("_t")).alias("e")))),
-            lambda s: s["e"],
-        ).alias("edges")
-    )
+    ranked = ordinal_rank(vals, [F.col("_q_v"), *[F.col(c) for c in tiebreak]], rank_col="_q_pos",
+                          total_col="_q_n")
+    pos, n = F.col("_q_pos"), F.col("_q_n")
+    spots = []
+    for p in probs:
+        h = (n - F.lit(1)).cast("double") * F.lit(float(p))
+        lo = F.floor(h).cast("long") + F.lit(1)
+        spots.append((lo, F.least(lo + F.lit(1), n), h - F.floor(h)))
+    wanted = reduce(lambda a, b: a | b, [(pos == lo) | (pos == hi) for lo, hi, _ in spots])
+    picked = ranked.where(wanted)
+    return picked.agg(F.array(*[
+        _lerp(F.max(F.when(pos == lo, F.col("_q_v"))), F.max(F.when(pos == hi, F.col("_q_v"))), F.max(t))
+        for lo, hi, t in spots
+    ]).alias("edges"))
 
 
 def discrete_quantiles(df: DataFrame, value: str, probs: Sequence[float] = QUARTILES) -> DataFrame:

@@ -16,7 +16,7 @@ def require_checkpoint_dir(df: DataFrame) -> None:
 
 
 def ordinal_rank(df: DataFrame, order_by: Sequence[Column | str], rank_col: str = "ordinal",
-                 num_partitions: int | None = None) -> DataFrame:
+                 num_partitions: int | None = None, total_col: str | None = None) -> DataFrame:
     """1-based position of every row in the total order ``order_by``.
 
     A window without PARTITION BY would move every row into one task. Instead:
@@ -30,6 +30,8 @@ def ordinal_rank(df: DataFrame, order_by: Sequence[Column | str], rank_col: str
          running offsets and broadcast them (bounded by the partition count);
       4. rank = offset of the part + local index + 1.
     Ties in ``order_by`` get distinct consecutive ranks (like ``row_number``).
+    ``total_col`` adds the total number of rows (from the same small table), so
+    callers need no separate count.
     """
     require_checkpoint_dir(df)
     spark = df.sparkSession
@@ -51,12 +53,15 @@ def ordinal_rank(df: DataFrame, order_by: Sequence[Column | str], rank_col: str
             F.sum("_rk_n").over(Window.orderBy("_rk_part").rowsBetween(Window.unboundedPreceding, -1)),
             F.lit(0),
         ).alias("_rk_offset"),
+        F.sum("_rk_n").over(Window.partitionBy()).alias("_rk_total"),
     )
-    return (
+    ranked = (
         staged.join(F.broadcast(offsets), "_rk_part")
         .withColumn(rank_col, F.col("_rk_offset") + F.col("_rk_local") + F.lit(1))
-        .drop("_rk_part", "_rk_local", "_rk_offset")
     )
+    if total_col:
+        ranked = ranked.withColumnRenamed("_rk_total", total_col)
+    return ranked.drop("_rk_part", "_rk_local", "_rk_offset", "_rk_total")
 
 
 def top_k_per_group(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[Column],

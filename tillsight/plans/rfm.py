@@ -64,12 +64,13 @@ class RfmModel:
     """
 
     def __init__(self, t: RetailTables, offset_days: int = 1):
-        ranked = ordinal_rank(rfm_base(t, offset_days), [F.col("frequency"), F.col("customer_id")], "f_rank")
+        ranked = ordinal_rank(rfm_base(t, offset_days), [F.col("frequency"), F.col("customer_id")], "f_rank",
+                              total_col="n_customers")
         self.ranked = ranked
-        self.n = ranked.select(F.count(F.lit(1))).scalar()
         self.recency_edges = discrete_quantiles(ranked, "recency").select("edges").scalar()
         self.monetary_edges = exact_quantiles(ranked, "monetary", tiebreak=["customer_id"]).select("edges").scalar()
-        self.rank_edges = rank_quantile_edges(self.n)
+        # ranks 1..n: their quartile edges need only n, carried on every row
+        self.rank_edges = rank_quantile_edges(F.col("n_customers"))
         self._scores: DataFrame | None = None
 
     def _score(self) -> DataFrame:
@@ -91,7 +92,7 @@ class RfmModel:
         def row(name: str, edges: Column) -> Column:
             return F.struct(F.lit(name).alias("metric"),
                             *[F.round(edges[i], 6).alias(f"q{q}") for i, q in enumerate((25, 50, 75))])
-        one_row = self.ranked.agg(F.count(F.lit(1)).alias("_n"))
+        one_row = self.ranked.agg(F.max("n_customers").alias("n_customers"))
         return one_row.select(F.explode(F.array(
             row("recency", self.recency_edges),
             row("frequency_rank", self.rank_edges),
