@@ -166,3 +166,9 @@ def test_exact_quantiles_with_heavy_ties_and_tiebreak(spark):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "id long, x double")
     got = exact_quantiles(df, "x", tiebreak=["id"]).collect()[0].edges
     assert got == list(np.quantile(np.array(vals), [0.25, 0.5, 0.75]))
+
+
+def test_clip(spark):
+    from tillsight.functions.numeric import clip
+    df = spark.createDataFrame([(-1.0,), (0.5,), (3.0,), (None,)], "x double")
+    assert [r.c for r in df.select(clip(F.col("x"), 0.02, 0.98).alias("c")).collect()] == [0.02, 0.5, 0.98, None]

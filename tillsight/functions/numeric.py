@@ -37,3 +37,8 @@ def safe_div(num: Column, den: Column) -> Column:
 
 def to_double(c: Column) -> Column:
     return c.cast("double")
+
+
+def clip(c: Column, lo: float, hi: float) -> Column:
+    """Clamp to [lo, hi] (NULL stays NULL)."""
+    return F.least(F.greatest(c, F.lit(lo)), F.lit(hi))
