@@ -40,5 +40,5 @@ def to_double(c: Column) -> Column:
 
 
 def clip(c: Column, lo: float, hi: float) -> Column:
-    """Clamp to [lo, hi] (NULL stays NULL)."""
-    return F.least(F.greatest(c, F.lit(lo)), F.lit(hi))
+    """Clamp to [lo, hi]; NULL stays NULL (greatest/least would skip it)."""
+    return F.when(c.isNotNull(), F.least(F.greatest(c, F.lit(lo)), F.lit(hi)))
