@@ -20,9 +20,10 @@ def ordinal_rank(df: DataFrame, order_by: Sequence[Column | str], rank_col: str
     """1-based position of every row in the total order ``order_by``.
 
     A window without PARTITION BY would move every row into one task. Instead:
-      1. range-partition on the sort keys (sampled bounds, evenly sized parts
-         even when one key value is hot, because whole rows are sorted) and sort
-         within each part;
+      1. range-partition on the sort keys (sampled bounds) and sort within each
+         part. Equal keys land in the same part, so callers make the key unique
+         (e.g. value plus row id): then parts stay evenly sized even when one
+         value is shared by a third of the rows;
       2. number rows inside each part (partition id and local index come from the
          same task) and freeze that with a reliable checkpoint, so that the two
          readers below see the same numbering even after a lost executor;

@@ -99,6 +99,7 @@ class RfmModel:
             row("monetary", self.monetary_edges),
         )).alias("e")).select("e.*")
 
+
 def rfm_model(t: RetailTables, offset_days: int = 1) -> RfmModel:
     """One model per tables object and offset: scores, summary and edges share it."""
     key = f"rfm_model:{offset_days}"
