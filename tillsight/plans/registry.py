@@ -102,15 +102,17 @@ _MODELS: dict[tuple[str, str], RetailTables] = {}
 
 def retail_model(spark: SparkSession, sf_dir: str) -> RetailTables:
     """The retail model over ``sf_dir``, one per session: its DataFrames are
-    planned once and the order-level table is computed once and shared."""
+    planned once and the order-level table is computed once, checkpointed to
+    the shared checkpoint folder and read by every later query."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _MODELS:
-        _MODELS[key] = retail_from_driver(spark, sf_dir, share_order_level=True)
+        _MODELS[key] = retail_from_driver(spark, sf_dir, share_order_level="checkpoint")
     return _MODELS[key]
 
 
 def release(spark: SparkSession) -> None:
-    """Drop the shared copies of this session."""
+    """Forget this session's shared models (their checkpoint files are removed by
+    Spark's cleaner once unreferenced, when ``spark.cleaner.referenceTracking.cleanCheckpoints`` is on)."""
     app = spark.sparkContext.applicationId
     for key in [k for k in _MODELS if k[0] == app]:
         t = _MODELS.pop(key)

@@ -165,12 +165,15 @@ def _campaign(customers: DataFrame, order_level: DataFrame) -> DataFrame:
     )
 
 
-def retail_from_driver(spark: SparkSession, sf_dir: str, share_order_level: bool = False) -> RetailTables:
+def retail_from_driver(spark: SparkSession, sf_dir: str, share_order_level: bool | str = False) -> RetailTables:
     """Build the retail model lazily over the parquet tables in ``sf_dir``.
 
-    With ``share_order_level`` the order-level table is persisted (memory, then
-    disk) the first time a query computes it, and later queries of the same
-    session read that copy. Lost blocks are recomputed from the plan.
+    ``share_order_level`` materialises the order-level table once for every
+    later query on this model:
+      * ``"checkpoint"`` (or True): a reliable checkpoint in the session's
+        ``spark.checkpoint.dir``. The lineage is cut, so a lost executor costs a
+        re-read of those files, not a recomputation of the order and line joins.
+      * ``"persist"``: executor memory, then disk; lost blocks are recomputed.
     """
     t: RetailTables
 
@@ -192,7 +195,13 @@ def retail_from_driver(spark: SparkSession, sf_dir: str, share_order_level: bool
     def order_level():
         from tillsight.plans.order_level import build_order_level
         ol = build_order_level(t.orders, t.order_items)
-        return ol.persist(StorageLevel.MEMORY_AND_DISK) if share_order_level else ol
+        if share_order_level == "persist":
+            return ol.persist(StorageLevel.MEMORY_AND_DISK)
+        if share_order_level:
+            from tillsight.operators.ranking import require_checkpoint_dir
+            require_checkpoint_dir(ol)
+            return ol.checkpoint(eager=True)
+        return ol
 
     t = RetailTables(customers, products, orders, order_items, campaign, order_level)
     return t
