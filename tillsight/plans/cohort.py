@@ -20,14 +20,18 @@ def signup_cohort_activity(t: RetailTables) -> DataFrame:
     the signup month. Activity is completed orders, with or without lines.
     (customer, month) pairs are made distinct first, so a COUNT(*) per cell is
     the distinct-customer count."""
-    cohort = t.customers.select("customer_id", month_key(F.col("signup_date")).alias("cohort_month"))
+    # months are compared and grouped as first-of-month dates (same order as
+    # the YYYY-MM text) and formatted only on the small result
+    cohort = t.customers.select("customer_id", month_start(F.col("signup_date")).alias("_cohort"))
     activity = completed_orders(t.orders).select(
-        "customer_id", month_key(F.col("order_date")).alias("activity_month")).distinct()
+        "customer_id", month_start(F.col("order_date")).alias("_activity")).distinct()
     return (
         cohort.join(activity, "customer_id")
-        .where(F.col("activity_month") >= F.col("cohort_month"))
-        .groupBy("cohort_month", "activity_month")
+        .where(F.col("_activity") >= F.col("_cohort"))
+        .groupBy("_cohort", "_activity")
         .agg(F.count(F.lit(1)).alias("active_customers"))
+        .select(month_key(F.col("_cohort")).alias("cohort_month"),
+                month_key(F.col("_activity")).alias("activity_month"), "active_customers")
         .orderBy("cohort_month", "activity_month")
     )
 
