@@ -237,5 +237,6 @@ def month_labels(t: RetailTables) -> DataFrame:
 
 
 def product_codes(t: RetailTables) -> DataFrame:
-    return t.products.select("product_id", "category", product_code(F.col("category"), F.col("product_id")).alias("product_code"))
+    code = product_code(F.col("category"), F.col("product_id"))
+    return t.products.select("product_id", "category", code.alias("product_code"))
 
