@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 
 def require_checkpoint_dir(df: DataFrame) -> None:
-    if not df.sparkSession.sparkContext.getCheckpointDir():
+    from tillsight.session import checkpoint_dir
+
+    if not checkpoint_dir(df.sparkSession):
         raise RuntimeError(
             "set spark.checkpoint.dir to a shared folder: ordinal ranks freeze their "
             "range partitions with checkpoint()")

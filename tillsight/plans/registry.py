@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tillsight.plans import cohort, customers, experiment, quality, report, rfm, sales
 from tillsight.operators.sampling import assign_arm, sample_exact_n
 from tillsight.plans.present import present
+from tillsight.session import session_key
 from tillsight.sources.adapter import retail_from_driver
 from tillsight.sources.model import RetailTables
 
@@ -104,7 +105,7 @@ def retail_model(spark: SparkSession, sf_dir: str) -> RetailTables:
     """The retail model over ``sf_dir``, one per session: its DataFrames are
     planned once and the order-level table is computed once, checkpointed to
     the shared checkpoint folder and read by every later query."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (session_key(spark), sf_dir)
     if key not in _MODELS:
         _MODELS[key] = retail_from_driver(spark, sf_dir, share_order_level="checkpoint")
     return _MODELS[key]
@@ -113,7 +114,7 @@ def retail_model(spark: SparkSession, sf_dir: str) -> RetailTables:
 def release(spark: SparkSession) -> None:
     """Forget this session's shared models (their checkpoint files are removed by
     Spark's cleaner once unreferenced, when ``spark.cleaner.referenceTracking.cleanCheckpoints`` is on)."""
-    app = spark.sparkContext.applicationId
+    app = session_key(spark)
     for key in [k for k in _MODELS if k[0] == app]:
         t = _MODELS.pop(key)
         if "order_level" in t._built:

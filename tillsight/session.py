@@ -42,6 +42,33 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session; None under Spark Connect."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Connect sessions have no SparkContext
+        return None
+
+
+def session_key(spark: SparkSession) -> str:
+    """A key for per-application memos."""
+    sc = _context(spark)
+    if sc is not None:
+        return sc.applicationId
+    return spark.conf.get("spark.app.id", None) or str(id(spark))
+
+
+def checkpoint_dir(spark: SparkSession) -> str | None:
+    """The checkpoint folder in effect, if any."""
+    sc = _context(spark)
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    conf = spark.conf.get("spark.checkpoint.dir", None)
+    if conf:
+        return conf
+    return sc.getConf().get("spark.checkpoint.dir", None) if sc is not None else None
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the cluster's ``spark.checkpoint.dir``; create a scratch one only when
     it is unset *and* the session runs in local mode (tests, laptop runs).
@@ -50,14 +77,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     survive lost executors), so a missing setting is an error there rather than
     a silent fall-back to a machine-local folder.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    sc = _context(spark)
+    configured = checkpoint_dir(spark)
+    master = sc.master if sc is not None else spark.conf.get("spark.master", "")
     if not configured:
-        if not sc.master.startswith("local"):
+        if not str(master).startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS or object storage)")
         configured = tempfile.mkdtemp(prefix="tillsight-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+    if sc is not None:
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(configured)
+        return sc.getCheckpointDir() or configured
+    spark.conf.set("spark.checkpoint.dir", configured)
+    return configured
