@@ -50,7 +50,7 @@ def top_customers_by_region(t: RetailTables, k: int = 5) -> DataFrame:
     return ranked.select("customer_id", "region", "lifetime_value", "region_rank").orderBy("region", "region_rank")
 
 
-def churn_candidates(t: RetailTables, active_year: int = 2000, lapsed_year: int = 2001) -> DataFrame:
+def churn_candidates(t: RetailTables, active_year: int = 2024, lapsed_year: int = 2025) -> DataFrame:
     """Customers with a completed order in ``active_year`` and none in ``lapsed_year``
     (EXISTS -> left semi join, NOT EXISTS -> left anti join). Years are date ranges
     so the filter reaches the Parquet scan."""
