@@ -172,3 +172,29 @@ def test_clip(spark):
     from tillsight.functions.numeric import clip
     df = spark.createDataFrame([(-1.0,), (0.5,), (3.0,), (None,)], "x double")
     assert [r.c for r in df.select(clip(F.col("x"), 0.02, 0.98).alias("c")).collect()] == [0.02, 0.5, 0.98, None]
+
+
+def test_quality_operators_on_edge_cases(spark):
+    from tillsight.operators.quality import foreign_key_orphans, primary_key_violations, table_profile
+    empty = spark.createDataFrame([], "k string, v double")
+    r = table_profile(empty, "e").collect()[0]
+    assert (r.rows, r.null_cells, r.duplicate_rows) == (0, 0, 0)
+    keys = spark.createDataFrame([("a",), ("a",), (None,), (None,), ("b",)], "k string")
+    pk = primary_key_violations(keys, "t", ["k"]).collect()[0]
+    assert (pk.duplicated_keys, pk.null_keys) == (2, 2)  # 'a' and the NULL group repeat
+    child = spark.createDataFrame([("a",), ("z",), (None,)], "fk string")
+    parent = spark.createDataFrame([("a",)], "pk string")
+    assert foreign_key_orphans(child, "c", "fk", parent, "p", "pk").collect()[0].orphan_rows == 1
+
+
+def test_shares_with_zero_total_are_null(spark):
+    df = spark.createDataFrame([("a", 0.0), ("b", 0.0)], "k string, v double")
+    assert [r.s for r in df.select(share_of_total(df, "v").alias("s")).collect()] == [None, None]
+
+
+def test_fill_month_gaps_single_month_and_quantiles_of_one_value(spark):
+    import datetime as dt
+    df = spark.createDataFrame([("a", dt.date(2024, 5, 1), 3)], "g string, month date, v long")
+    assert [tuple(r) for r in fill_month_gaps(df, "month", ["v"], ["g"]).collect()] == [("a", dt.date(2024, 5, 1), 3)]
+    one = spark.createDataFrame([(1, 7.5)], "id long, x double")
+    assert exact_quantiles(one, "x", tiebreak=["id"]).collect()[0].edges == [7.5, 7.5, 7.5]
