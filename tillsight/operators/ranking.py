@@ -30,7 +30,8 @@ def ordinal_rank(df: DataFrame, order_by: Sequence[Column | str], rank_col: str
          same task) and freeze that with a reliable checkpoint, so that the two
          readers below see the same numbering even after a lost executor;
       3. count rows per part (at most ``num_partitions`` rows), turn the counts into
-         running offsets and broadcast them (bounded by the partition count);
+         running offsets, materialise that small table once and broadcast it
+         (bounded by the partition count);
       4. rank = offset of the part + local index + 1.
     Ties in ``order_by`` get distinct consecutive ranks (like ``row_number``).
     ``total_col`` adds the total number of rows (from the same small table), so
@@ -49,7 +50,9 @@ def ordinal_rank(df: DataFrame, order_by: Sequence[Column | str], rank_col: str
         .checkpoint(eager=True)
     )
     sizes = staged.groupBy("_rk_part").agg(F.count(F.lit(1)).alias("_rk_n"))
-    # At most `parts` rows: a global window is fine here.
+    # At most `parts` rows: a global window is fine here. The small table is
+    # materialised once, so readers of the result do not each rescan the
+    # staged rows to recount them.
     offsets = sizes.select(
         "_rk_part",
         F.coalesce(
@@ -57,7 +60,7 @@ def ordinal_rank(df: DataFrame, order_by: Sequence[Column | str], rank_col: str
             F.lit(0),
         ).alias("_rk_offset"),
         F.sum("_rk_n").over(Window.partitionBy()).alias("_rk_total"),
-    )
+    ).checkpoint(eager=True)
     ranked = (
         staged.join(F.broadcast(offsets), "_rk_part")
         .withColumn(rank_col, F.col("_rk_offset") + F.col("_rk_local") + F.lit(1))
