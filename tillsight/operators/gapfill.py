@@ -11,19 +11,23 @@ from pyspark.sql import functions as F
 def fill_month_gaps(df: DataFrame, month_col: str, value_cols: Sequence[str],
                     group_cols: Sequence[str] = (), fill_value=0) -> DataFrame:
     """Add a row with ``fill_value`` for every month missing between each group's
-    first and last month. ``month_col`` holds month-start dates, one row per
-    (group, month).
+    first and last month. ``df`` holds one row per (group, month), months as
+    month-start dates (an aggregate, so its size is groups x months).
 
-    The calendar comes from the data's own bounds (one ``sequence`` per group),
-    so its size is groups x months spanned: small next to the facts.
+    One aggregation per group gathers its month -> values map with the first and
+    last month (bounded by the months spanned, not by the data volume); the
+    calendar is then exploded from those bounds and looked up in the map. The
+    input is read once: no self-join of the aggregate.
     """
-    bounds = df.groupBy(*group_cols).agg(F.min(month_col).alias("_lo"), F.max(month_col).alias("_hi"))
-    calendar = bounds.select(
-        *group_cols,
-        F.explode(F.sequence("_lo", "_hi", F.expr("INTERVAL 1 MONTH"))).alias(month_col),
-    )
-    filled = calendar.join(df, [*group_cols, month_col], "left")
-    return filled.select(
+    values = F.struct(*[F.col(c).alias(c) for c in value_cols])
+    per_group = df.groupBy(*group_cols).agg(
+        F.map_from_entries(F.collect_list(F.struct(F.col(month_col), values))).alias("_gf_m"),
+        F.min(month_col).alias("_gf_lo"), F.max(month_col).alias("_gf_hi"))
+    calendar = per_group.select(
+        *group_cols, "_gf_m",
+        F.explode(F.sequence("_gf_lo", "_gf_hi", F.expr("INTERVAL 1 MONTH"))).alias(month_col))
+    found = F.element_at(F.col("_gf_m"), F.col(month_col))
+    return calendar.select(
         *group_cols, month_col,
-        *[F.coalesce(F.col(c), F.lit(fill_value).cast(df.schema[c].dataType)).alias(c) for c in value_cols],
+        *[F.coalesce(found[c], F.lit(fill_value).cast(df.schema[c].dataType)).alias(c) for c in value_cols],
     )
