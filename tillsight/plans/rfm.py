@@ -17,7 +17,7 @@ from tillsight.functions.numeric import round_float_half_even
 from tillsight.operators.quantiles import (bin_score, discrete_quantiles, exact_quantiles,
                                           rank_quantile_edges)
 from tillsight.operators.ranking import ordinal_rank
-from tillsight.operators.shares import share_of_total
+from tillsight.operators.shares import share_of_total_bounded
 from tillsight.sources.model import RetailTables
 
 # Segment labels, in rule order (first match wins).
@@ -128,10 +128,11 @@ def segment_summary(scores: DataFrame) -> DataFrame:
         r1(F.avg("monetary")).alias("avg_monetary"),
         r1(F.sum("monetary")).alias("total_revenue"),
     )
+    # seven segments at most: the shares are windows over the summary itself
     return summary.select(
         "*",
-        r1(share_of_total(summary, "customers")).alias("pct_of_customers"),
-        r1(share_of_total(summary, "total_revenue")).alias("pct_of_revenue"),
+        r1(share_of_total_bounded("customers")).alias("pct_of_customers"),
+        r1(share_of_total_bounded("total_revenue")).alias("pct_of_revenue"),
     ).orderBy(F.desc("total_revenue"))
 
 

@@ -11,7 +11,7 @@ from tillsight.functions.dates import month_key, month_label, month_label_short,
 from tillsight.functions.numeric import round_sql, safe_div
 from tillsight.functions.text import product_code
 from tillsight.operators.gapfill import fill_month_gaps
-from tillsight.operators.shares import share_of_max
+from tillsight.operators.shares import share_of_max_bounded
 from tillsight.plans.order_level import completed_orders
 from tillsight.sources.model import COMPLETED, RetailTables
 
@@ -196,9 +196,10 @@ def channel_rank_by_region(t: RetailTables) -> DataFrame:
 def revenue_share_of_max(t: RetailTables) -> DataFrame:
     """Each region x channel cell as a fraction of the largest cell (heat-map scale)."""
     cells = region_channel_long(t)
+    # regions x channels cells: a window over the aggregate reads it once
     return cells.select(
         "region", "acquisition_channel", "revenue",
-        F.round(share_of_max(cells, "revenue"), 6).alias("share_of_max"),
+        F.round(share_of_max_bounded("revenue"), 6).alias("share_of_max"),
     )
 
 
