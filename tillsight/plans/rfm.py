@@ -42,16 +42,23 @@ def segment_of(r: Column, f: Column, m: Column) -> Column:
     )
 
 
+def customer_totals(t: RetailTables) -> DataFrame:
+    """customer_id, last order date, frequency, monetary (one row per buying customer)."""
+    return t.order_level.groupBy("customer_id").agg(
+        F.max("order_date").alias("last_order_date"), F.count(F.lit(1)).alias("frequency"),
+        F.sum("order_revenue").alias("monetary"))
+
+
+def with_recency(totals: DataFrame, offset_days: int = 1) -> DataFrame:
+    """Add recency = days from the last order to (latest last order + offset_days).
+    The snapshot is the maximum over the per-customer rows, a scalar subquery."""
+    snapshot = totals.select(F.date_add(F.max("last_order_date"), offset_days)).scalar()
+    return totals.withColumn("recency", F.datediff(snapshot, F.col("last_order_date")))
+
+
 def rfm_base(t: RetailTables, offset_days: int = 1) -> DataFrame:
     """customer_id, recency, frequency, monetary (one row per buying customer)."""
-    ol = t.order_level
-    snapshot = ol.select(F.date_add(F.max("order_date"), offset_days)).scalar()
-    return (
-        ol.groupBy("customer_id")
-        .agg(F.max("order_date").alias("_last"), F.count(F.lit(1)).alias("frequency"),
-             F.sum("order_revenue").alias("monetary"))
-        .select("customer_id", F.datediff(snapshot, F.col("_last")).alias("recency"), "frequency", "monetary")
-    )
+    return with_recency(customer_totals(t), offset_days).select("customer_id", "recency", "frequency", "monetary")
 
 
 class RfmModel:
@@ -64,8 +71,11 @@ class RfmModel:
     """
 
     def __init__(self, t: RetailTables, offset_days: int = 1):
-        ranked = ordinal_rank(rfm_base(t, offset_days), [F.col("frequency"), F.col("customer_id")], "f_rank",
+        # rank first, then derive recency from the checkpointed per-customer rows:
+        # the order-level table is read once (the snapshot date comes from the copy)
+        ranked = ordinal_rank(customer_totals(t), [F.col("frequency"), F.col("customer_id")], "f_rank",
                               total_col="n_customers")
+        ranked = with_recency(ranked, offset_days)
         self.ranked = ranked
         self.recency_edges = discrete_quantiles(ranked, "recency").select("edges").scalar()
         self.monetary_edges = exact_quantiles(ranked, "monetary", tiebreak=["customer_id"]).select("edges").scalar()
