@@ -85,13 +85,14 @@ def ab_projection(t: RetailTables, full_base: int | None = None) -> DataFrame:
     """Mean value of converted orders, extra conversions per 1,000 contacted,
     projected extra revenue over the whole customer base."""
     base = F.lit(full_base) if full_base is not None else t.customers.select(F.count(F.lit(1))).scalar()
-    a = _arm_counts(t.campaign)
+    # bind the base once (a scalar subquery runs once per reference otherwise)
+    a = _arm_counts(t.campaign).select("*", base.cast("long").alias("full_base"))
     lift = F.col("p2") - F.col("p1")
     return a.select(
         rnd(F.col("value_when_converted"), 2).alias("avg_value_when_converted"),
         rnd(lift * F.lit(1000.0), 1).alias("incremental_conversions_per_1000"),
-        base.cast("long").alias("full_base"),
-        rnd(lift * base * F.col("value_when_converted"), 0).alias("projected_incremental_revenue"),
+        "full_base",
+        rnd(lift * F.col("full_base") * F.col("value_when_converted"), 0).alias("projected_incremental_revenue"),
     )
 
 

@@ -83,11 +83,17 @@ class RfmModel:
         self.rank_edges = rank_quantile_edges(F.col("n_customers"))
         self._scores: DataFrame | None = None
 
+    def _with_edges(self) -> DataFrame:
+        """The ranked rows with the edge arrays bound once as columns: each
+        scalar subquery then runs once, not once per reference."""
+        return self.ranked.select("*", self.recency_edges.alias("_r_edges"),
+                                  self.monetary_edges.alias("_m_edges"))
+
     def _score(self) -> DataFrame:
-        r = bin_score(F.col("recency"), self.recency_edges, descending=True)
+        r = bin_score(F.col("recency"), F.col("_r_edges"), descending=True)
         f = bin_score(F.col("f_rank"), self.rank_edges)
-        m = bin_score(F.col("monetary"), self.monetary_edges)
-        scored = self.ranked.select(
+        m = bin_score(F.col("monetary"), F.col("_m_edges"))
+        scored = self._with_edges().select(
             "customer_id", "recency", "frequency", "monetary",
             r.alias("r_score"), f.alias("f_score"), m.alias("m_score"))
         return scored.withColumn("rfm_sum", F.col("r_score") + F.col("f_score") + F.col("m_score")).withColumn(
@@ -102,11 +108,12 @@ class RfmModel:
         def row(name: str, edges: Column) -> Column:
             return F.struct(F.lit(name).alias("metric"),
                             *[F.round(edges[i], 6).alias(f"q{q}") for i, q in enumerate((25, 50, 75))])
-        one_row = self.ranked.agg(F.max("n_customers").alias("n_customers"))
+        one_row = self.ranked.agg(F.max("n_customers").alias("n_customers")).select(
+            "n_customers", self.recency_edges.alias("_r_edges"), self.monetary_edges.alias("_m_edges"))
         return one_row.select(F.explode(F.array(
-            row("recency", self.recency_edges),
+            row("recency", F.col("_r_edges")),
             row("frequency_rank", self.rank_edges),
-            row("monetary", self.monetary_edges),
+            row("monetary", F.col("_m_edges")),
         )).alias("e")).select("e.*")
 
 

@@ -106,9 +106,13 @@ def eda_key_figures(t: RetailTables) -> DataFrame:
     """The figures the exploration step prints, as (metric, value) rows."""
     counts = t.orders.agg(F.count(F.lit(1)).alias("total_orders"),
                           F.count_if(F.col("status") == F.lit(COMPLETED)).alias("completed_orders"))
-    rev = t.order_level.select(F.sum("order_revenue").alias("r"), F.avg("order_revenue").alias("a"))
-    total = rev.select(round_sql(F.col("r"), 2).cast("double")).scalar()
-    aov = rev.select(round_sql(F.col("a"), 2).cast("double")).scalar()
+    # one scalar subquery (one read of the order-level table) for both figures,
+    # bound once as a column so that it is evaluated once
+    rev = t.order_level.select(F.struct(
+        round_sql(F.sum("order_revenue"), 2).cast("double").alias("total"),
+        round_sql(F.avg("order_revenue"), 2).cast("double").alias("aov"))).scalar()
+    counts = counts.select("*", rev.alias("_rev"))
+    total, aov = F.col("_rev.total"), F.col("_rev.aov")
     def row(name: str, value):
         return F.struct(F.lit(name).alias("metric"), value.cast("double").alias("value"))
     rows = F.array(
