@@ -44,7 +44,6 @@ def test_category_lines_shuffle_at_most_twice_without_broadcasts(spark):
 
 
 def test_order_revenue_is_partially_aggregated_before_the_join(spark):
-    from tillsight.plans.registry import DRIVER_PARAMS, plans  # noqa: F401
     from tillsight.sources.adapter import retail_from_driver
     t = retail_from_driver(spark, SF)
     p = t.order_level._jdf.queryExecution().executedPlan().toString()

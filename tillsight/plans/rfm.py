@@ -137,7 +137,9 @@ def segment_summary(scores: DataFrame) -> DataFrame:
     """Per segment: customers, mean recency / frequency / monetary, revenue, all
     rounded to 1 decimal first, then shares of customers and revenue computed from
     the rounded figures (that order is part of the definition)."""
-    r1 = lambda c: round_float_half_even(c, 1)
+    def r1(c: Column) -> Column:
+        return round_float_half_even(c, 1)
+
     summary = scores.groupBy("segment").agg(
         F.count(F.lit(1)).alias("customers"),
         r1(F.avg("recency")).alias("avg_recency_days"),
