@@ -112,3 +112,15 @@ def test_sql_over_registered_views(spark):
         WHERE o.status = 'completed' GROUP BY 1 ORDER BY 1""").collect()
     assert [(r.m, float(r.revenue)) for r in rows] == [("2024-01", 100.0), ("2024-02", 25.0)]
     assert spark.table("t_order_level").count() == 2
+
+
+def test_cli_on_warehouse_tables(spark, scratch):
+    from tillsight.__main__ import main
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        return
+    out = os.path.join(scratch, "top")
+    assert main(["run", "top_customers_by_region", "--tables", sf, "--out", out, "--format", "parquet"]) == 0
+    rows = spark.read.parquet(out).collect()
+    assert rows and all(r.region_rank <= 5 for r in rows)
+    assert main(["list"]) == 0
