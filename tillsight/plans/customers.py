@@ -10,7 +10,7 @@ from tillsight.functions.dates import year_range
 from tillsight.functions.numeric import round_sql
 from tillsight.functions.text import padded_id
 from tillsight.operators.ranking import ordinal_rank, top_k_per_group
-from tillsight.plans.order_level import completed_orders, customer_orders
+from tillsight.plans.order_level import completed_orders
 from tillsight.sources.model import RetailTables
 
 
@@ -18,16 +18,15 @@ def rfm_inputs(t: RetailTables) -> DataFrame:
     """Per customer: days from their last order to the data's last order date
     (0 for the latest buyers), number of completed orders, revenue.
 
-    The data's last date is a global MAX run once as a scalar subquery."""
-    ov = customer_orders(t.order_level)
-    max_date = ov.select(F.max("order_date")).scalar()
-    return (
-        ov.groupBy("customer_id")
-        .agg(F.max("order_date").alias("_last"), F.count(F.lit(1)).alias("frequency"),
-             round_sql(F.sum("order_total"), 2).alias("monetary"))
-        .select("customer_id", F.datediff(max_date, F.col("_last")).alias("recency_days"), "frequency", "monetary")
-        .orderBy(F.desc("monetary"))
-    )
+    Starts from the per-customer totals shared with the RFM scores (written
+    once); the data's last date is the MAX over those rows, a scalar subquery."""
+    from tillsight.plans.rfm import shared_customer_totals, with_recency
+
+    totals = with_recency(shared_customer_totals(t), offset_days=0)
+    return totals.select(
+        "customer_id", F.col("recency").alias("recency_days"), "frequency",
+        round_sql(F.col("monetary"), 2).alias("monetary"),
+    ).orderBy(F.desc("monetary"))
 
 
 def customer_lifetime_value(t: RetailTables) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tillsight.functions.numeric import round_float_half_even
 from tillsight.operators.quantiles import (bin_score, discrete_quantiles, exact_quantiles,
                                           rank_quantile_edges)
-from tillsight.operators.ranking import ordinal_rank
+from tillsight.operators.ranking import ordinal_rank, require_checkpoint_dir
 from tillsight.operators.shares import share_of_total_bounded
 from tillsight.sources.model import RetailTables
 
@@ -49,6 +49,17 @@ def customer_totals(t: RetailTables) -> DataFrame:
         F.sum("order_revenue").alias("monetary"))
 
 
+def shared_customer_totals(t: RetailTables) -> DataFrame:
+    """``customer_totals`` materialised once per model (reliable checkpoint): the
+    RFM inputs, scores and edges all start from it, so the order-level table is
+    scanned once for all of them."""
+    if "customer_totals" not in t.memo:
+        totals = customer_totals(t)
+        require_checkpoint_dir(totals)
+        t.memo["customer_totals"] = totals.checkpoint(eager=True)
+    return t.memo["customer_totals"]
+
+
 def with_recency(totals: DataFrame, offset_days: int = 1) -> DataFrame:
     """Add recency = days from the last order to (latest last order + offset_days).
     The snapshot is the maximum over the per-customer rows, a scalar subquery."""
@@ -73,7 +84,7 @@ class RfmModel:
     def __init__(self, t: RetailTables, offset_days: int = 1):
         # rank first, then derive recency from the checkpointed per-customer rows:
         # the order-level table is read once (the snapshot date comes from the copy)
-        ranked = ordinal_rank(customer_totals(t), [F.col("frequency"), F.col("customer_id")], "f_rank",
+        ranked = ordinal_rank(shared_customer_totals(t), [F.col("frequency"), F.col("customer_id")], "f_rank",
                               total_col="n_customers")
         ranked = with_recency(ranked, offset_days)
         self.ranked = ranked
