@@ -45,9 +45,3 @@ def build_order_level(orders: DataFrame, order_items: DataFrame) -> DataFrame:
 def order_level(orders: DataFrame, order_items: DataFrame) -> DataFrame:
     """The order-level table built from the two relations."""
     return build_order_level(orders, order_items)
-
-
-def customer_orders(ol: DataFrame) -> DataFrame:
-    """(customer_id, order_id, order_date, order_total): the per-order CTE of the RFM query."""
-    return ol.select(
-        "customer_id", "order_id", "order_date", F.col("order_revenue").alias("order_total"))
