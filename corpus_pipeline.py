@@ -1,8 +1,65 @@
-"""Corpus pipeline."""
+"""Corpus pipeline: quality filter, near-dedup, decontamination, packing.
 
-STAGES: list = []
+Each stage takes (spark, docs, sf_dir) and works on all that its predecessor
+kept. The first three return rows of ``docs`` with their columns unchanged; the
+last returns the packed pieces. ``run`` writes each stage's result into the
+shared folder and reads it back for the next.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tillsight.llm import decontaminate, near_dup, packing, quality_fm
+from tillsight.llm.common import id_crc32, table, written
+
+#: Documents whose probability of quality 1 is below this go.
+QUALITY_FLOOR = 0.5
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops the documents that the quality classifier rejects."""
+    held_out = F.coalesce(id_crc32(F.col("doc_id")) % 4 == 2, F.lit(False))
+    model = quality_fm.train(docs, table(spark, sf_dir, "labels"), learn=~held_out)
+    scored = docs.withColumn("__score", quality_fm.score_column(docs, model))
+    return scored.where(F.col("__score") >= QUALITY_FLOOR).drop("__score")
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each near-duplicate group (5-word shingles, similarity 0.8).
+
+    Rows that repeat a kept id count as one document; rows without an id stay.
+    """
+    found = written(near_dup.near_duplicates(docs, words=5, percent=80), "near-dedup").where("doc_id IS NOT NULL")
+    gone = found.where("NOT kept").select("doc_id").distinct()
+    repeated = found.where("kept").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
+    rest = docs.join(gone, "doc_id", "left_anti")
+    once = rest.join(repeated, "doc_id", "left_anti")
+    return once.unionByName(rest.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])).select(*docs.columns)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents in which a 10-word window of a benchmark item occurs."""
+    hits, _ = decontaminate.document_hits(docs, table(spark, sf_dir, "benchmark"), window=10)
+    bad = hits.select(F.col("doc_id").alias("__id"), F.col("text_md5").alias("__md5")).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.md5(F.coalesce("text", F.lit("")).cast("binary")) == F.col("__md5"))
+    return docs.join(bad, same, "left_anti")
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Packs what is left into sequences of at most 2048 tokens."""
+    return packing.pack(docs)
+
+
+STAGES = [("quality_classifier", quality), ("near_dedup", near_dedup), ("decontamination", decontamination), ("packing", pack)]
+
+#: The classifier, the components and the packing are not SQL; tests/llm hold each stage against a brute-force version.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

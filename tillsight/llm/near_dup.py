@@ -13,9 +13,11 @@
 3. Buckets never emit all their pairs. The member that shares most buckets is
    the bucket's hub; every member is compared with it on full sets and linked
    classes are merged. What is left are pairs in one bucket whose classes are
-   still in different components. They are listed by a bucket join that drops a
-   pair when the sizes, the known overlaps with the hub (which bound the pair's
-   overlap) or the signature distance rule it out, and confirmed on full sets.
+   still in different components. For hub h, sets x and y share at most
+   ``min(|x & h|, |y & h|) + min(e_x, e_y)`` shingles, e_x being those of x outside
+   h that another member of the hub has as well. The remaining pairs are listed
+   by a bucket join that drops a pair when the sizes, this bound or the signature
+   distance rule it out, and are confirmed on full sets.
 4. Components of the confirmed links give each document its smallest reachable id.
 
 A pair is linked when ``100 * |A & B| >= percent * |A | B|`` on full sets.
@@ -41,7 +43,7 @@ from .common import filtered, id_filter, written
 from .components import connected_components
 
 CHUNKS, ERRORS, MISS = 10, 1, 1e-4
-#: Bucket members that one task compares with one another; larger buckets are dealt out in blocks.
+#: Members of a hub that one task compares with others; those of larger hubs are dealt out in blocks.
 BLOCK = 2048
 _MASK = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -152,13 +154,13 @@ def _sizes_allow(a: str, b: str, percent: int) -> Column:
 
 
 def overlaps(pairs: DataFrame, docs: DataFrame, words: int) -> DataFrame:
-    """(a, b, inter) of pairs of representatives, counted on the full sets.
+    """(a, b, inter, extra) of pairs of representatives, from the full sets: the
+    size of the common part and the hashes of a that b lacks.
 
     ``pairs`` has a, b and their digests da, db. The text of ``a`` travels to the
     pair by ``a``, then the pair to the text of ``b``; ``b`` may be a hub with very many
     partners, so its rows are salted by the number of its pairs.
     """
-    spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
     wanted = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id")))
     texts = filtered(texts, "id", id_filter(wanted, "id"))
@@ -183,12 +185,13 @@ def overlaps(pairs: DataFrame, docs: DataFrame, words: int) -> DataFrame:
                     continue
                 s = shingles(ta.as_py(), words)
                 if xxhash.xxh3_128_digest(s.tobytes()) == da.as_py():
-                    rows.append((a.as_py(), key[0], len(np.intersect1d(s, hub, assume_unique=True))))
-            cols = list(zip(*rows, strict=True)) or [(), (), ()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["a", "b", "inter"])
+                    extra = s[hub[np.minimum(np.searchsorted(hub, s), len(hub) - 1)] != s]
+                    rows.append((a.as_py(), key[0], len(s) - len(extra), extra.view(np.int64)))
+            cols = list(zip(*rows, strict=True)) or [(), (), (), ()]
+            yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols[:3]), pa.array(cols[3], pa.list_(pa.int64()))],
+                                             names=["a", "b", "inter", "extra"])
 
-    del spark
-    return both.mapInArrow(run, "a long, b long, inter long").dropDuplicates(["a", "b"])
+    return both.mapInArrow(run, "a long, b long, inter long, extra array<long>").dropDuplicates(["a", "b"])
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -217,31 +220,51 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
              .join(side("a"), "a").join(side("b"), "b").where(_sizes_allow("na", "nb", percent) & (_distance("sa", "sb", slots) <= limit)))
     first = written(first.select("a", "b", "na", "nb", "da", "db"), "hub-pairs")
     linked = F.expr(f"100 * inter >= {percent} * (na + nb - inter)")
-    known = written(first.join(overlaps(first, docs, words), ["a", "b"]).select("a", "b", "inter", linked.alias("linked")), "hub-overlaps")
+    known = written(first.join(overlaps(first, docs, words), ["a", "b"]).select("a", "b", "inter", "extra", linked.alias("linked")), "hub-overlaps")
     merged = written(connected_components(known.where("linked")), "merged")
 
-    # buckets whose members are still in several components
+    # members of buckets that are still in several components, once for each hub; two members of one bucket share its hub
     now = (hubbed.join(merged.withColumnRenamed("id", "rep"), "rep", "left")
            .select("key", "rep", "hub", F.coalesce("component", "rep").alias("component")))
-    mixed = now.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size")).where("low < high")
-    rest = (now.join(mixed.select("key", "size"), "key").where("rep <> hub")
-            .join(known.select(F.col("a").alias("rep"), F.col("b").alias("hub"), "inter"), ["rep", "hub"], "left")
-            .join(info.drop("digest"), "rep")
-            .withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int")).select("key", "rep", "component", "inter", "n", "sig", "blocks"))
-    rest = written(rest, "rest")
-    left = rest.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")).drop("blocks")
+    mixed = now.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("key")
+    rest = written(now.join(mixed, "key").where("rep <> hub").groupBy("rep", "hub").agg(F.first("component").alias("component")), "rest")
+    # every remaining member's overlap with its hub, also where the signatures are too far apart
+    pairs = rest.select(F.col("rep").alias("a"), F.col("hub").alias("b"))
+    lacking = written(pairs.join(known.select("a", "b"), ["a", "b"], "left_anti").join(side("a"), "a").join(side("b"), "b")
+                      .select("a", "b", "na", "nb", "da", "db"), "lacking")
+    apart = written(lacking.join(overlaps(lacking, docs, words), ["a", "b"]).select("a", "b", "inter", "extra", linked.alias("linked")), "apart")
+    seen = written(known.union(apart).join(pairs, ["a", "b"], "left_semi").select("a", "b", "inter", "extra"), "seen")
+    # what a member has beyond its hub can only add to a pair's overlap where another member of the hub has it too
+    extras = seen.select("a", "b", F.explode("extra").alias("s"))
+    common = extras.groupBy("b", "s").agg(F.count("*").alias("n")).where("n > 1").drop("n")
+    spare = extras.join(common, ["b", "s"]).groupBy("a", "b").agg(F.count("*").alias("spare"))
+    spare = seen.select("a", "b", "inter").join(spare, ["a", "b"], "left").select(
+        F.col("a").alias("rep"), F.col("b").alias("hub"), "inter", F.coalesce("spare", F.lit(0)).alias("spare"))
+    home = merged.select(F.col("id").alias("hub"), F.col("component").alias("home"))
+    sizes = rest.groupBy("hub").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    rest = written(rest.join(spare, ["rep", "hub"]).join(info.drop("digest"), "rep").join(sizes, "hub").join(home, "hub", "left").select(
+        "hub", "rep", "component", "inter", "spare", "n", "sig", "blocks",
+        (F.col("component") == F.coalesce("home", "hub")).alias("at_home")), "members-left")
+
+    def reachable(inter: str, n: str, other: str) -> str:
+        """Whether an overlap of at most ``inter`` can link sets of these sizes."""
+        return f"100 * ({inter}) >= {percent} * (({n}) + greatest({other}, {inter}) - ({inter}))"
+
+    # pairs with at least one side outside the hub's component; that side must be able to reach the threshold at all
+    left = (rest.where(~F.col("at_home") & F.expr(reachable("inter + spare", "n", f"{percent} * n div 100")))
+            .withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")).drop("blocks", "at_home"))
     right = rest.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
-    both = left.alias("l").join(right.alias("r"), [F.col("l.key") == F.col("r.key"), F.col("l.block") == F.col("r.block"),
-                                                   F.col("l.rep") < F.col("r.rep"), F.col("l.component") != F.col("r.component"),
-                                                   _sizes_allow("l.n", "r.n", percent),
-                                                   F.expr(f"l.inter IS NULL OR r.inter IS NULL OR 100 * (least(l.inter, r.inter) + least(l.n - l.inter, r.n - r.inter))"
-                                                          f" >= {percent} * (l.n + r.n - least(l.inter, r.inter) - least(l.n - l.inter, r.n - r.inter))"),
+    most = "least(l.inter, r.inter) + least(l.spare, r.spare)"
+    both = left.alias("l").join(right.alias("r"), [F.col("l.hub") == F.col("r.hub"), F.col("l.block") == F.col("r.block"),
+                                                   F.expr("r.at_home OR l.rep < r.rep"), F.col("l.component") != F.col("r.component"),
+                                                   _sizes_allow("l.n", "r.n", percent), F.expr(reachable(most, "l.n", "r.n")),
                                                    _distance("l.sig", "r.sig", slots) <= limit])
-    second = both.select(F.col("l.rep").alias("a"), F.col("r.rep").alias("b")).distinct()
-    tested = known.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    second = both.select(F.least("l.rep", "r.rep").alias("a"), F.greatest("l.rep", "r.rep").alias("b")).distinct()
+    tested = known.select("a", "b").union(apart.select("a", "b"))
+    tested = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     second = second.join(tested, ["a", "b"], "left_anti").join(side("a"), "a").join(side("b"), "b")
     second = written(second.select("a", "b", "na", "nb", "da", "db"), "rest-pairs")
-    more = second.join(overlaps(second, docs, words), ["a", "b"]).where(linked).select("a", "b")
+    more = second.join(overlaps(second, docs, words), ["a", "b"]).where(linked).select("a", "b").union(apart.where("linked").select("a", "b"))
 
     # links of the first round are a star forest already; only what the second adds is contracted
     links = merged.where("id <> component").select(F.col("id").alias("a"), F.col("component").alias("b")).union(more)

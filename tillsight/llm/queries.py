@@ -5,10 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import near_dup, quality_fm
+from . import decontaminate, near_dup, packing, quality_fm
 from .common import id_crc32, table
 
 
+def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
+    return rows.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                       F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     held_out = F.coalesce(id_crc32(F.col("doc_id")) % 4 == 2, F.lit(False))
@@ -17,10 +23,50 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("predicted", (F.col("score") >= 0.7).cast("int")))
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents"), tokenizer="byte_bpe_50k.json", end_id=1)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "tier", "step_group")
+
+
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
 
 
-QUERIES = {f.__name__: f for f in (op7_quality_classifier, op9_minhash_near_dedup)}
+QUERIES = {f.__name__: f for f in (op1_benchmark_decontamination, op7_quality_classifier, op8_packing, op9_minhash_near_dedup)}
+
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+OP1_SQL = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '{decontaminate.WORD}') AS w
+  FROM documents
+), b AS (
+  SELECT item_id, regexp_extract_all(translate(text, '{_UPPER}', '{_UPPER.lower()}'), '{decontaminate.WORD}') AS w
+  FROM benchmark WHERE text IS NOT NULL AND item_id IS NOT NULL
+), bw AS (
+  SELECT item_id, w, least(10, len(w)) AS k, unnest(range(0, len(w) - least(10, len(w)) + 1)) AS i FROM b WHERE len(w) > 0
+), win AS (
+  SELECT DISTINCT item_id, k, array_to_string(w[i + 1:i + k], ' ') AS s FROM bw
+), dw AS (
+  SELECT d.rid, ks.k, d.w, unnest(range(0, len(d.w) - ks.k + 1)) AS i
+  FROM d, (SELECT DISTINCT k FROM win) ks WHERE len(d.w) >= ks.k
+), pos AS (
+  SELECT rid, k, i, array_to_string(w[i + 1:i + k], ' ') AS s FROM dw
+), hit AS (
+  SELECT pos.rid, pos.i, pos.k, win.item_id FROM pos JOIN win ON pos.k = win.k AND pos.s = win.s
+), spot AS (
+  SELECT rid, unnest(range(i, i + k)) AS p FROM (SELECT DISTINCT rid, i, k FROM hit)
+), cov AS (
+  SELECT rid, count(DISTINCT p) AS n_hit FROM spot GROUP BY rid
+), its AS (
+  SELECT rid, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT rid, CAST(item_id AS VARCHAR) AS id FROM hit) GROUP BY rid
+)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(cov.n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(its.n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(its.ids, '')) AS items_sha256,
+       coalesce(cov.n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN cov ON d.rid = cov.rid LEFT JOIN its ON d.rid = its.rid
+"""
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op1_benchmark_decontamination": OP1_SQL}
