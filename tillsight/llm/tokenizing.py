@@ -75,12 +75,33 @@ class ByteLevel:
             import tiktoken
 
             self.fast = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+            self.width = np.zeros(max(ranks.values()) + 1, np.int64)  # bytes of each id
+            for token, i in ranks.items():
+                self.width[i] = len(token)
         self.cache: dict[str, bytes] = {}
         self.held = 0
 
     def _part(self, part: str) -> bytes:
         return np.array(self.fast.encode_ordinary(part), "<u4").tobytes()
 
+    def _learn(self, parts: set[str]) -> None:
+        """Encode new parts in one call; the ids' widths in bytes tell where each part ends."""
+        if "" in parts:  # a blank at the end of a text
+            self.cache[""] = self._part(" ")
+            parts.discard("")
+        order = list(parts)
+        ids = np.array(self.fast.encode_ordinary(" " + " ".join(order)) if order else [], "<u4")
+        ends = np.cumsum(self.width[ids])
+        wanted = np.cumsum(np.fromiter((len(p.encode("utf-8", "surrogatepass")) + 1 for p in order), np.int64, len(order)))
+        cuts = np.searchsorted(ends, wanted) + 1
+        if len(order) and not np.array_equal(ends[cuts - 1], wanted):
+            raise ValueError("a token crosses a blank")
+        at = 0
+        for part, cut in zip(order, cuts.tolist(), strict=True):
+            self.cache[part] = ids[at:cut].tobytes()
+            self.held += len(part) + 8
+            at = cut
+
     def ids(self, text: str) -> bytes:
         """The text's ids as little-endian 32-bit numbers."""
         if self.fast is None or any(s in text for s in self.special):
@@ -95,10 +116,7 @@ class ByteLevel:
             if self.held > CACHE_CHARS:
                 cache.clear()
                 self.held = 0
-            encode = self.fast._core_bpe.encode_ordinary
-            for part in set(parts) - cache.keys():
-                cache[part] = np.array(encode(" " + part), "<u4").tobytes()
-                self.held += len(part) + 8
+            self._learn({p for p in parts if p not in cache})
             rest = b"".join(map(cache.__getitem__, parts))
         return self._part(first) + rest if first else rest
 
