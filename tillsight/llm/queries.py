@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, near_dup, packing, quality_fm, sharding, token_counts, topk
+from . import decontaminate, licenses, near_dup, packing, quality_fm, sharding, token_counts, topk, url_graph
 from .common import id_crc32, table
 
 
@@ -28,6 +28,14 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+#: Fixed values: (verdict, host, path) of the rules.
+URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
+
+
+def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_graph.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     held_out = F.coalesce(id_crc32(F.col("doc_id")) % 4 == 2, F.lit(False))
@@ -45,7 +53,14 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
 
 
-QUERIES = {f.__name__: f for f in (op1_benchmark_decontamination, op2_exact_top_k, op4_token_counts, op5_sharding, op7_quality_classifier, op8_packing, op9_minhash_near_dedup)}
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents"))
+    families = F.array_sort(F.array_distinct(F.col("licences.family")))
+    return found.select("doc_id", "n_paragraphs", F.size("licences").cast("long").alias("n_licences"), F.concat_ws(",", families).alias("families"),
+                        F.array_max("licences.probability").alias("probability"))
+
+
+QUERIES = {f.__name__: f for f in (op1_benchmark_decontamination, op2_exact_top_k, op4_token_counts, op5_sharding, op6_url_filters, op7_quality_classifier, op8_packing, op9_minhash_near_dedup, op10_license_scan)}
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
