@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, licenses, near_dup, packing, quality_fm, sharding, token_counts, topk, url_graph
+from . import decontaminate, licenses, lm_scoring, near_dup, packing, quality_fm, sharding, token_counts, topk, url_graph
 from .common import id_crc32, table
 
 
@@ -19,6 +19,11 @@ def op2_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64)
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(id_crc32(F.col("doc_id")) % 7 == 2, F.lit(False))
+    return lm_scoring.score_documents(table(spark, sf_dir, "documents"), held_out, tokenizer="byte_bpe_50k.json")
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer="piece_bpe_32k.model", limit=4096)
 
@@ -60,7 +65,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.array_max("licences.probability").alias("probability"))
 
 
-QUERIES = {f.__name__: f for f in (op1_benchmark_decontamination, op2_exact_top_k, op4_token_counts, op5_sharding, op6_url_filters, op7_quality_classifier, op8_packing, op9_minhash_near_dedup, op10_license_scan)}
+QUERIES = {f.__name__: f for f in (op1_benchmark_decontamination, op2_exact_top_k, op3_lm_scoring, op4_token_counts, op5_sharding, op6_url_filters, op7_quality_classifier, op8_packing, op9_minhash_near_dedup, op10_license_scan)}
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
