@@ -26,36 +26,44 @@ from pyspark.sql import functions as F
 from .common import ascii_lower, written
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: The same before A-Z are lower-cased.
+WORD_ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 SHINGLE = 3
+#: The token of place -1; a shingle with the same hash would only add a place to compare.
+MARK = -1
 #: Distinct benchmark shingles (a hash of 8 bytes each) that are broadcast; more are joined by a shuffle.
 BROADCAST_SHINGLES = 1 << 20
 
 
 def words_of(text: Column) -> Column:
-    return F.coalesce(F.regexp_extract_all(ascii_lower(text), F.lit(WORD), F.lit(0)), F.array().cast("array<string>"))
+    """Words of a text, each in its own case."""
+    return F.coalesce(F.regexp_extract_all(text, F.lit(WORD_ANY_CASE), F.lit(0)), F.array().cast("array<string>"))
 
 
 def _shingle(words: str, at: str, length: int) -> Column:
-    return F.expr(f"xxhash64({length}, " + ", ".join(f"{words}[{at} + {j}]" for j in range(length)) + ")")
+    """A hash that ignores case. ``lower`` folds more than A-Z, which only adds places to compare."""
+    return F.expr(f"xxhash64({length}, " + ", ".join(f"lower(get({words}, {at} + {j}))" for j in range(length)) + ")")
 
 
 def item_windows(items: DataFrame, window: int) -> DataFrame:
     """(item_id, phrase, n): the windows of every item, their words joined by blanks."""
-    return (items.where("item_id IS NOT NULL AND text IS NOT NULL").select(F.col("item_id").cast("string").alias("item_id"), words_of(F.col("text")).alias("w"))
+    return (items.where("item_id IS NOT NULL AND text IS NOT NULL").select(F.col("item_id").cast("string").alias("item_id"), words_of(ascii_lower(F.col("text"))).alias("w"))
             .where("size(w) > 0").withColumn("n", F.least(F.lit(window), F.size("w")))
             .select("item_id", "n", "w", F.expr("explode(sequence(0, size(w) - n))").alias("i"))
             .select("item_id", F.expr("concat_ws(' ', slice(w, i + 1, n))").alias("phrase"), "n").distinct())
 
 
-def document_hits(docs: DataFrame, items: DataFrame, window: int = 10) -> tuple[DataFrame, DataFrame]:
-    """Occurrences of windows: (doc_id, text_md5, start, n, wid), and (wid, item_id)."""
+def document_hits(docs: DataFrame, items: DataFrame, window: int = 10) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Occurrences of windows: (doc_id, text_md5, start, n, wid); (wid, item_id); and
+    (doc_id, text_md5, n_words) for every row of ``docs``."""
     every = item_windows(items, window)
     windows = written(every.select("phrase", "n").distinct().withColumn("wid", F.monotonically_increasing_id()), "windows")
     owners = written(every.join(windows, ["phrase", "n"]).select("wid", "item_id"), "window-items")
     parts = windows.withColumn("w", F.split("phrase", " ")).withColumn("g", F.least(F.lit(SHINGLE), F.col("n")))
     parts = parts.select("wid", "g", "w", F.expr("explode(sequence(0, n - g))").alias("offset"))
     parts = written(parts.select("wid", "offset", "g", F.coalesce(*(F.when(F.col("g") == g, _shingle("w", "offset", g)) for g in range(1, SHINGLE + 1))).alias("tok")), "window-shingles")
-    wanted = written(parts.select("tok").distinct(), "shingles")
+    mark = F.lit(MARK).cast("long").alias("tok")
+    wanted = written(parts.select("tok").union(docs.sparkSession.range(1).select(mark)).distinct(), "shingles")
     if wanted.count() <= BROADCAST_SHINGLES:
         wanted = F.broadcast(wanted)
     lengths = sorted(r["g"] for r in parts.select("g").distinct().collect()) or [SHINGLE]  # at most SHINGLE rows
@@ -63,12 +71,17 @@ def document_hits(docs: DataFrame, items: DataFrame, window: int = 10) -> tuple[
     text = docs.select("doc_id", F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("text_md5"), words_of(F.col("text")).alias("w"))
     found = None
     for g in lengths:
-        at = text.where(F.size("w") >= g).select("doc_id", "text_md5", "w", F.explode(F.expr(f"sequence(0, size(w) - {g})")).alias("i"))
-        at = (at.withColumn("tok", _shingle("w", "i", g)).join(wanted, "tok")
-              .withColumn("low", F.greatest(F.col("i") - (window - 1), F.lit(0)))
-              .select("doc_id", "text_md5", "tok", "i", "low", F.size("w").alias("n_words"), F.expr(f"concat_ws(' ', slice(w, low + 1, {2 * window}))").alias("around")))
+        # No filter on w, and an outer explode: either would be pushed below the words and find them twice.
+        # Place -1 stands for the row itself and is found through a token of its own.
+        at = text.select("doc_id", "text_md5", "w", F.explode_outer(F.expr(f"sequence({-1 if g == lengths[0] else 0}, greatest(size(w) - {g}, {-1 if g == lengths[0] else 0}))")).alias("i"))
+        tok = F.when(F.col("i") < 0, mark).when(F.col("i") + g <= F.size("w"), _shingle("w", "i", g))
+        at = (at.withColumn("tok", tok).join(wanted, "tok").withColumn("low", F.greatest(F.col("i") - (window - 1), F.lit(0)))
+              .select("doc_id", "text_md5", "tok", "i", "low", F.size("w").alias("n_words"),
+                      F.when(F.col("i") >= 0, F.expr(f"concat_ws(' ', slice(w, low + 1, {2 * window}))")).alias("around")))
         found = at if found is None else found.union(at)
     found = written(found, "shingles-found")
+    rows = found.where("i < 0").select("doc_id", "text_md5", F.col("n_words").cast("long").alias("n_words"))
+    found = found.where("i >= 0")
 
     # the rarest shingle of each window; a window with one that never occurs cannot occur
     rarity = found.groupBy("tok").agg(F.count("*").alias("df"))
@@ -78,14 +91,14 @@ def document_hits(docs: DataFrame, items: DataFrame, window: int = 10) -> tuple[
     prefix = written(prefix.select("wid", "tok", "offset", "n", "phrase"), "prefixes")
     hits = (found.join(prefix, "tok").withColumn("start", F.col("i") - F.col("offset"))
             .where("start >= 0 AND start + n <= n_words")
-            .where("concat_ws(' ', slice(split(around, ' '), start - low + 1, n)) = phrase")
+            .where(ascii_lower(F.expr("concat_ws(' ', slice(split(around, ' '), start - low + 1, n))")) == F.col("phrase"))
             .select("doc_id", "text_md5", "start", "n", "wid").distinct())
-    return written(hits, "hits"), owners
+    return written(hits, "hits"), owners, rows
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10) -> DataFrame:
     """doc_id, text_md5, n_words, n_hit, items (sorted as strings) and hit spans for every row of ``docs``."""
-    hits, owners = document_hits(docs, items, window)
+    hits, owners, rows = document_hits(docs, items, window)
     # a row's hit words: what each occurrence adds beyond the furthest end before it
     before = "max(start + n) OVER (PARTITION BY doc_id, text_md5 ORDER BY start, n, wid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
     spans = (hits.withColumn("reach", F.expr(before))
@@ -93,8 +106,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10) -> DataFr
              .groupBy("doc_id", "text_md5").agg(F.sum("gain").alias("n_hit"), F.array_sort(F.collect_set(F.struct("start", (F.col("start") + F.col("n")).alias("end")))).alias("spans")))
     held = (hits.select("doc_id", "text_md5", "wid").distinct().join(owners, "wid").select("doc_id", "text_md5", "item_id").distinct()
             .groupBy("doc_id", "text_md5").agg(F.array_sort(F.collect_set("item_id")).alias("items")))
-    rows = docs.select(F.col("doc_id").alias("id"), F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("md5"),
-                       F.size(words_of(F.col("text"))).cast("long").alias("n_words"))
+    rows = rows.withColumnsRenamed({"doc_id": "id", "text_md5": "md5"})
     same = F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("md5") == F.col("text_md5"))
     out = rows.join(spans, same, "left").drop("doc_id", "text_md5").join(held, same, "left")
     return out.select(F.col("id").alias("doc_id"), F.col("md5").alias("text_md5"), "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
