@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillsight.llm import decontaminate, near_dup, packing, quality_fm
-from tillsight.llm.common import id_crc32, table, written
+from tillsight.llm.common import bounded_batches, id_crc32, table, without, written
 
 #: Documents whose probability of quality 1 is below this go.
 QUALITY_FLOOR = 0.5
@@ -31,24 +31,28 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Rows that repeat a kept id count as one document; rows without an id stay.
     """
+    bounded_batches(spark)
     found = written(near_dup.near_duplicates(docs, words=5, percent=80), "near-dedup").where("doc_id IS NOT NULL")
-    gone = found.where("NOT kept").select("doc_id").distinct()
-    repeated = found.where("kept").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
-    rest = docs.join(gone, "doc_id", "left_anti")
-    once = rest.join(repeated, "doc_id", "left_anti")
-    return once.unionByName(rest.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])).select(*docs.columns)
+    gone = written(found.where("NOT kept").select("doc_id").distinct(), "near-dedup-gone")
+    repeated = written(found.where("kept").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"), "near-dedup-repeated")
+    rest = without(docs, gone, "doc_id")
+    if not repeated.take(1):
+        return rest
+    again = rest.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return without(rest, repeated, "doc_id").unionByName(again).select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents in which a 10-word window of a benchmark item occurs."""
-    hits, _ = decontaminate.document_hits(docs, table(spark, sf_dir, "benchmark"), window=10)
-    bad = hits.select(F.col("doc_id").alias("__id"), F.col("text_md5").alias("__md5")).distinct()
+    hits, _, _ = decontaminate.document_hits(docs, table(spark, sf_dir, "benchmark"), window=10)
+    bad = written(hits.select(F.col("doc_id").alias("__id"), F.col("text_md5").alias("__md5")).distinct(), "contaminated")
     same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.md5(F.coalesce("text", F.lit("")).cast("binary")) == F.col("__md5"))
-    return docs.join(bad, same, "left_anti")
+    return without(docs, bad, same)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packs what is left into sequences of at most 2048 tokens."""
+    bounded_batches(spark)
     return packing.pack(docs)
 
 

@@ -13,7 +13,19 @@ from pyspark.sql import functions as F
 from tillsight.session import ensure_checkpoint_dir
 
 
+#: Rows of an Arrow batch: whole texts may be long, and a worker holds a batch or two.
+BATCH_ROWS = 1000
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Set the session's Arrow batches to ``BATCH_ROWS`` where they are larger."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -87,3 +99,12 @@ def filtered(rows: DataFrame, column: str, bitmap: np.ndarray) -> DataFrame:
 
     names = rows.columns
     return keyed.mapInArrow(keep, rows.schema)
+
+
+#: Key rows that are broadcast to drop rows; more are joined by a shuffle.
+BROADCAST_ROWS = 1 << 20
+
+
+def without(docs: DataFrame, keys: DataFrame, on) -> DataFrame:
+    """Rows of ``docs`` that match no row of ``keys`` (a written table, distinct)."""
+    return docs.join(F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys, on, "left_anti")
