@@ -157,7 +157,8 @@ def scan_text(text: str | None, model: LicenceModel, templates: dict[str, list[s
 def train(docs: DataFrame) -> LicenceModel:
     """Ordinary lines come from the ``SAMPLE_DOCS`` documents of smallest id hash, ``SAMPLE_LINES`` of each."""
     lines = F.slice(F.filter(F.split("text", "\n"), lambda x: ~F.lower(x).rlike("licen|copyright|spdx|redistribut|permission")), 1, SAMPLE_LINES)
-    got = docs.where("text IS NOT NULL").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS).select(F.transform(lines, lambda x: F.substring(x, 1, 400)).alias("lines")).collect()  # bounded
+    picked = docs.select("doc_id").where("doc_id IS NOT NULL").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS)
+    got = docs.where("text IS NOT NULL").join(F.broadcast(picked), "doc_id").orderBy("doc_id", "text").limit(SAMPLE_DOCS).select(F.transform(lines, lambda x: F.substring(x, 1, 400)).alias("lines")).collect()  # bounded
     return fit([x for r in got for x in r["lines"] if x])
 
 
