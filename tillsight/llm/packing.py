@@ -38,7 +38,7 @@ from .tokenizing import byte_level
 TIERS = (2048, 1024, 512, 256)
 CHUNK_DOCS = 1024
 #: Sequences of a step group, and the groups between which closed windows are dealt.
-GROUP, DEAL = 16, 4
+GROUP, DEAL = 16, 16
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, tier int, step_group long"
 
 
