@@ -152,15 +152,41 @@ def test_sampling_is_exact_and_matches_brute_force(spark):
     assert member == sum(hashlib.md5(f"{k}:campaign".encode()).hexdigest()[:2] < "60" for k in range(500))
 
 
-def test_large_sample_uses_distributed_rank_and_matches_top_n(spark, monkeypatch):
-    from tillsight.operators import sampling
+def test_sample_matches_a_plain_top_n_for_every_n(spark):
+    from tillsight.operators.sampling import salted_md5
     df = spark.range(0, 800).withColumnRenamed("id", "k")
-    small = sorted(r.k for r in sampling.sample_exact_n(df, "k", 300, "s").collect())
-    monkeypatch.setattr(sampling, "TOP_N_MERGE_LIMIT", 10)
-    large = sorted(r.k for r in sampling.sample_exact_n(df, "k", 300, "s").collect())
-    assert small == large and len(large) == 300
+    for n in (1, 300, 800, 900):
+        got = sorted(r.k for r in sample_exact_n(df, "k", n, "s").collect())
+        assert got == sorted(r.k for r in df.orderBy(salted_md5(F.col("k"), "s"), "k").limit(n).collect())
 
 
+def test_product_codes_use_the_last_four_characters(spark):
+    from tillsight.functions.text import product_code
+    df = spark.createDataFrame([("electronics", "PROD0001"), ("toys", "12345"), ("toys", "7")], "c string, i string")
+    assert [r[0] for r in df.select(product_code(F.col("c"), F.col("i"))).collect()] == ["ELEC-0001", "TOYS-2345", "TOYS-0007"]
+
+
+def test_gap_filling_leaves_out_rows_without_a_month(spark):
+    from tillsight.operators.gapfill import fill_month_gaps
+    df = spark.sql("SELECT * FROM VALUES (DATE '2024-01-01', 1), (DATE '2024-03-01', 3), (CAST(NULL AS DATE), 9) AS t(month, v)")
+    assert [r.v for r in fill_month_gaps(df, "month", ["v"]).orderBy("month").collect()] == [1, 0, 3]
+
+
+def test_channel_matrix_keeps_unknown_channels(spark):
+    from tillsight.plans.sales import region_channel_matrix
+
+    class Tables:
+        order_level = spark.sql("SELECT * FROM VALUES ('W', 'Email', 5.0), ('W', 'Fax', 9.0), ('W', NULL, 2.0) AS t(region, acquisition_channel, order_revenue)")
+    row = region_channel_matrix(Tables, ["Email"]).first()
+    assert (float(row["Email"]), float(row["other"])) == (5.0, 11.0)
+
+
+def test_lines_carry_their_own_price_and_unknown_parts_stay(spark, scratch):
+    from tillsight.sources.adapter import retail_from_driver
+    spark.sql("SELECT 1L AS l_orderkey, 999L AS l_partkey, 4.0D AS l_quantity, 10.02D AS l_extendedprice").write.parquet(f"{scratch}/lineitem.parquet")
+    row = retail_from_driver(spark, scratch).order_items.first()
+    assert (row.quantity, float(row.unit_price), float(row.unit_cost)) == (4, 2.51, round(2.51 * (40 + 999 % 26) / 100, 2))
+
 def test_exact_quantiles_with_heavy_ties_and_tiebreak(spark):
     vals = [5.0] * 400 + [float(i) for i in range(800)]
     df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "id long, x double")

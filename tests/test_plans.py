@@ -53,4 +53,10 @@ def test_order_revenue_is_partially_aggregated_before_the_join(spark):
 def test_scan_reads_only_needed_columns(spark):
     df = entry.queries()["category_revenue"](spark, SF)
     p = df._jdf.queryExecution().executedPlan().toString()
-    assert "l_extendedprice" not in p and "l_shipdate" not in p
+    assert "l_discount" not in p and "l_shipdate" not in p and "p_retailprice" not in p
+
+
+def test_order_level_reads_no_products(spark):
+    from tillsight.sources.adapter import retail_from_driver
+    p = plan(retail_from_driver(spark, SF).order_level)
+    assert "part.parquet" not in p and "p_partkey" not in p

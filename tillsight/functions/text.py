@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 
 
 def product_code(category: Column, product_id: Column) -> Column:
-    """``UPPER(first 4 letters of category)-last 4 digits of the id``, e.g. ``ELEC-0001``."""
-    digits = F.lpad(product_id.cast("string"), 4, "0")
-    return F.concat(F.upper(F.substring(category, 1, 4)), F.lit("-"), F.substring(digits, -4, 4))
+    """``UPPER(first 4 letters of category)-last 4 characters of the id``, e.g. ``ELEC-0001``; shorter ids are padded."""
+    return F.concat(F.upper(F.substring(category, 1, 4)), F.lit("-"), F.lpad(F.right(product_id.cast("string"), F.lit(4)), 4, "0"))
 
 
 def padded_id(prefix: str, n: Column, width: int) -> Column:

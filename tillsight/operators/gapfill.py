@@ -17,10 +17,11 @@ def fill_month_gaps(df: DataFrame, month_col: str, value_cols: Sequence[str],
     One aggregation per group gathers its month -> values map with the first and
     last month (bounded by the months spanned, not by the data volume); the
     calendar is then exploded from those bounds and looked up in the map. The
-    input is read once: no self-join of the aggregate.
+    input is read once: no self-join of the aggregate. Rows without a month have
+    no place in the calendar and are left out.
     """
     values = F.struct(*[F.col(c).alias(c) for c in value_cols])
-    per_group = df.groupBy(*group_cols).agg(
+    per_group = df.where(F.col(month_col).isNotNull()).groupBy(*group_cols).agg(
         F.map_from_entries(F.collect_list(F.struct(F.col(month_col), values))).alias("_gf_m"),
         F.min(month_col).alias("_gf_lo"), F.max(month_col).alias("_gf_hi"))
     calendar = per_group.select(

@@ -27,21 +27,13 @@ def assign_arm(key: Column, salt: str, first: str = "control", second: str = "va
     return F.when(F.substring(salted_md5(key, salt), 1, 1) < F.lit("8"), F.lit(first)).otherwise(F.lit(second))
 
 
-# Above this many rows the final merge of a top-n would sit in one task.
-TOP_N_MERGE_LIMIT = 100_000
-
-
 def sample_exact_n(df: DataFrame, key: str, n: int, seed: str) -> DataFrame:
     """Exactly ``min(n, rows)`` rows without replacement, the same for any partitioning.
 
-    Rows are ordered by a salted md5 of the key and the first ``n`` kept. For
-    small n Spark plans a bounded top-n (each task keeps n rows, one merge of
-    n x tasks rows); for large n the position comes from the distributed
-    ordinal rank instead, so no task ever holds the whole sample.
+    Rows are ordered by a salted md5 of the key and the first ``n`` kept. The
+    position comes from the distributed ordinal rank for every ``n``, so no task
+    ever holds the whole sample.
     """
-    order = [salted_md5(F.col(key), seed).alias("_s_h"), F.col(key)]
-    if n <= TOP_N_MERGE_LIMIT:
-        return df.orderBy(*order).limit(n)
     from tillsight.operators.ranking import ordinal_rank
 
     ranked = ordinal_rank(df.withColumn("_s_h", salted_md5(F.col(key), seed)), ["_s_h", key], "_s_pos")

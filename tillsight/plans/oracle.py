@@ -34,9 +34,12 @@ rc_orders AS (
   LEFT JOIN (SELECT customer_id, MIN(region) AS region, MIN(acquisition_channel) AS acquisition_channel
              FROM rc_customers GROUP BY customer_id) c ON c.customer_id = o.o_custkey),
 rc_items AS (
-  SELECT l.l_orderkey AS order_id, l.l_partkey AS product_id, CAST(l.l_quantity AS INTEGER) AS quantity,
-         p.unit_price, p.unit_cost
-  FROM lineitem l JOIN rc_products p ON p.product_id = l.l_partkey),
+  SELECT order_id, product_id, quantity, CAST(CAST(cents AS DECIMAL(12,0)) * 0.01 AS DECIMAL(12,2)) AS unit_price,
+         CAST(CAST((2 * cents * (40 + product_id % 26) + 100) // 200 AS DECIMAL(12,0)) * 0.01 AS DECIMAL(12,2)) AS unit_cost
+  FROM (SELECT l_orderkey AS order_id, l_partkey AS product_id, CAST(l_quantity AS INTEGER) AS quantity,
+               (2 * CAST(ROUND(l_extendedprice * 100) AS BIGINT) + CAST(l_quantity AS INTEGER))
+                 // NULLIF(2 * CAST(l_quantity AS INTEGER), 0) AS cents
+        FROM lineitem)),
 rc_order_level AS (
   SELECT o.order_id, o.customer_id, o.order_date, o.region, o.acquisition_channel,
          SUM(i.quantity * i.unit_price) AS order_revenue
@@ -52,8 +55,7 @@ rc_campaign AS (
   FROM rc_customers c
   LEFT JOIN (SELECT customer_id, SUM(order_revenue) AS v FROM rc_order_level
              WHERE order_date >= DATE '2000-01-01' AND order_date < DATE '2000-03-01'
-             GROUP BY customer_id) w ON w.customer_id = c.customer_id
-  WHERE substr(md5(CAST(c.customer_id AS VARCHAR) || ':campaign'), 1, 2) < '60')"""
+             GROUP BY customer_id) w ON w.customer_id = c.customer_id)"""
 
 
 def _sql(body: str) -> str:
@@ -258,7 +260,8 @@ SELECT region, acquisition_channel, CAST(revenue AS DOUBLE) AS revenue FROM cell
 
     "region_channel_matrix": _sql("SELECT region, " + ", ".join(
         f"CAST(SUM(CASE WHEN acquisition_channel = '{c}' THEN order_revenue END) AS DOUBLE) AS \"{c}\""
-        for c in CHANNELS) + " FROM rc_order_level GROUP BY region ORDER BY region"),
+        for c in CHANNELS) + ", CAST(SUM(CASE WHEN acquisition_channel IS NULL OR acquisition_channel NOT IN (" + ", ".join(f"'{c}'" for c in CHANNELS)
+        + ") THEN order_revenue END) AS DOUBLE) AS other FROM rc_order_level GROUP BY region ORDER BY region"),
 
     "channel_rank_by_region": _sql(_CELLS + """
 SELECT region, acquisition_channel, CAST(revenue AS DOUBLE) AS revenue,
@@ -291,7 +294,7 @@ FROM months ORDER BY 1"""),
 
     "product_codes": _sql("""
 SELECT product_id, category,
-       upper(substr(category, 1, 4)) || '-' || right(lpad(CAST(product_id AS VARCHAR), 4, '0'), 4) AS product_code
+       upper(substr(category, 1, 4)) || '-' || lpad(right(CAST(product_id AS VARCHAR), 4), 4, '0') AS product_code
 FROM rc_products"""),
 
     "rfm_inputs": _sql("""

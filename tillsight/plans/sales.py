@@ -171,14 +171,19 @@ def region_channel_long(t: RetailTables) -> DataFrame:
 def region_channel_matrix(t: RetailTables, channels: list[str] | None = None) -> DataFrame:
     """Pivot: one row per region, one column per channel (NULL where no revenue).
 
-    With the channel list given, the pivot needs no extra job to discover it
-    and the schema is stable; without it Spark finds the (few) distinct
-    channels first.
+    With the channel list given, the pivot needs no extra job to discover it,
+    the schema is stable, and a last column ``other`` holds the revenue of unknown
+    and missing channels, so a row always sums to its region. Without it Spark
+    finds the (few) distinct channels first.
     """
+    cells = t.order_level
+    if channels:
+        known = F.col("acquisition_channel").isin(*channels)
+        cells = cells.withColumn("acquisition_channel", F.when(known, F.col("acquisition_channel")).otherwise("other"))
     return (
-        t.order_level
+        cells
         .groupBy("region")
-        .pivot("acquisition_channel", channels)
+        .pivot("acquisition_channel", [*channels, "other"] if channels else None)
         .agg(F.sum("order_revenue"))
         .orderBy("region")
     )

@@ -10,7 +10,7 @@ Mapping (fixed values, the same in the DuckDB oracle):
                    region and channel copied from the customer (NULL when the
                    customer is unknown)
   lineitem      -> order_items: quantity, price and cost of the product
-  customers     -> campaign: a 3/8 hash sample of customers, arms by hash,
+  customers     -> campaign: all customers, arms by hash,
                    converted when the customer has completed revenue in
                    2000-01 .. 2000-02, order_value = that revenue
 """
@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillsight.functions.numeric import money
-from tillsight.operators.sampling import assign_arm, hash_fraction_member
+from tillsight.operators.sampling import assign_arm
 from tillsight.sources.model import COMPLETED, RetailTables
 
 # Fixed values of the mapping.
@@ -37,8 +37,6 @@ STATUS_MAP = {"F": "completed", "O": "returned"}
 OTHER_STATUS = "cancelled"
 CAMPAIGN_START = "2000-01-01"
 CAMPAIGN_END = "2000-03-01"
-CAMPAIGN_FRACTION_HEX = "60"  # first md5 byte below 0x60: 96/256 = 3/8 of customers
-CAMPAIGN_SALT = "campaign"
 ARM_SALT = "arm"
 
 
@@ -132,15 +130,22 @@ def _orders(spark: SparkSession, sf_dir: str, customers: DataFrame) -> DataFrame
     )
 
 
-def _order_items(spark: SparkSession, sf_dir: str, products: DataFrame) -> DataFrame:
-    li = read_driver_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
-    return li.join(products.select("product_id", "unit_price", "unit_cost"),
-                   li.l_partkey == products.product_id).select(
+def _order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines with the price the line itself carries, so no join with part.
+
+    Unit price is extended price / quantity and unit cost a share of it, both in
+    whole cents (half up), which every engine computes alike. Lines of unknown parts stay.
+    """
+    li = read_driver_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice")
+    li = (li.withColumn("q", F.col("l_quantity").cast("int"))
+          .withColumn("cents", F.expr("(2 * cast(round(l_extendedprice * 100) AS bigint) + q) div nullif(2 * q, 0)"))
+          .withColumn("cost", F.expr(f"(2 * cents * ({COST_PCT_BASE} + l_partkey % {COST_PCT_SPREAD}) + 100) div 200")))
+    return li.select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("product_id"),
-        F.col("l_quantity").cast("int").alias("quantity"),
-        "unit_price",
-        "unit_cost",
+        F.col("q").alias("quantity"),
+        F.expr("cast(cast(cents AS decimal(12,0)) * 0.01BD AS decimal(12,2))").alias("unit_price"),
+        F.expr("cast(cast(cost AS decimal(12,0)) * 0.01BD AS decimal(12,2))").alias("unit_cost"),
     )
 
 
@@ -152,10 +157,8 @@ def _campaign(customers: DataFrame, order_level: DataFrame) -> DataFrame:
         .groupBy("customer_id")
         .agg(F.sum("order_revenue").alias("_v"))
     )
-    members = customers.select("customer_id").where(
-        hash_fraction_member(F.col("customer_id"), CAMPAIGN_SALT, CAMPAIGN_FRACTION_HEX))
     return (
-        members.join(window_revenue, "customer_id", "left")
+        customers.select("customer_id").join(window_revenue, "customer_id", "left")
         .select(
             "customer_id",
             assign_arm(F.col("customer_id"), ARM_SALT).alias("grp"),
@@ -187,7 +190,7 @@ def retail_from_driver(spark: SparkSession, sf_dir: str, share_order_level: bool
         return _orders(spark, sf_dir, t.customers)
 
     def order_items():
-        return _order_items(spark, sf_dir, t.products)
+        return _order_items(spark, sf_dir)
 
     def campaign():
         return _campaign(t.customers, t.order_level)
