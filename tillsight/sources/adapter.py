@@ -9,7 +9,8 @@ Mapping (fixed values, the same in the DuckDB oracle):
   orders        -> orders: status F completed, O returned, else cancelled;
                    region and channel copied from the customer (NULL when the
                    customer is unknown)
-  lineitem      -> order_items: quantity, price and cost of the product
+  lineitem      -> order_items: quantity, unit price = extended price / quantity,
+                   unit cost = price * (40 + partkey % 26) %, in whole cents
   customers     -> campaign: all customers, arms by hash,
                    converted when the customer has completed revenue in
                    2000-01 .. 2000-02, order_value = that revenue
