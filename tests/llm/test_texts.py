@@ -134,11 +134,16 @@ def test_windows_score_each_id_with_its_context():
     m.ready()
     size, stride = lm_scoring.WINDOW, lm_scoring.STRIDE
     texts = [np.append(rng.integers(0, 300, n), lm_scoring.END_ID) for n in (0, 1, stride - 1, stride, size - 1, size, size + 1, 2 * size, 500)]
-    assert np.exp(m.inside[7])[m.classes == 60].sum() == pytest.approx(1, abs=1e-4)
+    every = np.arange(lm_scoring.IDS)
+    for before in (7, 299, 40_000, lm_scoring.START):  # both factors are probabilities, for seen and unseen ids before
+        inside = np.exp(m.log_inside(np.full(lm_scoring.IDS, before), every).astype(float))
+        assert np.bincount(m.classes[:-1], inside) == pytest.approx(np.ones(lm_scoring.CLASSES), abs=1e-3)
+        assert np.exp(m.first[before].astype(float)).sum() == pytest.approx(1, abs=1e-4)
     for ids, got in zip(texts, m.score(texts), strict=True):
-        c, want = np.concatenate([[lm_scoring.CLASSES], m.classes[ids]]), 0.0
+        c, want = np.concatenate([[lm_scoring.START], ids]), 0.0
+        inside = m.log_inside(c[:-1], c[1:])
         for t in range(len(ids)):
             at = 0 if t < size else ((t - size) // stride + 1) * stride
             z = m.forward(c[None, at:t + 1])[0][0, -1].astype(float)
-            want += z[c[t + 1]] - np.log(np.exp(z).sum()) + m.inside[c[t], ids[t]]
+            want += z[m.classes[c[t + 1]]] - np.log(np.exp(z).sum()) + inside[t]
         assert got == pytest.approx(want / math.log(10), abs=1e-3)
