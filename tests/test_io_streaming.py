@@ -1,12 +1,14 @@
 import datetime as dt
 import os
+import shutil
 
+import pytest
 from pyspark.sql import functions as F
 
-from retail_fixtures import simple_orders
+from retail_fixtures import money, simple_orders
 from tillsight.plans import sales
 from tillsight.plans.order_level import order_level
-from tillsight.sources.files import read_retail_csv, save_table, write_csv, write_order_level
+from tillsight.sources.files import read_csv_table, read_retail_csv, save_table, write_csv, write_order_level
 from tillsight.streaming import monthly_revenue_stream
 
 
@@ -22,6 +24,48 @@ def test_csv_roundtrip_with_explicit_schemas(spark, scratch):
         sorted(tuple(r) for r in sales.monthly_revenue_growth(t).collect())
 
 
+def test_csv_columns_are_found_by_name(spark, scratch):
+    path = os.path.join(scratch, "products.csv")
+    with open(path, "w") as f:
+        f.write("unit_price,shelf,category,product_id,product_name,unit_cost\n9.50,A3,Toys,PROD0001,Kite,4.25\n")
+    row = read_csv_table(spark, path, "products").collect()[0].asDict()
+    assert row == {"product_id": "PROD0001", "category": "Toys", "unit_price": money("9.50"), "unit_cost": money("4.25"), "product_name": "Kite"}
+    with open(path, "w") as f:
+        f.write("product_id,category\nPROD0001,Toys\n")
+    with pytest.raises(ValueError, match="unit_price"):
+        read_csv_table(spark, path, "products")
+
+
+def test_shared_tables_follow_their_input_and_are_deleted(spark, scratch):
+    from tillsight.plans import registry
+    from tillsight.session import checkpoint_dir
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        pytest.skip("no warehouse tables here")
+    data = os.path.join(scratch, "tables")
+    os.mkdir(data)
+    for name in ("region", "nation", "customer", "part"):
+        shutil.copy(f"{sf}/{name}.parquet", data)
+    for name in ("orders", "lineitem"):
+        os.mkdir(f"{data}/{name}.parquet")
+        shutil.copy(f"{sf}/{name}.parquet", f"{data}/{name}.parquet/a.parquet")
+    qs = registry.queries()
+    first = qs["kpis"](spark, data).collect()[0]
+    assert qs["kpis"](spark, data).collect()[0] == first
+    trend = qs["monthly_revenue_filled"](spark, data)._jdf.queryExecution().executedPlan().toString()
+    scans = [ln for ln in trend.splitlines() if "FileScan" in ln]
+    assert scans and all("ReadSchema: struct<order_date:date,order_revenue:decimal" in ln for ln in scans)
+    shutil.copy(f"{sf}/lineitem.parquet", f"{data}/lineitem.parquet/b.parquet")  # every line twice
+    assert qs["kpis"](spark, data).collect()[0].total_revenue == pytest.approx(2 * first.total_revenue)
+    for _ in range(2):
+        qs["customers_by_signup"](spark, data).count()
+        qs["rfm_top_segment"](spark, data).count()
+    folder = checkpoint_dir(spark).removeprefix("file:")
+    assert any(f.startswith("tillsight-") for f in os.listdir(folder))
+    registry.release(spark)
+    assert not any(f.startswith("tillsight-") for f in os.listdir(folder))
+
+
 def test_order_level_partitioned_by_month_prunes(spark, scratch):
     t = simple_orders(spark, [("o1", "c1", "2024-01-10", "completed", 100.0),
                               ("o2", "c2", "2024-02-10", "completed", 50.0)])
@@ -118,7 +162,7 @@ def test_cli_on_warehouse_tables(spark, scratch):
     from tillsight.__main__ import main
     sf = "/root/testdata/sf0.001"
     if not os.path.isdir(sf):
-        return
+        pytest.skip("no warehouse tables here")
     out = os.path.join(scratch, "top")
     assert main(["run", "top_customers_by_region", "--tables", sf, "--out", out, "--format", "parquet"]) == 0
     rows = spark.read.parquet(out).collect()

@@ -1,9 +1,12 @@
 """Physical plan checks: no Python in the data path, pushdown, semi/anti joins,
 bounded top-k before the shuffle."""
 
+import re
+
 import pytest
 
 import __spark_entry__ as entry
+from tillsight.plans import registry, sales
 
 SF = "/root/testdata/sf0.001"
 
@@ -12,11 +15,20 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString() + df._jdf.queryExecution().optimizedPlan().toString()
 
 
-@pytest.mark.parametrize("name", ["monthly_revenue_growth", "category_margin", "top_customers_by_region",
-                                  "churn_candidates", "kpis", "purchase_cohort_retention", "ab_test_result"])
-def test_no_python_udf(spark, name):
+@pytest.mark.parametrize("name", sorted(registry.queries()))
+def test_no_python_in_the_retail_queries(spark, name):
     p = plan(entry.queries()[name](spark, SF))
-    assert "PythonUDF" not in p and "BatchEvalPython" not in p and "ArrowEvalPython" not in p
+    for node in ("PythonUDF", "EvalPython", "InPandas", "InArrow"):
+        assert node not in p
+
+
+def test_the_completed_filter_reaches_the_reader(spark):
+    from tillsight.plans.order_level import completed_orders
+    from tillsight.sources.adapter import retail_from_driver
+    t = retail_from_driver(spark, SF)
+    for df in (t.order_level, completed_orders(t.orders), sales.category_revenue(t)):
+        pushed = [ln for ln in df._jdf.queryExecution().executedPlan().toString().splitlines() if "o_orderstatus" in ln and "PushedFilters" in ln]
+        assert pushed and all(re.search(r"PushedFilters: \[[^]]*Equal(To|NullSafe)\(o_orderstatus,F\)", ln) for ln in pushed)
 
 
 def test_top_k_uses_window_group_limit(spark):
@@ -30,8 +42,7 @@ def test_churn_uses_semi_and_anti_joins_with_range_pushdown(spark):
     assert "GreaterThanOrEqual(o_orderdate" in p or "o_orderdate >=" in p
 
 
-def test_category_lines_shuffle_at_most_twice_without_broadcasts(spark):
-    from tillsight.plans import sales
+def test_category_plan_shuffles_lines_twice_and_orders_once_without_broadcasts(spark):
     from tillsight.sources.adapter import retail_from_driver
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:

@@ -7,15 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-
-def require_checkpoint_dir(df: DataFrame) -> None:
-    from tillsight.session import checkpoint_dir
-
-    if not checkpoint_dir(df.sparkSession):
-        raise RuntimeError(
-            "set spark.checkpoint.dir to a shared folder: ordinal ranks freeze their "
-            "range partitions with checkpoint()")
-
+from tillsight.shared import written
 
 def ordinal_rank(df: DataFrame, order_by: Sequence[Column | str], rank_col: str = "ordinal",
                  num_partitions: int | None = None, total_col: str | None = None) -> DataFrame:
@@ -27,7 +19,7 @@ def ordinal_rank(df: DataFrame, order_by: Sequence[Column | str], rank_col: str
          (e.g. value plus row id): then parts stay evenly sized even when one
          value is shared by a third of the rows;
       2. number rows inside each part (partition id and local index come from the
-         same task) and freeze that with a reliable checkpoint, so that the two
+         same task) and freeze that in a written table, so that the two
          readers below see the same numbering even after a lost executor;
       3. count rows per part (at most ``num_partitions`` rows), turn the counts into
          running offsets, materialise that small table once and broadcast it
@@ -37,30 +29,29 @@ def ordinal_rank(df: DataFrame, order_by: Sequence[Column | str], rank_col: str
     ``total_col`` adds the total number of rows (from the same small table), so
     callers need no separate count.
     """
-    require_checkpoint_dir(df)
     spark = df.sparkSession
     parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(c) if isinstance(c, str) else c for c in order_by]
     part_id = F.spark_partition_id().cast("long")
-    staged = (
+    staged = written(
         df.repartitionByRange(parts, *keys)
         .sortWithinPartitions(*keys)
         .withColumn("_rk_part", part_id)
-        .withColumn("_rk_local", F.monotonically_increasing_id() - F.shiftleft(part_id, 33))
-        .checkpoint(eager=True)
+        .withColumn("_rk_local", F.monotonically_increasing_id() - F.shiftleft(part_id, 33)),
+        "ranks",
     )
     sizes = staged.groupBy("_rk_part").agg(F.count(F.lit(1)).alias("_rk_n"))
     # At most `parts` rows: a global window is fine here. The small table is
     # materialised once, so readers of the result do not each rescan the
     # staged rows to recount them.
-    offsets = sizes.select(
+    offsets = written(sizes.select(
         "_rk_part",
         F.coalesce(
             F.sum("_rk_n").over(Window.orderBy("_rk_part").rowsBetween(Window.unboundedPreceding, -1)),
             F.lit(0),
         ).alias("_rk_offset"),
         F.sum("_rk_n").over(Window.partitionBy()).alias("_rk_total"),
-    ).checkpoint(eager=True)
+    ), "rank-offsets")
     ranked = (
         staged.join(F.broadcast(offsets), "_rk_part")
         .withColumn(rank_col, F.col("_rk_offset") + F.col("_rk_local") + F.lit(1))

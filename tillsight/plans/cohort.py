@@ -12,8 +12,6 @@ from tillsight.functions.numeric import round_float_half_even
 from tillsight.plans.order_level import completed_orders
 from tillsight.sources.model import RetailTables
 
-MATRIX_PERIODS = 12  # the heat-map shows the first 12 periods
-
 
 def signup_cohort_activity(t: RetailTables) -> DataFrame:
     """Active customers per (signup month, activity month), activity on or after
@@ -78,16 +76,14 @@ def purchase_cohort_retention(t: RetailTables, fill_observable_gaps: bool = Fals
     )
 
 
-def purchase_cohort_matrix(t: RetailTables, periods: int = MATRIX_PERIODS) -> DataFrame:
-    """Cohort x period retention, first ``periods`` periods as columns m0.., NULL for no activity."""
-    ret = purchase_cohort_retention(t).where(F.col("period") < periods)
-    return (
-        ret.groupBy("cohort_month")
-        .pivot("period", list(range(periods)))
-        .agg(F.first("retention"))
-        .select("cohort_month", *[F.col(str(p)).alias(f"m{p}") for p in range(periods)])
-        .orderBy("cohort_month")
-    )
+def purchase_cohort_matrix(t: RetailTables) -> DataFrame:
+    """Cohort x period retention, every period that occurs as a column m0.., NULL for no activity.
+
+    The column names come from the data, so a small job finds the periods when the query is built."""
+    ret = purchase_cohort_retention(t)
+    wide = ret.groupBy("cohort_month").pivot("period").agg(F.first("retention"))
+    periods = [c for c in wide.columns if c != "cohort_month"]
+    return wide.select("cohort_month", *[F.col(p).alias(f"m{p}") for p in periods]).orderBy("cohort_month")
 
 
 def avg_retention_curve(t: RetailTables) -> DataFrame:

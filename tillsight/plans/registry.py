@@ -17,7 +17,8 @@ from tillsight.plans import cohort, customers, experiment, quality, report, rfm,
 from tillsight.operators.sampling import assign_arm, sample_exact_n
 from tillsight.plans.present import present
 from tillsight.session import session_key
-from tillsight.sources.adapter import retail_from_driver
+from tillsight.shared import discard, fingerprint
+from tillsight.sources.adapter import DRIVER_SCHEMAS, retail_from_driver
 from tillsight.sources.model import RetailTables
 
 # Fixed value: the channel domain of the mapped model (customer market segments).
@@ -98,27 +99,28 @@ def plans() -> dict[str, Plan]:
     }
 
 
-_MODELS: dict[tuple[str, str], RetailTables] = {}
+_MODELS: dict[tuple[str, str], tuple[tuple, RetailTables]] = {}
 
 
 def retail_model(spark: SparkSession, sf_dir: str) -> RetailTables:
     """The retail model over ``sf_dir``, one per session: its DataFrames are
-    planned once and the order-level table is computed once, checkpointed to
-    the shared checkpoint folder and read by every later query."""
-    key = (session_key(spark), sf_dir)
-    if key not in _MODELS:
-        _MODELS[key] = retail_from_driver(spark, sf_dir, share_order_level="checkpoint")
-    return _MODELS[key]
+    planned once and the order-level table is computed once, written to the
+    shared checkpoint folder and read by every later query. Files that are added to
+    the tables, removed or written anew give a new model."""
+    key, files = (session_key(spark), sf_dir), fingerprint(spark, sf_dir, list(DRIVER_SCHEMAS))
+    if key not in _MODELS or _MODELS[key][0] != files:
+        _MODELS[key] = files, retail_from_driver(spark, sf_dir, share_order_level="parquet")
+    return _MODELS[key][1]
 
 
 def release(spark: SparkSession) -> None:
-    """Forget this session's shared models (their checkpoint files are removed by
-    Spark's cleaner once unreferenced, when ``spark.cleaner.referenceTracking.cleanCheckpoints`` is on)."""
+    """Forget this session's shared models and delete the tables written for them."""
     app = session_key(spark)
     for key in [k for k in _MODELS if k[0] == app]:
-        t = _MODELS.pop(key)
+        _, t = _MODELS.pop(key)
         if "order_level" in t._built:
             t.order_level.unpersist()
+    discard(spark)
 
 
 def _q(plan: Plan) -> Query:

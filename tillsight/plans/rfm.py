@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 from tillsight.functions.numeric import round_float_half_even
 from tillsight.operators.quantiles import (bin_score, discrete_quantiles, exact_quantiles,
                                           rank_quantile_edges)
-from tillsight.operators.ranking import ordinal_rank, require_checkpoint_dir
+from tillsight.operators.ranking import ordinal_rank
 from tillsight.operators.shares import share_of_total_bounded
+from tillsight.shared import written
 from tillsight.sources.model import RetailTables
 
 # Segment labels, in rule order (first match wins).
@@ -50,13 +51,11 @@ def customer_totals(t: RetailTables) -> DataFrame:
 
 
 def shared_customer_totals(t: RetailTables) -> DataFrame:
-    """``customer_totals`` materialised once per model (reliable checkpoint): the
+    """``customer_totals`` written once per model: the
     RFM inputs, scores and edges all start from it, so the order-level table is
     scanned once for all of them."""
     if "customer_totals" not in t.memo:
-        totals = customer_totals(t)
-        require_checkpoint_dir(totals)
-        t.memo["customer_totals"] = totals.checkpoint(eager=True)
+        t.memo["customer_totals"] = written(customer_totals(t), "customer-totals")
     return t.memo["customer_totals"]
 
 
@@ -75,14 +74,14 @@ def rfm_base(t: RetailTables, offset_days: int = 1) -> DataFrame:
 class RfmModel:
     """Scores plus the edges that produced them.
 
-    The per-customer table is materialised by the frequency ordinal rank's
-    checkpoint; the edges are computed from that copy, and the scored table
-    is checkpointed once more so that every consumer (scores, summary, top
+    The per-customer table is written by the frequency ordinal rank;
+    the edges are computed from that copy, and the scored table
+    is written once more so that every consumer (scores, summary, top
     segment, dashboard) reads the same materialised result.
     """
 
     def __init__(self, t: RetailTables, offset_days: int = 1):
-        # rank first, then derive recency from the checkpointed per-customer rows:
+        # rank first, then derive recency from the written per-customer rows:
         # the order-level table is read once (the snapshot date comes from the copy)
         ranked = ordinal_rank(shared_customer_totals(t), [F.col("frequency"), F.col("customer_id")], "f_rank",
                               total_col="n_customers")
@@ -112,7 +111,7 @@ class RfmModel:
 
     def scores(self) -> DataFrame:
         if self._scores is None:
-            self._scores = self._score().checkpoint(eager=True)
+            self._scores = written(self._score(), "rfm-scores")
         return self._scores
 
     def edges(self) -> DataFrame:

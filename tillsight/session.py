@@ -42,7 +42,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
-def _context(spark: SparkSession):
+def context(spark: SparkSession):
     """The SparkContext of a classic session; None under Spark Connect."""
     try:
         return spark.sparkContext
@@ -52,7 +52,7 @@ def _context(spark: SparkSession):
 
 def session_key(spark: SparkSession) -> str:
     """A key for per-application memos."""
-    sc = _context(spark)
+    sc = context(spark)
     if sc is not None:
         return sc.applicationId
     return spark.conf.get("spark.app.id", None) or str(id(spark))
@@ -60,7 +60,7 @@ def session_key(spark: SparkSession) -> str:
 
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The checkpoint folder in effect, if any."""
-    sc = _context(spark)
+    sc = context(spark)
     if sc is not None and sc.getCheckpointDir():
         return sc.getCheckpointDir()
     conf = spark.conf.get("spark.checkpoint.dir", None)
@@ -77,7 +77,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     survive lost executors), so a missing setting is an error there rather than
     a silent fall-back to a machine-local folder.
     """
-    sc = _context(spark)
+    sc = context(spark)
     configured = checkpoint_dir(spark)
     master = sc.master if sc is not None else spark.conf.get("spark.master", "")
     if not configured:

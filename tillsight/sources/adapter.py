@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from tillsight.functions.numeric import money
 from tillsight.operators.sampling import assign_arm
+from tillsight.shared import written
 from tillsight.sources.model import COMPLETED, RetailTables
 
 # Fixed values of the mapping.
@@ -105,9 +106,10 @@ def _products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _status(code):
+    """Null-safe tests, so a filter on the status becomes one on the code and reaches the Parquet reader."""
     expr = F.lit(OTHER_STATUS)
     for k, v in reversed(list(STATUS_MAP.items())):
-        expr = F.when(code == k, F.lit(v)).otherwise(expr)
+        expr = F.when(code.eqNullSafe(k), F.lit(v)).otherwise(expr)
     return expr
 
 
@@ -174,9 +176,10 @@ def retail_from_driver(spark: SparkSession, sf_dir: str, share_order_level: bool
 
     ``share_order_level`` materialises the order-level table once for every
     later query on this model:
-      * ``"checkpoint"`` (or True): a reliable checkpoint in the session's
+      * ``"parquet"`` (or True): Parquet files in the session's
         ``spark.checkpoint.dir``. The lineage is cut, so a lost executor costs a
-        re-read of those files, not a recomputation of the order and line joins.
+        re-read of those files, not a recomputation of the order and line joins,
+        and later queries read only their columns.
       * ``"persist"``: executor memory, then disk; lost blocks are recomputed.
     """
     t: RetailTables
@@ -202,9 +205,7 @@ def retail_from_driver(spark: SparkSession, sf_dir: str, share_order_level: bool
         if share_order_level == "persist":
             return ol.persist(StorageLevel.MEMORY_AND_DISK)
         if share_order_level:
-            from tillsight.operators.ranking import require_checkpoint_dir
-            require_checkpoint_dir(ol)
-            return ol.checkpoint(eager=True)
+            return written(ol, "order-level")
         return ol
 
     t = RetailTables(customers, products, orders, order_items, campaign, order_level)

@@ -12,6 +12,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tillsight.functions.dates import month_start
 from tillsight.sources.model import SCHEMAS, RetailTables
@@ -26,9 +27,22 @@ CSV_FILES = {
 
 
 def read_csv_table(spark: SparkSession, path: str, name: str) -> DataFrame:
-    """One model table from CSV with a header and the model's schema.
+    """One model table from CSV, its columns found by header name and typed by the model's schema.
+
+    Columns may come in any order and others may stand between them; a missing one is an
+    error, and so is a file of the folder whose header differs from that of the first.
     The campaign export names its arm column ``group``; it is read as ``grp``."""
-    return spark.read.schema(SCHEMAS[name]).option("header", True).option("enforceSchema", True).csv(path)
+    wanted = SCHEMAS[name]
+    alias = {"group": "grp"} if "grp" in wanted.names else {}
+    header = spark.read.option("header", True).csv(path).columns
+    found = {alias.get(c, c): c for c in header}
+    missing = [c for c in wanted.names if c not in found]
+    if missing:
+        raise ValueError(f"{path}: no column {', '.join(missing)}; the header has {', '.join(header)}")
+    types = {found[f.name]: f.dataType for f in wanted}
+    schema = StructType([StructField(c, types.get(c, StringType())) for c in header])
+    rows = spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(path)
+    return rows.select(*[F.col(f"`{found[c]}`").alias(c) for c in wanted.names])
 
 
 def read_retail_csv(spark: SparkSession, data_dir: str) -> RetailTables:
