@@ -147,3 +147,27 @@ def test_windows_score_each_id_with_its_context():
             z = m.forward(c[None, at:t + 1])[0][0, -1].astype(float)
             want += z[m.classes[c[t + 1]]] - np.log(np.exp(z).sum()) + inside[t]
         assert got == pytest.approx(want / math.log(10), abs=1e-3)
+
+
+def test_lm_counts_cover_all_training_rows(spark, corpus, monkeypatch):
+    held = F.coalesce(F.col("doc_id") % 7 == 2, F.lit(False))
+    want = {(r.doc_id, r.n_tokens): r.score for r in lm_scoring.score_documents(corpus, held).collect()}
+    encode = tokenizing.byte_level("byte_bpe_50k.json").ids
+    pairs, n = Counter(), 0
+    for r in corpus.where(~held).collect():
+        ids = lm_scoring._ids(r.text, encode).tolist()
+        pairs.update(a * lm_scoring.IDS + b for a, b in zip([lm_scoring.START, *ids], ids, strict=False))
+        n += -(-len(ids) // lm_scoring.WINDOW)
+    monkeypatch.setattr(lm_scoring, "SORT_IDS", 100)
+    monkeypatch.setattr(lm_scoring, "HELD_PAIRS", 50)
+    rows = lm_scoring.token_rows(corpus, held, "byte_bpe_50k.json").where("NOT held_out")
+    counted = lm_scoring.pair_counts(rows)
+    assert {r.key: r.n for r in counted.collect()} == pairs
+    windows = lm_scoring.windows_of(rows, 1.0, 3).collect()  # more than 32 of the long text, and none lost
+    assert sum(r.n for r in windows) == n > 40 and {r.group for r in windows} == {0, 1, 2}
+    monkeypatch.setattr(lm_scoring, "COMMON_PAIRS", 10)  # the others go through the join
+    got = {(r.doc_id, r.n_tokens): r.score for r in lm_scoring.score_documents(corpus, held).collect()}
+    assert got == pytest.approx(want, rel=1e-4)
+    model = lm_scoring.AttentionModel.start(np.array([5] * 3), np.array([6] * 3))
+    monkeypatch.setattr(lm_scoring, "GROUP_WINDOWS", 100)  # several groups
+    assert not np.allclose(lm_scoring.trained(model, rows, n).p["pair"], 0)

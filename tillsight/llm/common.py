@@ -40,7 +40,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back.
 
     Later readers start from these files, so a lost executor costs a re-read,
@@ -49,7 +49,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     schema = df.schema
-    df.write.parquet(path)
+    df.write.parquet(path, **options)
     return spark.read.schema(schema).parquet(path)
 
 
