@@ -171,3 +171,15 @@ def test_lm_counts_cover_all_training_rows(spark, corpus, monkeypatch):
     model = lm_scoring.AttentionModel.start(np.array([5] * 3), np.array([6] * 3))
     monkeypatch.setattr(lm_scoring, "GROUP_WINDOWS", 100)  # several groups
     assert not np.allclose(lm_scoring.trained(model, rows, n).p["pair"], 0)
+
+
+def test_lm_model_size_and_context():
+    assert (lm_scoring.CLASSES, lm_scoring.SINGLE) == (128, 112)
+    m = lm_scoring.AttentionModel.start(np.array([1, 2, 3]), np.array([2, 3, 1]))
+    m.ready()
+    seen = []
+    m.log_class = lambda w: seen.append(w) or np.zeros((len(w), lm_scoring.WINDOW))
+    m.score([np.append(np.arange(200), lm_scoring.END_ID)])
+    w = np.concatenate(seen)
+    overlap = [len(np.intersect1d(a[:-1], b[:-1])) for a, b in zip(w, w[1:], strict=False)]
+    assert min(overlap[:-1]) == 8  # the first id that a later window scores has 8 ids before the one it follows

@@ -53,6 +53,14 @@ def written(df: DataFrame, name: str, **options: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def discard(table: DataFrame) -> None:
+    """Delete the files of a table of :func:`written` that nothing reads any more."""
+    spark = table.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def ascii_lower(text):
     """Lower-case A-Z only; other letters stay as they are.
 
