@@ -183,3 +183,19 @@ def test_lm_model_size_and_context():
     w = np.concatenate(seen)
     overlap = [len(np.intersect1d(a[:-1], b[:-1])) for a, b in zip(w, w[1:], strict=False)]
     assert min(overlap[:-1]) == 8  # the first id that a later window scores has 8 ids before the one it follows
+
+
+def test_licence_notices_wrapped_over_lines_are_found():
+    model, templates = licenses.fit(["some ordinary prose of the version", "the terms of the work"]), licenses.Templates(licenses.TEMPLATES)
+    gpl = ("# This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU General Public License as published by\n"
+           "# the Free Software Foundation, either version 3 of the License, or\n# (at your option) any later version.")
+    bsd = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:"
+    count, found = licenses.scan_text(f"some prose\n\n{gpl}\n\n{bsd}\nthe end", model, templates)
+    assert count == 8 and [f[2] for f in found] == ["GPL", "BSD"]
+    text = f"some prose\n\n{gpl}\n\n{bsd}\nthe end"
+    assert text[found[0][0]:found[0][1]] == gpl.split(", either")[0] + ", either version 3 of the License, or" and text[found[1][0]:found[1][1]] == bsd
+    words = bsd.split()
+    assert [f[2] for f in licenses.scan_text("\n".join(words), model, templates)[1]] == ["BSD"]  # a word a line
+    assert not licenses.scan_text("\n\n".join(words), model, templates)[1]
+    pair = "Released under the MIT License.\nLicensed under CC BY 4.0."  # neighbours stay two notices
+    assert [pair[f[0]:f[1]] for f in licenses.scan_text(pair, model, templates)[1]] == pair.split("\n")

@@ -1,13 +1,17 @@
 """Licence scan: a trained paragraph classifier over sparse word n-grams.
 
-Every paragraph (line) of every whole text is classified by a multinomial
+Every paragraph (line) of every whole text, and every run of adjacent lines that a
+wrapped notice may fill, is classified by a multinomial
 logistic regression over word 1-, 2- and 3-grams into licence families or
 ``unknown``. It is trained on the licence notices below in many variants, with
 ordinary lines of a bounded sample of documents, and notices of licences outside
 the families, as ``unknown``. A temperature fitted on held-out variants calibrates the
 probabilities. A prediction counts only if it is confirmed by comparison with the
 family's templates: the share of a template's words in order of 2-grams that the
-paragraph holds must reach ``CONFIRM``.
+paragraph holds must reach ``CONFIRM``. A run ends at a blank line, has fewer words
+between its first and last line than the longest template, and counts only where it holds
+more of a template than without its first or its last line. Of finds of one family that share
+lines the most similar counts, then the shortest.
 
 Defined results: null and empty texts have no paragraphs and no licences; very
 long paragraphs are read whole; repeated rows are scanned one by one; with an empty
@@ -132,28 +136,90 @@ def _pairs(paragraph: str) -> set[tuple[str, str]]:
     return set(zip(words, words[1:], strict=False)) or {(w, "") for w in words}
 
 
-def scan_text(text: str | None, model: LicenceModel, templates: dict[str, list[set]]) -> tuple[int, list[tuple]]:
-    """Number of paragraphs, and (start, end, family, probability, similarity) of each licence paragraph."""
-    found, count, at = [], 0, 0
-    for line in (text or "").split("\n"):
+class Templates:
+    """The 2-grams of every template, for the comparison."""
+
+    def __init__(self, templates: dict[str, list[str]]):
+        self.family, self.size, self.at, self.longest = [], [], {}, 0
+        for family, notices in templates.items():
+            for t in notices:
+                own = _pairs(t)
+                for pair in own:
+                    self.at.setdefault(pair, []).append(len(self.size))
+                self.family.append(family)
+                self.size.append(len(own))
+                self.longest = max(self.longest, len(_WORD.findall(t)))
+
+    def alike(self, times: dict[int, int]) -> dict[str, float]:
+        """By family, the largest share of a template; ``times``: 2-grams held of each template."""
+        best: dict[str, float] = {}
+        for t, n in times.items():
+            best[self.family[t]] = max(best.get(self.family[t], 0.0), n / self.size[t])
+        return best
+
+
+def _runs(lines: list[tuple[int, int, list[str]]], templates: Templates) -> Iterator[tuple[int, int, dict[str, float]]]:
+    """(first, last, similarity by family) of runs of ``lines`` (start, end, words) that hold more of a template than shorter ones do.
+
+    Only runs whose similarity reaches ``CONFIRM``, and of these the families it does so for.
+    """
+    known, worded = templates.at, [m for m, (_, _, words) in enumerate(lines) if words]
+    inside = {m: {p for p in zip(lines[m][2], lines[m][2][1:], strict=False) if p in known} for m in worded}
+    joint = {b: {p for p in ((lines[a][2][-1], lines[b][2][0]),) if p in known} for a, b in zip(worded, worded[1:], strict=False)}
+    after: dict[int, dict[str, float]] = {}  # similarities of the runs from the next line on, by their last line
+    for i in range(len(worded) - 1, -1, -1):
+        if not inside[worded[i]] and not (i + 1 < len(worded) and joint[worded[i + 1]]):
+            continue  # the runs without this line hold as much
+        seen, times, between, best, reached = set(), {}, 0, {}, {}
+        for j in range(i, len(worded)):
+            if j > i + 1:
+                between += len(lines[worded[j - 1]][2])
+                if between >= templates.longest:
+                    break
+            before = best
+            new = (inside[worded[j]] | (joint[worded[j]] if j > i else set())) - seen
+            if new:
+                seen |= new
+                for p in new:
+                    for t in known[p]:
+                        times[t] = times.get(t, 0) + 1
+                best = templates.alike(times)
+            reached[j], without = best, after.get(j, {}) if j > i else {}
+            found = {f: x for f, x in best.items() if x >= CONFIRM and (j == i or x > max(before.get(f, 0), without.get(f, 0)))}
+            if found:
+                yield worded[i], worded[j], found
+        after = reached
+
+
+def scan_text(text: str | None, model: LicenceModel, templates: Templates) -> tuple[int, list[tuple]]:
+    """Number of paragraphs, and (start, end, family, probability, similarity) of each licence notice."""
+    found, count, at, block = [], 0, 0, []
+    for line in [*(text or "").split("\n"), ""]:
         start, at = at, at + len(line) + 1
-        if not line.strip():
-            continue
-        count += 1
-        active = model.active(line)
-        if not active:  # no n-gram of any notice
-            continue
-        p = model.probabilities(active)
-        k = int(p.argmax())
-        if model.families[k] == UNKNOWN or p[k] < SURE:
-            continue
-        own = _pairs(line)
-        alike = max(len(t & own) / len(t) for t in templates[model.families[k]])
-        if alike >= CONFIRM:
-            found.append((start, start + len(line), model.families[k], float(p[k]), float(alike)))
+        if line.strip():
+            count += 1
+            block.append((start, start + len(line), _WORD.findall(line.lower())))
+        elif block:
+            found += _notices(text, block, model, templates)
+            block = []
     return count, found
 
 
+def _notices(text: str, lines: list[tuple[int, int, list[str]]], model: LicenceModel, templates: Templates) -> list[tuple]:
+    """The licence notices of adjacent ``lines``."""
+    likely = []
+    for i, j, alike in _runs(lines, templates):
+        p = model.probabilities(model.active(text[lines[i][0]:lines[j][1]]))
+        k = int(p.argmax())
+        if p[k] >= SURE and model.families[k] in alike:
+            likely.append((-alike[model.families[k]], j - i, i, j, model.families[k], float(p[k])))
+    taken: list[tuple] = []
+    for one in sorted(likely):
+        if not any(one[2] <= other[3] and other[2] <= one[3] and one[4] == other[4] for other in taken):
+            taken.append(one)
+    return [(lines[i][0], lines[j][1], family, p, -alike) for alike, _, i, j, family, p in sorted(taken, key=lambda x: (x[2], x[3]))]
+
+
 def train(docs: DataFrame) -> LicenceModel:
     """Ordinary lines come from the ``SAMPLE_DOCS`` documents of smallest id hash, ``SAMPLE_LINES`` of each."""
     lines = F.slice(F.filter(F.split("text", "\n"), lambda x: ~F.lower(x).rlike("licen|copyright|spdx|redistribut|permission")), 1, SAMPLE_LINES)
@@ -169,7 +235,7 @@ def scan(docs: DataFrame, model: LicenceModel | None = None) -> DataFrame:
     @F.pandas_udf("n_paragraphs long, licences array<struct<start: long, end: long, family: string, probability: double, similarity: double>>")
     def run(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         m = shared.value
-        templates = {f: [_pairs(t) for t in ts] for f, ts in TEMPLATES.items()}
+        templates = Templates(TEMPLATES)
         for batch in texts:
             got = [scan_text(t, m, templates) for t in batch]
             yield pd.DataFrame({"n_paragraphs": [n for n, _ in got],
