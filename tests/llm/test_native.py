@@ -94,3 +94,24 @@ def test_a_host_that_links_to_blocked_hosts_is_blocked(spark):
     rows = url_graph.judge(spark.createDataFrame(pages, "page_id long, url string, html string"), RULES).collect()
     assert {r.verdict for r in rows} == {"block"}
     assert url_graph.judge(spark.createDataFrame([], "page_id long, url string, html string"), RULES).count() == 0
+
+
+def test_distrust_reaches_the_end_of_a_long_chain(spark):
+    bad = [(i, f"http://b{i}.net/", "") for i in range(200)]
+    to = lambda *hosts: "".join(f'<a href="http://{h}/">' for h in hosts)
+    chain = [(1000, "http://h0.info/", to(*(f"b{i}.net" for i in range(200))))] + [(1000 + i, f"http://h{i}.info/", to(f"h{i - 1}.info")) for i in range(1, 45)]
+    got = {r.page_id: r for r in url_graph.judge(spark.createDataFrame(bad + chain, "page_id long, url string, html string"), RULES).collect()}
+    want = 0.85 * 200 * 0.15  # every blocked seed passes all it has to the hub
+    for i in range(45):
+        assert got[1000 + i].distrust == pytest.approx(want * 0.85 ** i, abs=1e-7)
+        assert got[1000 + i].verdict == ("block" if want * 0.85 ** i > url_graph.THRESHOLD else "allow")
+    assert got[1030].verdict == "block" and got[1044].verdict == "allow"
+
+
+def test_ranks_that_do_not_settle_are_an_error(spark):
+    seeds = spark.createDataFrame([("a", 1.0), ("b", 0.0)], "host string, seed double")
+    edges = spark.createDataFrame([("a", "b", 1.0), ("b", "a", 1.0)], "src string, dst string, share double")
+    with pytest.raises(RuntimeError, match="after 3 rounds"):
+        url_graph.propagate(seeds, edges, most_rounds=3)
+    ranks = {r.host: r["rank"] for r in url_graph.propagate(seeds, edges).collect()}
+    assert ranks == pytest.approx({"a": 0.15 / (1 - 0.85 ** 2), "b": 0.15 * 0.85 / (1 - 0.85 ** 2)}, abs=1e-6)

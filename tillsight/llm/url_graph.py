@@ -6,7 +6,7 @@ allows (blocks). Trust is a personalised PageRank from the trusted seeds along
 the links; distrust is one from the blocked seeds against them, so hosts that link
 to blocked hosts are distrusted. A page without a rule is blocked when its
 host's distrust exceeds its trust by more than half of what one fully blocked
-seed has by itself.
+seed has by itself. Rounds go on until no host's rank can change by more than ``SMALL`` of that.
 
 All of it is DataFrame functions. Links are counted per pair of hosts before any
 shuffle, so a host with very many pages is a few rows.
@@ -23,7 +23,11 @@ from pyspark.sql import functions as F
 
 from .common import BROADCAST_ROWS, ascii_lower, written
 
-DAMPING, ROUNDS = 0.85, 8
+DAMPING = 0.85
+#: A page without a rule is blocked above it.
+THRESHOLD = (1 - DAMPING) / 2
+#: Share of the threshold that a rank may still be off, and rounds that are never needed (0.85 ** 400 is under 1e-28).
+SMALL, MOST_ROUNDS = 1e-6, 400
 _LINK = r"""(?i)(?:href|src|action)\s*=\s*["']?\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s<>]+)"""
 
 
@@ -50,19 +54,25 @@ def host_edges(pages: DataFrame) -> DataFrame:
             .groupBy("src", "dst").agg(F.count("*").alias("n")))
 
 
-def propagate(seeds: DataFrame, edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def propagate(seeds: DataFrame, edges: DataFrame, most_rounds: int = MOST_ROUNDS) -> DataFrame:
     """(host, rank): ``rank = (1 - DAMPING) * seed + DAMPING * sum of what neighbours pass on``.
 
     ``seeds`` has every host once; ``edges`` (src, dst, share) with shares of a source that sum to 1.
+    Each round only passes on what the last one added (``new``). What all later rounds can
+    add, to all hosts together and so to any, is at most ``sum(new) * DAMPING / (1 - DAMPING)``.
     """
-    rank = seeds.select("host", ((1 - DAMPING) * F.col("seed")).alias("rank"))
+    rank = seeds.select("host", ((1 - DAMPING) * F.col("seed")).alias("rank"), ((1 - DAMPING) * F.col("seed")).alias("new"))
     if not edges.take(1):
-        return rank
-    for _ in range(rounds):
-        passed = (edges.join(rank, F.col("src") == F.col("host")).groupBy("dst").agg(F.sum(F.col("rank") * F.col("share")).alias("got")))
-        rank = (seeds.join(passed, F.col("host") == F.col("dst"), "left")
-                .select("host", ((1 - DAMPING) * F.col("seed") + DAMPING * F.coalesce("got", F.lit(0.0))).alias("rank"))).checkpoint()
-    return rank
+        return rank.drop("new")
+    for _ in range(most_rounds):
+        passed = (edges.join(rank.where("new > 0").select("host", "new"), F.col("src") == F.col("host"))
+                  .groupBy("dst").agg((DAMPING * F.sum(F.col("new") * F.col("share"))).alias("got")))
+        got = F.coalesce("got", F.lit(0.0))
+        rank = rank.drop("new").join(passed, F.col("host") == F.col("dst"), "left").select("host", (F.col("rank") + got).alias("rank"), got.alias("new")).checkpoint()
+        left = rank.agg(F.sum("new")).first()[0] or 0.0
+        if left * DAMPING / (1 - DAMPING) <= SMALL * THRESHOLD:
+            return rank.drop("new")
+    raise RuntimeError(f"ranks still change after {most_rounds} rounds")
 
 
 def judge(pages: DataFrame, rules: list[tuple[str, str, str]]) -> DataFrame:
@@ -85,6 +95,6 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]]) -> DataFrame:
     scores = written(trust.join(distrust, "host"), "host-scores")
     if scores.count() <= BROADCAST_ROWS:
         scores = F.broadcast(scores)
-    bad = F.coalesce(F.col("distrust") - F.col("trust") > (1 - DAMPING) / 2, F.lit(False))
+    bad = F.coalesce(F.col("distrust") - F.col("trust") > THRESHOLD, F.lit(False))
     return rows.join(scores, "host", "left").select(
         "page_id", "host", "path", "rule", F.coalesce("by_rule", F.when(bad, "block").otherwise("allow")).alias("verdict"), "trust", "distrust")
