@@ -107,3 +107,28 @@ def test_pipeline_stages_keep_columns_and_take_effect(spark, corpus, scratch):
     assert corpus_pipeline.near_dedup(spark, corpus, scratch).where("doc_id = 5").count() == 1
     assert corpus_pipeline.run(spark, scratch).count() > 0
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_classifier", "near_dedup", "decontamination", "packing"]
+
+
+def repeated_ids(rng):
+    make = lambda n: " ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(n))
+    far, hub, near = make(60), make(60), make(60)
+    # id 5 has two unlike texts, of which one is a near copy of id 3; id 7 a null text, and a text that many copy nearly
+    rows = [(3, near), (5, near + " more"), (5, far), (5, far), (7, None), (7, hub), (9, far + " more"), (11, make(60))]
+    return rows + [(100 + i, " ".join(["edit", *hub.split()[1:], f"x{i}"])) for i in range(12)] + [(50, make(40)) for _ in range(30)]
+
+
+def test_near_duplicates_of_ids_with_several_texts(spark):
+    rows = repeated_ids(random.Random(4))
+    got = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 3, 85).collect()
+    want = Counter((i, len(shingle_set(t, 3)), {9: 5}.get(i, 7 if i >= 100 else i), i < 100 and i != 9) for i, t in rows if i != 5)
+    want += Counter({(5, 59, 3, False): 1, (5, 58, 5, True): 2})
+    assert Counter(map(tuple, got)) == want
+
+
+def test_pipeline_keeps_different_texts_of_one_id(spark, scratch):
+    import corpus_pipeline
+    rows = repeated_ids(random.Random(4))
+    kept = corpus_pipeline.near_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string"), scratch)
+    far = rows[2]
+    want = Counter([rows[0], far, rows[4], rows[5], rows[7], *rows[-30:]])
+    assert Counter(map(tuple, kept.collect())) == want  # one far, both rows of id 7, all 30 texts of id 50

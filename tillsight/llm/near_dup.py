@@ -2,7 +2,7 @@
 
 1. Every text becomes the set of its distinct word shingles (64-bit hashes) and
    a signature of ``slots`` MinHash values of 16 bits. Texts of one set form a
-   class; the smallest id stands for it.
+   class with a key of its own; the row of smallest id and text md5 stands for it.
 2. A signature is cut into ``CHUNKS`` chunks of ``width`` slots. If two
    signatures differ in at most ``CHUNKS * (ERRORS + 1) - 1`` slots, then by
    pigeonhole one chunk differs in at most ``ERRORS`` slots. Each chunk is
@@ -18,7 +18,7 @@
    h that another member of the hub has as well. The remaining pairs are listed
    by a bucket join that drops a pair when the sizes, this bound or the signature
    distance rule it out, and are confirmed on full sets.
-4. Components of the confirmed links give each document its smallest reachable id.
+4. Components of the confirmed links of classes give each document its smallest reachable id.
 
 A pair is linked when ``100 * |A & B| >= percent * |A | B|`` on full sets.
 
@@ -95,8 +95,13 @@ def signature(hashes: np.ndarray, mult: np.ndarray) -> np.ndarray:
     return (_mix(least) >> np.uint64(48)).astype(np.uint16)
 
 
+def text_key(text: Column) -> Column:
+    """md5 of a text; empty for null, so that it differs from the empty text."""
+    return F.coalesce(F.md5(text.cast("string").cast("binary")), F.lit(""))
+
+
 def sketch(docs: DataFrame, words: int, slots: int) -> DataFrame:
-    """doc_id, n_shingles, digest of the set, and signature (16-bit slots packed in longs)."""
+    """doc_id, text_md5, n_shingles, digest of the set, and signature (16-bit slots packed in longs)."""
     longs = -(-slots // 4)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,11 +116,11 @@ def sketch(docs: DataFrame, words: int, slots: int) -> DataFrame:
                     sigs[row, :slots] = signature(s, mult)
             flat = pa.array(sigs.view(np.int64).ravel())
             packed = pa.ListArray.from_arrays(pa.array(np.arange(0, longs * (len(batch) + 1), longs, dtype=np.int32)), flat)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(digests, pa.binary()), packed],
-                                             names=["doc_id", "n_shingles", "digest", "sig"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_md5"), pa.array(n, pa.int64()), pa.array(digests, pa.binary()), packed],
+                                             names=["doc_id", "text_md5", "n_shingles", "digest", "sig"])
 
-    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-            .mapInArrow(run, "doc_id long, n_shingles long, digest binary, sig array<long>"))
+    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), text_key(F.col("text")).alias("text_md5"))
+            .mapInArrow(run, "doc_id long, text_md5 string, n_shingles long, digest binary, sig array<long>"))
 
 
 def bucket_keys(reps: DataFrame, width: int) -> DataFrame:
@@ -153,17 +158,19 @@ def _sizes_allow(a: str, b: str, percent: int) -> Column:
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
-def overlaps(pairs: DataFrame, docs: DataFrame, words: int) -> DataFrame:
-    """(a, b, inter, extra) of pairs of representatives, from the full sets: the
+def overlaps(pairs: DataFrame, docs: DataFrame, reps: DataFrame, words: int) -> DataFrame:
+    """(a, b, inter, extra) of pairs of classes, from the full sets: the
     size of the common part and the hashes of a that b lacks.
 
-    ``pairs`` has a, b and their digests da, db. The text of ``a`` travels to the
+    ``pairs`` has a, b and their digests da, db; ``reps`` has the doc_id and text_md5 of the
+    row that stands for each class (rep). The text of ``a`` travels to the
     pair by ``a``, then the pair to the text of ``b``; ``b`` may be a hub with very many
     partners, so its rows are salted by the number of its pairs.
     """
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
-    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id")))
-    texts = filtered(texts, "id", id_filter(wanted, "id"))
+    wanted = pairs.select(F.col("a").alias("rep")).union(pairs.select(F.col("b").alias("rep"))).distinct().join(reps.select("rep", "doc_id", "text_md5"), "rep")
+    texts = docs.where("text IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    texts = filtered(texts, "doc_id", id_filter(wanted, "doc_id")).withColumn("text_md5", text_key(F.col("text"))).dropDuplicates(["doc_id", "text_md5"])
+    texts = texts.join(wanted, ["doc_id", "text_md5"]).select(F.col("rep").alias("id"), "text")
     hubs = (pairs.groupBy("b").agg(F.count("*").alias("n")).withColumn("salts", F.ceil(F.col("n") / 256).cast("int")))
     right = (texts.withColumnRenamed("id", "b").withColumnRenamed("text", "tb").join(hubs.select("b", "salts"), "b")
              .withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts"))
@@ -180,35 +187,45 @@ def overlaps(pairs: DataFrame, docs: DataFrame, words: int) -> DataFrame:
                 if key != last:  # rows of one hub follow one another
                     hub, last = shingles(tb.as_py(), words), key
                     good = xxhash.xxh3_128_digest(hub.tobytes()) == key[1]
-                if not good:  # another text under a repeated id
-                    last = None
-                    continue
+                if not good:  # not the text that was sketched
+                    raise RuntimeError(f"the text of class {key[0]} changed")
                 s = shingles(ta.as_py(), words)
-                if xxhash.xxh3_128_digest(s.tobytes()) == da.as_py():
-                    extra = s[hub[np.minimum(np.searchsorted(hub, s), len(hub) - 1)] != s]
-                    rows.append((a.as_py(), key[0], len(s) - len(extra), extra.view(np.int64)))
+                if xxhash.xxh3_128_digest(s.tobytes()) != da.as_py():
+                    raise RuntimeError(f"the text of class {a.as_py()} changed")
+                extra = s[hub[np.minimum(np.searchsorted(hub, s), len(hub) - 1)] != s]
+                rows.append((a.as_py(), key[0], len(s) - len(extra), extra.view(np.int64)))
             cols = list(zip(*rows, strict=True)) or [(), (), (), ()]
             yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols[:3]), pa.array(cols[3], pa.list_(pa.int64()))],
                                              names=["a", "b", "inter", "extra"])
 
-    return both.mapInArrow(run, "a long, b long, inter long, extra array<long>").dropDuplicates(["a", "b"])
+    return both.mapInArrow(run, "a long, b long, inter long, extra array<long>")
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``docs`` (doc_id, text)."""
+    return grouped(docs, words, percent).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def grouped(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """doc_id, text_md5, n_shingles, component_id, component_md5, kept for every row of ``docs``.
+
+    component_id and component_md5 are the id and text md5 of the row that stands for the component,
+    the one of the smallest id and, of its texts there, the smallest md5.
+    """
     width = chunk_width(percent)
     slots, limit = CHUNKS * width, CHUNKS * (ERRORS + 1) - 1
     rows = written(sketch(docs, words, slots), "sketch")
     classes = rows.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("digest").agg(
-        F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"))
-    reps = written(classes, "classes")
+        F.min(F.struct("doc_id", "text_md5")).alias("least"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"))
+    # the key of a class: an id may have several texts
+    reps = written(classes.select(F.monotonically_increasing_id().alias("rep"), "least.doc_id", "least.text_md5", "digest", "n", "sig"), "classes")
 
     keys = bucket_keys(reps, width)
     shared = keys.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
     members = written(keys.join(shared, "key"), "members")
-    weight = members.groupBy("rep").agg(F.sum("size").alias("weight"))
+    weight = members.groupBy("rep").agg(F.sum("size").alias("weight")).join(reps.select("rep", F.col("doc_id").alias("id")), "rep")
     weighed = members.join(weight, "rep")
-    hubs = weighed.groupBy("key").agg((-F.max(F.struct(F.col("weight"), (-F.col("rep")).alias("minus")))["minus"]).alias("hub"))
+    hubs = weighed.groupBy("key").agg((-F.max(F.struct(F.col("weight"), -F.col("id"), (-F.col("rep")).alias("minus")))["minus"]).alias("hub"))
     hubbed = written(members.join(hubs, "key").select("key", "rep", "hub"), "hubs")
 
     info = reps.select("rep", "n", "sig", "digest")
@@ -220,7 +237,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
              .join(side("a"), "a").join(side("b"), "b").where(_sizes_allow("na", "nb", percent) & (_distance("sa", "sb", slots) <= limit)))
     first = written(first.select("a", "b", "na", "nb", "da", "db"), "hub-pairs")
     linked = F.expr(f"100 * inter >= {percent} * (na + nb - inter)")
-    known = written(first.join(overlaps(first, docs, words), ["a", "b"]).select("a", "b", "inter", "extra", linked.alias("linked")), "hub-overlaps")
+    known = written(first.join(overlaps(first, docs, reps, words), ["a", "b"]).select("a", "b", "inter", "extra", linked.alias("linked")), "hub-overlaps")
     merged = written(connected_components(known.where("linked")), "merged")
 
     # members of buckets that are still in several components, once for each hub; two members of one bucket share its hub
@@ -232,7 +249,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     pairs = rest.select(F.col("rep").alias("a"), F.col("hub").alias("b"))
     lacking = written(pairs.join(known.select("a", "b"), ["a", "b"], "left_anti").join(side("a"), "a").join(side("b"), "b")
                       .select("a", "b", "na", "nb", "da", "db"), "lacking")
-    apart = written(lacking.join(overlaps(lacking, docs, words), ["a", "b"]).select("a", "b", "inter", "extra", linked.alias("linked")), "apart")
+    apart = written(lacking.join(overlaps(lacking, docs, reps, words), ["a", "b"]).select("a", "b", "inter", "extra", linked.alias("linked")), "apart")
     seen = written(known.union(apart).join(pairs, ["a", "b"], "left_semi").select("a", "b", "inter", "extra"), "seen")
     # what a member has beyond its hub can only add to a pair's overlap where another member of the hub has it too
     extras = seen.select("a", "b", F.explode("extra").alias("s"))
@@ -264,15 +281,20 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     tested = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     second = second.join(tested, ["a", "b"], "left_anti").join(side("a"), "a").join(side("b"), "b")
     second = written(second.select("a", "b", "na", "nb", "da", "db"), "rest-pairs")
-    more = second.join(overlaps(second, docs, words), ["a", "b"]).where(linked).select("a", "b").union(apart.where("linked").select("a", "b"))
+    more = second.join(overlaps(second, docs, reps, words), ["a", "b"]).where(linked).select("a", "b").union(apart.where("linked").select("a", "b"))
 
     # links of the first round are a star forest already; only what the second adds is contracted
     links = merged.where("id <> component").select(F.col("id").alias("a"), F.col("component").alias("b")).union(more)
     final = connected_components(links)
-    named = reps.select("digest", "rep").join(final.withColumnRenamed("id", "rep"), "rep", "left").select(
-        "digest", F.coalesce("component", "rep").alias("class_component"))
+    named = reps.join(final.withColumnRenamed("id", "rep"), "rep", "left").select(
+        "digest", F.coalesce("component", "rep").alias("component"), F.struct("doc_id", "text_md5").alias("least"))
+    names = named.groupBy("component").agg(F.min("least").alias("least"))
+    named = named.drop("least").join(names, "component").select("digest", "least")
     alone = F.col("n_shingles").eqNullSafe(0)
+
+    def of(own: str) -> Column:
+        return F.when(alone, F.col(own)).when(F.col("doc_id").isNull(), None).otherwise(F.col(f"least.{own}"))
+
     return (rows.join(named, "digest", "left")
-            .select("doc_id", "n_shingles", F.when(alone, F.col("doc_id")).when(F.col("doc_id").isNull(), None)
-                    .otherwise(F.col("class_component")).alias("component_id"))
+            .select("doc_id", "text_md5", "n_shingles", of("doc_id").alias("component_id"), of("text_md5").alias("component_md5"))
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
