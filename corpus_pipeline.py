@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillsight.llm import decontaminate, near_dup, packing, quality_fm
-from tillsight.llm.common import bounded_batches, id_crc32, table, without, written
+from tillsight.llm.common import BROADCAST_ROWS, bounded_batches, id_crc32, table, without, written
 
 #: Documents whose probability of quality 1 is below this go.
 QUALITY_FLOOR = 0.5
@@ -29,17 +29,23 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each near-duplicate group (5-word shingles, similarity 0.8).
 
-    Rows that repeat a kept id count as one document; rows without an id stay.
+    Rows that repeat an id and its text count as one document, other texts under that id
+    are documents of their own; rows without an id stay.
     """
     bounded_batches(spark)
-    found = written(near_dup.near_duplicates(docs, words=5, percent=80), "near-dedup").where("doc_id IS NOT NULL")
-    gone = written(found.where("NOT kept").select("doc_id").distinct(), "near-dedup-gone")
-    repeated = written(found.where("kept").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"), "near-dedup-repeated")
-    rest = without(docs, gone, "doc_id")
-    if not repeated.take(1):
+    found = written(near_dup.grouped(docs, words=5, percent=80), "near-dedup").where("doc_id IS NOT NULL")
+    key = [F.col("doc_id").alias("__id"), F.col("text_md5").alias("__md5")]
+    stays = (F.col("doc_id") == F.col("component_id")) & (F.col("text_md5") == F.col("component_md5"))
+    gone = written(found.where(~stays).select(*key).distinct(), "near-dedup-gone")
+    repeated = written(found.where(stays).groupBy(*key).agg(F.count("*").alias("n")).where("n > 1").drop("n"), "near-dedup-repeated")
+    same = (F.col("doc_id").cast("long") == F.col("__id")) & (near_dup.text_key(F.col("text")) == F.col("__md5"))
+    rest = without(docs, gone, same)
+    many = repeated.count()
+    if not many:
         return rest
-    again = rest.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return without(rest, repeated, "doc_id").unionByName(again).select(*docs.columns)
+    again = rest.join(F.broadcast(repeated) if many <= BROADCAST_ROWS else repeated, same, "left_semi")
+    again = again.withColumn("__md5", near_dup.text_key(F.col("text"))).dropDuplicates(["doc_id", "__md5"])
+    return without(rest, repeated, same).unionByName(again.drop("__md5")).select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
