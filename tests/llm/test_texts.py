@@ -199,3 +199,13 @@ def test_licence_notices_wrapped_over_lines_are_found():
     assert not licenses.scan_text("\n\n".join(words), model, templates)[1]
     pair = "Released under the MIT License.\nLicensed under CC BY 4.0."  # neighbours stay two notices
     assert [pair[f[0]:f[1]] for f in licenses.scan_text(pair, model, templates)[1]] == pair.split("\n")
+
+
+def test_quality_sample_takes_one_row_of_a_repeated_id(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, f"text {i}", i) for i in range(300)] + [(2, "other", 5), (3, None, None)], "doc_id long, text string, n_chars long")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id long, quality int")
+    collected = []
+    monkeypatch.setattr(type(docs), "toPandas", lambda self, f=type(docs).toPandas: collected.append(f(self)) or collected[-1])
+    monkeypatch.setattr(quality_fm, "fit", lambda rows, y, **_: (rows, y.tolist()))
+    rows, y = quality_fm.train(docs, labels)
+    assert y == [1, 0, 0] and len(rows) == 3 and [len(c) for c in collected] == [3]

@@ -134,7 +134,7 @@ def _n_chars(docs: DataFrame) -> Column:
 
 
 def train(docs: DataFrame, labels: DataFrame, learn: Column | None = None, max_rows: int = 6000, **options) -> FactorisationMachine:
-    """Fit on at most ``max_rows`` labelled rows (those of the smallest id hash).
+    """Fit on at most ``max_rows`` labelled rows (those of the smallest id hash, one of each id: the smallest by text hash).
 
     ``learn``: a condition on ``doc_id``; rows that fail it are never seen.
     Labels other than 0 and 1, and ids with both labels, are left out.
@@ -146,6 +146,8 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column | None = None, max_r
     marks = (marks.groupBy("doc_id").agg(F.min("y").alias("y"), F.max("y").alias("y_max")).where("y = y_max")
              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows).select("doc_id", "y"))
     picked = docs.select("doc_id", "text", _n_chars(docs).alias("n_chars")).join(F.broadcast(marks), "doc_id")  # max_rows pairs
+    # rows of a repeated id are cut to one here, before anything is collected
+    picked = picked.groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text"), "text", "n_chars", "y")).alias("r")).select("doc_id", "r.text", "r.n_chars", "r.y")
 
     def featurise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -155,8 +157,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column | None = None, max_r
 
     # sparse features of at most WORD_DIM + N_STATS entries for each sampled row
     got = picked.mapInPandas(featurise, "doc_id long, y int, idx array<int>, val array<float>").toPandas()
-    got["k"] = [zlib.crc32(np.asarray(i, np.int32).tobytes()) for i in got["idx"]]
-    got = got.sort_values(["doc_id", "k"], kind="stable").head(max_rows)
+    got = got.sort_values("doc_id", kind="stable")
     rows = [(np.asarray(i, np.int64), np.asarray(v, np.float64)) for i, v in zip(got["idx"], got["val"], strict=True)]
     return fit(rows, got["y"].to_numpy(np.float64), **options)
 
