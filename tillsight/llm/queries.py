@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, licenses, lm_scoring, near_dup, packing, quality_fm, sharding, token_counts, topk, url_graph
-from .common import id_crc32, table
+from . import decontaminate, licenses, lm_scoring, merkle, near_dup, packing, quality_fm, sharding, token_counts, topk, url_graph
+from .common import ascii_lower, id_crc32, table
+from .oracles import OP13_SQL
 
 
 def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,7 +66,16 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.array_max("licences.probability").alias("probability"))
 
 
-QUERIES = {f.__name__: f for f in (op1_benchmark_decontamination, op2_exact_top_k, op3_lm_scoring, op4_token_counts, op5_sharding, op6_url_filters, op7_quality_classifier, op8_packing, op9_minhash_near_dedup, op10_license_scan)}
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = merkle.leaf_digest([ascii_lower(F.col(f)) if f == "text" else F.col(f) for f in merkle.FIELDS])
+    shown = F.when(id_crc32(F.col("doc_id")) % 5 == 0, tampered)
+    rows = merkle.proofs(merkle.manifest(table(spark, sf_dir, "documents"), shown=shown))
+    rows = rows.withColumn("folded_root", merkle.folded(F.coalesce("shown", "digest")))
+    return rows.select(F.col("id").alias("doc_id"), F.col("digest").alias("leaf"), "subroot", "root", F.sha2(merkle.siblings(), 256).alias("proof_sha256"),
+                       "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+QUERIES = {f.__name__: f for f in (op1_benchmark_decontamination, op2_exact_top_k, op3_lm_scoring, op4_token_counts, op5_sharding, op6_url_filters, op7_quality_classifier, op8_packing, op9_minhash_near_dedup, op10_license_scan, op13_merkle_manifest)}
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -117,4 +127,4 @@ WITH v AS (
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 """
 
-ORACLE: dict[str, str] = {"op2_exact_top_k": OP2_SQL, "op1_benchmark_decontamination": OP1_SQL}
+ORACLE: dict[str, str] = {"op2_exact_top_k": OP2_SQL, "op1_benchmark_decontamination": OP1_SQL, "op13_merkle_manifest": OP13_SQL}
