@@ -66,3 +66,36 @@ FROM q{_DEEP - 1}, (SELECT digest AS root FROM t{_DEEP})
 
 
 OP13_SQL = _op13()
+
+OP11_SQL = f"""
+WITH o AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i
+  FROM conversations WHERE conv_id IS NOT NULL
+), c AS (
+  SELECT conv_id, conv_id - conv_id % 20 AS base, {crc32_sql('CAST(conv_id AS VARCHAR)')} % 4 AS h FROM (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL)
+), r AS (
+  SELECT c.conv_id, 0 AS part, o.i, {{'r': o.role, 't': o.text}} AS x FROM c JOIN o ON o.conv_id = c.base AND o.i <= c.h
+  UNION ALL SELECT c.conv_id, 1, o.i, {{'r': o.role, 't': o.text}} FROM c JOIN o ON o.conv_id = c.conv_id AND o.i > c.h
+), s AS (
+  SELECT c.conv_id, coalesce(q.xs, []) AS xs FROM c LEFT JOIN (SELECT conv_id, list(x ORDER BY part, i) AS xs FROM r GROUP BY conv_id) q ON q.conv_id = c.conv_id
+), m AS (
+  SELECT conv_id, xs, unnest(range(0, len(xs) + 1)) AS d FROM s
+), n AS (
+  SELECT xs[1:d] AS p, d, min(conv_id) AS conv_id, count(*) AS n,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE len(xs) = d), '')) AS ends
+  FROM m GROUP BY xs[1:d], d
+), k AS (
+  SELECT p, d, count(*) AS children FROM (SELECT p[1:d - 1] AS p, d - 1 AS d FROM n WHERE d > 0) GROUP BY p, d
+), w AS (
+  SELECT n.*, coalesce(k.children, 0) AS children,
+         (n.n - 1) * CASE WHEN n.d = 0 THEN 0 ELSE len(regexp_extract_all(n.p[n.d].t, '[^\x20\x09-\x0D]+')) END AS own
+  FROM n LEFT JOIN k ON k.p = n.p AND k.d = n.d
+), b AS (
+  SELECT p[1:e] AS p, e AS d, sum(own) AS saved, count(*) FILTER (WHERE children = 0) AS leaves
+  FROM (SELECT p, children, own, unnest(range(0, d + 1)) AS e FROM w) GROUP BY p[1:e], e
+)
+SELECT w.conv_id, w.d AS depth, u.conv_id AS parent_conv_id, w.n AS n_convs, w.children AS n_children, b.leaves AS n_leaves,
+       CAST(b.saved AS BIGINT) AS saved_tokens, w.ends AS ends_sha256
+FROM w JOIN b ON b.p = w.p AND b.d = w.d LEFT JOIN n u ON u.d = w.d - 1 AND u.p = w.p[1:w.d - 1]
+"""

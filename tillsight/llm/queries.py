@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, licenses, lm_scoring, merkle, near_dup, packing, quality_fm, sharding, token_counts, topk, url_graph
+from . import decontaminate, licenses, lm_scoring, merkle, near_dup, packing, prefix_trie, quality_fm, sharding, token_counts, topk, url_graph
 from .common import ascii_lower, id_crc32, table
-from .oracles import OP13_SQL
+from .oracles import OP11_SQL, OP13_SQL
 
 
 def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,6 +66,13 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.array_max("licences.probability").alias("probability"))
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conv = F.col("conv_id")
+    nodes = prefix_trie.trie(prefix_trie.rebuilt(table(spark, sf_dir, "conversations"), base=conv - conv % 20, shared=id_crc32(conv) % 4))
+    return nodes.select("conv_id", "depth", "parent_conv_id", F.col("n").alias("n_convs"), F.col("children").alias("n_children"),
+                        F.col("leaves").alias("n_leaves"), F.col("saved").alias("saved_tokens"), F.col("ends").alias("ends_sha256"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     tampered = merkle.leaf_digest([ascii_lower(F.col(f)) if f == "text" else F.col(f) for f in merkle.FIELDS])
     shown = F.when(id_crc32(F.col("doc_id")) % 5 == 0, tampered)
@@ -75,7 +82,7 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
 
 
-QUERIES = {f.__name__: f for f in (op1_benchmark_decontamination, op2_exact_top_k, op3_lm_scoring, op4_token_counts, op5_sharding, op6_url_filters, op7_quality_classifier, op8_packing, op9_minhash_near_dedup, op10_license_scan, op13_merkle_manifest)}
+QUERIES = {f.__name__: f for f in (op1_benchmark_decontamination, op2_exact_top_k, op3_lm_scoring, op4_token_counts, op5_sharding, op6_url_filters, op7_quality_classifier, op8_packing, op9_minhash_near_dedup, op10_license_scan, op11_conversation_trie, op13_merkle_manifest)}
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -127,4 +134,4 @@ WITH v AS (
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 """
 
-ORACLE: dict[str, str] = {"op2_exact_top_k": OP2_SQL, "op1_benchmark_decontamination": OP1_SQL, "op13_merkle_manifest": OP13_SQL}
+ORACLE: dict[str, str] = {"op2_exact_top_k": OP2_SQL, "op1_benchmark_decontamination": OP1_SQL, "op11_conversation_trie": OP11_SQL, "op13_merkle_manifest": OP13_SQL}
