@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, licenses, lm_scoring, merkle, near_dup, packing, prefix_trie, quality_fm, sharding, token_counts, topk, url_graph
+from . import decontaminate, kmeans_tree, licenses, lm_scoring, merkle, near_dup, packing, prefix_trie, quality_fm, sharding, token_counts, topk, url_graph
 from .common import ascii_lower, id_crc32, table
 from .oracles import OP11_SQL, OP13_SQL
 
@@ -73,6 +73,11 @@ def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("leaves").alias("n_leaves"), F.col("saved").alias("saved_tokens"), F.col("ends").alias("ends_sha256"))
 
 
+def op12_ann_kmeans_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = kmeans_tree.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+    return found.select("query_id", "rank", "vec_id", "score")
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     tampered = merkle.leaf_digest([ascii_lower(F.col(f)) if f == "text" else F.col(f) for f in merkle.FIELDS])
     shown = F.when(id_crc32(F.col("doc_id")) % 5 == 0, tampered)
@@ -82,7 +87,7 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
 
 
-QUERIES = {f.__name__: f for f in (op1_benchmark_decontamination, op2_exact_top_k, op3_lm_scoring, op4_token_counts, op5_sharding, op6_url_filters, op7_quality_classifier, op8_packing, op9_minhash_near_dedup, op10_license_scan, op11_conversation_trie, op13_merkle_manifest)}
+QUERIES = {f.__name__: f for f in (op1_benchmark_decontamination, op2_exact_top_k, op3_lm_scoring, op4_token_counts, op5_sharding, op6_url_filters, op7_quality_classifier, op8_packing, op9_minhash_near_dedup, op10_license_scan, op11_conversation_trie, op12_ann_kmeans_tree, op13_merkle_manifest)}
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
