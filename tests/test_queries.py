@@ -57,6 +57,12 @@ def test_every_query_has_an_oracle_or_is_listed():
     assert no_sql == {"dashboard_dataset"}
 
 
+@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+def test_oracle_can_be_bound_as_a_view(con, name):
+    con.execute(f"CREATE OR REPLACE TEMP VIEW bound AS {entry.oracle_sql()[name]}")
+    assert con.execute("SELECT count(*) FROM (DESCRIBE bound)").fetchone()[0] == len(con.execute(entry.oracle_sql()[name]).description)
+
+
 @pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_query_matches_oracle(spark, con, name):
     df = entry.queries()[name](spark, SF)

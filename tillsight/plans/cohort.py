@@ -76,14 +76,31 @@ def purchase_cohort_retention(t: RetailTables, fill_observable_gaps: bool = Fals
     )
 
 
-def purchase_cohort_matrix(t: RetailTables) -> DataFrame:
-    """Cohort x period retention, every period that occurs as a column m0.., NULL for no activity.
+def purchase_cohort_matrix(t: RetailTables, periods: int | None = None) -> DataFrame:
+    """Cohort x period retention, columns m0, m1, ... in order, NULL for no activity.
 
-    The column names come from the data, so a small job finds the periods when the query is built."""
+    ``periods`` fixes the columns to the first so many; ``later_periods`` then counts a cohort's active
+    periods after them, so none is lost unseen. Without it every period that occurs is a column; the names come from
+    the data, so a small job finds them when the query is built."""
     ret = purchase_cohort_retention(t)
-    wide = ret.groupBy("cohort_month").pivot("period").agg(F.first("retention"))
-    periods = [c for c in wide.columns if c != "cohort_month"]
-    return wide.select("cohort_month", *[F.col(p).alias(f"m{p}") for p in periods]).orderBy("cohort_month")
+    listed = range(periods) if periods is not None else [
+        r.period for r in ret.select("period").distinct().orderBy("period").collect()]  # months spanned
+    wide = ret.groupBy("cohort_month").agg(
+        *[F.max(F.when(F.col("period") == p, F.col("retention"))).alias(f"m{p}") for p in listed],
+        F.count_if(F.col("period") >= len(listed)).alias("later_periods"))
+    return (wide if periods is not None else wide.drop("later_periods")).orderBy("cohort_month")
+
+
+def cohort_heatmap(t: RetailTables, periods: int = 12) -> DataFrame:
+    """The first ``periods`` columns of the matrix in %, rounded to 1 digit: what the heatmap shows."""
+    wide = purchase_cohort_matrix(t, periods)
+    return wide.select("cohort_month", *[round_float_half_even(F.col(f"m{p}") * 100.0, 1).alias(f"m{p}_pct") for p in range(periods)])
+
+
+def retention_curve_head(t: RetailTables, n: int = 6) -> DataFrame:
+    """The first ``n`` periods of the mean curve, rounded to 1 digit."""
+    curve = avg_retention_curve(t).where(F.col("period") < n)
+    return curve.select("period", F.bround("avg_retention_pct", 1).alias("avg_retention_pct"))
 
 
 def avg_retention_curve(t: RetailTables) -> DataFrame:

@@ -19,6 +19,8 @@ from tillsight.sources.model import RetailTables
 
 CONTROL, VARIANT = "control", "variant"
 ALPHA = 0.05
+# The two labels of the decision.
+SIGNIFICANT, NOT_SIGNIFICANT = "statistically significant", "not statistically significant"
 # One-sided standard normal quantiles for the usual power levels.
 Z_POWER = {0.8: 0.8416212335729143, 0.9: 1.2815515655446004}
 
@@ -68,6 +70,14 @@ def ab_test_result(t: RetailTables, alpha: float = ALPHA, full_base: int | None
     )
 
 
+def ab_decision(t: RetailTables, alpha: float = ALPHA) -> DataFrame:
+    """The decision at ``alpha`` as a flag and as the label of the report (no decision without a p value)."""
+    a = _arm_counts(t.campaign)
+    p = two_sided_p(pooled_z(F.col("x1"), F.col("n1"), F.col("x2"), F.col("n2")))
+    decided = a.select(F.lit(alpha).alias("alpha"), rnd(p, 4).alias("p_value"), (p < F.lit(alpha)).alias("significant"))
+    return decided.withColumn("result", F.when(F.col("significant"), SIGNIFICANT).when(~F.col("significant"), NOT_SIGNIFICANT))
+
+
 def ab_arm_intervals(t: RetailTables) -> DataFrame:
     """Per arm: rate and its 95 % half-width 1.96 sqrt(p(1-p)/n)."""
     per_arm = t.campaign.groupBy("grp").agg(F.count(F.lit(1)).alias("n"),

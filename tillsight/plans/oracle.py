@@ -346,9 +346,16 @@ SELECT strftime(cohort_month, '%Y-%m-%d') AS cohort_month, period, customers FRO
 SELECT strftime(cohort_month, '%Y-%m-%d') AS cohort_month, period, customers, cohort_size, retention
 FROM ret ORDER BY 1, 2"""),
 
-    "purchase_cohort_matrix": _sql(_COHORTS + """
-, cells AS (SELECT strftime(cohort_month, '%Y-%m-%d') AS cohort_month, 'm' || period AS period, retention FROM ret)
-PIVOT cells ON period USING FIRST(retention) GROUP BY cohort_month"""),
+    "purchase_cohort_matrix": _sql(_COHORTS + "\nSELECT strftime(cohort_month, '%Y-%m-%d') AS cohort_month, " + ", ".join(
+        f"MAX(retention) FILTER (WHERE period = {p}) AS m{p}" for p in range(80))
+        + ", COUNT(*) FILTER (WHERE period >= 80) AS later_periods FROM ret GROUP BY 1"),
+
+    "cohort_heatmap": _sql(_COHORTS + "\nSELECT strftime(cohort_month, '%Y-%m-%d') AS cohort_month, " + ", ".join(
+        f"{_re(f'MAX(retention) FILTER (WHERE period = {p}) * 100.0', 1)} AS m{p}_pct" for p in range(12)) + " FROM ret GROUP BY 1"),
+
+    "retention_curve_head": _sql(_COHORTS + _CURVE + """
+SELECT period, CAST(cents // 10 + CASE WHEN cents % 10 > 5 OR (cents % 10 = 5 AND (cents // 10) % 2 = 1) THEN 1 ELSE 0 END AS DOUBLE) / 10.0 AS avg_retention_pct
+FROM (SELECT period, CAST(round(avg_retention_pct * 100) AS BIGINT) AS cents FROM curve WHERE period < 6)"""),
 
     "avg_retention_curve": _sql(_COHORTS + _CURVE + """
 SELECT * FROM curve ORDER BY period"""),
@@ -377,6 +384,11 @@ SELECT n1 AS control_n, n2 AS variant_n,
        {_re("(p2 - p1) * base * vconv", 0)} AS projected_incremental_revenue
 FROM final"""),
 
+    "ab_decision": _sql(_AB + f"""
+SELECT CAST(0.05 AS DOUBLE) AS alpha, {_re("p_value", 4)} AS p_value, p_value < 0.05 AS significant,
+       CASE WHEN p_value < 0.05 THEN 'statistically significant' WHEN p_value >= 0.05 THEN 'not statistically significant' END AS result
+FROM final"""),
+
     "ab_arm_intervals": _sql(f"""
 , per_arm AS (SELECT grp, COUNT(*) AS n, CAST(SUM(converted) AS BIGINT) AS conversions FROM rc_campaign GROUP BY grp),
 w AS (SELECT *, CAST(conversions AS DOUBLE) / n AS p FROM per_arm),

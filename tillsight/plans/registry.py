@@ -27,9 +27,10 @@ CHANNELS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 
 @dataclass(frozen=True)
 class Params:
-    """Knobs of the queries. ``channels=None`` lets the pivot find the channels."""
+    """Knobs of the queries. ``channels=None`` lets the pivot find the channels, ``cohort_periods=None`` the periods."""
 
     channels: list[str] | None = None
+    cohort_periods: int | None = None
     active_year: int = 2024
     lapsed_year: int = 2025
     top_k: int = 5
@@ -40,8 +41,8 @@ class Params:
     arm_salt: str = "arm"
 
 
-# The warehouse mapping: years 2000 / 2001 stand for 2024 / 2025.
-DRIVER_PARAMS = Params(channels=CHANNELS, active_year=2000, lapsed_year=2001)
+# The warehouse mapping: years 2000 / 2001 stand for 2024 / 2025; orders from 1995-01 to 2001-08 span 80 months.
+DRIVER_PARAMS = Params(channels=CHANNELS, cohort_periods=80, active_year=2000, lapsed_year=2001)
 
 Plan = Callable[[RetailTables, Params], DataFrame]
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,11 +75,14 @@ def plans() -> dict[str, Plan]:
         "signup_cohort_activity": lambda t, p: cohort.signup_cohort_activity(t),
         "purchase_cohort_counts": lambda t, p: cohort.purchase_cohort_counts(t),
         "purchase_cohort_retention": lambda t, p: cohort.purchase_cohort_retention(t),
-        "purchase_cohort_matrix": lambda t, p: cohort.purchase_cohort_matrix(t),
+        "purchase_cohort_matrix": lambda t, p: cohort.purchase_cohort_matrix(t, p.cohort_periods),
+        "cohort_heatmap": lambda t, p: cohort.cohort_heatmap(t),
+        "retention_curve_head": lambda t, p: cohort.retention_curve_head(t),
         "avg_retention_curve": lambda t, p: cohort.avg_retention_curve(t),
         "retention_m1_m3": lambda t, p: cohort.retention_m1_m3(t),
         "ab_summary": lambda t, p: experiment.ab_summary(t),
         "ab_test_result": lambda t, p: experiment.ab_test_result(t),
+        "ab_decision": lambda t, p: experiment.ab_decision(t),
         "ab_arm_intervals": lambda t, p: experiment.ab_arm_intervals(t),
         "ab_projection": lambda t, p: experiment.ab_projection(t),
         "ab_sample_size": lambda t, p: experiment.ab_sample_size(t),
