@@ -69,6 +69,21 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     return sc.getConf().get("spark.checkpoint.dir", None) if sc is not None else None
 
 
+_DELETED_AT_EXIT: set[str] = set()
+
+
+def delete_at_exit(spark: SparkSession, path: str) -> None:
+    """Have the existing ``path``, a folder of this application alone, deleted when the JVM ends.
+
+    Hadoop takes only paths that exist; it says whether it did."""
+    if path in _DELETED_AT_EXIT:
+        return
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not at.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(at):
+        raise RuntimeError(f"{path} does not exist, so it cannot be deleted when the application ends")
+    _DELETED_AT_EXIT.add(path)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the cluster's ``spark.checkpoint.dir``; create a scratch one only when
     it is unset *and* the session runs in local mode (tests, laptop runs).
@@ -87,6 +102,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if sc is not None:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(configured)
+        delete_at_exit(spark, sc.getCheckpointDir() or configured)
         return sc.getCheckpointDir() or configured
     spark.conf.set("spark.checkpoint.dir", configured)
     return configured

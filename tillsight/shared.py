@@ -13,7 +13,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillsight.session import checkpoint_dir, context, session_key
+from tillsight.session import checkpoint_dir, context, delete_at_exit, session_key
 
 _WRITTEN: dict[str, list[str]] = {}
 
@@ -33,9 +33,10 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = f"{folder.rstrip('/')}/tillsight-{name}-{uuid.uuid4().hex}"
     if context(spark) is not None:
         fs, at = _hadoop_path(spark, path)
-        fs.deleteOnExit(at)
+        fs.mkdirs(at)  # so that it can be registered before the write, which may fail
+        delete_at_exit(spark, path)
         _WRITTEN.setdefault(session_key(spark), []).append(path)
-    df.write.parquet(path)
+    df.write.mode("append").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
