@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillsight.session import ensure_checkpoint_dir
+from tillsight.session import delete_at_exit, ensure_checkpoint_dir
 
 
 #: Rows of an Arrow batch: whole texts may be long, and a worker holds a batch or two.
@@ -36,7 +36,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
     hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    hpath.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hpath)
+    hpath.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(hpath)
+    delete_at_exit(spark, path)
     return path
 
 
@@ -49,7 +50,7 @@ def written(df: DataFrame, name: str, **options: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     schema = df.schema
-    df.write.parquet(path, **options)
+    df.write.mode("append").parquet(path, **options)
     return spark.read.schema(schema).parquet(path)
 
 
