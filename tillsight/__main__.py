@@ -3,6 +3,7 @@
   python -m tillsight list
   python -m tillsight run QUERY (--tables DIR | --csv DIR) [--out PATH --format csv|parquet|json] [--show N]
   python -m tillsight export (--tables DIR | --csv DIR) --out DIR
+  python -m tillsight refresh --tables DIR --out DIR
 
 --tables reads the warehouse parquet tables (region, nation, customer, part,
 orders, lineitem) through the adapter; --csv reads retail exports
@@ -46,6 +47,10 @@ def main(argv: list[str] | None = None) -> int:
         sp.add_argument("--active-year", type=int)
         sp.add_argument("--lapsed-year", type=int)
         sp.add_argument("--channels", help="comma-separated pivot columns")
+    sp = sub.add_parser("refresh", help="bring a written order level up to date, month by month")
+    sp.add_argument("--tables", required=True)
+    sp.add_argument("--out", required=True)
+    sp.add_argument("--master")
     args = ap.parse_args(argv)
 
     if args.cmd == "list":
@@ -55,6 +60,11 @@ def main(argv: list[str] | None = None) -> int:
 
     from tillsight.session import build_session
     spark = build_session(args.master)
+    if args.cmd == "refresh":
+        from tillsight.sources.refresh import refresh, warehouse_facts
+        done = refresh(spark, warehouse_facts(spark, args.tables), args.out)
+        print("months:", "all" if done.months is None else " ".join(done.months) or "none")
+        return 0
     t, params = _model(spark, args)
     if args.order_level:
         from tillsight.sources.files import read_order_level

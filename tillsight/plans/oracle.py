@@ -215,6 +215,17 @@ SELECT order_id, customer_id, strftime(order_date, '%Y-%m-%d') AS order_date, re
        CAST(order_revenue AS DOUBLE) AS order_revenue
 FROM rc_order_level"""),
 
+    "order_level_refreshed": _sql("""
+, lined AS (SELECT o.order_id, o.order_date FROM rc_orders o SEMI JOIN rc_items i ON i.order_id = o.order_id WHERE o.status = 'completed'),
+touched AS (
+  SELECT order_date FROM rc_orders WHERE order_id % 97 = 0 AND year(order_date) = 2001
+  UNION ALL SELECT order_date FROM rc_orders WHERE order_id % 89 = 0 AND year(order_date) = 2000
+  UNION ALL SELECT order_date - 40 FROM rc_orders WHERE order_id % 89 = 0 AND year(order_date) = 2000
+  UNION ALL SELECT order_date FROM lined WHERE order_id % 83 = 0 AND year(order_date) = 1999)
+SELECT strftime(order_date, '%Y-%m') AS order_month, COUNT(*) AS orders, CAST(SUM(order_revenue) AS DOUBLE) AS revenue,
+       strftime(order_date, '%Y-%m') IN (SELECT strftime(order_date, '%Y-%m') FROM touched) AS rewritten
+FROM rc_order_level GROUP BY 1"""),
+
     "kpis": _sql(f"""
 SELECT CAST(ROUND(SUM(order_revenue), 2) AS DOUBLE) AS total_revenue,
        COUNT(*) AS total_orders,

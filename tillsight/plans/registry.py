@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillsight.plans import cohort, customers, experiment, quality, report, rfm, sales
+from tillsight.plans import arrivals, cohort, customers, experiment, quality, report, rfm, sales
 from tillsight.operators.sampling import assign_arm, sample_exact_n
 from tillsight.plans.present import present
 from tillsight.session import session_key
@@ -134,5 +134,12 @@ def _q(plan: Plan) -> Query:
 
 
 def queries() -> dict[str, Query]:
-    """Every plan over the warehouse tables of a folder (spark, sf_dir) -> DataFrame."""
-    return {name: _q(plan) for name, plan in plans().items()}
+    """Every plan over the warehouse tables of a folder (spark, sf_dir) -> DataFrame, and the queries on files."""
+    return {name: _q(plan) for name, plan in plans().items()} | file_queries()
+
+
+def file_queries() -> dict[str, Query]:
+    """Queries that work on the tables' files rather than on a model."""
+    return {
+        "order_level_refreshed": lambda spark, sf_dir: present(arrivals.order_level_refreshed(spark, sf_dir)),
+    }

@@ -18,24 +18,30 @@ from tillsight.session import checkpoint_dir, context, delete_at_exit, session_k
 _WRITTEN: dict[str, list[str]] = {}
 
 
-def _hadoop_path(spark: SparkSession, path: str):
+def hadoop_path(spark: SparkSession, path: str):
     """(file system, path) of Hadoop's file API, the one Spark's readers use."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet into ``spark.checkpoint.dir`` and read it back."""
-    spark = df.sparkSession
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A fresh folder below ``spark.checkpoint.dir``, deleted by :func:`discard` or when the application ends."""
     folder = checkpoint_dir(spark)
     if not folder:
         raise RuntimeError("set spark.checkpoint.dir to a shared folder: shared tables and ordinal ranks are written there")
     path = f"{folder.rstrip('/')}/tillsight-{name}-{uuid.uuid4().hex}"
     if context(spark) is not None:
-        fs, at = _hadoop_path(spark, path)
+        fs, at = hadoop_path(spark, path)
         fs.mkdirs(at)  # so that it can be registered before the write, which may fail
         delete_at_exit(spark, path)
         _WRITTEN.setdefault(session_key(spark), []).append(path)
+    return path
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet into ``spark.checkpoint.dir`` and read it back."""
+    spark = df.sparkSession
+    path = scratch_folder(spark, name)
     df.write.mode("append").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -43,7 +49,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
 def discard(spark: SparkSession) -> None:
     """Delete the tables that this session has written; DataFrames that read them stop working."""
     for path in _WRITTEN.pop(session_key(spark), []):
-        fs, at = _hadoop_path(spark, path)
+        fs, at = hadoop_path(spark, path)
         fs.delete(at, True)
 
 
@@ -53,7 +59,7 @@ def fingerprint(spark: SparkSession, folder: str, names: list[str]) -> tuple:
     if context(spark) is None:
         return ()
     for name in names:
-        fs, at = _hadoop_path(spark, os.path.join(folder, f"{name}.parquet"))
+        fs, at = hadoop_path(spark, os.path.join(folder, f"{name}.parquet"))
         if not fs.exists(at):
             continue
         files = fs.listFiles(at, True)

@@ -19,6 +19,7 @@ Mapping (fixed values, the same in the DuckDB oracle):
 from __future__ import annotations
 
 import os
+from collections.abc import Sequence
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -58,11 +59,14 @@ DRIVER_SCHEMAS = {
 }
 
 
-def read_driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def read_driver_table(spark: SparkSession, sf_dir: str, name: str, files: Sequence[str] | None = None) -> DataFrame:
+    """A warehouse table, or only some of its ``files``."""
     reader = spark.read
     if name in DRIVER_SCHEMAS:
         reader = reader.schema(DRIVER_SCHEMAS[name])
-    return reader.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    if files is None:
+        return reader.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return reader.parquet(*files) if files else spark.createDataFrame([], DRIVER_SCHEMAS[name])
 
 
 def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,14 +117,14 @@ def _status(code):
     return expr
 
 
-def _orders(spark: SparkSession, sf_dir: str, customers: DataFrame) -> DataFrame:
-    """Orders with the customer's region and channel copied on.
+def orders_of(raw: DataFrame, customers: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Orders of the warehouse rows ``raw`` (with its columns ``keep``) with the customer's region and channel copied on.
 
     The attributes come from a LEFT join with one row per customer (grouped by
     the key), so Catalyst drops the join entirely from every plan that does not
     read region or channel (most of them only need ids, dates and status).
     """
-    o = read_driver_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
+    o = raw.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", *keep)
     attrs = customers.groupBy("customer_id").agg(
         F.min("region").alias("region"), F.min("acquisition_channel").alias("acquisition_channel"))
     return o.join(attrs, o.o_custkey == attrs.customer_id, "left").select(
@@ -130,16 +134,17 @@ def _orders(spark: SparkSession, sf_dir: str, customers: DataFrame) -> DataFrame
         _status(F.col("o_orderstatus")).alias("status"),
         "region",
         "acquisition_channel",
+        *keep,
     )
 
 
-def _order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order lines with the price the line itself carries, so no join with part.
+def order_items_of(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Order lines of the warehouse rows ``raw`` (with its columns ``keep``) with the price the line itself carries, so no join with part.
 
     Unit price is extended price / quantity and unit cost a share of it, both in
     whole cents (half up), which every engine computes alike. Lines of unknown parts stay.
     """
-    li = read_driver_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice")
+    li = raw.select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", *keep)
     li = (li.withColumn("q", F.col("l_quantity").cast("int"))
           .withColumn("cents", F.expr("(2 * cast(round(l_extendedprice * 100) AS bigint) + q) div nullif(2 * q, 0)"))
           .withColumn("cost", F.expr(f"(2 * cents * ({COST_PCT_BASE} + l_partkey % {COST_PCT_SPREAD}) + 100) div 200")))
@@ -149,6 +154,7 @@ def _order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("q").alias("quantity"),
         F.expr("cast(cast(cents AS decimal(12,0)) * 0.01BD AS decimal(12,2))").alias("unit_price"),
         F.expr("cast(cast(cost AS decimal(12,0)) * 0.01BD AS decimal(12,2))").alias("unit_cost"),
+        *keep,
     )
 
 
@@ -191,10 +197,10 @@ def retail_from_driver(spark: SparkSession, sf_dir: str, share_order_level: bool
         return _products(spark, sf_dir)
 
     def orders():
-        return _orders(spark, sf_dir, t.customers)
+        return orders_of(read_driver_table(spark, sf_dir, "orders"), t.customers)
 
     def order_items():
-        return _order_items(spark, sf_dir)
+        return order_items_of(read_driver_table(spark, sf_dir, "lineitem"))
 
     def campaign():
         return _campaign(t.customers, t.order_level)
