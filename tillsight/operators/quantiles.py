@@ -11,13 +11,13 @@ error here).
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillsight.operators.ranking import ordinal_rank
+from tillsight.operators.selection import order_statistics
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -28,29 +28,23 @@ def _lerp(a: Column, b: Column, t: Column) -> Column:
 
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float] = QUARTILES,
                     tiebreak: Sequence[str] = ()) -> DataFrame:
-    """One row ``edges: array<double>`` with the exact quantiles of ``value``, any cardinality.
+    """One row ``edges: array<double>`` with the exact quantiles of ``value``, any cardinality (NULLs without rows).
 
-    Built on ``ordinal_rank``: one range-partitioned sort of the value plus the
-    ``tiebreak`` columns (e.g. the row key, so that a value shared by a large
-    share of rows is still spread over many partitions). Every ranked row also
-    carries the row count, so the 2 * len(probs) rows at the interpolation
-    positions are picked by a filter, and one aggregate interpolates.
+    Only the rows at the interpolation positions are looked for (``order_statistics``):
+    no sort of the table and no written copy. ``tiebreak`` (e.g. the row key) only
+    helps to split a value that a large share of rows has.
     """
     vals = df.select(F.col(value).cast("double").alias("_q_v"), *tiebreak).where(F.col("_q_v").isNotNull())
-    ranked = ordinal_rank(vals, [F.col("_q_v"), *[F.col(c) for c in tiebreak]], rank_col="_q_pos",
-                          total_col="_q_n")
-    pos, n = F.col("_q_pos"), F.col("_q_n")
+    n = vals.count()
     spots = []
     for p in probs:
-        h = (n - F.lit(1)).cast("double") * F.lit(float(p))
-        lo = F.floor(h).cast("long") + F.lit(1)
-        spots.append((lo, F.least(lo + F.lit(1), n), h - F.floor(h)))
-    wanted = reduce(lambda a, b: a | b, [(pos == lo) | (pos == hi) for lo, hi, _ in spots])
-    picked = ranked.where(wanted)
-    return picked.agg(F.array(*[
-        _lerp(F.max(F.when(pos == lo, F.col("_q_v"))), F.max(F.when(pos == hi, F.col("_q_v"))), F.max(t))
-        for lo, hi, t in spots
-    ]).alias("edges"))
+        h = (n - 1) * float(p)
+        spots.append((math.floor(h) + 1, min(math.floor(h) + 2, n), h - math.floor(h)))
+    found = order_statistics(vals, ["_q_v", *tiebreak], [i for lo, hi, _ in spots for i in (lo, hi)])
+    at = {i: F.lit(float(k["_q_v"])) for i, k in found.items()}
+    none = F.lit(None).cast("double")
+    return df.sparkSession.range(1).select(F.array(*[
+        _lerp(at.get(lo, none), at.get(hi, none), F.lit(t)) for lo, hi, t in spots]).alias("edges"))
 
 
 def discrete_quantiles(df: DataFrame, value: str, probs: Sequence[float] = QUARTILES) -> DataFrame:

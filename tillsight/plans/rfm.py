@@ -10,13 +10,15 @@ Quartile edges are exact (linear interpolation), bins right-closed.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillsight.functions.numeric import round_float_half_even
-from tillsight.operators.quantiles import (bin_score, discrete_quantiles, exact_quantiles,
+from tillsight.operators.quantiles import (QUARTILES, bin_score, discrete_quantiles, exact_quantiles,
                                           rank_quantile_edges)
-from tillsight.operators.ranking import ordinal_rank
+from tillsight.operators.selection import key_literal, order_statistics
 from tillsight.operators.shares import share_of_total_bounded
 from tillsight.shared import written
 from tillsight.sources.model import RetailTables
@@ -74,38 +76,34 @@ def rfm_base(t: RetailTables, offset_days: int = 1) -> DataFrame:
 class RfmModel:
     """Scores plus the edges that produced them.
 
-    The per-customer table is written by the frequency ordinal rank;
-    the edges are computed from that copy, and the scored table
-    is written once more so that every consumer (scores, summary, top
-    segment, dashboard) reads the same materialised result.
+    Edges come from the written per-customer totals without sorting them: the frequency rank (ties by
+    customer id) is cut at its quartile positions by the (frequency, id) keys found there, and monetary edges are the
+    values at theirs. The scored table is written once, so that every consumer (scores, summary, top
+    segment, dashboard) reads the same result.
     """
 
     def __init__(self, t: RetailTables, offset_days: int = 1):
-        # rank first, then derive recency from the written per-customer rows:
-        # the order-level table is read once (the snapshot date comes from the copy)
-        ranked = ordinal_rank(shared_customer_totals(t), [F.col("frequency"), F.col("customer_id")], "f_rank",
-                              total_col="n_customers")
-        ranked = with_recency(ranked, offset_days)
-        self.ranked = ranked
-        self.recency_edges = discrete_quantiles(ranked, "recency").select("edges").scalar()
-        self.monetary_edges = exact_quantiles(ranked, "monetary", tiebreak=["customer_id"]).select("edges").scalar()
-        # ranks 1..n: their quartile edges need only n, carried on every row
-        self.rank_edges = rank_quantile_edges(F.col("n_customers"))
+        self.totals = with_recency(shared_customer_totals(t), offset_days)
+        self.n_customers = self.totals.count()
+        self.recency_edges = discrete_quantiles(self.totals, "recency").select("edges").scalar()
+        self.monetary_edges = exact_quantiles(self.totals, "monetary", tiebreak=["customer_id"]).select("edges").scalar()
+        # ranks 1..n: a rank is above the edge 1 + (n - 1) p if the key is above the one at its whole part
+        cuts = [math.floor(1 + (self.n_customers - 1) * p) for p in QUARTILES]
+        keys = ["frequency", "customer_id"]
+        found = order_statistics(self.totals, keys, cuts)
+        schema = self.totals.select(F.struct(*keys).alias("k")).schema["k"].dataType
+        above = [(F.struct(*keys) > key_literal(found[c], schema)).cast("int") for c in cuts if c in found]
+        self.f_score = sum(above, F.lit(1))
         self._scores: DataFrame | None = None
 
-    def _with_edges(self) -> DataFrame:
-        """The ranked rows with the edge arrays bound once as columns: each
-        scalar subquery then runs once, not once per reference."""
-        return self.ranked.select("*", self.recency_edges.alias("_r_edges"),
-                                  self.monetary_edges.alias("_m_edges"))
-
     def _score(self) -> DataFrame:
+        # the edge arrays are bound once as columns: each scalar subquery then runs once
+        bound = self.totals.select("*", self.recency_edges.alias("_r_edges"), self.monetary_edges.alias("_m_edges"))
         r = bin_score(F.col("recency"), F.col("_r_edges"), descending=True)
-        f = bin_score(F.col("f_rank"), self.rank_edges)
         m = bin_score(F.col("monetary"), F.col("_m_edges"))
-        scored = self._with_edges().select(
+        scored = bound.select(
             "customer_id", "recency", "frequency", "monetary",
-            r.alias("r_score"), f.alias("f_score"), m.alias("m_score"))
+            r.alias("r_score"), self.f_score.alias("f_score"), m.alias("m_score"))
         return scored.withColumn("rfm_sum", F.col("r_score") + F.col("f_score") + F.col("m_score")).withColumn(
             "segment", segment_of(F.col("r_score"), F.col("f_score"), F.col("m_score")))
 
@@ -118,11 +116,11 @@ class RfmModel:
         def row(name: str, edges: Column) -> Column:
             return F.struct(F.lit(name).alias("metric"),
                             *[F.round(edges[i], 6).alias(f"q{q}") for i, q in enumerate((25, 50, 75))])
-        one_row = self.ranked.agg(F.max("n_customers").alias("n_customers")).select(
+        one_row = self.totals.agg(F.count(F.lit(1)).alias("n_customers")).select(
             "n_customers", self.recency_edges.alias("_r_edges"), self.monetary_edges.alias("_m_edges"))
         return one_row.select(F.explode(F.array(
             row("recency", F.col("_r_edges")),
-            row("frequency_rank", self.rank_edges),
+            row("frequency_rank", rank_quantile_edges(F.col("n_customers"))),
             row("monetary", F.col("_m_edges")),
         )).alias("e")).select("e.*")
 
