@@ -201,7 +201,7 @@ def test_clip(spark):
 
 
 def test_quality_operators_on_edge_cases(spark):
-    from tillsight.operators.quality import foreign_key_orphans, primary_key_violations, table_profile
+    from tillsight.operators.quality import Reference, foreign_key_orphans, primary_key_violations, table_profile
     empty = spark.createDataFrame([], "k string, v double")
     r = table_profile(empty, "e").collect()[0]
     assert (r.rows, r.null_cells, r.duplicate_rows) == (0, 0, 0)
@@ -210,7 +210,7 @@ def test_quality_operators_on_edge_cases(spark):
     assert (pk.duplicated_keys, pk.null_keys) == (2, 2)  # 'a' and the NULL group repeat
     child = spark.createDataFrame([("a",), ("z",), (None,)], "fk string")
     parent = spark.createDataFrame([("a",)], "pk string")
-    assert foreign_key_orphans(child, "c", "fk", parent, "p", "pk").collect()[0].orphan_rows == 1
+    assert foreign_key_orphans({"c": child, "p": parent}, [Reference("c", "fk", "p", "pk")]).collect()[0].orphan_rows == 1
 
 
 def test_shares_with_zero_total_are_null(spark):

@@ -3,28 +3,53 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillsight.operators.keyfilter import bits_for, key_filter, may_hold
 
-def table_profile(df: DataFrame, table: str) -> DataFrame:
-    """One row: table, rows, null_cells, duplicate_rows (copies beyond the first).
 
-    One aggregation grouped by every column: NULLs group together (so duplicate
-    rows with NULLs are found), partial aggregation folds copies map-side, and
-    null cells are counted per distinct row times its multiplicity.
+def row_fingerprint(cols: Sequence[str]) -> Column:
+    """128 bits of a row: two hashes of its values and of which are null."""
+    nulls = F.concat(*[F.when(F.col(c).isNull(), "1").otherwise("0") for c in cols])
+    return F.struct(F.xxhash64(F.lit(1), nulls, *cols).alias("a"), F.xxhash64(nulls, *cols, F.lit(2)).alias("b"))
+
+
+#: Repeated fingerprints that are broadcast; more are found by a filter and a join.
+BROADCAST_ROWS = 1 << 20
+
+
+def duplicate_rows(df: DataFrame, fingerprint: Column | None = None) -> DataFrame:
+    """One row ``duplicate_rows``: exact number of copies beyond the first of equal rows (NULLs equal each other).
+
+    Two steps. Rows are counted by a 128-bit fingerprint, partial counts first, so only fingerprints are shuffled. Then the
+    rows of repeated fingerprints alone are compared in full: they are picked in the scan (a broadcast of the repeated
+    fingerprints, or a Bloom filter and a join where they are too many), so a fingerprint that different rows share
+    changes nothing in the count.
     """
+    from tillsight.shared import written
+
     cols = df.columns
-    nulls_in_row = reduce(lambda a, b: a + b, [F.col(c).isNull().cast("long") for c in cols])
-    grouped = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_copies"))
-    return grouped.agg(
-        F.lit(table).alias("table_name"),
-        F.coalesce(F.sum("_copies"), F.lit(0)).cast("long").alias("rows"),
-        F.coalesce(F.sum(nulls_in_row * F.col("_copies")), F.lit(0)).cast("long").alias("null_cells"),
-        F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).cast("long").alias("duplicate_rows"),
-    )
+    marked = df.withColumn("_fp", row_fingerprint(cols) if fingerprint is None else fingerprint)
+    repeated = written(marked.groupBy("_fp").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_fp"), "repeated-rows")
+    n = repeated.count()
+    if n <= BROADCAST_ROWS:
+        suspects = marked.join(F.broadcast(repeated), "_fp", "left_semi")
+    else:
+        bits = bits_for(n)
+        suspects = marked.where(may_hold(key_filter(repeated, "_fp", bits), F.col("_fp"), bits)).join(repeated, "_fp", "left_semi")
+    copies = suspects.groupBy(*cols).agg(F.count(F.lit(1)).alias("_copies"))
+    return copies.agg(F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).cast("long").alias("duplicate_rows"))
+
+
+def table_profile(df: DataFrame, table: str, fingerprint: Column | None = None) -> DataFrame:
+    """One row: table, rows, null_cells, duplicate_rows (copies beyond the first, by :func:`duplicate_rows`)."""
+    nulls_in_row = reduce(lambda a, b: a + b, [F.col(c).isNull().cast("long") for c in df.columns])
+    totals = df.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(nulls_in_row), F.lit(0)).cast("long").alias("null_cells"))
+    return totals.select(F.lit(table).alias("table_name"), "rows", "null_cells", duplicate_rows(df, fingerprint).scalar().alias("duplicate_rows"))
 
 
 def count_where(df: DataFrame, checks: dict[str, Column]) -> DataFrame:
@@ -44,14 +69,64 @@ def primary_key_violations(df: DataFrame, table: str, key: Sequence[str]) -> Dat
     )
 
 
-def foreign_key_orphans(child: DataFrame, child_table: str, fk: str,
-                        parent: DataFrame, parent_table: str, pk: str) -> DataFrame:
-    """Rows of ``child`` whose non-null ``fk`` has no match in ``parent.pk`` (left anti join)."""
-    orphans = child.where(F.col(fk).isNotNull()).join(
-        parent.select(F.col(pk).alias(fk)), fk, "left_anti")
-    return orphans.agg(
-        F.lit(child_table).alias("child_table"),
-        F.lit(fk).alias("child_column"),
-        F.lit(parent_table).alias("parent_table"),
-        F.count(F.lit(1)).cast("long").alias("orphan_rows"),
-    )
+@dataclass(frozen=True)
+class Reference:
+    """``child.column`` refers to ``parent.key``."""
+
+    child: str
+    column: str
+    parent: str
+    key: str
+
+
+def foreign_key_orphans(tables: dict[str, DataFrame], references: Sequence[Reference], bits: int | None = None) -> DataFrame:
+    """child_table, child_column, parent_table, orphan_rows: rows whose non-null reference has no parent row.
+
+    Every table is scanned once. A table's scan gives the keys that others refer to and tests all its own references against
+    Bloom filters of the parents' keys: a reference that a filter rules out is an orphan and only counted. A filter cannot
+    prove that a key exists, so the others leave the scan as (reference, key, rows), counted map-side, and one
+    exact anti join over these distinct keys and the parents' decides. Parents go before their children; a table may be
+    both. ``bits`` fixes the filters' size.
+    """
+    from tillsight.shared import written
+
+    scanned: dict[str, DataFrame] = {}  # (ref, key, n): ref -1 for own keys, else the number of the reference; key null: ruled out
+    parents: dict[tuple[str, str], DataFrame] = {}
+    todo = {name for r in references for name in (r.child, r.parent)}
+    while todo:
+        ready = sorted(n for n in todo if not any(r.child == n and r.parent in todo - {n} for r in references))
+        name = ready[0] if ready else sorted(todo)[0]  # in a circle of references one table goes without filters
+        todo.remove(name)
+        df, entries = tables[name], []
+        for key in sorted({r.key for r in references if r.parent == name}):
+            entries.append((F.lit(f"={key}"), F.col(key).cast("string"), F.lit(0).cast("long")))
+        for r in (r for r in references if r.child == name):
+            value = F.col(r.column).cast("string")
+            if (r.parent, r.key) in parents:
+                keys = parents[r.parent, r.key]
+                size = bits or bits_for(keys.count())
+                known = may_hold(key_filter(keys, "key", size), value, size)
+                value, lost = F.when(known, value), F.when(value.isNotNull() & ~known, 1).otherwise(0)
+            else:
+                lost = F.lit(0)
+            entries.append((F.lit(str(references.index(r))), value, lost.cast("long")))
+        if not entries:
+            continue
+        rows = df.select(F.explode(F.array(*[F.struct(w.alias("what"), k.alias("key"), n.alias("lost")) for w, k, n in entries])).alias("e")).select("e.*")
+        rows = rows.where("key IS NOT NULL OR lost > 0").groupBy("what", "key").agg(F.count(F.lit(1)).alias("n"), F.sum("lost").alias("lost"))
+        scanned[name] = written(rows, f"keys-{name}")
+        for key in {r.key for r in references if r.parent == name}:
+            parents[name, key] = scanned[name].where(F.col("what") == f"={key}").select("key")
+    found = []
+    for i, r in enumerate(references):
+        mine = scanned[r.child].where(F.col("what") == str(i)).select(F.lit(i).alias("ref"), "key", "n", "lost")
+        owned = parents[r.parent, r.key].select(F.lit(i).alias("ref"), "key")
+        found.append((mine, owned))
+    asked, owned = (reduce(DataFrame.unionAll, x) for x in zip(*found, strict=True))
+    sure = asked.where("key IS NULL").groupBy("ref").agg(F.sum("lost").alias("n"))
+    missing = asked.where("key IS NOT NULL").join(owned, ["ref", "key"], "left_anti").groupBy("ref").agg(F.sum("n").alias("n"))
+    names = F.create_map(*[c for i, r in enumerate(references) for c in (F.lit(i), F.struct(*[F.lit(x).alias(n) for x, n in (
+        (r.child, "child_table"), (r.column, "child_column"), (r.parent, "parent_table"))]))])
+    every = asked.sparkSession.range(len(references)).select(F.col("id").cast("int").alias("ref"), F.lit(0).cast("long").alias("n"))
+    return (every.unionByName(sure).unionByName(missing).groupBy("ref").agg(F.sum("n").alias("orphan_rows"))
+            .select(names[F.col("ref")].alias("r"), "orphan_rows").select("r.*", "orphan_rows"))

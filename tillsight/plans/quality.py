@@ -7,8 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillsight.operators.quality import (count_where, foreign_key_orphans, primary_key_violations,
-                                         table_profile)
+from tillsight.operators.quality import Reference, count_where, foreign_key_orphans, primary_key_violations, table_profile
 from tillsight.sources.model import RetailTables
 
 
@@ -34,11 +33,10 @@ def dq_primary_keys(t: RetailTables) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+REFERENCES = [Reference("orders", "customer_id", "customers", "customer_id"), Reference("order_items", "order_id", "orders", "order_id"),
+              Reference("order_items", "product_id", "products", "product_id"), Reference("ab_test_campaign", "customer_id", "customers", "customer_id")]
+
+
 def dq_foreign_keys(t: RetailTables) -> DataFrame:
-    parts = [
-        foreign_key_orphans(t.orders, "orders", "customer_id", t.customers, "customers", "customer_id"),
-        foreign_key_orphans(t.order_items, "order_items", "order_id", t.orders, "orders", "order_id"),
-        foreign_key_orphans(t.order_items, "order_items", "product_id", t.products, "products", "product_id"),
-        foreign_key_orphans(t.campaign, "ab_test_campaign", "customer_id", t.customers, "customers", "customer_id"),
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    """Orphans of the four references; customers, orders, lines and products are read once each."""
+    return foreign_key_orphans(t.as_dict(), REFERENCES)
