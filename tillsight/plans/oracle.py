@@ -157,20 +157,20 @@ curve AS (SELECT period, cohorts,
           FROM curve0)"""
 
 _AB_COUNTS = """
-, a AS (
+, ab_counts AS (
     SELECT COUNT(*) FILTER (WHERE grp = 'control') AS n1, COUNT(*) FILTER (WHERE grp = 'variant') AS n2,
            COALESCE(SUM(converted) FILTER (WHERE grp = 'control'), 0) AS x1,
            COALESCE(SUM(converted) FILTER (WHERE grp = 'variant'), 0) AS x2,
            CAST(SUM(order_value) FILTER (WHERE converted = 1) AS DOUBLE)
              / COUNT(*) FILTER (WHERE converted = 1) AS vconv
     FROM rc_campaign),
-b AS (SELECT *, CAST(x1 AS DOUBLE) / n1 AS p1, CAST(x2 AS DOUBLE) / n2 AS p2,
-             (SELECT COUNT(*) FROM rc_customers) AS base FROM a)"""
+ab_rates AS (SELECT *, CAST(x1 AS DOUBLE) / n1 AS p1, CAST(x2 AS DOUBLE) / n2 AS p2,
+             (SELECT COUNT(*) FROM rc_customers) AS base FROM ab_counts)"""
 
 _AB = _AB_COUNTS + """,
 c AS (SELECT *, (p2 - p1) / sqrt(CAST(x1 + x2 AS DOUBLE) / (n1 + n2) * (1.0 - CAST(x1 + x2 AS DOUBLE) / (n1 + n2))
                                  * (1.0 / CAST(n1 AS DOUBLE) + 1.0 / CAST(n2 AS DOUBLE))) AS z,
-             sqrt(p1 * (1.0 - p1) / n1 + p2 * (1.0 - p2) / n2) AS se FROM b),
+             sqrt(p1 * (1.0 - p1) / n1 + p2 * (1.0 - p2) / n2) AS se FROM ab_rates),
 ex AS (SELECT abs(z) / sqrt(2.0::DOUBLE) AS x FROM c),
 series(k, t, s) AS (
     SELECT 0, x, x FROM ex
@@ -191,6 +191,30 @@ def _profile(name: str, rel: str, cols: list[str]) -> str:
 FROM (SELECT {col_list}, COUNT(*) AS k FROM {rel} GROUP BY {col_list})"""
 
 
+_VALUES = """
+, v AS (SELECT l.customer_id, c.region, SUM(order_revenue) AS monetary
+        FROM rc_order_level l JOIN rc_customers c ON c.customer_id = l.customer_id GROUP BY 1, 2),
+o AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY region ORDER BY monetary) AS i, COUNT(*) OVER (PARTITION BY region) AS n FROM v),
+q AS (SELECT region, MAX(n) AS customers, MIN(monetary) FILTER (WHERE i >= n * 0.25) AS q25,
+             MIN(monetary) FILTER (WHERE i >= n * 0.5) AS q50, MIN(monetary) FILTER (WHERE i >= n * 0.75) AS q75 FROM o GROUP BY region)"""
+
+_AB_NAMES = ["control_n", "variant_n", "control_conv_rate", "variant_conv_rate", "absolute_lift", "relative_lift_pct", "z_stat", "p_value",
+             "ci_95_low", "ci_95_high", "significant_at_05", "projected_incremental_revenue"]
+_AB_ROW = f"""
+SELECT n1 AS control_n, n2 AS variant_n,
+       {_re("p1", 4)} AS control_conv_rate, {_re("p2", 4)} AS variant_conv_rate, {_re("p2 - p1", 4)} AS absolute_lift,
+       {_re("(p2 / p1 - 1.0) * 100.0", 2)} AS relative_lift_pct, {_re("z", 3)} AS z_stat, {_re("p_value", 4)} AS p_value,
+       {_re("(p2 - p1) - 1.96 * se", 4)} AS ci_95_low, {_re("(p2 - p1) + 1.96 * se", 4)} AS ci_95_high, p_value < 0.05 AS significant_at_05,
+       {_re("(p2 - p1) * base * vconv", 0)} AS projected_incremental_revenue
+FROM final"""
+
+
+def _long(section: str, source: str, names: list[str], row: str, position: str) -> str:
+    """A row of ``source`` per name: the section's long form."""
+    return " UNION ALL ".join(
+        f"SELECT '{section}', CAST({position} AS BIGINT), {row}, '{n}', CAST({n} AS DOUBLE), CAST(NULL AS VARCHAR), CAST(NULL AS DOUBLE) FROM {source}" for n in names)
+
+
 ORACLE: dict[str, str] = {
     "monthly_revenue_growth": _sql(f"""
 , totals AS (SELECT date_trunc('month', order_date) AS at, SUM(order_revenue) AS amount FROM rc_order_level GROUP BY ALL)
@@ -413,10 +437,10 @@ SELECT {_re("vconv", 2)} AS avg_value_when_converted,
        {_re("(p2 - p1) * 1000.0", 1)} AS incremental_conversions_per_1000,
        base AS full_base,
        {_re("(p2 - p1) * base * vconv", 0)} AS projected_incremental_revenue
-FROM b"""),
+FROM ab_rates"""),
 
     "ab_sample_size": _sql(_AB_COUNTS + """
-, v AS (SELECT p1 * (1.0 - p1) + p2 * (1.0 - p2) AS var, (p2 - p1) * (p2 - p1) AS diff2 FROM b),
+, v AS (SELECT p1 * (1.0 - p1) + p2 * (1.0 - p2) AS var, (p2 - p1) * (p2 - p1) AS diff2 FROM ab_rates),
 powers AS (SELECT * FROM (VALUES (0.8, 0.8416212335729143), (0.9, 1.2815515655446004)) AS t(power, z_beta))
 SELECT CAST(power AS DOUBLE) AS power,
        CAST(ceil((1.96::DOUBLE + z_beta::DOUBLE) * (1.96::DOUBLE + z_beta::DOUBLE) * var / NULLIF(diff2, 0)) AS BIGINT)
@@ -467,6 +491,48 @@ SELECT customer_id,
          AS grp
 FROM rc_customers"""),
 
+    "customers_by_quarter_region": _sql("""
+, l AS (SELECT *, year(order_date) * 4 + quarter(order_date) AS qtr FROM rc_order_level),
+c AS (SELECT DISTINCT qtr, region, customer_id FROM l),
+k AS (SELECT c.qtr, c.region, COUNT(*) AS customers, COUNT(b.customer_id) AS returning_customers
+      FROM c LEFT JOIN c b ON b.customer_id = c.customer_id AND b.region IS NOT DISTINCT FROM c.region AND b.qtr = c.qtr - 1 GROUP BY 1, 2),
+s AS (SELECT qtr, region, COUNT(*) AS orders, SUM(order_revenue) AS revenue FROM l GROUP BY 1, 2)
+SELECT ((qtr - 1) // 4) || '-Q' || ((qtr - 1) % 4 + 1) AS order_quarter, region, orders, CAST(revenue AS DOUBLE) AS revenue, customers, returning_customers
+FROM s JOIN k USING (qtr, region)"""),
+
+    "value_quartiles_by_region": _sql(_VALUES + """
+SELECT region, customers, CAST(q25 AS DOUBLE) AS q25, CAST(q50 AS DOUBLE) AS q50, CAST(q75 AS DOUBLE) AS q75 FROM q"""),
+
+    "value_scores_by_region": _sql(_VALUES + """
+SELECT customer_id, v.region, CAST(monetary AS DOUBLE) AS monetary,
+       CAST(1 + (monetary > q25)::INT + (monetary > q50)::INT + (monetary > q75)::INT AS BIGINT) AS value_score
+FROM v JOIN q ON q.region IS NOT DISTINCT FROM v.region"""),
+
+    "dashboard_sections": _sql("".join((
+        _MONTHLY_FILLED, _CELLS, _RFM + _SEGMENTS, _COHORTS, _AB, f""",
+ab AS ({_AB_ROW}),
+cat AS (SELECT category, SUM(oi.quantity * oi.unit_price) AS revenue FROM rc_items oi
+        SEMI JOIN (SELECT order_id FROM rc_orders WHERE status = 'completed') o ON o.order_id = oi.order_id
+        JOIN rc_products p ON p.product_id = oi.product_id GROUP BY category),
+cat_placed AS (SELECT *, ROW_NUMBER() OVER (ORDER BY revenue DESC, category) - 1 AS p FROM cat),
+seg_placed AS (SELECT *, ROW_NUMBER() OVER (ORDER BY total_revenue DESC, segment) - 1 AS p FROM seg_summary),
+filled_placed AS (SELECT *, ROW_NUMBER() OVER (ORDER BY month) - 1 AS p FROM filled),
+shares AS (SELECT *, {_re("retention * 100.0", 1)} AS share FROM ret),
+kpi AS (SELECT ROUND(SUM(order_revenue), 0) AS total_revenue, COUNT(*) AS total_orders, COUNT(DISTINCT customer_id) AS total_customers,
+               {_r("AVG(order_revenue)", 2)} AS aov FROM rc_order_level),
+sections(section, position, row_label, column_label, value, display, heat) AS (
+SELECT 'monthly', CAST(p AS BIGINT), strftime(month, '%b %Y'), 'revenue', CAST(ROUND(revenue, 2) AS DOUBLE), CAST(NULL AS VARCHAR), CAST(NULL AS DOUBLE) FROM filled_placed
+UNION ALL SELECT 'category', CAST(p AS BIGINT), category, 'revenue', CAST(ROUND(revenue, 2) AS DOUBLE), NULL, NULL FROM cat_placed
+UNION ALL SELECT 'region_channel', 0, region, acquisition_channel, CAST(ROUND(revenue, 0) AS DOUBLE), NULL, NULL FROM cells
+UNION ALL SELECT 'region_channel_k', 0, region, acquisition_channel, CAST((CAST(revenue * 100 AS BIGINT) + 50000) // 100000 AS DOUBLE),
+                 '$' || format('{{:,}}', (CAST(revenue * 100 AS BIGINT) + 50000) // 100000) || 'K', NULL FROM cells
+UNION ALL SELECT 'cohort', period, strftime(cohort_month, '%Y-%m-%d'), 'M+' || period, share, CAST(CAST(round_even(share, 0) AS BIGINT) AS VARCHAR) || '%',
+                 least(greatest(share / 100.0, 0.0), 1.0) FROM shares
+UNION ALL {_long("rfm", "seg_placed", ["customers", "avg_recency_days", "avg_frequency", "avg_monetary", "total_revenue", "pct_of_customers", "pct_of_revenue"], "segment", "p")}
+UNION ALL {_long("ab_test", "ab", _AB_NAMES, "'total'", "0")}
+UNION ALL {_long("kpis", "kpi", ["total_revenue", "total_orders", "total_customers", "aov"], "'total'", "0")})
+SELECT * FROM sections"""))),
+
     "eda_key_figures": _sql(f"""
 , c AS (SELECT COUNT(*) AS total_orders, COUNT(*) FILTER (WHERE status = 'completed') AS completed_orders
         FROM rc_orders),

@@ -8,10 +8,15 @@ passes through the driver.
 
 from __future__ import annotations
 
+from decimal import Decimal
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillsight.functions.dates import iso_date, month_label
+from tillsight.functions.dates import iso_date, month_label, months_between_calendar
+from tillsight.functions.numeric import clip, round_float_half_even
+from tillsight.functions.text import percent_text, thousands_text
 from tillsight.plans import cohort, experiment, rfm, sales
 from tillsight.sources.model import RetailTables
 
@@ -101,3 +106,47 @@ def dashboard_json(t: RetailTables) -> DataFrame:
     """The same document as one JSON text column (what the page embeds)."""
     d = dashboard_dataset(t)
     return d.select(F.to_json(F.struct(*d.columns)).alias("document"))
+
+
+def dashboard_sections(t: RetailTables) -> DataFrame:
+    """The dashboard's numbers in long form: section, position, row_label, column_label, value, display, heat.
+
+    The charts' labels and values, the region x channel matrix in dollars and in thousands, the segments, the cohort matrix
+    in % (only cells with activity), the A/B row and the KPIs. ``display`` is the text on the chart, where it
+    has one; ``heat`` the colour scale of the cohort heatmap, 0 to 1."""
+    none, text = F.lit(None).cast("double"), F.lit(None).cast("string")
+
+    def rows(df: DataFrame, section: str, position: Column, row: Column, column: Column, value: Column, display: Column = text, heat: Column = none) -> DataFrame:
+        return df.select(F.lit(section).alias("section"), position.cast("long").alias("position"), row.alias("row_label"), column.alias("column_label"),
+                         value.cast("double").alias("value"), display.alias("display"), heat.alias("heat"))
+
+    def unpivoted(df: DataFrame, section: str, names: list[str], row: Column, position: Column) -> DataFrame:
+        pairs = F.array(*[F.struct(F.lit(n).alias("n"), F.col(n).cast("double").alias("v")) for n in names])
+        long = df.select(row.alias("r"), position.alias("p"), F.explode(pairs).alias("x"))
+        return rows(long, section, F.col("p"), F.col("r"), F.col("x.n"), F.col("x.v"))
+
+    months = sales.monthly_revenue_filled(t)
+    first = F.min("month").over(Window.partitionBy())  # months spanned
+    months = months.withColumn("p", months_between_calendar(F.col("month"), first))
+    category = sales.category_revenue(t).withColumn("p", F.row_number().over(Window.orderBy(F.desc("revenue"), "category")) - 1)  # categories
+    cells = sales.region_channel_long(t)
+    thousands = F.round(F.col("revenue") * F.lit(Decimal("0.001")), 0)
+    segments = rfm.rfm_segment_summary(t)
+    segments = segments.withColumn("p", F.row_number().over(Window.orderBy(F.desc("total_revenue"), "segment")) - 1)  # seven at most
+    share = round_float_half_even(F.col("retention") * 100.0, 1)
+    ret = cohort.purchase_cohort_retention(t)
+    ab = experiment.ab_test_result(t)
+    kpis = sales.kpis(t).select(F.round("total_revenue", 0).alias("total_revenue"), "total_orders", "total_customers", "aov")
+    zero, total = F.lit(0), F.lit("total")
+    parts = [
+        rows(months, "monthly", F.col("p"), month_label(F.col("month")), F.lit("revenue"), F.round("revenue", 2)),
+        rows(category, "category", F.col("p"), F.col("category"), F.lit("revenue"), F.round("revenue", 2)),
+        rows(cells, "region_channel", zero, F.col("region"), F.col("acquisition_channel"), F.round("revenue", 0)),
+        rows(cells, "region_channel_k", zero, F.col("region"), F.col("acquisition_channel"), thousands, thousands_text(thousands * 1000)),
+        unpivoted(segments, "rfm", [c for c in segments.columns if c not in ("segment", "p")], F.col("segment"), F.col("p")),
+        rows(ret, "cohort", F.col("period"), iso_date(F.col("cohort_month")), F.concat(F.lit("M+"), F.col("period").cast("string")), share,
+             percent_text(F.rint(share) / 100.0, 0), clip(share / 100.0, 0.0, 1.0)),
+        unpivoted(ab.withColumn("significant_at_05", F.col("significant_at_05").cast("int")), "ab_test", ab.columns, total, zero),
+        unpivoted(kpis, "kpis", kpis.columns, total, zero),
+    ]
+    return reduce(DataFrame.unionByName, parts)
