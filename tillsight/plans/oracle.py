@@ -191,6 +191,25 @@ def _profile(name: str, rel: str, cols: list[str]) -> str:
 FROM (SELECT {col_list}, COUNT(*) AS k FROM {rel} GROUP BY {col_list})"""
 
 
+def _types(name: str, rel: str, cols: dict[str, str]) -> str:
+    """Counts of what the columns' texts look like, and the type that all of them pass; ``cols``: column and its text."""
+    parts = []
+    for c, text in cols.items():
+        full = "x IS NOT NULL AND x <> ''"
+        parts.append(f"""SELECT '{name}' AS table_name, '{c}' AS column_name, COUNT(*) AS rows, COUNT(*) FILTER (WHERE x IS NULL OR x = '') AS nulls,
+       COUNT(*) FILTER (WHERE regexp_matches(x, '^[+-]?(0|[1-9][0-9]{{0,17}})$')) AS integers,
+       COUNT(*) FILTER (WHERE regexp_matches(x, '^[+-]?(0|[1-9][0-9]*)([.][0-9]+)?$')) AS decimals,
+       COUNT(*) FILTER (WHERE regexp_matches(x, '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}$') AND TRY_CAST(x AS DATE) IS NOT NULL) AS dates,
+       MAX(length(regexp_extract(x, '([0-9]+)', 1))) FILTER (WHERE regexp_matches(x, '^[+-]?(0|[1-9][0-9]*)([.][0-9]+)?$')) AS whole,
+       MAX(length(regexp_extract(x, '[.]([0-9]+)', 1))) FILTER (WHERE regexp_matches(x, '^[+-]?(0|[1-9][0-9]*)([.][0-9]+)?$')) AS fraction,
+       COUNT(*) FILTER (WHERE {full}) AS filled FROM (SELECT {text} AS x FROM {rel})""")
+    return " UNION ALL ".join(parts)
+
+
+def _texts(*cols: str, **spelled: str) -> dict[str, str]:
+    return {c: spelled.get(c, f"CAST({c} AS VARCHAR)") for c in cols}
+
+
 _VALUES = """
 , v AS (SELECT l.customer_id, c.region, SUM(order_revenue) AS monetary
         FROM rc_order_level l JOIN rc_customers c ON c.customer_id = l.customer_id GROUP BY 1, 2),
@@ -533,6 +552,29 @@ UNION ALL {_long("ab_test", "ab", _AB_NAMES, "'total'", "0")}
 UNION ALL {_long("kpis", "kpi", ["total_revenue", "total_orders", "total_customers", "aov"], "'total'", "0")})
 SELECT * FROM sections"""))),
 
+    "best_customer_month": _sql("""
+, cm AS (SELECT customer_id, date_trunc('month', order_date) AS m, SUM(order_revenue) AS v FROM rc_order_level
+         WHERE customer_id IS NOT NULL AND order_date IS NOT NULL GROUP BY 1, 2),
+top AS (SELECT customer_id, m FROM cm ORDER BY v DESC, customer_id, m LIMIT 1)
+SELECT order_id, l.customer_id, strftime(order_date, '%Y-%m-%d') AS order_date, region, acquisition_channel, CAST(order_revenue AS DOUBLE) AS order_revenue
+FROM rc_order_level l JOIN top ON top.customer_id = l.customer_id AND top.m = date_trunc('month', l.order_date)"""),
+
+    "csv_types": _sql(", s AS (" + " UNION ALL ".join((
+        _types("customers", "rc_customers", _texts("customer_id", "signup_date", "region", "acquisition_channel")),
+        _types("products", "rc_products", _texts("product_id", "category", "unit_price", "unit_cost", "product_name")),
+        _types("orders", "rc_orders", _texts("order_id", "customer_id", "order_date", "status", "region", "acquisition_channel")),
+        _types("order_items", "rc_items", _texts("order_id", "product_id", "quantity", "unit_price", "unit_cost")),
+        _types("ab_test_campaign", "rc_campaign", _texts("customer_id", "grp", "converted", "order_value", order_value="CAST(CAST(order_value AS DECIMAL(38,2)) AS VARCHAR)")))) + """)
+SELECT table_name, column_name,
+       CASE WHEN filled > 0 AND integers = filled THEN CASE WHEN whole <= 9 THEN 'int' ELSE 'bigint' END WHEN filled > 0 AND dates = filled THEN 'date'
+            WHEN filled > 0 AND decimals = filled THEN CASE WHEN fraction <= 2 THEN 'decimal(' || greatest(whole + 2, 12) || ',2)' ELSE 'double' END ELSE 'string' END AS type,
+       rows, nulls, CAST(0 AS BIGINT) AS failures, integers, decimals, dates
+FROM s"""),
+
+    "published_tables": _sql(" UNION ALL ".join(
+        f"""SELECT '{name}' AS table_name, CAST(1 AS BIGINT) AS version, COUNT(*) AS rows, COUNT(DISTINCT {key}) AS distinct_keys, true AS refused FROM {rel}"""
+        for name, rel, key in (("customers", "rc_customers", "customer_id"), ("products", "rc_products", "product_id"), ("orders", "rc_orders", "order_id")))),
+
     "eda_key_figures": _sql(f"""
 , c AS (SELECT COUNT(*) AS total_orders, COUNT(*) FILTER (WHERE status = 'completed') AS completed_orders
         FROM rc_orders),

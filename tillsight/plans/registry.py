@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillsight.plans import arrivals, cells, cohort, customers, experiment, quality, report, rfm, sales
+from tillsight.plans import arrivals, cells, cohort, customers, experiment, quality, report, rfm, sales, storage
 from tillsight.operators.sampling import assign_arm, sample_exact_n
 from tillsight.plans.present import present
 from tillsight.session import session_key
@@ -94,6 +94,9 @@ def plans() -> dict[str, Plan]:
             t.customers.select("customer_id", "region", "acquisition_channel"),
             "customer_id", p.sample_n, p.sample_seed),
         "dashboard_dataset": lambda t, p: report.dashboard_json(t),
+        "best_customer_month": lambda t, p: storage.best_customer_month(t),
+        "csv_types": lambda t, p: storage.csv_types(t),
+        "published_tables": lambda t, p: storage.published_tables(t),
         "dashboard_sections": lambda t, p: report.dashboard_sections(t),
         "customers_by_quarter_region": lambda t, p: cells.customers_by_quarter_region(t),
         "value_quartiles_by_region": lambda t, p: cells.value_quartiles_by_region(t),
