@@ -9,8 +9,11 @@ Two rounding regimes exist in the source analyses:
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from decimal import Decimal
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 MONEY_TYPE = "decimal(12,2)"
 
@@ -24,6 +27,19 @@ def round_sql(c: Column, digits: int) -> Column:
     return F.round(c, digits)
 
 
+def mean_sql(df: DataFrame, column: str, digits: int) -> Column:
+    """Mean of an exact decimal column, rounded once, half away from zero (an aggregate of ``df``).
+
+    ``avg`` of a decimal rounds to its own scale first; here the sum and the count are divided as whole numbers."""
+    kind = df.schema[column].dataType
+    scale = kind.scale if isinstance(kind, DecimalType) else 0
+    total = (F.sum(column) * F.lit(10 ** scale)).cast("decimal(38,0)")
+    by = (F.count(column) * F.lit(10 ** max(scale - digits, 0))).cast("decimal(38,0)")
+    ups = F.lit(10 ** max(digits - scale, 0))
+    whole = F.call_function("div", F.abs(total) * ups * F.lit(2) + by, F.nullif(by * F.lit(2), F.lit(0)))
+    return (F.signum(total).cast("int") * whole).cast("decimal(20,0)") * F.lit(Decimal(1).scaleb(-digits))
+
+
 def round_float_half_even(c: Column, digits: int) -> Column:
     """numpy/pandas ``round``: half to even on the scaled double."""
     scale = float(10 ** digits)

@@ -50,21 +50,15 @@ def top_customers_by_region(t: RetailTables, k: int = 5) -> DataFrame:
 
 
 def churn_candidates(t: RetailTables, active_year: int = 2024, lapsed_year: int = 2025) -> DataFrame:
-    """Customers with a completed order in ``active_year`` and none in ``lapsed_year``
-    (EXISTS -> left semi join, NOT EXISTS -> left anti join). Years are date ranges
-    so the filter reaches the Parquet scan."""
-    done = completed_orders(t.orders)
-    # distinct ids: partial aggregation folds a heavy customer's orders map-side, so
-    # the right side of the semi/anti joins has one row per key (AQE can split a
-    # skewed left side of such joins, not the right one)
-    in_active = done.where(year_range(F.col("order_date"), active_year)).select("customer_id").distinct()
-    in_lapsed = done.where(year_range(F.col("order_date"), lapsed_year)).select("customer_id").distinct()
-    return (
-        t.customers.join(in_active, "customer_id", "left_semi")
-        .join(in_lapsed, "customer_id", "left_anti")
-        .select("customer_id", "region", "acquisition_channel")
-        .distinct()
-    )
+    """Customers with a completed order in ``active_year`` and none in ``lapsed_year``.
+
+    One scan of the orders: both tests are a conditional maximum per customer, so a heavy customer's orders fold map-side
+    and the right side of the semi join has one row per customer. The years are date ranges, which
+    reach the Parquet scan."""
+    in_active, in_lapsed = (year_range(F.col("order_date"), y) for y in (active_year, lapsed_year))
+    lapsed = (completed_orders(t.orders).where(in_active | in_lapsed).groupBy("customer_id")
+              .agg(F.bool_or(in_active).alias("active"), F.bool_or(in_lapsed).alias("again")).where("active AND NOT again"))
+    return t.customers.join(lapsed.select("customer_id"), "customer_id", "left_semi").select("customer_id", "region", "acquisition_channel").distinct()
 
 
 def customers_by_signup(t: RetailTables) -> DataFrame:

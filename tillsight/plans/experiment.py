@@ -12,8 +12,8 @@ from decimal import Decimal
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillsight.functions.numeric import round_float_half_even as rnd
-from tillsight.functions.numeric import round_sql, safe_div
+from tillsight.functions.numeric import mean_sql, round_float_half_even as rnd
+from tillsight.functions.numeric import mean_sql, round_sql, safe_div
 from tillsight.functions.stats import Z_95, arm_half_width, pooled_z, proportion, two_sided_p, unpooled_se
 from tillsight.sources.model import RetailTables
 
@@ -31,7 +31,7 @@ def ab_summary(t: RetailTables) -> DataFrame:
         F.count(F.lit(1)).alias("n"),
         F.sum("converted").alias("conversions"),
         round_sql(F.lit(Decimal("100.0")) * F.sum("converted") / F.count(F.lit(1)), 2).alias("conversion_rate_pct"),
-        round_sql(F.avg("order_value"), 2).alias("avg_order_value_incl_zero"),
+        mean_sql(t.campaign, "order_value", 2).alias("avg_order_value_incl_zero"),
     )
 
 

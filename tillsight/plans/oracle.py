@@ -36,9 +36,9 @@ rc_orders AS (
 rc_items AS (
   SELECT order_id, product_id, quantity, CAST(CAST(cents AS DECIMAL(12,0)) * 0.01 AS DECIMAL(12,2)) AS unit_price,
          CAST(CAST((2 * cents * (40 + product_id % 26) + 100) // 200 AS DECIMAL(12,0)) * 0.01 AS DECIMAL(12,2)) AS unit_cost
-  FROM (SELECT l_orderkey AS order_id, l_partkey AS product_id, CAST(l_quantity AS INTEGER) AS quantity,
-               (2 * CAST(ROUND(l_extendedprice * 100) AS BIGINT) + CAST(l_quantity AS INTEGER))
-                 // NULLIF(2 * CAST(l_quantity AS INTEGER), 0) AS cents
+  FROM (SELECT l_orderkey AS order_id, l_partkey AS product_id, CAST(round(l_quantity, 3) AS DECIMAL(12,3)) AS quantity,
+               (2000 * CAST(ROUND(l_extendedprice * 100) AS BIGINT) + CAST(round(l_quantity * 1000) AS BIGINT))
+                 // NULLIF(2 * CAST(round(l_quantity * 1000) AS BIGINT), 0) AS cents
         FROM lineitem)),
 rc_order_level AS (
   SELECT o.order_id, o.customer_id, o.order_date, o.region, o.acquisition_channel,
@@ -67,6 +67,13 @@ def _r(expr: str, digits: int) -> str:
     return f"CAST(ROUND(CAST({expr} AS DECIMAL(38,6)), {digits}) AS DOUBLE)"
 
 
+def _mean(column: str, digits: int, scale: int) -> str:
+    """Mean of a decimal column of ``scale`` digits, rounded once, half away from zero, as DOUBLE."""
+    by = f"(CAST(COUNT({column}) AS HUGEINT) * {10 ** (scale - digits)})"
+    total = f"CAST(SUM({column}) * {10 ** scale} AS HUGEINT)"
+    return f"(sign({total}) * ((2 * abs({total}) + {by}) // NULLIF(2 * {by}, 0)) / {10 ** digits}.0::DOUBLE)"
+
+
 def _re(expr: str, digits: int) -> str:
     """numpy-style round (half to even on the scaled double)."""
     scale = f"{10 ** digits}.0"
@@ -249,7 +256,7 @@ FROM totals t LEFT JOIN totals p ON p.at = (SELECT MAX(e.at) FROM totals e WHERE
 by_category AS (
     SELECT category, COUNT(DISTINCT order_id) AS baskets, SUM(units) AS units, SUM(income) AS income, SUM(spent) AS spent
     FROM rc_products JOIN sold USING (product_id) GROUP BY ALL)
-SELECT category, baskets AS orders_containing_category, CAST(units AS BIGINT) AS units_sold, CAST(income AS DOUBLE) AS revenue,
+SELECT category, baskets AS orders_containing_category, CAST(units AS DOUBLE) AS units_sold, CAST(income AS DOUBLE) AS revenue,
        CAST(income - spent AS DOUBLE) AS gross_profit, {_r("(income - spent) * 100.0 / NULLIF(income, 0)", 1)} AS margin_pct
 FROM by_category"""),
 
@@ -273,7 +280,7 @@ FROM rc_order_level GROUP BY 1"""),
 SELECT CAST(ROUND(SUM(order_revenue), 2) AS DOUBLE) AS total_revenue,
        COUNT(*) AS total_orders,
        COUNT(DISTINCT customer_id) AS total_customers,
-       {_r("AVG(order_revenue)", 2)} AS aov,
+       {_mean("order_revenue", 2, 5)} AS aov,
        ROUND((SELECT CAST(COUNT(*) FILTER (WHERE status = 'completed') AS DOUBLE) / COUNT(*) FROM rc_orders), 4)
          AS completion_rate
 FROM rc_order_level"""),
@@ -422,7 +429,7 @@ FROM curve"""),
     "ab_summary": _sql(f"""
 SELECT grp, COUNT(*) AS n, CAST(SUM(converted) AS BIGINT) AS conversions,
        {_r("100.0 * SUM(converted) / COUNT(*)", 2)} AS conversion_rate_pct,
-       {_r("AVG(order_value)", 2)} AS avg_order_value_incl_zero
+       {_mean("order_value", 2, 5)} AS avg_order_value_incl_zero
 FROM rc_campaign GROUP BY grp"""),
 
     "ab_test_result": _sql(_AB + f"""
@@ -538,7 +545,7 @@ seg_placed AS (SELECT *, ROW_NUMBER() OVER (ORDER BY total_revenue DESC, segment
 filled_placed AS (SELECT *, ROW_NUMBER() OVER (ORDER BY month) - 1 AS p FROM filled),
 shares AS (SELECT *, {_re("retention * 100.0", 1)} AS share FROM ret),
 kpi AS (SELECT ROUND(SUM(order_revenue), 0) AS total_revenue, COUNT(*) AS total_orders, COUNT(DISTINCT customer_id) AS total_customers,
-               {_r("AVG(order_revenue)", 2)} AS aov FROM rc_order_level),
+               {_mean("order_revenue", 2, 5)} AS aov FROM rc_order_level),
 sections(section, position, row_label, column_label, value, display, heat) AS (
 SELECT 'monthly', CAST(p AS BIGINT), strftime(month, '%b %Y'), 'revenue', CAST(ROUND(revenue, 2) AS DOUBLE), CAST(NULL AS VARCHAR), CAST(NULL AS DOUBLE) FROM filled_placed
 UNION ALL SELECT 'category', CAST(p AS BIGINT), category, 'revenue', CAST(ROUND(revenue, 2) AS DOUBLE), NULL, NULL FROM cat_placed
@@ -564,7 +571,7 @@ FROM rc_order_level l JOIN top ON top.customer_id = l.customer_id AND top.m = da
         _types("products", "rc_products", _texts("product_id", "category", "unit_price", "unit_cost", "product_name")),
         _types("orders", "rc_orders", _texts("order_id", "customer_id", "order_date", "status", "region", "acquisition_channel")),
         _types("order_items", "rc_items", _texts("order_id", "product_id", "quantity", "unit_price", "unit_cost")),
-        _types("ab_test_campaign", "rc_campaign", _texts("customer_id", "grp", "converted", "order_value", order_value="CAST(CAST(order_value AS DECIMAL(38,2)) AS VARCHAR)")))) + """)
+        _types("ab_test_campaign", "rc_campaign", _texts("customer_id", "grp", "converted", "order_value", order_value="CAST(CAST(order_value AS DECIMAL(38,5)) AS VARCHAR)")))) + """)
 SELECT table_name, column_name,
        CASE WHEN filled > 0 AND integers = filled THEN CASE WHEN whole <= 9 THEN 'int' ELSE 'bigint' END WHEN filled > 0 AND dates = filled THEN 'date'
             WHEN filled > 0 AND decimals = filled THEN CASE WHEN fraction <= 2 THEN 'decimal(' || greatest(whole + 2, 12) || ',2)' ELSE 'double' END ELSE 'string' END AS type,
@@ -578,7 +585,7 @@ FROM s"""),
     "eda_key_figures": _sql(f"""
 , c AS (SELECT COUNT(*) AS total_orders, COUNT(*) FILTER (WHERE status = 'completed') AS completed_orders
         FROM rc_orders),
-r AS (SELECT CAST(ROUND(SUM(order_revenue), 2) AS DOUBLE) AS total, {_r("AVG(order_revenue)", 2)} AS aov
+r AS (SELECT CAST(ROUND(SUM(order_revenue), 2) AS DOUBLE) AS total, {_mean("order_revenue", 2, 5)} AS aov
       FROM rc_order_level)
 SELECT 'total_orders' AS metric, CAST(total_orders AS DOUBLE) AS value FROM c
 UNION ALL SELECT 'completed_orders', CAST(completed_orders AS DOUBLE) FROM c
@@ -588,7 +595,7 @@ UNION ALL SELECT 'average_order_value', aov FROM r"""),
 
     "kpi_strip": _sql(f"""
 , k AS (SELECT ROUND(SUM(order_revenue), 2) AS total_revenue, COUNT(*) AS total_orders,
-               COUNT(DISTINCT customer_id) AS total_customers, {_r("AVG(order_revenue)", 2)} AS aov
+               COUNT(DISTINCT customer_id) AS total_customers, {_mean("order_revenue", 2, 5)} AS aov
         FROM rc_order_level)
 SELECT '$' || format('{{:,.2f}}', {_r("total_revenue / 1000000", 2)}) || 'M' AS total_revenue_text,
        format('{{:,}}', total_orders) AS total_orders_text,

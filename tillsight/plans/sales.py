@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillsight.functions.dates import month_key, month_label, month_label_short, month_start
-from tillsight.functions.numeric import round_sql, safe_div
+from tillsight.functions.numeric import mean_sql, round_sql, safe_div
 from tillsight.functions.text import product_code
 from tillsight.operators.gapfill import fill_month_gaps
 from tillsight.operators.shares import share_of_max_bounded
@@ -46,45 +46,46 @@ def monthly_revenue_growth(t: RetailTables) -> DataFrame:
     ).orderBy("order_month")
 
 
-def completed_category_lines(t: RetailTables) -> DataFrame:
-    """Lines of completed orders with their product category.
-
-    The category is attached first, on the product key the lines are already
-    partitioned by when their own price join was a shuffle join, and the
-    completed orders are joined last (an inner join on order_id, as in the
-    source query; a semi join here would be pushed back below the category
-    join by the optimizer). The per-category aggregates that follow group by
-    (category, order_id) inside the order_id partitioning, so lines cross the
-    network at most twice.
-    """
-    with_category = t.order_items.join(t.products.select("product_id", "category"), "product_id")
-    return with_category.join(completed_orders(t.orders).select("order_id"), "order_id")
+def completed_lines_sold(t: RetailTables) -> DataFrame:
+    """Lines of completed orders. The orders come first, so lines of other orders are gone before any
+    work by product (an inner join on order_id, as in the source query)."""
+    return t.order_items.join(completed_orders(t.orders).select("order_id"), "order_id")
 
 
 def category_margin(t: RetailTables) -> DataFrame:
-    """Orders, units, revenue, gross profit and margin % per category (line prices and costs)."""
-    lines = completed_category_lines(t)
-    revenue = F.sum(F.col("quantity") * F.col("unit_price"))
-    profit = F.sum(F.col("quantity") * (F.col("unit_price") - F.col("unit_cost")))
+    """Orders, units, revenue, gross profit and margin % per category (line prices and costs).
+
+    Sums are taken per product first, map-side, so a product that holds a third of all lines is one row when it meets
+    its category. Only the count of distinct orders needs (order, category) pairs; they come from
+    distinct (order, product) pairs, two ids wide, whose join a hot product cannot pin to one task (AQE
+    splits it, or the categories are broadcast)."""
+    lines = completed_lines_sold(t)
+    revenue, cost = F.col("quantity") * F.col("unit_price"), F.col("quantity") * F.col("unit_cost")
+    category = t.products.select("product_id", "category")
+    sums = (lines.groupBy("product_id").agg(F.sum("quantity").alias("units"), F.sum(revenue).alias("revenue"), F.sum(cost).alias("cost"))
+            .join(category, "product_id").groupBy("category").agg(*[F.sum(c).alias(c) for c in ("units", "revenue", "cost")]))
+    baskets = (lines.select("order_id", "product_id").distinct().join(category, "product_id")
+               .groupBy("category").agg(F.count_distinct("order_id").alias("orders_containing_category")))
+    profit = F.col("revenue") - F.col("cost")
     return (
-        lines.groupBy("category")
-        .agg(
-            F.count_distinct("order_id").alias("orders_containing_category"),
-            F.sum("quantity").alias("units_sold"),
-            round_sql(revenue, 2).alias("revenue"),
+        sums.withColumnRenamed("category", "_category").join(baskets, F.col("_category").eqNullSafe(F.col("category")))
+        .select(
+            "category", "orders_containing_category",
+            F.col("units").alias("units_sold"),
+            round_sql(F.col("revenue"), 2).alias("revenue"),
             round_sql(profit, 2).alias("gross_profit"),
-            round_sql(safe_div(hundred() * profit, revenue), 1).alias("margin_pct"),
+            round_sql(safe_div(hundred() * profit, F.col("revenue")), 1).alias("margin_pct"),
         )
         .orderBy(F.desc("revenue"))
     )
 
 
 def category_revenue(t: RetailTables) -> DataFrame:
-    """Line revenue per category, ascending (the bar-chart order)."""
-    lines = completed_category_lines(t)
+    """Line revenue per category, ascending (the bar-chart order): per product first, so no category or product is hot."""
+    per_product = completed_lines_sold(t).groupBy("product_id").agg(F.sum(F.col("quantity") * F.col("unit_price")).alias("revenue"))
     return (
-        lines.groupBy("category")
-        .agg(F.sum(F.col("quantity") * F.col("unit_price")).alias("revenue"))
+        per_product.join(t.products.select("product_id", "category"), "product_id")
+        .groupBy("category").agg(F.sum("revenue").alias("revenue"))
         .orderBy("revenue")
     )
 
@@ -98,7 +99,7 @@ def kpis(t: RetailTables) -> DataFrame:
         round_sql(F.sum("order_revenue"), 2).alias("total_revenue"),
         F.count(F.lit(1)).alias("total_orders"),
         F.count_distinct("customer_id").alias("total_customers"),
-        round_sql(F.avg("order_revenue"), 2).alias("aov"),
+        mean_sql(ol, "order_revenue", 2).alias("aov"),
     ).withColumn("completion_rate", F.round(completion, 4))
 
 
@@ -110,7 +111,7 @@ def eda_key_figures(t: RetailTables) -> DataFrame:
     # bound once as a column so that it is evaluated once
     rev = t.order_level.select(F.struct(
         round_sql(F.sum("order_revenue"), 2).cast("double").alias("total"),
-        round_sql(F.avg("order_revenue"), 2).cast("double").alias("aov"))).scalar()
+        mean_sql(t.order_level, "order_revenue", 2).cast("double").alias("aov"))).scalar()
     counts = counts.select("*", rev.alias("_rev"))
     total, aov = F.col("_rev.total"), F.col("_rev.aov")
     def row(name: str, value):

@@ -141,17 +141,17 @@ def orders_of(raw: DataFrame, customers: DataFrame, keep: Sequence[str] = ()) ->
 def order_items_of(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Order lines of the warehouse rows ``raw`` (with its columns ``keep``) with the price the line itself carries, so no join with part.
 
-    Unit price is extended price / quantity and unit cost a share of it, both in
+    Quantities keep three decimals. Unit price is extended price / quantity and unit cost a share of it, both in
     whole cents (half up), which every engine computes alike. Lines of unknown parts stay.
     """
     li = raw.select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", *keep)
-    li = (li.withColumn("q", F.col("l_quantity").cast("int"))
-          .withColumn("cents", F.expr("(2 * cast(round(l_extendedprice * 100) AS bigint) + q) div nullif(2 * q, 0)"))
+    li = (li.withColumn("q", F.expr("cast(round(l_quantity * 1000) AS bigint)"))
+          .withColumn("cents", F.expr("(2000 * cast(round(l_extendedprice * 100) AS bigint) + q) div nullif(2 * q, 0)"))
           .withColumn("cost", F.expr(f"(2 * cents * ({COST_PCT_BASE} + l_partkey % {COST_PCT_SPREAD}) + 100) div 200")))
     return li.select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("product_id"),
-        F.col("q").alias("quantity"),
+        F.expr("cast(cast(q AS decimal(12,0)) * 0.001BD AS decimal(12,3))").alias("quantity"),
         F.expr("cast(cast(cents AS decimal(12,0)) * 0.01BD AS decimal(12,2))").alias("unit_price"),
         F.expr("cast(cast(cost AS decimal(12,0)) * 0.01BD AS decimal(12,2))").alias("unit_cost"),
         *keep,

@@ -29,7 +29,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillsight.plans.order_level import ORDER_LEVEL_COLUMNS, build_order_level, completed_orders
+from tillsight.plans.order_level import build_order_level, completed_orders, with_revenue
 from tillsight.shared import hadoop_path, written
 from tillsight.sources.adapter import order_items_of, orders_of, read_driver_table, retail_from_driver
 
@@ -146,7 +146,7 @@ def refresh(spark: SparkSession, facts: Facts, target: str) -> Refreshed:
     sums = written(lines.groupBy("order_id", "file").agg(F.sum(F.col("quantity") * F.col("unit_price")).alias("revenue")), "order-file-sums")
     wanted = build_order_level(facts.orders(read["orders"]), lines).schema["order_revenue"].dataType
     revenue = sums.groupBy("order_id").agg(F.sum("revenue").cast(wanted).alias("order_revenue"))
-    level = completed_orders(facts.orders(read["orders"])).join(revenue, "order_id").select(*ORDER_LEVEL_COLUMNS, month.alias("order_month"))
+    level = with_revenue(completed_orders(facts.orders(read["orders"])), revenue).withColumn("order_month", month)
     if months is not None:
         level = level.where(F.col("order_month").isin(months))
     if months is None or months:
