@@ -73,23 +73,51 @@ def test_components_of_a_chain_and_a_star(spark):
     assert got == {i: c for i, c in want.items() if i != 200}
 
 
-def test_top_k_matches_brute_force(spark):
+def best_products(rows, k, every=20):
+    """Every usable row against all others of its length, ties to smaller ids."""
+    good = [(i, np.floor(64 * np.array(v)).astype(int)) for i, v in rows if i is not None and v and all(x is not None and np.isfinite(x) for x in v)]
+    want = Counter()
+    for a, (q, x) in enumerate(good):
+        if q % every == 0:
+            best = sorted((-int(x @ y), i) for b, (i, y) in enumerate(good) if a != b and len(x) == len(y))[:k]
+            want.update((q, r + 1, i, -s) for r, (s, i) in enumerate(best))
+    return want
+
+
+def found_products(spark, rows, k=20):
+    return Counter(map(tuple, topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), "vec_id % 20 = 0", k=k).collect()))
+
+
+def test_top_k_matches_brute_force(spark, monkeypatch):
     rng = np.random.default_rng(2)
     rows = [(i, [float(x) for x in rng.normal(0, 0.3, 8)]) for i in range(400)]
     rows += [(i, [0.5] * 8) for i in range(400, 700)]  # one very common vector
     rows += [(700, None), (720, [float("nan")] * 8), (740, [float("inf")] + [0.0] * 7), (760, [None] + [0.0] * 7), (780, []), (800, [1.0] * 3), (None, [0.1] * 8), (820, [0.0] * 8)]
-    got = topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), "vec_id % 20 = 0", k=20)
-    good = {i: np.floor(64 * np.array(v)).astype(int) for i, v in rows if i is not None and v and len(v) == 8 and all(x is not None and np.isfinite(x) for x in v)}
-    want = set()
-    for q in (i for i in good if i % 20 == 0):
-        best = sorted((-int(good[q] @ v), i) for i, v in good.items() if i != q)[:20]
-        want |= {(q, r + 1, i, -s) for r, (s, i) in enumerate(best)}
-    assert set(map(tuple, got.collect())) == want
-    few = topk.top_k(spark.createDataFrame(rows[:3], "vec_id long, embedding array<double>"), "vec_id % 20 = 0")
-    assert few.count() == 2
+    rows += [(i, [float(x) for x in rng.normal(0, 0.3, 3)]) for i in range(900, 960)] + [(980, [0.1, 0.2])]  # other lengths
+    rows += [(7, [0.9] * 8), (7, [0.9] * 8), (40, [0.7] * 8), (40, [0.5] * 8), (40, [0.5] * 8)]  # repeated ids and rows
+    assert found_products(spark, rows) == best_products(rows, 20)
+    monkeypatch.setattr(topk, "BLOCK", 30)
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 7)
+    assert found_products(spark, rows, 5) == best_products(rows, 5)
+
+
+def test_top_k_of_few_rows_and_repeated_ids(spark):
+    assert sum(found_products(spark, [(0, [1.0]), (1, [2.0]), (2, [3.0])]).values()) == 2
+    got = found_products(spark, [(20, [1.0, 0.0]), (1, [0.5, 0.0]), (1, [0.9, 0.0]), (2, [0.1, 0.0])])
+    assert got == {(20, 1, 1, 3648): 1, (20, 2, 1, 2048): 1, (20, 3, 2, 384): 1}
     assert topk.top_k(spark.createDataFrame([], "vec_id long, embedding array<double>"), "true").count() == 0
 
 
+def test_ties_at_the_floor_are_not_all_handed_on(spark, monkeypatch):
+    monkeypatch.setattr(topk, "BLOCK", 50)
+    rows = [(i, [0.5] * 4) for i in range(2000)] + [(2000 + 20 * i, [0.25 + i / 64] * 4) for i in range(10)]
+    seen, compare = [], topk._compare
+    monkeypatch.setattr(topk, "_compare", lambda pairs, k: seen.append(compare(pairs, k)) or seen[-1])
+    assert found_products(spark, rows, 5) == best_products(rows, 5)
+    queries = sum(i % 20 == 0 for i, _ in rows)
+    assert seen[-1].count() <= 5 * queries * 6  # 40 blocks hold ties for every query
+
+
 def test_pipeline_stages_keep_columns_and_take_effect(spark, corpus, scratch):
     import corpus_pipeline
     docs = corpus.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])

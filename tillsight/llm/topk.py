@@ -14,14 +14,16 @@ for every pivot p, only annuli that meet [d(q, p) - r, d(q, p) + r] for some q o
 or equal vector (triangle inequality); the others are never read. Scores are
 exact integers, ties go to the smaller id.
 
-Defined results: vectors that are null, empty, of another length than most, or hold null or
-non-finite components take no part; a query's own row (its id) is no candidate; fewer
-candidates than k give them all; of rows that repeat an id the smallest vector counts.
+Defined results: rows without id and vectors that are null, empty or hold null or
+non-finite components take no part; vectors are compared with those of their own length, which has pivots
+of its own; a query's own row is no candidate, other rows that repeat its id or its vector are; rows that repeat an id are
+queries and candidates of their own; fewer candidates than k give them all.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -36,32 +38,43 @@ SAMPLE, PIVOTS = 2048, 16
 LEAST = np.iinfo(np.int64).min
 #: Blocks that a block of queries is compared with first, to get its floors.
 SEEDS = 2
-_STORED = "cell int, block string, low double, high double, n int, width int, ids binary, values binary"
+_STORED = "cell int, block string, low double, high double, n int, width int, rows binary, ids binary, values binary"
 
 
 def integer_vectors(vectors: DataFrame, scale: int) -> DataFrame:
-    """(vec_id, v): whole components of the vectors that take part."""
-    v = F.transform(F.col("embedding"), lambda x: F.floor(x.cast("double") * scale))
+    """(row, vec_id, v, length): whole components of the vectors that take part, each row with a number of its own."""
+    v = F.transform("embedding", lambda x: F.floor(F.lit(scale) * x.cast("double")).cast("long"))
     usable = F.expr("embedding IS NOT NULL AND size(embedding) > 0 AND vec_id IS NOT NULL AND forall(embedding, x -> x IS NOT NULL AND NOT isnan(x) AND abs(x) < double('infinity'))")
-    found = vectors.where(usable).select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("v")).withColumn("width", F.size("v"))
-    widths = found.groupBy("width").count().orderBy(F.desc("count"), "width").limit(1).select("width")
-    return written(found.join(F.broadcast(widths), "width", "left_semi").groupBy("vec_id").agg(F.min("v").alias("v")), "vectors")  # widths: one row
+    found = vectors.where(usable).select(F.monotonically_increasing_id().alias("row"), F.col("vec_id").cast("long").alias("vec_id"), v.alias("v"))
+    return written(found.withColumn("length", F.size("v")), "vectors")
 
 
-def choose_pivots(vectors: DataFrame) -> tuple[np.ndarray, float]:
-    """Pivots (with the added coordinate) and R. Farthest-first over the ``SAMPLE`` rows of smallest hash."""
+@dataclass
+class Pivots:
+    """The pivots of one length (with the added coordinate), the largest squared norm and the number of the first cell."""
+
+    at: np.ndarray
+    radius: float
+    first: int
+
+
+def choose_pivots(vectors: DataFrame) -> dict[int, Pivots]:
+    """Pivots by length. Farthest-first over the rows of smallest hash, ``SAMPLE`` over all lengths (one of each at least)."""
     norm = F.expr("aggregate(v, 0D, (s, x) -> s + cast(x AS double) * x)")
-    top = vectors.agg(F.max(norm)).first()[0]
-    radius = float(top or 0.0)
-    got = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).toPandas()  # bounded by SAMPLE
-    if not len(got):
-        return np.zeros((0, 1)), radius
-    x = lifted(np.stack(got["v"].to_numpy()).astype(np.float64), radius)
-    picked, away = [0], ((x - x[0]) ** 2).sum(1)
-    while len(picked) < min(PIVOTS, len(x)) and away.max() > 0:
-        picked.append(int(away.argmax()))
-        away = np.minimum(away, ((x - x[picked[-1]]) ** 2).sum(1))
-    return x[picked], radius
+    radius = {r.length: float(r.radius) for r in vectors.groupBy("length").agg(F.max(norm).alias("radius")).collect()}  # a row per length
+    w = Window.partitionBy("length").orderBy(F.xxhash64("vec_id"), "vec_id", "row")
+    kept = vectors.withColumn("place", F.row_number().over(w)).where(F.col("place") <= max(1, SAMPLE // max(len(radius), 1)))
+    out: dict[int, Pivots] = {}
+    cells = 0
+    for length, got in kept.select("length", "v").toPandas().groupby("length"):  # bounded by SAMPLE and a row per length
+        x = lifted(np.stack(got["v"].to_numpy()).astype(np.float64), radius[length])
+        picked, away = [0], ((x - x[0]) ** 2).sum(1)
+        while len(picked) < min(PIVOTS, len(x)) and away.max() > 0:
+            picked.append(int(away.argmax()))
+            away = np.minimum(away, ((x - x[picked[-1]]) ** 2).sum(1))
+        out[int(length)] = Pivots(x[picked], radius[length], cells)
+        cells += len(picked)
+    return out
 
 
 def lifted(x: np.ndarray, radius: float) -> np.ndarray:
@@ -72,23 +85,24 @@ def _distances(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum((x ** 2).sum(1)[:, None] - 2 * x @ pivots.T + (pivots ** 2).sum(1), 0.0))
 
 
-def keyed(vectors: DataFrame, pivots: np.ndarray, radius: float) -> DataFrame:
-    """(vec_id, v, cell, dist): nearest pivot and the distance to it."""
+def keyed(vectors: DataFrame, pivots: dict[int, Pivots]) -> DataFrame:
+    """(row, vec_id, v, cell, dist): nearest pivot of its length and the distance to it."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            if len(b):
-                d = _distances(lifted(np.stack(b["v"].to_numpy()).astype(np.float64), radius), pivots)
+            for length, part in b.groupby("length"):
+                p = pivots[int(length)]
+                d = _distances(lifted(np.stack(part["v"].to_numpy()).astype(np.float64), p.radius), p.at)
                 cell = d.argmin(1)
-                yield b.assign(cell=cell.astype(np.int32), dist=d[np.arange(len(b)), cell])
+                yield part.drop(columns="length").assign(cell=(p.first + cell).astype(np.int32), dist=d[np.arange(len(part)), cell])
 
-    return vectors.mapInPandas(run, "vec_id long, v array<long>, cell int, dist double")
+    return vectors.mapInPandas(run, "row long, vec_id long, v array<long>, cell int, dist double")
 
 
 def stored(rows: DataFrame, size: int, name: str) -> DataFrame:
     """Blocks of at most ``size`` vectors: range partitions in (cell, distance) order, cut at pivots.
 
-    The id is among the range keys, so a vector that repeats very often is spread too.
+    The row is among the range keys, so a vector or an id that repeats very often is spread too.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -106,7 +120,7 @@ def stored(rows: DataFrame, size: int, name: str) -> DataFrame:
         if rest is not None and len(rest):
             yield _block(rest, made + 1)
 
-    sorted_rows = rows.repartitionByRange("cell", "dist", "vec_id").sortWithinPartitions("cell", "dist", "vec_id")
+    sorted_rows = rows.repartitionByRange("cell", "dist", "vec_id", "row").sortWithinPartitions("cell", "dist", "vec_id", "row")
     return written(sorted_rows.mapInPandas(run, _STORED), name)
 
 
@@ -115,9 +129,9 @@ def _block(rows: pd.DataFrame, made: int) -> pd.DataFrame:
     big = int(np.abs(x).max())
     kind = next(t for t in (np.int8, np.int16, np.int32, np.int64) if big <= np.iinfo(t).max)
     cell, ids = int(rows["cell"].iloc[0]), rows["vec_id"].to_numpy(np.int64)
-    name = f"{cell}-{rows['dist'].iloc[0]:.9f}-{ids[0]}-{made}"
+    name = f"{cell}-{rows['row'].iloc[0]}-{made}"
     return pd.DataFrame({"cell": [np.int32(cell)], "block": [name], "low": [float(rows["dist"].iloc[0])], "high": [float(rows["dist"].iloc[-1])],
-                         "n": [np.int32(len(rows))], "width": [np.int32(np.dtype(kind).itemsize)], "ids": [ids.tobytes()], "values": [x.astype(kind).tobytes()]})
+                         "n": [np.int32(len(rows))], "width": [np.int32(np.dtype(kind).itemsize)], "rows": [rows["row"].to_numpy(np.int64).tobytes()], "ids": [ids.tobytes()], "values": [x.astype(kind).tobytes()]})
 
 
 def _matrix(values: bytes, width: int, n: int) -> np.ndarray:
@@ -141,37 +155,39 @@ def _best(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
     return at[np.lexsort((ids[at], -scores[at]))][:k]
 
 
-_FOUND = "q_block string, query_id long, vec_id long, score long"
+_FOUND = "q_block string, q_row long, query_id long, row long, vec_id long, score long"
 
 
-def _floors(ids: np.ndarray, known) -> np.ndarray:
-    """Each query's floor; the least number where none is known."""
-    floor = {} if known is None else {f["query_id"]: f["floor"] for f in known}
-    return np.array([floor.get(i, LEAST) for i in ids.tolist()], np.int64)
+def _floors(rows: np.ndarray, known) -> tuple[np.ndarray, np.ndarray]:
+    """Score and id of each query's k-th best so far; the least number and any id where none is known."""
+    floor = {} if known is None else {f["q_row"]: (f["floor"], f["last"]) for f in known}
+    got = np.array([floor.get(i, (LEAST, 0)) for i in rows.tolist()], np.int64).reshape(-1, 2)
+    return got[:, 0], got[:, 1]
 
 
 def _compare(pairs: DataFrame, k: int) -> DataFrame:
-    """The k best of each query in each pair of blocks; with a floor, only scores that reach it."""
+    """The k best of each query in each pair of blocks; with a floor, only those at least as good as the k-th best so far."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for r in b.itertuples(index=False):
-                qid, vid = np.frombuffer(r.q_ids, np.int64), np.frombuffer(r.ids, np.int64)
+                q_row, qid, row, vid = (np.frombuffer(x, np.int64) for x in (r.q_rows, r.q_ids, r.rows, r.ids))
                 scores = _scores(_matrix(r.q_values, r.q_width, r.q_n), _matrix(r.values, r.width, r.n))
-                floors = _floors(qid, r.floors)
+                floors, last = _floors(q_row, r.floors)
                 out = []
-                for i, q in enumerate(qid):
-                    at = np.flatnonzero((scores[i] >= floors[i]) & (vid != q))
+                for i, q in enumerate(q_row):
+                    better = (scores[i] > floors[i]) | ((scores[i] == floors[i]) & (vid <= last[i]))  # ties at the floor go to smaller ids
+                    at = np.flatnonzero((better | (floors[i] == LEAST)) & (row != q))
                     at = at[_best(vid[at], scores[i][at], k)]
-                    out.append((np.full(len(at), q), vid[at], scores[i][at]))
-                found = dict(zip(("query_id", "vec_id", "score"), map(np.concatenate, zip(*out, strict=True)), strict=True))
+                    out.append((np.full(len(at), q), np.full(len(at), qid[i]), row[at], vid[at], scores[i][at]))
+                found = dict(zip(("q_row", "query_id", "row", "vec_id", "score"), map(np.concatenate, zip(*out, strict=True)), strict=True))
                 yield pd.DataFrame({"q_block": np.full(len(found["score"]), r.q_block, object), **found})
 
     return pairs.mapInPandas(run, _FOUND)
 
 
 def _top(found: DataFrame, k: int) -> DataFrame:
-    w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    w = Window.partitionBy("q_row").orderBy(F.desc("score"), "vec_id", "row")
     return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
@@ -182,35 +198,37 @@ def top_k(vectors: DataFrame, is_query, k: int = 20, scale: int = 64) -> DataFra
     """
     spark = vectors.sparkSession
     rows = integer_vectors(vectors, scale)
-    pivots, radius = choose_pivots(rows)
-    if not len(pivots):
+    pivots = choose_pivots(rows)
+    if not pivots:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    index = keyed(rows, pivots, radius)
+    of_cell = {p.first + i: p for p in pivots.values() for i in range(len(p.at))}
+    index = keyed(rows, pivots)
     blocks = stored(index, BLOCK, "blocks")
     asked = stored(index.where(is_query), QUERY_BLOCK, "queries").select(
         F.col("cell").alias("q_cell"), F.col("block").alias("q_block"), F.col("low").alias("q_low"), F.col("high").alias("q_high"),
-        F.col("n").alias("q_n"), F.col("width").alias("q_width"), F.col("ids").alias("q_ids"), F.col("values").alias("q_values"))
+        F.col("n").alias("q_n"), F.col("width").alias("q_width"), F.col("rows").alias("q_rows"), F.col("ids").alias("q_ids"), F.col("values").alias("q_values"))
 
     # first annuli: those of the own pivot nearest to the queries' annulus; any choice gives valid floors
     gap = F.abs(F.col("low") + F.col("high") - F.col("q_low") - F.col("q_high"))
     near = (asked.select("q_cell", "q_block", "q_low", "q_high").join(blocks.select("cell", "block", "low", "high"), F.col("cell") == F.col("q_cell"))
             .withColumn("place", F.row_number().over(Window.partitionBy("q_block").orderBy(gap, "block"))).where(F.col("place") <= SEEDS).select("q_block", "block"))
-    none = F.lit(None).cast("array<struct<query_id: bigint, floor: bigint>>")
+    none = F.lit(None).cast("array<struct<q_row: bigint, floor: bigint, last: bigint>>")
     seed = _top(_compare(near.join(blocks, "block").join(asked, "q_block").withColumn("floors", none), k), k)
-    floor = seed.groupBy("q_block", "query_id").agg(F.min("score").alias("floor"), F.count("*").alias("n")).where(F.col("n") == k)
-    floor = floor.groupBy("q_block").agg(F.collect_list(F.struct("query_id", "floor")).alias("floors"))  # at most QUERY_BLOCK
+    worst = F.struct(F.col("score"), -F.col("vec_id"))  # the least score, of equal ones the largest id
+    floor = seed.groupBy("q_block", "q_row").agg(F.min(worst).alias("w"), F.count("*").alias("n")).where(F.col("n") == k)
+    floor = floor.groupBy("q_block").agg(F.collect_list(F.struct("q_row", F.col("w.score").alias("floor"), (-F.col("w.col2")).alias("last"))).alias("floors"))  # at most QUERY_BLOCK
     with_floor = written(asked.join(floor, "q_block", "left"), "asked")
 
     def annuli(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for r in b.itertuples(index=False):
-                q = _matrix(r.q_values, r.q_width, r.q_n)
-                floors = _floors(np.frombuffer(r.q_ids, np.int64), r.floors)
+                q, p = _matrix(r.q_values, r.q_width, r.q_n), of_cell[r.q_cell]
+                floors, _ = _floors(np.frombuffer(r.q_rows, np.int64), r.floors)
                 norm = (q ** 2).sum(1)
-                reach = np.where(floors == LEAST, np.inf, np.sqrt(np.maximum(norm + radius - 2.0 * floors.astype(np.float64), 0.0)))
-                slack = 1e-6 * (1.0 + np.sqrt(norm.max() + radius))  # rounding of the distances
-                d = _distances(np.hstack([q, np.zeros((len(q), 1))]), pivots)
-                yield pd.DataFrame({"q_block": r.q_block, "cell": np.arange(len(pivots), dtype=np.int32),
+                reach = np.where(floors == LEAST, np.inf, np.sqrt(np.maximum(norm + p.radius - 2.0 * floors.astype(np.float64), 0.0)))
+                slack = 1e-6 * (1.0 + np.sqrt(norm.max() + p.radius))  # rounding of the distances
+                d = _distances(np.hstack([q, np.zeros((len(q), 1))]), p.at)
+                yield pd.DataFrame({"q_block": r.q_block, "cell": np.arange(p.first, p.first + len(p.at), dtype=np.int32),
                                     "from": (d - reach[:, None]).min(0) - slack, "to": (d + reach[:, None]).max(0) + slack})
 
     wanted = with_floor.mapInPandas(annuli, "q_block string, cell int, from double, to double")
