@@ -1,9 +1,11 @@
 """Decontamination, sharding and URL filters against brute force."""
 
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from tillsight.llm import decontaminate, sharding, url_graph
@@ -115,3 +117,53 @@ def test_ranks_that_do_not_settle_are_an_error(spark):
         url_graph.propagate(seeds, edges, most_rounds=3)
     ranks = {r.host: r["rank"] for r in url_graph.propagate(seeds, edges).collect()}
     assert ranks == pytest.approx({"a": 0.15 / (1 - 0.85 ** 2), "b": 0.15 * 0.85 / (1 - 0.85 ** 2)}, abs=1e-6)
+
+
+def plain_rank(seeds, links, n):
+    """Personalised PageRank by dense iteration; ``links``: counts (from, to)."""
+    share = np.zeros((n, n))
+    for (a, b), k in links.items():
+        share[a, b] += k
+    total = share.sum(1, keepdims=True)
+    share = np.divide(share, total, out=np.zeros_like(share), where=total > 0)
+    rank = np.zeros(n)
+    for _ in range(600):
+        rank = (1 - url_graph.DAMPING) * seeds + url_graph.DAMPING * (rank @ share)
+    return rank
+
+
+def test_verdicts_of_a_random_graph_match_dense_iteration(spark):
+    """Half of the blocked hosts have no pages: they seed through the links to them."""
+    rng = random.Random(8)
+    names = [f"h{i}.com" for i in range(30)] + [f"b{i}.net" for i in range(10)] + [f"t{i}.org" for i in range(5)]
+    pages, links = [], Counter()
+    crawled = [i for i in range(45) if not 35 <= i < 40]
+    for a in crawled:
+        for _ in range(3):
+            out = [rng.randrange(45) for _ in range(rng.randrange(1, 6))]
+            out += [rng.randrange(30, 40)] * (8 if a % 3 == 0 else 0)
+            links.update((a, b) for b in out if a != b)
+            html = " ".join(f'<a HREF="https://{names[b].upper()}{rng.choice(["", "/x"])}">' if b < 40 else f"<a href='//{names[b]}/fr/x'>" for b in out)
+            pages.append((len(pages), f"https://{names[a]}/{'fr/' if a >= 40 else ''}p", html))
+    bad = np.array([1.0 if 30 <= i < 40 else 0.0 for i in range(45)])
+    good = np.array([1.0 if i >= 40 else 0.0 for i in range(45)])
+    trust = plain_rank(good, links, 45)
+    distrust = plain_rank(bad, Counter({(b, a): k for (a, b), k in links.items()}), 45)
+    clashing = spark.createDataFrame(pages, "page_id long, url string, html string").selectExpr("*", "1 AS host", "2 AS path", "3 AS link", "4 AS src", "5 AS rank")
+    rows = url_graph.judge(clashing, RULES).collect()
+    assert len(rows) == len(pages)
+    verdicts = Counter()
+    for r in rows:
+        i = names.index(r.host)
+        assert abs(r.trust - trust[i]) < 1e-6 and abs(r.distrust - distrust[i]) < 1e-6
+        if r.rule is None:
+            assert r.verdict == ("block" if distrust[i] - trust[i] > url_graph.THRESHOLD else "allow")
+            verdicts[r.verdict] += 1
+    assert min(verdicts["block"], verdicts["allow"]) >= 3
+
+
+def test_links_to_blocked_hosts_that_were_not_crawled_and_very_long_pages(spark):
+    html = "".join(f'<a href="http://b{i}.net">' for i in range(50))
+    pages = [(1, "http://spam.com/", html + " " * 500_000 + html), (1, "http://spam.com/", html), (2, "http://fine.com/", "<a href='//other.com/'>" * 2000), (3, None, html)]
+    got = Counter((r.page_id, r.verdict) for r in url_graph.judge(spark.createDataFrame(pages, "page_id long, url string, html string"), RULES).collect())
+    assert got == {(1, "block"): 2, (2, "allow"): 1, (3, "allow"): 1}

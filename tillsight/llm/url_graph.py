@@ -2,7 +2,7 @@
 
 Host edges come from the absolute links of the pages' html. Seeds come from the
 rules: a host's trusted (blocked) share is the share of its pages that a rule
-allows (blocks). Trust is a personalised PageRank from the trusted seeds along
+allows (blocks); a host without pages here is seeded by the links to it in the same way. Trust is a personalised PageRank from the trusted seeds along
 the links; distrust is one from the blocked seeds against them, so hosts that link
 to blocked hosts are distrusted. A page without a rule is blocked when its
 host's distrust exceeds its trust by more than half of what one fully blocked
@@ -12,8 +12,8 @@ All of it is DataFrame functions. Links are counted per pair of hosts before any
 shuffle, so a host with very many pages is a few rows.
 
 Defined results: a null url, or one without ``://``, has an empty host and path, fits no
-rule and is allowed; null or empty html has no links; links to hosts without
-pages pass no rank on; repeated rows are judged one by one.
+rule and is allowed; null or empty html has no links; a link without a path means ``/``; repeated rows are judged one by
+one, and each counts as a page of its host; other columns are never read.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ DAMPING = 0.85
 THRESHOLD = (1 - DAMPING) / 2
 #: Share of the threshold that a rank may still be off, and rounds that are never needed (0.85 ** 400 is under 1e-28).
 SMALL, MOST_ROUNDS = 1e-6, 400
-_LINK = r"""(?i)(?:href|src|action)\s*=\s*["']?\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s<>]+)"""
+_LINK = r"""(?i)(?:href|src|action)\s*=\s*["']?\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s<>]+)([^?#"'\s<>]*)"""
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -47,11 +47,13 @@ def fitting_rule(host: Column, path: Column, rules: list[tuple[str, str, str]])
     return rule, verdict
 
 
-def host_edges(pages: DataFrame) -> DataFrame:
-    """(src, dst, n) of links between different hosts."""
-    links = pages.where(F.col("html").contains("//") & (F.col("host") != "")).select("host", F.explode(F.regexp_extract_all("html", F.lit(_LINK), F.lit(1))).alias("to"))
-    return (links.select(F.col("host").alias("src"), ascii_lower(F.col("to")).alias("dst")).where("src <> dst")
-            .groupBy("src", "dst").agg(F.count("*").alias("n")))
+def host_edges(pages: DataFrame, rules: list[tuple[str, str, str]] = ()) -> DataFrame:
+    """(src, dst, n, good, bad) of links between different hosts: links, and those that a rule allows and blocks."""
+    links = pages.where(F.col("html").contains("//") & (F.col("host") != "")).select("host", F.explode(F.regexp_extract_all("html", F.lit(_LINK), F.lit(0))).alias("link"))
+    links = links.select(F.col("host").alias("src"), ascii_lower(F.regexp_extract("link", _LINK, 1)).alias("dst"), F.regexp_extract("link", _LINK, 2).alias("path")).where("src <> dst")
+    _, verdict = fitting_rule(F.col("dst"), F.when(F.col("path") == "", "/").otherwise(F.col("path")), list(rules))
+    return (links.withColumn("verdict", verdict).groupBy("src", "dst")
+            .agg(F.count("*").alias("n"), F.count_if(F.col("verdict") == "allow").alias("good"), F.count_if(F.col("verdict") == "block").alias("bad")))
 
 
 def propagate(seeds: DataFrame, edges: DataFrame, most_rounds: int = MOST_ROUNDS) -> DataFrame:
@@ -84,11 +86,15 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]]) -> DataFrame:
     hosts = written(rows.where("host <> ''").groupBy("host").agg(
         F.count("*").alias("pages"), F.avg(F.when(F.col("by_rule") == "allow", 1.0).otherwise(0.0)).alias("good"),
         F.avg(F.when(F.col("by_rule") == "block", 1.0).otherwise(0.0)).alias("bad")), "hosts")
-    edges = written(host_edges(pages.select(host.alias("host"), "html")), "host-edges")
+    edges = written(host_edges(pages.select(host.alias("host"), "html"), rules), "host-edges")
+    # hosts without pages of their own are judged by the links to them
+    named = (edges.groupBy(F.col("dst").alias("host")).agg(F.sum("n").alias("pages"), (F.sum("good") / F.sum("n")).alias("good"), (F.sum("bad") / F.sum("n")).alias("bad"))
+             .join(hosts.select("host"), "host", "left_anti"))
+    hosts = hosts.unionByName(named)
 
     def shares(src: str, dst: str) -> DataFrame:
         total = edges.groupBy(F.col(src).alias("s")).agg(F.sum("n").alias("total"))
-        return edges.join(total, F.col(src) == F.col("s")).select(F.col(src).alias("src"), F.col(dst).alias("dst"), (F.col("n") / F.col("total")).alias("share"))
+        return written(edges.join(total, F.col(src) == F.col("s")).select(F.col(src).alias("src"), F.col(dst).alias("dst"), (F.col("n") / F.col("total")).alias("share")), f"shares-{src}")
 
     trust = propagate(hosts.select("host", F.col("good").alias("seed")), shares("src", "dst")).withColumnRenamed("rank", "trust")
     distrust = propagate(hosts.select("host", F.col("bad").alias("seed")), shares("dst", "src")).withColumnRenamed("rank", "distrust")
