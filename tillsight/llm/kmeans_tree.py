@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from .common import written
 
 #: Bounds of the sample that trees are fitted on, over all lengths of vectors.
-SAMPLE, SAMPLE_VALUES = 65_536, 1 << 23
+SAMPLE, SAMPLE_VALUES = 32_768, 1 << 22
 #: Clusters of a node, rows that a leaf should stand for, sampled rows below which a node is not split, rounds of Lloyd's algorithm.
 BRANCH, LEAF, FEWEST, ROUNDS = 16, 256, 32, 8
 #: Rows whose exact neighbours calibrate the visits of a length.
