@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from tillsight.operators import quality
 from tillsight.plans.present import present
 from tillsight.plans.registry import DRIVER_PARAMS, plans
 from tillsight.sources.adapter import retail_from_driver
@@ -27,10 +28,13 @@ def no_broadcast(spark):
     from tillsight.plans.registry import release
     release(spark)
     spark.catalog.clearCache()
+    # counted tables that are broadcast below a bound take their other way too
+    rows, quality.BROADCAST_ROWS = quality.BROADCAST_ROWS, -1
     old = {k: spark.conf.get(k, None) for k in SETTINGS}
     for k, v in SETTINGS.items():
         spark.conf.set(k, v)
     yield spark
+    quality.BROADCAST_ROWS = rows
     for k, v in old.items():
         if v is None:
             spark.conf.unset(k)
