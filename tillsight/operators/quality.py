@@ -14,8 +14,8 @@ from tillsight.operators.keyfilter import bits_for, key_filter, may_hold
 
 def row_fingerprint(cols: Sequence[str]) -> Column:
     """128 bits of a row: two hashes of its values and of which are null."""
-    nulls = F.concat(*[F.when(F.col(c).isNull(), "1").otherwise("0") for c in cols])
-    return F.struct(F.xxhash64(F.lit(1), nulls, *cols).alias("a"), F.xxhash64(nulls, *cols, F.lit(2)).alias("b"))
+    nulls = [F.col(c).isNull() for c in cols]
+    return F.struct(F.xxhash64(F.lit(1), *nulls, *cols).alias("a"), F.xxhash64(*nulls, *cols, F.lit(2)).alias("b"))
 
 
 #: Repeated fingerprints that are broadcast; more are found by a filter and a join.
@@ -36,6 +36,8 @@ def duplicate_rows(df: DataFrame, fingerprint: Column | None = None) -> DataFram
     marked = df.withColumn("_fp", row_fingerprint(cols) if fingerprint is None else fingerprint)
     repeated = written(marked.groupBy("_fp").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_fp"), "repeated-rows")
     n = repeated.count()
+    if not n:  # nothing to compare
+        return df.sparkSession.range(1).select(F.lit(0).cast("long").alias("duplicate_rows"))
     if n <= BROADCAST_ROWS:
         suspects = marked.join(F.broadcast(repeated), "_fp", "left_semi")
     else:
