@@ -1,6 +1,7 @@
 """Token counts, packing, quality, licences and LM scoring against the libraries, brute force and held-out rows."""
 
 import math
+import random
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -209,3 +210,79 @@ def test_quality_sample_takes_one_row_of_a_repeated_id(spark, monkeypatch):
     monkeypatch.setattr(quality_fm, "fit", lambda rows, y, **_: (rows, y.tolist()))
     rows, y = quality_fm.train(docs, labels)
     assert y == [1, 0, 0] and len(rows) == 3 and [len(c) for c in collected] == [3]
+
+
+#: Texts worded apart from the training lines, and the families that they state.
+STATED = [
+    ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.","AGPL"),
+    ("This library is free software; you can redistribute it and/or\nmodify it under the terms of the GNU Lesser General Public\nLicense as published by the Free Software Foundation; either\nversion 2.1 of the License, or (at your option) any later version.","LGPL"),
+    ("Licensed under the Apache License, Version 1.1","Apache-1.1"),
+    ("He studied at MIT and released under the sea a balloon; the MIT license plate",""),
+    ("This is not released under the MIT License",""),
+    ("SPDX-License-Identifier: GPL-2.0-or-later","GPL"),
+    ("// SPDX-License-Identifier: (MIT OR Apache-2.0) AND ISC","Apache-2.0,ISC,MIT"),
+    ("SPDX-License-Identifier: AGPL-3.0-only","AGPL"),
+    ("SPDX-License-Identifier: EPL-2.0","EPL"),
+    ("SPDX-License-Identifier: GPL-2.0-only WITH Classpath-exception-2.0","GPL"),
+    ("This work is licensed under CC BY-NC-SA 4.0.","CC-BY-NC-SA"),
+    ("This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.","CC-BY-NC-SA"),
+    ('Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the "Software"), to deal\nin the Software without restriction, including without limitation the rights\nto use, copy, modify, merge, publish, distribute, sublicense, and/or sell\ncopies of the Software, and to permit persons to whom the Software is\nfurnished to do so, subject to the following conditions:',"MIT"),
+    ("Redistributions of source code must retain the above copyright notice, this\nlist of conditions and the following disclaimer.","BSD"),
+    ("This is free and unencumbered software released into the public domain.","Unlicense"),
+    ("Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\ncopyright notice and this permission notice appear in all copies.","ISC"),
+    ("   Licensed under the Apache License, Version 2.0 (the \"License\");\n   you may not use this file except in compliance with the License.\n   You may obtain a copy of the License at\n\n       http://www.apache.org/licenses/LICENSE-2.0\n\n   Unless required by applicable law or agreed to in writing, software\n   distributed under the License is distributed on an \"AS IS\" BASIS,\n   WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.","Apache-2.0"),
+    ("This program is free software; you can redistribute it and/or\nmodify it under the terms of the GNU General Public License\nas published by the Free Software Foundation; either version 2\nof the License, or (at your option) any later version.","GPL"),
+    ("Released under the MIT License.","MIT"),
+    ("Licensed under the Apache License, Version 2.0.","Apache-2.0"),
+    ("Licensed under CC BY-NC 4.0.","CC-BY-NC"),
+    ("This work is licensed under the GNU General Public License, version 3.","GPL"),
+    ("The committee discussed the MIT license and the GPL for hours.",""),
+    ("It was never licensed under the Apache License, Version 2.0.",""),
+    ("Licensed under the Apache License, Version 3.0.",""),
+    ("Licensed under the Artistic License, version 2.0",""),
+    ("the car was released under the new rules of the license office version 2.0",""),
+    ("old words here and there "*10+" Released under the MIT License. "+"more words of prose "*20,"MIT"),
+    ("This project is dual licensed under the MIT license and the Apache License, Version 2.0.","Apache-2.0,MIT"),
+    ("This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not distributed with this\nfile, You can obtain one at https://mozilla.org/MPL/2.0/.","MPL-2.0"),
+    ("Licensed under the BSD 2-Clause License.","BSD"),
+    ("Licensed under the ISC license.","ISC"),
+    ("Licensed under CC BY 4.0.","CC-BY"),
+    ("Licensed under CC BY-SA 4.0.","CC-BY-SA"),
+    ("This work is licensed under a Creative Commons Attribution 4.0 International License.","CC-BY"),
+    ("Licensed under the Eclipse Public License, version 1.0.","EPL"),
+]
+
+
+def test_licences_of_held_out_texts_and_hard_negatives():
+    """Headers, bodies, versions, SPDX expressions, prose about licences and denied notices."""
+    model, templates = licenses.fit(["some ordinary prose of the version", "the terms of the work"]), licenses.Templates(licenses.TEMPLATES)
+    wrong = []
+    for text, stated in STATED:
+        found = {f[2] for f in licenses.scan_text(text, model, templates)[1]}
+        if ",".join(sorted(found)) != stated:
+            wrong.append((text, stated, found))
+    assert not wrong
+    version = lambda text: [(f[2], f[5]) for f in licenses.scan_text(text, model, templates)[1]]
+    assert version(STATED[1][0]) == [("LGPL", "2.1+")] and version("Released under the MIT License.\nLicensed under CC BY 4.0.") == [("MIT", None), ("CC-BY", "4.0")]
+    assert version("SPDX-License-Identifier: GPL-2.0-or-later") == [("GPL", "2.0+")]
+    # denied or merely named, every family's notices are nothing
+    for family, notices in licenses.NOTICES.items():
+        for notice in notices:
+            assert not licenses.scan_text(f"Here the text says: this is not {notice[0].lower()}{notice[1:]}", model, templates)[1], (family, notice)
+
+
+def test_verbatim_notices_match_a_plain_template_scan():
+    """In random prose, the finds are those of a search for the templates' own texts."""
+    rng = random.Random(3)
+    prose = "the of and version work terms may not use this software person copy under public source program free".split()
+    model, templates = licenses.fit(["some ordinary prose of the version", "the terms of the work"]), licenses.Templates(licenses.TEMPLATES)
+    every = [(f, t) for f, ts in licenses.TEMPLATES.items() for t in ts] + [(f, f"SPDX-License-Identifier: {x}") for f, xs in licenses.SPDX.items() for x in xs]
+    for _ in range(150):
+        parts = [" ".join(rng.choice(prose) for _ in range(rng.randrange(1, 40))) for _ in range(rng.randrange(1, 6))]
+        for _ in range(rng.randrange(3)):
+            parts.insert(rng.randrange(len(parts) + 1), rng.choice(every)[1])
+        text = "\n\n".join(parts)
+        lines = text.split("\n")
+        plain = {(line, f) for line in lines for f, t in every if line == t}
+        found = {(text[x[0]:x[1]], x[2]) for x in licenses.scan_text(text, model, templates)[1]}
+        assert found == plain, (found ^ plain, text)

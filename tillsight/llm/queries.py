@@ -62,8 +62,9 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scan(table(spark, sf_dir, "documents"))
     families = F.array_sort(F.array_distinct(F.col("licences.family")))
+    versions = F.array_sort(F.array_distinct(F.transform("licences", lambda x: F.concat_ws(" ", x["family"], x["version"]))))
     return found.select("doc_id", "n_paragraphs", F.size("licences").cast("long").alias("n_licences"), F.concat_ws(",", families).alias("families"),
-                        F.array_max("licences.probability").alias("probability"))
+                        F.concat_ws(",", versions).alias("versions"), F.array_max("licences.probability").alias("probability"))
 
 
 def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
