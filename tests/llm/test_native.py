@@ -59,6 +59,29 @@ def test_more_shingles_than_the_broadcast_bound_give_the_same(spark, corpus, tex
     assert rows() == before
 
 
+def test_the_shuffled_join_carries_places_not_words(spark, corpus, texts, monkeypatch):
+    """Beyond the broadcast bound no Exchange holds a word array, and texts only where the words around are fetched."""
+    _, items = items_of(spark, texts)
+    plans, written = {}, decontaminate.written
+
+    def seen(df, name, **options):
+        plans[name] = df._jdf.queryExecution().explainString(df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+        return written(df, name, **options)
+
+    monkeypatch.setattr(decontaminate, "written", seen)
+    monkeypatch.setattr(decontaminate, "BROADCAST_SHINGLES", 0)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        decontaminate.document_hits(corpus, items)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    moved = {name: re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*)\]", plan) for name, plan in plans.items()}
+    columns = {name: {c.split("#")[0] for x in inputs for c in x.split(", ")} for name, inputs in moved.items()}
+    assert columns["shingles-found"] == {"doc_id", "text_md5", "i", "tok"} and not columns["rows"]
+    assert "w" not in columns["hits"] and "text" in columns["hits"]
+
+
 @pytest.mark.parametrize("shards", [1, 16])
 def test_shards_are_balanced_gapless_and_hold_every_row(corpus, texts, shards):
     rows = sharding.shard_by_bytes(corpus, shards).collect()

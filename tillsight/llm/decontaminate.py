@@ -53,6 +53,30 @@ def item_windows(items: DataFrame, window: int) -> DataFrame:
             .select("item_id", F.expr("concat_ws(' ', slice(w, i + 1, n))").alias("phrase"), "n").distinct())
 
 
+def _text_md5() -> Column:
+    return F.md5(F.coalesce("text", F.lit("")).cast("binary"))
+
+
+def _places(text: DataFrame, lengths: list[int], first: int) -> DataFrame:
+    """doc_id, text_md5, w, i, tok: every place of every text from ``first`` on, with the shingles of ``lengths`` there."""
+    # No filter on w, and an outer explode: either would be pushed below the words and find them twice.
+    at = text.select("doc_id", "text_md5", "w", F.explode_outer(F.expr(f"sequence({first}, greatest(size(w) - {lengths[0]}, {first}))")).alias("i"))
+    toks = [F.when((F.col("i") >= 0) & (F.col("i") + g <= F.size("w")), _shingle("w", "i", g)) for g in lengths]
+    mark = F.lit(MARK).cast("long")
+    if len(toks) == 1:
+        return at.withColumn("tok", F.when(F.col("i") < 0, mark).otherwise(toks[0]))
+    return at.select("*", F.explode_outer(F.when(F.col("i") < 0, F.array(mark)).otherwise(F.array(*toks))).alias("tok"))
+
+
+def _prefixes(found: DataFrame, parts: DataFrame, windows: DataFrame) -> DataFrame:
+    """wid, tok, offset, n, phrase: the rarest shingle of each window; a window with one that never occurs cannot occur."""
+    rarity = found.groupBy("tok").agg(F.count("*").alias("df"))
+    prefix = (parts.join(rarity, "tok", "left").groupBy("wid")
+              .agg(F.min(F.struct("df", "tok", "offset")).alias("p"), F.max(F.col("df").isNull()).alias("never")).where(~F.col("never"))
+              .select("wid", "p.tok", "p.offset").join(windows, "wid"))
+    return written(prefix.select("wid", "tok", "offset", "n", "phrase"), "prefixes")
+
+
 def document_hits(docs: DataFrame, items: DataFrame, window: int = 10) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Occurrences of windows: (doc_id, text_md5, start, n, wid); (wid, item_id); and
     (doc_id, text_md5, n_words) for every row of ``docs``."""
@@ -64,31 +88,29 @@ def document_hits(docs: DataFrame, items: DataFrame, window: int = 10) -> tuple[
     parts = written(parts.select("wid", "offset", "g", F.coalesce(*(F.when(F.col("g") == g, _shingle("w", "offset", g)) for g in range(1, SHINGLE + 1))).alias("tok")), "window-shingles")
     mark = F.lit(MARK).cast("long").alias("tok")
     wanted = written(parts.select("tok").union(docs.sparkSession.range(1).select(mark)).distinct(), "shingles")
-    if wanted.count() <= BROADCAST_SHINGLES:
-        wanted = F.broadcast(wanted)
     lengths = sorted(r["g"] for r in parts.select("g").distinct().collect()) or [SHINGLE]  # at most SHINGLE rows
 
-    text = docs.select("doc_id", F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("text_md5"), words_of(F.col("text")).alias("w"))
-    found = None
-    for g in lengths:
-        # No filter on w, and an outer explode: either would be pushed below the words and find them twice.
+    text = docs.select("doc_id", _text_md5().alias("text_md5"), words_of(F.col("text")).alias("w"))
+    around = f"concat_ws(' ', slice(w, low + 1, {2 * window}))"
+    if wanted.count() <= BROADCAST_SHINGLES:
         # Place -1 stands for the row itself and is found through a token of its own.
-        at = text.select("doc_id", "text_md5", "w", F.explode_outer(F.expr(f"sequence({-1 if g == lengths[0] else 0}, greatest(size(w) - {g}, {-1 if g == lengths[0] else 0}))")).alias("i"))
-        tok = F.when(F.col("i") < 0, mark).when(F.col("i") + g <= F.size("w"), _shingle("w", "i", g))
-        at = (at.withColumn("tok", tok).join(wanted, "tok").withColumn("low", F.greatest(F.col("i") - (window - 1), F.lit(0)))
-              .select("doc_id", "text_md5", "tok", "i", "low", F.size("w").alias("n_words"),
-                      F.when(F.col("i") >= 0, F.expr(f"concat_ws(' ', slice(w, low + 1, {2 * window}))")).alias("around")))
-        found = at if found is None else found.union(at)
-    found = written(found, "shingles-found")
-    rows = found.where("i < 0").select("doc_id", "text_md5", F.col("n_words").cast("long").alias("n_words"))
-    found = found.where("i >= 0")
-
-    # the rarest shingle of each window; a window with one that never occurs cannot occur
-    rarity = found.groupBy("tok").agg(F.count("*").alias("df"))
-    prefix = (parts.join(rarity, "tok", "left").groupBy("wid")
-              .agg(F.min(F.struct("df", "tok", "offset")).alias("p"), F.max(F.col("df").isNull()).alias("never")).where(~F.col("never"))
-              .select("wid", "p.tok", "p.offset").join(windows, "wid"))
-    prefix = written(prefix.select("wid", "tok", "offset", "n", "phrase"), "prefixes")
+        at = _places(text, lengths, -1).join(F.broadcast(wanted), "tok").withColumn("low", F.greatest(F.col("i") - (window - 1), F.lit(0)))
+        found = written(at.select("doc_id", "text_md5", "tok", "i", "low", F.size("w").alias("n_words"), F.when(F.col("i") >= 0, F.expr(around)).alias("around")), "shingles-found")
+        rows = found.where("i < 0").select("doc_id", "text_md5", F.col("n_words").cast("long").alias("n_words"))
+        found = found.where("i >= 0")
+        prefix = _prefixes(found, parts, windows)
+    else:
+        # Only ids and places are shuffled; the words around those of the prefixes are fetched afterwards, once a text.
+        rows = written(text.select("doc_id", "text_md5", F.size("w").cast("long").alias("n_words")), "rows")
+        found = written(_places(text, lengths, 0).select("doc_id", "text_md5", "tok", "i").join(wanted, "tok"), "shingles-found")
+        prefix = _prefixes(found, parts, windows)
+        near = (found.join(prefix.select("tok").distinct(), "tok").groupBy(F.col("doc_id").alias("id"), F.col("text_md5").alias("md5"))
+                .agg(F.collect_set(F.struct("i", "tok")).alias("places")))  # at most one for each word of a text and shingle length
+        whole = docs.select("doc_id", _text_md5().alias("text_md5"), "text")
+        whole = whole.join(near, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_md5") == F.col("md5"))).select("doc_id", "text_md5", "places", words_of(F.col("text")).alias("w"))
+        low = f"greatest(p.i - {window - 1}, 0)"
+        found = whole.select("doc_id", "text_md5", F.size("w").alias("n_words"), F.expr(
+            f"inline_outer(transform(places, p -> named_struct('i', p.i, 'tok', p.tok, 'low', {low}, 'around', {around.replace('low', low)})))"))
     hits = (found.join(prefix, "tok").withColumn("start", F.col("i") - F.col("offset"))
             .where("start >= 0 AND start + n <= n_words")
             .where(ascii_lower(F.expr("concat_ws(' ', slice(split(around, ' '), start - low + 1, n))")) == F.col("phrase"))
