@@ -6,7 +6,9 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from tillsight.llm import near_dup, topk
+from pyspark.sql import functions as F
+
+from tillsight.llm import common, near_dup, topk
 from tillsight.llm.components import connected_components
 
 
@@ -160,3 +162,27 @@ def test_pipeline_keeps_different_texts_of_one_id(spark, scratch):
     far = rows[2]
     want = Counter([rows[0], far, rows[4], rows[5], rows[7], *rows[-30:]])
     assert Counter(map(tuple, kept.collect())) == want  # one far, both rows of id 7, all 30 texts of id 50
+
+
+def test_near_duplicates_of_text_ids(spark, scratch):
+    """Ids of any type name documents; the smallest is that of their order."""
+    import corpus_pipeline
+    rows = [(f"d{i}-{'x' * (i % 3)}", t) for i, t in repeated_ids(random.Random(4))]
+    docs = spark.createDataFrame(rows, "doc_id string, text string")
+    numbers = {d: k for k, d in enumerate(sorted({i for i, _ in rows}))}
+    numbered = spark.createDataFrame([(numbers[i], t) for i, t in rows], "doc_id long, text string")
+    got = Counter((numbers[r.doc_id], r.n_shingles, numbers[r.component_id], r.kept) for r in near_dup.near_duplicates(docs, 3, 85).collect())
+    assert got == Counter(map(tuple, near_dup.near_duplicates(numbered, 3, 85).collect()))
+    kept = Counter((numbers[r.doc_id], r.text) for r in corpus_pipeline.near_dedup(spark, docs, scratch).collect())
+    assert kept == Counter(map(tuple, corpus_pipeline.near_dedup(spark, numbered, scratch).collect()))
+
+
+def test_the_id_filter_keeps_its_ids_without_python(spark):
+    ids = spark.range(0, 100_000, 97).withColumnRenamed("id", "doc_id")
+    rows = spark.range(100_000).select(F.col("id").alias("doc_id"), F.col("id").cast("string").alias("text"))
+    kept = common.filtered(rows, "doc_id", common.id_filter(ids, "doc_id"))
+    assert kept.columns == rows.columns and kept.join(ids, "doc_id").count() == ids.count()
+    assert ids.count() <= kept.count() < 1.05 * ids.count() + 100
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "MapInArrow" not in plan
+    assert common.filtered(rows, "doc_id", common.id_filter(ids.limit(0), "doc_id")).count() == 0

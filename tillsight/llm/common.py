@@ -3,11 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
 
-import numpy as np
-import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillsight.session import delete_at_exit, ensure_checkpoint_dir
@@ -72,6 +69,11 @@ def ascii_lower(text):
         F.translate(text, upper, upper.lower()))
 
 
+def id_type(docs: DataFrame, column: str = "doc_id") -> str:
+    """The type in which ids are carried: long for integers, string for any other."""
+    return "long" if docs.schema[column].dataType.typeName() in ("byte", "short", "integer", "long") else "string"
+
+
 def id_crc32(column):
     """crc32 of an id written as text."""
     return F.crc32(column.cast("string").cast("binary"))
@@ -79,35 +81,30 @@ def id_crc32(column):
 
 #: Bits of an id filter: a fixed 1 MB, whatever the number of ids.
 FILTER_BITS = 1 << 23
+#: Longs of a filter's row.
+FILTER_LONGS = 16
+
 
+def _filter_place(column: str) -> Column:
+    return F.pmod(F.xxhash64(F.col(column)), F.lit(FILTER_BITS))
 
-def id_filter(ids: DataFrame, column: str) -> np.ndarray:
+
+def id_filter(ids: DataFrame, column: str) -> DataFrame:
     """A bitmap of fixed size that holds every id of ``column`` (and, by hash
-    collisions, some others). It only saves shuffling rows that no later join
-    keeps; the join itself stays exact."""
-    cells = (ids.where(F.col(column).isNotNull()).select(F.pmod(F.xxhash64(F.col(column)), F.lit(FILTER_BITS)).alias("at"))
-             .selectExpr("at div 32 AS cell", "shiftleft(1L, cast(at % 32 AS int)) AS bit")
-             .groupBy("cell").agg(F.bit_or("bit").alias("bits")))
-    bitmap = np.zeros(FILTER_BITS // 32, np.uint32)
-    got = cells.toPandas()  # at most FILTER_BITS / 32 rows
-    bitmap[got["cell"].to_numpy(np.int64)] = got["bits"].to_numpy(np.int64).astype(np.uint32)
-    return bitmap
-
-
-def filtered(rows: DataFrame, column: str, bitmap: np.ndarray) -> DataFrame:
+    collisions, some others), in at most ``FILTER_BITS / 64 / FILTER_LONGS`` rows. It only saves
+    shuffling rows that no later join keeps; the join itself stays exact."""
+    places = ids.where(F.col(column).isNotNull()).select(_filter_place(column).alias("at")).selectExpr(
+        f"at div {64 * FILTER_LONGS} AS __cell", f"cast(at div 64 % {FILTER_LONGS} AS int) AS slot", "shiftleft(1L, cast(at % 64 AS int)) AS bit")
+    longs = [F.coalesce(F.bit_or(F.when(F.col("slot") == k, F.col("bit"))), F.lit(0).cast("long")) for k in range(FILTER_LONGS)]
+    return written(places.groupBy("__cell").agg(F.array(*longs).alias("__bits")), "id-filter")
+
+
+def filtered(rows: DataFrame, column: str, bitmap: DataFrame) -> DataFrame:
     """The rows whose id may be in the bitmap of :func:`id_filter`."""
-    shared = rows.sparkSession.sparkContext.broadcast(bitmap)
-    keyed = rows.withColumn("__bit", F.pmod(F.xxhash64(F.col(column)), F.lit(FILTER_BITS)))
-
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = shared.value
-        for batch in batches:
-            at = batch.column("__bit").to_numpy(zero_copy_only=False).astype(np.int64)
-            mask = (bits[at >> 5] >> (at & 31).astype(np.uint32)) & np.uint32(1)
-            yield batch.filter(pa.array(mask.astype(bool))).select(names)
-
-    names = rows.columns
-    return keyed.mapInArrow(keep, rows.schema)
+    at = _filter_place(column)
+    keyed = rows.withColumn("__at", at).withColumn("__cell", F.expr(f"__at div {64 * FILTER_LONGS}"))
+    kept = keyed.join(F.broadcast(bitmap), "__cell").where(F.expr(f"getbit(__bits[cast(__at div 64 % {FILTER_LONGS} AS int)], cast(__at % 64 AS int)) = 1"))
+    return kept.select(rows.columns)
 
 
 #: Key rows that are broadcast to drop rows; more are joined by a shuffle.

@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import filtered, id_filter, written
+from .common import filtered, id_filter, id_type, written
 from .components import connected_components
 
 CHUNKS, ERRORS, MISS = 10, 1, 1e-4
@@ -119,8 +119,9 @@ def sketch(docs: DataFrame, words: int, slots: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_md5"), pa.array(n, pa.int64()), pa.array(digests, pa.binary()), packed],
                                              names=["doc_id", "text_md5", "n_shingles", "digest", "sig"])
 
-    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), text_key(F.col("text")).alias("text_md5"))
-            .mapInArrow(run, "doc_id long, text_md5 string, n_shingles long, digest binary, sig array<long>"))
+    ids = id_type(docs)
+    return (docs.select(F.col("doc_id").cast(ids).alias("doc_id"), F.col("text").cast("string").alias("text"), text_key(F.col("text")).alias("text_md5"))
+            .mapInArrow(run, f"doc_id {ids}, text_md5 string, n_shingles long, digest binary, sig array<long>"))
 
 
 def bucket_keys(reps: DataFrame, width: int) -> DataFrame:
@@ -168,7 +169,7 @@ def overlaps(pairs: DataFrame, docs: DataFrame, reps: DataFrame, words: int) ->
     partners, so its rows are salted by the number of its pairs.
     """
     wanted = pairs.select(F.col("a").alias("rep")).union(pairs.select(F.col("b").alias("rep"))).distinct().join(reps.select("rep", "doc_id", "text_md5"), "rep")
-    texts = docs.where("text IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    texts = docs.where("text IS NOT NULL").select(F.col("doc_id").cast(id_type(docs)).alias("doc_id"), F.col("text").cast("string").alias("text"))
     texts = filtered(texts, "doc_id", id_filter(wanted, "doc_id")).withColumn("text_md5", text_key(F.col("text"))).dropDuplicates(["doc_id", "text_md5"])
     texts = texts.join(wanted, ["doc_id", "text_md5"]).select(F.col("rep").alias("id"), "text")
     hubs = (pairs.groupBy("b").agg(F.count("*").alias("n")).withColumn("salts", F.ceil(F.col("n") / 256).cast("int")))
@@ -225,7 +226,7 @@ def grouped(docs: DataFrame, words: int, percent: int) -> DataFrame:
     members = written(keys.join(shared, "key"), "members")
     weight = members.groupBy("rep").agg(F.sum("size").alias("weight")).join(reps.select("rep", F.col("doc_id").alias("id")), "rep")
     weighed = members.join(weight, "rep")
-    hubs = weighed.groupBy("key").agg((-F.max(F.struct(F.col("weight"), -F.col("id"), (-F.col("rep")).alias("minus")))["minus"]).alias("hub"))
+    hubs = weighed.groupBy("key").agg(F.min(F.struct((-F.col("weight")).alias("less"), "id", "rep"))["rep"].alias("hub"))
     hubbed = written(members.join(hubs, "key").select("key", "rep", "hub"), "hubs")
 
     info = reps.select("rep", "n", "sig", "digest")
