@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillsight.llm import decontaminate, near_dup, packing, quality_fm
-from tillsight.llm.common import BROADCAST_ROWS, bounded_batches, id_crc32, table, without, written
+from tillsight.llm.common import BROADCAST_ROWS, bounded_batches, id_crc32, id_type, table, without, written
 
 #: Documents whose probability of quality 1 is below this go.
 QUALITY_FLOOR = 0.5
@@ -52,7 +52,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     stays = (F.col("doc_id") == F.col("component_id")) & (F.col("text_md5") == F.col("component_md5"))
     gone = written(found.where(~stays).select(*key).distinct(), "near-dedup-gone")
     repeated = written(found.where(stays).groupBy(*key).agg(F.count("*").alias("n")).where("n > 1").drop("n"), "near-dedup-repeated")
-    same = (F.col("doc_id").cast("long") == F.col(doc_id)) & (near_dup.text_key(F.col("text")) == F.col(md5))
+    same = (F.col("doc_id").cast(id_type(docs)) == F.col(doc_id)) & (near_dup.text_key(F.col("text")) == F.col(md5))
     rest = without(docs, gone, same)
     many = repeated.count()
     if not many:
