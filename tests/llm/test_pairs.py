@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillsight.llm import common, near_dup, topk
+from tillsight.llm import components as components_module
 from tillsight.llm.components import connected_components
 
 
@@ -75,6 +76,21 @@ def test_components_of_a_chain_and_a_star(spark):
     assert got == {i: c for i, c in want.items() if i != 200}
 
 
+def test_near_duplicates_broadcast_the_id_filter_alone(spark, corpus, monkeypatch):
+    made, write = [], common.written
+
+    def spy(df, name, **options):
+        made.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, name, **options)
+
+    monkeypatch.setattr(near_dup, "written", spy)
+    monkeypatch.setattr(components_module, "written", spy)
+    result = near_dup.near_duplicates(corpus, 3, 85)
+    made.append(result._jdf.queryExecution().executedPlan().toString())
+    joins = [line for plan in made for line in plan.splitlines() if "BroadcastHashJoin" in line or "BroadcastNestedLoopJoin" in line]
+    assert len(made) > 10 and "SortMergeJoin" in "".join(made) and all("__cell" in line for line in joins)
+
+
 def best_products(rows, k, every=20):
     """Every usable row against all others of its length, ties to smaller ids."""
     good = [(i, np.floor(64 * np.array(v)).astype(int)) for i, v in rows if i is not None and v and all(x is not None and np.isfinite(x) for x in v)]

@@ -20,6 +20,9 @@
    distance rule it out, and are confirmed on full sets.
 4. Components of the confirmed links of classes give each document its smallest reachable id.
 
+Joins are merged, never broadcast: a small side would pass through the driver, and there are dozens of them. Only
+the id filter of fixed size is broadcast.
+
 A pair is linked when ``100 * |A & B| >= percent * |A | B|`` on full sets.
 
 Defined results: null or empty texts, and texts without a word, have no shingles
@@ -159,25 +162,25 @@ def _sizes_allow(a: str, b: str, percent: int) -> Column:
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
-def overlaps(pairs: DataFrame, docs: DataFrame, reps: DataFrame, words: int) -> DataFrame:
-    """(a, b, inter, extra) of pairs of classes, from the full sets: the
-    size of the common part and the hashes of a that b lacks.
+def overlaps(pairs: DataFrame, docs: DataFrame, reps: DataFrame, words: int, percent: int) -> DataFrame:
+    """(a, b, inter, extra, linked) of pairs of classes, from the full sets: the
+    size of the common part, the hashes of a that b lacks, and whether the pair reaches the threshold.
 
     ``pairs`` has a, b and their digests da, db; ``reps`` has the doc_id and text_md5 of the
     row that stands for each class (rep). The text of ``a`` travels to the
     pair by ``a``, then the pair to the text of ``b``; ``b`` may be a hub with very many
     partners, so its rows are salted by the number of its pairs.
     """
-    wanted = pairs.select(F.col("a").alias("rep")).union(pairs.select(F.col("b").alias("rep"))).distinct().join(reps.select("rep", "doc_id", "text_md5"), "rep")
+    wanted = pairs.select(F.col("a").alias("rep")).union(pairs.select(F.col("b").alias("rep"))).distinct().join(reps.select("rep", "doc_id", "text_md5").hint("merge"), "rep")
     texts = docs.where("text IS NOT NULL").select(F.col("doc_id").cast(id_type(docs)).alias("doc_id"), F.col("text").cast("string").alias("text"))
     texts = filtered(texts, "doc_id", id_filter(wanted, "doc_id")).withColumn("text_md5", text_key(F.col("text"))).dropDuplicates(["doc_id", "text_md5"])
-    texts = texts.join(wanted, ["doc_id", "text_md5"]).select(F.col("rep").alias("id"), "text")
+    texts = texts.join(wanted.hint("merge"), ["doc_id", "text_md5"]).select(F.col("rep").alias("id"), "text")
     hubs = (pairs.groupBy("b").agg(F.count("*").alias("n")).withColumn("salts", F.ceil(F.col("n") / 256).cast("int")))
-    right = (texts.withColumnRenamed("id", "b").withColumnRenamed("text", "tb").join(hubs.select("b", "salts"), "b")
+    right = (texts.withColumnRenamed("id", "b").withColumnRenamed("text", "tb").join(hubs.select("b", "salts").hint("merge"), "b")
              .withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts"))
-    left = (pairs.join(hubs.select("b", "salts"), "b").withColumn("salt", F.pmod(F.xxhash64("a"), F.col("salts")).cast("int")).drop("salts")
-            .join(texts.withColumnRenamed("id", "a").withColumnRenamed("text", "ta"), "a"))
-    both = left.join(right, ["b", "salt"]).select("a", "b", "da", "db", "ta", "tb")
+    left = (pairs.join(hubs.select("b", "salts").hint("merge"), "b").withColumn("salt", F.pmod(F.xxhash64("a"), F.col("salts")).cast("int")).drop("salts")
+            .join(texts.withColumnRenamed("id", "a").withColumnRenamed("text", "ta").hint("merge"), "a"))
+    both = left.join(right.hint("merge"), ["b", "salt"]).select("a", "b", "da", "db", "ta", "tb")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, hub = None, None
@@ -194,12 +197,13 @@ def overlaps(pairs: DataFrame, docs: DataFrame, reps: DataFrame, words: int) ->
                 if xxhash.xxh3_128_digest(s.tobytes()) != da.as_py():
                     raise RuntimeError(f"the text of class {a.as_py()} changed")
                 extra = s[hub[np.minimum(np.searchsorted(hub, s), len(hub) - 1)] != s]
-                rows.append((a.as_py(), key[0], len(s) - len(extra), extra.view(np.int64)))
-            cols = list(zip(*rows, strict=True)) or [(), (), (), ()]
-            yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols[:3]), pa.array(cols[3], pa.list_(pa.int64()))],
-                                             names=["a", "b", "inter", "extra"])
+                inter = len(s) - len(extra)
+                rows.append((a.as_py(), key[0], inter, extra.view(np.int64), 100 * inter >= percent * (len(hub) + len(extra))))
+            cols = list(zip(*rows, strict=True)) or [(), (), (), (), ()]
+            yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols[:3]), pa.array(cols[3], pa.list_(pa.int64())), pa.array(cols[4], pa.bool_())],
+                                             names=["a", "b", "inter", "extra", "linked"])
 
-    return both.mapInArrow(run, "a long, b long, inter long, extra array<long>")
+    return both.mapInArrow(run, "a long, b long, inter long, extra array<long>, linked boolean")
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -223,44 +227,46 @@ def grouped(docs: DataFrame, words: int, percent: int) -> DataFrame:
 
     keys = bucket_keys(reps, width)
     shared = keys.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
-    members = written(keys.join(shared, "key"), "members")
-    weight = members.groupBy("rep").agg(F.sum("size").alias("weight")).join(reps.select("rep", F.col("doc_id").alias("id")), "rep")
-    weighed = members.join(weight, "rep")
+    members = written(keys.join(shared.hint("merge"), "key"), "members")
+    weight = members.groupBy("rep").agg(F.sum("size").alias("weight")).join(reps.select("rep", F.col("doc_id").alias("id")).hint("merge"), "rep")
+    weighed = members.join(weight.hint("merge"), "rep")
     hubs = weighed.groupBy("key").agg(F.min(F.struct((-F.col("weight")).alias("less"), "id", "rep"))["rep"].alias("hub"))
-    hubbed = written(members.join(hubs, "key").select("key", "rep", "hub"), "hubs")
+    hubbed = written(members.join(hubs.hint("merge"), "key").select("key", "rep", "hub"), "hubs")
 
     info = reps.select("rep", "n", "sig", "digest")
 
     def side(at: str) -> DataFrame:
-        return info.select(F.col("rep").alias(at), F.col("n").alias(f"n{at}"), F.col("sig").alias(f"s{at}"), F.col("digest").alias(f"d{at}"))
+        return info.select(F.col("rep").alias(at), F.col("n").alias(f"n{at}"), F.col("sig").alias(f"s{at}"), F.col("digest").alias(f"d{at}")).hint("merge")
+
+    def digest(at: str) -> DataFrame:
+        return side(at).select(at, f"d{at}").hint("merge")
 
     first = (hubbed.where("rep <> hub").select(F.col("rep").alias("a"), F.col("hub").alias("b")).distinct()
              .join(side("a"), "a").join(side("b"), "b").where(_sizes_allow("na", "nb", percent) & (_distance("sa", "sb", slots) <= limit)))
-    first = written(first.select("a", "b", "na", "nb", "da", "db"), "hub-pairs")
-    linked = F.expr(f"100 * inter >= {percent} * (na + nb - inter)")
-    known = written(first.join(overlaps(first, docs, reps, words), ["a", "b"]).select("a", "b", "inter", "extra", linked.alias("linked")), "hub-overlaps")
+    first = written(first.select("a", "b", "da", "db"), "hub-pairs")
+    known = written(overlaps(first, docs, reps, words, percent), "hub-overlaps")
     merged = written(connected_components(known.where("linked")), "merged")
 
     # members of buckets that are still in several components, once for each hub; two members of one bucket share its hub
-    now = (hubbed.join(merged.withColumnRenamed("id", "rep"), "rep", "left")
+    now = (hubbed.join(merged.withColumnRenamed("id", "rep").hint("merge"), "rep", "left")
            .select("key", "rep", "hub", F.coalesce("component", "rep").alias("component")))
     mixed = now.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("key")
-    rest = written(now.join(mixed, "key").where("rep <> hub").groupBy("rep", "hub").agg(F.first("component").alias("component")), "rest")
+    rest = written(now.join(mixed.hint("merge"), "key").where("rep <> hub").groupBy("rep", "hub").agg(F.first("component").alias("component")), "rest")
     # every remaining member's overlap with its hub, also where the signatures are too far apart
     pairs = rest.select(F.col("rep").alias("a"), F.col("hub").alias("b"))
-    lacking = written(pairs.join(known.select("a", "b"), ["a", "b"], "left_anti").join(side("a"), "a").join(side("b"), "b")
-                      .select("a", "b", "na", "nb", "da", "db"), "lacking")
-    apart = written(lacking.join(overlaps(lacking, docs, reps, words), ["a", "b"]).select("a", "b", "inter", "extra", linked.alias("linked")), "apart")
-    seen = written(known.union(apart).join(pairs, ["a", "b"], "left_semi").select("a", "b", "inter", "extra"), "seen")
+    lacking = written(pairs.join(known.select("a", "b").hint("merge"), ["a", "b"], "left_anti").join(digest("a"), "a").join(digest("b"), "b")
+                      .select("a", "b", "da", "db"), "lacking")
+    apart = written(overlaps(lacking, docs, reps, words, percent), "apart")
+    seen = written(known.union(apart).join(pairs.hint("merge"), ["a", "b"], "left_semi").select("a", "b", "inter", "extra"), "seen")
     # what a member has beyond its hub can only add to a pair's overlap where another member of the hub has it too
     extras = seen.select("a", "b", F.explode("extra").alias("s"))
     common = extras.groupBy("b", "s").agg(F.count("*").alias("n")).where("n > 1").drop("n")
-    spare = extras.join(common, ["b", "s"]).groupBy("a", "b").agg(F.count("*").alias("spare"))
-    spare = seen.select("a", "b", "inter").join(spare, ["a", "b"], "left").select(
+    spare = extras.join(common.hint("merge"), ["b", "s"]).groupBy("a", "b").agg(F.count("*").alias("spare"))
+    spare = seen.select("a", "b", "inter").join(spare.hint("merge"), ["a", "b"], "left").select(
         F.col("a").alias("rep"), F.col("b").alias("hub"), "inter", F.coalesce("spare", F.lit(0)).alias("spare"))
     home = merged.select(F.col("id").alias("hub"), F.col("component").alias("home"))
     sizes = rest.groupBy("hub").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    rest = written(rest.join(spare, ["rep", "hub"]).join(info.drop("digest"), "rep").join(sizes, "hub").join(home, "hub", "left").select(
+    rest = written(rest.join(spare.hint("merge"), ["rep", "hub"]).join(info.drop("digest").hint("merge"), "rep").join(sizes.hint("merge"), "hub").join(home.hint("merge"), "hub", "left").select(
         "hub", "rep", "component", "inter", "spare", "n", "sig", "blocks",
         (F.col("component") == F.coalesce("home", "hub")).alias("at_home")), "members-left")
 
@@ -273,29 +279,35 @@ def grouped(docs: DataFrame, words: int, percent: int) -> DataFrame:
             .withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")).drop("blocks", "at_home"))
     right = rest.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
     most = "least(l.inter, r.inter) + least(l.spare, r.spare)"
-    both = left.alias("l").join(right.alias("r"), [F.col("l.hub") == F.col("r.hub"), F.col("l.block") == F.col("r.block"),
+    both = left.alias("l").join(right.hint("merge").alias("r"), [F.col("l.hub") == F.col("r.hub"), F.col("l.block") == F.col("r.block"),
                                                    F.expr("r.at_home OR l.rep < r.rep"), F.col("l.component") != F.col("r.component"),
                                                    _sizes_allow("l.n", "r.n", percent), F.expr(reachable(most, "l.n", "r.n")),
                                                    _distance("l.sig", "r.sig", slots) <= limit])
     second = both.select(F.least("l.rep", "r.rep").alias("a"), F.greatest("l.rep", "r.rep").alias("b")).distinct()
     tested = known.select("a", "b").union(apart.select("a", "b"))
     tested = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    second = second.join(tested, ["a", "b"], "left_anti").join(side("a"), "a").join(side("b"), "b")
-    second = written(second.select("a", "b", "na", "nb", "da", "db"), "rest-pairs")
-    more = second.join(overlaps(second, docs, reps, words), ["a", "b"]).where(linked).select("a", "b").union(apart.where("linked").select("a", "b"))
-
-    # links of the first round are a star forest already; only what the second adds is contracted
-    links = merged.where("id <> component").select(F.col("id").alias("a"), F.col("component").alias("b")).union(more)
-    final = connected_components(links)
-    named = reps.join(final.withColumnRenamed("id", "rep"), "rep", "left").select(
-        "digest", F.coalesce("component", "rep").alias("component"), F.struct("doc_id", "text_md5").alias("least"))
+    second = second.join(tested.hint("merge"), ["a", "b"], "left_anti").join(digest("a"), "a").join(digest("b"), "b")
+    second = written(second.select("a", "b", "da", "db"), "rest-pairs")
+    more = overlaps(second, docs, reps, words, percent).where("linked").select("a", "b").union(apart.where("linked").select("a", "b"))
+
+    # the components of the first round are the nodes of the second: only what it adds is contracted
+    place = reps.join(merged.withColumnRenamed("id", "rep").hint("merge"), "rep", "left").select(
+        "rep", "digest", F.coalesce("component", "rep").alias("component"), F.struct("doc_id", "text_md5").alias("least"))
+    at = place.select("rep", "component")
+    added = written(more.join(at.select(F.col("rep").alias("a"), F.col("component").alias("ca")).hint("merge"), "a")
+                    .join(at.select(F.col("rep").alias("b"), F.col("component").alias("cb")).hint("merge"), "b")
+                    .where("ca <> cb").select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct(), "added-links")
+    named = place.drop("rep")
+    if not added.isEmpty():
+        final = connected_components(added).select(F.col("id").alias("component"), F.col("component").alias("final"))
+        named = named.join(final.hint("merge"), "component", "left").withColumn("component", F.coalesce("final", "component")).drop("final")
     names = named.groupBy("component").agg(F.min("least").alias("least"))
-    named = named.drop("least").join(names, "component").select("digest", "least")
+    named = named.drop("least").join(names.hint("merge"), "component").select("digest", "least")
     alone = F.col("n_shingles").eqNullSafe(0)
 
     def of(own: str) -> Column:
         return F.when(alone, F.col(own)).when(F.col("doc_id").isNull(), None).otherwise(F.col(f"least.{own}"))
 
-    return (rows.join(named, "digest", "left")
+    return (rows.join(named.hint("merge"), "digest", "left")
             .select("doc_id", "text_md5", "n_shingles", of("doc_id").alias("component_id"), of("text_md5").alias("component_md5"))
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
