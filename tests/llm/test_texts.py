@@ -174,6 +174,34 @@ def test_lm_counts_cover_all_training_rows(spark, corpus, monkeypatch):
     assert not np.allclose(lm_scoring.trained(model, rows, n).p["pair"], 0)
 
 
+def test_lm_trains_on_every_window(spark, corpus, monkeypatch):
+    asked, dealt = [], lm_scoring.windows_of
+    monkeypatch.setattr(lm_scoring, "windows_of", lambda rows, share, groups: asked.append((share, groups)) or dealt(rows, share, groups))
+    monkeypatch.setattr(lm_scoring, "GROUP_WINDOWS", 20)
+    rows = lm_scoring.token_rows(corpus, F.lit(False), "byte_bpe_50k.json")
+    n = rows.agg(F.sum(F.expr(f"(n + {lm_scoring.WINDOW - 1}) div {lm_scoring.WINDOW}"))).first()[0]
+    lm_scoring.trained(lm_scoring.AttentionModel.start(np.array([5] * 3), np.array([6] * 3)), rows, n)
+    assert asked == [(1.0, -(-n // 20))] and n > 40
+    m, size = lm_scoring.AttentionModel.start(np.arange(100), np.arange(1, 101)), lm_scoring.STEPS * lm_scoring.BATCH + 1000
+    forward, seen = m.forward, []
+    m.forward = lambda x: seen.append(x[:, 0]) or forward(x)
+    windows = np.full((size, lm_scoring.WINDOW + 1), -1)
+    windows[:, 0], windows[:, 1] = np.arange(size), 7
+    m.train(windows)
+    assert np.array_equal(np.sort(np.concatenate(seen)), np.arange(size))
+
+
+def test_lm_training_follows_the_gradient():
+    rng = np.random.default_rng(1)
+    ids = np.repeat(rng.integers(0, 60, 4000), 2)  # every id comes twice
+    m = lm_scoring.AttentionModel.start(ids[:-1], ids[1:])
+    windows = np.lib.stride_tricks.sliding_window_view(ids, lm_scoring.WINDOW + 1)[::lm_scoring.WINDOW]
+    m.ready()
+    before = m.log_class(windows).mean()
+    m.train(windows, np.arange(1, len(windows) + 1))
+    assert m.log_class(windows).mean() > before + 0.2
+
+
 def test_lm_model_size_and_context():
     assert (lm_scoring.CLASSES, lm_scoring.SINGLE) == (128, 112)
     m = lm_scoring.AttentionModel.start(np.array([1, 2, 3]), np.array([2, 3, 1]))

@@ -14,10 +14,9 @@ off to the class before it, then to its frequency, add-one over all ids of the c
 Ids, pairs of ids and (class, id) are counted over all training texts by Spark. What
 the vocabulary bounds travels to the tasks, with the ``COMMON_PAIRS`` most frequent pairs;
 all other pairs go through a shuffle join, as the words do.
-The layer is trained in numpy on ``1 / WINDOWS_EVERY`` of all training windows (on
-``GROUP_WINDOWS`` of them where that is more), taken by hash of id, text and place. Groups of about
-``GROUP_WINDOWS`` windows train side by side from one start, and their tables are
-averaged, so the windows grow with the input and no task or driver holds them all. Texts are scored whole: windows of ``WINDOW`` ids overlap by
+The layer is trained in numpy on all training windows, each at least once. They are dealt by hash of id, text and
+place to groups of about ``GROUP_WINDOWS``, which train side by side from one start, and their tables are
+averaged, so no task or driver holds all windows. Texts are scored whole: windows of ``WINDOW`` ids overlap by
 ``WINDOW - STRIDE``, each id is scored once, in the first window that holds it, and
 the windows of many texts go through one masked batch.
 
@@ -50,7 +49,8 @@ END_ID, IDS = 50256, 50257
 START = IDS
 CLASSES, SINGLE = 128, 112
 WINDOW, STRIDE, WIDTH = 32, 24, 8
-WINDOWS_EVERY, GROUP_WINDOWS, STEPS, BATCH = 32, 64_000, 300, 128
+#: Windows of a group, least steps of its training (small groups go over their windows again), and windows of a step.
+GROUP_WINDOWS, STEPS, BATCH = 64_000, 300, 128
 #: Weight of an id's own frequency against its frequency after a class, and of that against the one after an id.
 BACK_OFF, BACK_OFF_ID = 5.0, 2.0
 COMMON, COMMON_PAIRS = 1 << 16, 1 << 20
@@ -162,34 +162,41 @@ class AttentionModel:
         return h @ p["out"] + p["pair"][x] + last, (e, q, k, v, a, c, h)
 
     def train(self, windows: np.ndarray, times: np.ndarray | None = None, seed: int = 4) -> None:
-        """Adam on cross entropy; ``windows`` (rows of WINDOW + 1 ids, START before a text, -1 pads), each drawn by its ``times``."""
-        rng, p = np.random.default_rng(seed), self.p
-        upto = np.cumsum(np.ones(len(windows), np.int64) if times is None else times)
+        """Adam on cross entropy, in whole passes over ``windows`` (rows of WINDOW + 1 ids, START before a text, -1 pads), each weighed by its ``times``."""
+        rng = np.random.default_rng(seed)
+        p = self.p = {n: w.astype(np.float32) for n, w in self.p.items()}
+        weight = np.ones(len(windows), np.float32) if times is None else np.asarray(times, np.float32)
         m1, m2 = ({n: np.zeros_like(w) for n, w in p.items()} for _ in range(2))
-        for step in range(1, STEPS + 1 if len(windows) else 1):
-            w = windows[np.searchsorted(upto, rng.integers(0, upto[-1], BATCH), side="right")]
-            x, y, on = np.maximum(w[:, :-1], 0), self.classes[w[:, 1:]], w[:, 1:] >= 0
+        passes = -(-STEPS // -(-len(windows) // BATCH)) if len(windows) else 0
+        parts = (part for _ in range(passes) for order in [rng.permutation(len(windows))] for part in np.split(order, range(BATCH, len(order), BATCH)))
+        for step, part in enumerate(parts, 1):
+            w = windows[part]
+            x, y, on = np.maximum(w[:, :-1], 0), self.classes[w[:, 1:]], (w[:, 1:] >= 0) * weight[part, None]
             z, (e, q, k, v, a, c, h) = self.forward(x)
-            x = self.classes[x]
-            z = np.exp(z - z.max(-1, keepdims=True))
-            z /= z.sum(-1, keepdims=True)
-            b, t = np.nonzero(on)
-            z[b, t, y[b, t]] -= 1
-            z *= on[..., None] / max(on.sum(), 1)
-            g = {"out": np.einsum("btd,btk->dk", h, z), "pair": np.zeros_like(p["pair"])}
-            np.add.at(g["pair"], x, z)
-            dh = (z @ p["out"].T) * (1 - h * h)
-            g["o"] = np.einsum("btd,bte->de", c, dh)
+            x = self.classes[x].ravel()
+            z = z.reshape(-1, CLASSES)
+            z -= z.max(-1, keepdims=True)
+            np.exp(z, out=z)
+            on = (on / max(on.sum(), np.float32(1))).ravel()
+            z *= (on / z.sum(-1))[:, None]
+            z[np.arange(len(z)), np.where(on > 0, y.ravel(), 0)] -= on
+            flat = lambda m: m.reshape(-1, WIDTH)
+            order = np.argsort(x, kind="stable")  # rows of one class follow one another
+            first = np.flatnonzero(np.diff(x[order], prepend=-1))
+            there = x[order][first]
+            g = {"out": flat(h).T @ z, "pair": np.zeros_like(p["pair"]), "emb": np.zeros_like(p["emb"])}
+            g["pair"][there] = np.add.reduceat(z[order], first)
+            dh = (z @ p["out"].T).reshape(h.shape) * (1 - h * h)
+            g["o"] = flat(c).T @ flat(dh)
             dc, de = dh @ p["o"].T, dh.copy()
             da, dv = dc @ v.transpose(0, 2, 1), a.transpose(0, 2, 1) @ dc
-            ds = a * (da - (da * a).sum(-1, keepdims=True)) / math.sqrt(WIDTH)
+            ds = a * (da - (da * a).sum(-1, keepdims=True)) / np.float32(math.sqrt(WIDTH))
             dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q
             for n, d in (("q", dq), ("k", dk), ("v", dv)):
-                g[n] = np.einsum("btd,bte->de", e, d)
+                g[n] = flat(e).T @ flat(d)
                 de += d @ p[n].T
             g["pos"] = de.sum(0)
-            g["emb"] = np.zeros_like(p["emb"])
-            np.add.at(g["emb"], x, de)
+            g["emb"][there] = np.add.reduceat(flat(de)[order], first)
             for n, d in g.items():
                 m1[n] = 0.9 * m1[n] + 0.1 * d
                 m2[n] = 0.99 * m2[n] + 0.01 * d * d
@@ -375,14 +382,14 @@ def windows_of(rows: DataFrame, share: float, groups: int) -> DataFrame:
             key = np.concatenate(keys)
             yield pa.RecordBatch.from_arrays([pa.array((key % np.uint64(groups)).astype(np.int64)), pa.array(key.view(np.int64)), pa.array(found, pa.binary())], names=["group", "key", "ids"])
 
-    made = rows.select("doc_id", "ids").mapInArrow(run, "group long, key long, ids binary")
+    # dealt by group once; the counts and the training keep that partitioning
+    made = rows.select("doc_id", "ids").mapInArrow(run, "group long, key long, ids binary").repartition("group")
     return made.groupBy("group", "key", "ids").agg(F.count("*").alias("n"))
 
 
 def trained(model: AttentionModel, rows: DataFrame, total: int) -> AttentionModel:
-    """``model`` with its attention layer trained on the windows of ``rows``, which have ``total`` of them."""
+    """``model`` with its attention layer trained on all windows of ``rows``, which have ``total`` of them."""
     if total:
-        count = max(min(total, GROUP_WINDOWS), total // WINDOWS_EVERY)
         none = np.zeros(0, np.int64)  # training reads no pairs
         shared = rows.sparkSession.sparkContext.broadcast(replace(model, pairs=none, times=none))
 
@@ -393,7 +400,7 @@ def trained(model: AttentionModel, rows: DataFrame, total: int) -> AttentionMode
             m.train(np.where(w == PAD, -1, w), group["n"].to_numpy(np.int64))
             return pd.DataFrame({"weight": [float(group["n"].sum())], "p": [np.concatenate([m.p[n].ravel() for n in sorted(m.p)]).astype(np.float64)]})
 
-        each = windows_of(rows, count / total, -(-count // GROUP_WINDOWS)).groupBy("group").applyInPandas(run, "weight double, p array<double>")
+        each = windows_of(rows, 1.0, -(-total // GROUP_WINDOWS)).groupBy("group").applyInPandas(run, "weight double, p array<double>")
         mean = (each.select("weight", F.posexplode("p").alias("at", "x")).groupBy("at")
                 .agg((F.sum(F.col("weight") * F.col("x")) / F.sum("weight")).alias("x")).toPandas().sort_values("at")["x"].to_numpy())  # one row a weight
         at = 0
