@@ -100,6 +100,24 @@ def test_orphans_are_exact_also_when_the_filter_always_says_maybe(spark, bits):
     assert [got[r.child, r.column] for r in REFERENCES] == want and min(want) > 0
 
 
+def test_references_travel_in_their_own_type_and_once_a_value(spark, monkeypatch):
+    from tillsight import shared
+    tables, want = fk_tables(spark, random.Random(3))
+    kept, write = {}, shared.written
+    monkeypatch.setattr(shared, "written", lambda df, name: kept.setdefault(name, write(df, name)))
+    assert [r.orphan_rows for r in foreign_key_orphans(tables, REFERENCES).collect()] == want
+    assert {n: dict(df.dtypes) for n, df in kept.items()} == {
+        "keys-c": {"c": "bigint"}, "keys-p": {"p": "string"}, "keys-o": {"c": "bigint", "o": "bigint"}, "keys-i": {"o": "bigint", "p": "string"}}
+
+
+def test_references_of_other_types_are_compared_as_text(spark):
+    child = spark.createDataFrame([("1",), ("01",), ("x",), (None,)], "fk string")
+    parent = spark.createDataFrame([(1,), (2,), (None,)], "pk int")
+    assert foreign_key_orphans({"c": child, "p": parent}, [Reference("c", "fk", "p", "pk")]).first().orphan_rows == 2
+    short = spark.createDataFrame([(1,), (7,)], "fk short")
+    assert foreign_key_orphans({"c": short, "p": parent}, [Reference("c", "fk", "p", "pk")]).first().orphan_rows == 1
+
+
 def test_references_without_orphans_and_empty_tables(spark):
     tables, _ = fk_tables(spark, random.Random(3))
     empty = {k: v.limit(0) for k, v in tables.items()}
