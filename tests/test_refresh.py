@@ -156,3 +156,18 @@ def test_cli_refresh(spark, source, capsys):
     source.lines("c", [(6, 60.0)])
     assert main(["refresh", "--tables", source.folder, "--out", source.target]) == 0
     assert capsys.readouterr().out.strip().endswith("months: 2024-03")
+
+
+def test_line_sums_go_by_file_number_and_keep_undated_orders_apart(spark, source, monkeypatch):
+    from tillsight.sources import refresh as module
+    kept, write = {}, module.written
+    monkeypatch.setattr(module, "written", lambda df, name: kept.setdefault(name, write(df, name)))
+    source.orders("a", [(1, "F", "2024-01-05"), (2, "F", None), (3, "O", "2024-02-01")])
+    source.lines("a", [(1, 10.0), (2, 20.0), (3, 5.0), (9, 1.0)])
+    source.lines("b", [(1, 7.0), (None, 2.0)])
+    refresh(spark, warehouse_facts(spark, source.folder), source.target)
+    assert [t for n, t in kept["order-file-sums"].dtypes if n != "revenue"] == ["bigint", "int"]  # no path travels with each order
+    found = {(os.path.basename(os.path.dirname(r.file)), r.order_month) for r in manifest(spark, source.target).where("table = 'items'").collect()}
+    assert found == {("a", "2024-01"), ("a", "undated"), ("a", "2024-02"), ("a", "unmatched"), ("a", "present"),
+                     ("b", "2024-01"), ("b", "unmatched"), ("b", "present")}
+    assert {r.order_id: float(r.order_revenue) for r in read_refreshed(spark, source.target).collect()} == {1: 17.0, 2: 20.0}

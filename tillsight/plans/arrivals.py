@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillsight.shared import hadoop_path, scratch_folder
+from tillsight.shared import hadoop_path, scratch_folder, small, written
 from tillsight.sources.adapter import read_driver_table
 from tillsight.sources.refresh import read_refreshed, refresh, warehouse_facts
 
@@ -32,7 +32,8 @@ def order_level_refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows.write.parquet(path := os.path.join(folder, f"{table}.parquet", name))
         return path
 
-    tardy = orders.where(every(LATE_LINES)).select(F.col("o_orderkey").alias("l_orderkey")).distinct()
+    # written and counted first: the joins with it are planned before its size is known, and would shuffle and sort whole lines
+    tardy = small(written(orders.where(every(LATE_LINES)).select(F.col("o_orderkey").alias("l_orderkey")).distinct(), "late-lines"))
     facts, target = warehouse_facts(spark, sf_dir, folder), os.path.join(folder, "out")
     deliver(orders.where(~every(LATE) & ~every(MOVED)), "orders", "first")
     wrong = deliver(orders.where(every(MOVED)).withColumn("o_orderdate", F.col("o_orderdate") - F.expr(f"INTERVAL {EARLIER} DAYS")), "orders", "open")

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillsight.plans.order_level import build_order_level, completed_orders, with_revenue
-from tillsight.shared import hadoop_path, written
+from tillsight.shared import hadoop_path, small, written
 from tillsight.sources.adapter import order_items_of, orders_of, read_driver_table, retail_from_driver
 
 UNDATED, UNMATCHED, PRESENT = "undated", "unmatched", "present"
@@ -133,7 +133,7 @@ def refresh(spark: SparkSession, facts: Facts, target: str) -> Refreshed:
     if left.take(1):
         touched = old.join(gone.select("file").distinct(), "file", "left_semi").select("order_month")
         touched = touched.unionAll(facts.orders(new["orders"]).select(month))
-        arrived = facts.items(new["items"]).select("order_id").distinct()
+        arrived = small(written(facts.items(new["items"]).select("order_id").distinct(), "arrived"))
         touched = touched.unionAll(completed_orders(facts.orders(all_orders)).join(arrived, "order_id", "left_semi").select(month))
         months = sorted(set(_column(touched.where(~F.col("order_month").isin(UNMATCHED, PRESENT)), "order_month")))  # the months spanned
         listed = left.where(F.col("order_month").isin([*months, UNMATCHED]))
@@ -141,9 +141,11 @@ def refresh(spark: SparkSession, facts: Facts, target: str) -> Refreshed:
     else:
         read = new
 
-    # lines are read once: revenue per order and file gives the order level and the manifest
+    # lines are read once: revenue per order and file gives the order level and the manifest; files go by number, not by their long paths
     lines = facts.items(read["items"])
-    sums = written(lines.groupBy("order_id", "file").agg(F.sum(F.col("quantity") * F.col("unit_price")).alias("revenue")), "order-file-sums")
+    numbers = spark.createDataFrame([(f, i) for i, f in enumerate(read["items"])], "file string, number int")
+    numbered = lines.select("order_id", "file", (F.col("quantity") * F.col("unit_price")).alias("revenue")).join(F.broadcast(numbers), "file", "left")
+    sums = written(numbered.groupBy("order_id", "number").agg(F.sum("revenue").alias("revenue")), "order-file-sums")
     wanted = build_order_level(facts.orders(read["orders"]), lines).schema["order_revenue"].dataType
     revenue = sums.groupBy("order_id").agg(F.sum("revenue").cast(wanted).alias("order_revenue"))
     level = with_revenue(completed_orders(facts.orders(read["orders"])), revenue).withColumn("order_month", month)
@@ -153,9 +155,9 @@ def refresh(spark: SparkSession, facts: Facts, target: str) -> Refreshed:
         _write_months(spark, level, os.path.join(target, "order_level"), months)
 
     by_month = facts.orders(new["orders"]).select(F.lit("orders").alias("table"), "file", month.alias("order_month")).distinct()
-    dated = facts.orders(all_orders).select("order_id", month.alias("of")).distinct()
-    by_line = (sums.select("order_id", "file").join(dated, "order_id", "left")
-               .select(F.lit("items").alias("table"), "file", F.coalesce("of", F.lit(UNMATCHED)).alias("order_month")).distinct())
+    dated = facts.orders(all_orders).select("order_id", F.trunc("order_date", "MM").alias("of"), F.lit(True).alias("found"))
+    by_line = (sums.select("order_id", "number").join(dated, "order_id", "left").select("number", "of", "found").distinct().join(F.broadcast(numbers), "number")
+               .select(F.lit("items").alias("table"), "file", F.when(F.col("found"), month_name(F.col("of"))).otherwise(UNMATCHED).alias("order_month")))
     found = now.join(by_month.unionAll(by_line), ["table", "file"]).select("table", "file", "length", "modified", "order_month")
     present = added.select("*", F.lit(PRESENT).alias("order_month"))
     reread = spark.createDataFrame([(f,) for f in read["items"]], "file string")
