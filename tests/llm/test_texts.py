@@ -214,6 +214,54 @@ def test_lm_model_size_and_context():
     assert min(overlap[:-1]) == 8  # the first id that a later window scores has 8 ids before the one it follows
 
 
+def test_lm_scores_no_position_twice(monkeypatch):
+    rng = np.random.default_rng(2)
+    ids = rng.integers(0, 300, 20_000)
+    m = lm_scoring.AttentionModel.start(ids[:-1], ids[1:])
+    m.p["out"] = rng.normal(0, 0.5, m.p["out"].shape)
+    m.ready()
+    made, each = [], lm_scoring.powers
+    monkeypatch.setattr(lm_scoring, "powers", lambda t, *a: made.append(len(t) * (t.ndim == 2)) or each(t, *a))
+    texts = [rng.integers(0, 300, lm_scoring.WINDOW + k * lm_scoring.STRIDE) for k in (0, 1, 7, 40)]  # no pads
+    got = m.score(texts)
+    assert sum(made) == sum(map(len, texts))  # rows of classes: one an id
+    m.bound = lm_scoring.BOUND + 1  # the shifted form
+    assert m.score(texts) == pytest.approx(got, rel=1e-5)
+
+
+def test_lm_groups_train_side_by_side(spark, corpus):
+    rows = lm_scoring.token_rows(corpus.union(corpus), F.lit(False), "byte_bpe_50k.json")
+    dealt = lm_scoring.windows_of(rows, 1.0, 40)
+    got = dealt.groupBy(F.spark_partition_id().alias("part")).agg(F.count_distinct("group").alias("groups"), F.sum("n").alias("n")).collect()
+    assert len(got) > 20 and all(r.groups == 1 for r in got)  # no task has two while another has none
+    found = dealt.toPandas()
+    ids = np.frombuffer(b"".join(found["ids"]), f"S{2 * (lm_scoring.WINDOW + 1)}")
+    key, one, n = lm_scoring.distinct_windows(found["key"].to_numpy(), ids, found["n"].to_numpy())
+    want = Counter(zip(found["key"], map(bytes, found["ids"]), strict=True))
+    raw = one.tobytes()
+    assert {(k, raw[66 * i:66 * i + 66]): c for i, (k, c) in enumerate(zip(key.tolist(), n.tolist(), strict=True))} == want and set(n % 2) == {0}
+    assert np.array_equal(key, np.sort(key))
+
+
+def test_lm_powers_are_exponentials():
+    for most in (0.01, 1, 7, 60):
+        halvings = max(0, math.ceil(math.log2(8 * most)))
+        z = np.linspace(-most, most, 10_001).astype(np.float32)
+        got = lm_scoring.powers(z / np.float32(2 ** halvings), halvings, np.empty_like(z))
+        assert got == pytest.approx(np.exp(z.astype(float)), rel=3e-7 * 2 ** halvings + 1e-6)
+
+
+def test_lm_pairs_are_looked_up_in_any_order():
+    rng = np.random.default_rng(3)
+    ids = rng.integers(0, 50, 3000)
+    m = lm_scoring.AttentionModel.start(ids[:-1], ids[1:])
+    want = Counter((ids[:-1] * lm_scoring.IDS + ids[1:]).tolist())
+    last = lm_scoring.START * lm_scoring.IDS + lm_scoring.END_ID  # the largest key, unseen
+    key = np.concatenate([rng.permutation(np.repeat(np.array(list(want)), 2)), [last, 0, 60, last]])
+    times, hit = m.held(key)
+    assert times.tolist() == [want[k] for k in key.tolist()] and hit.tolist() == [k in want for k in key.tolist()]
+
+
 def test_licence_notices_wrapped_over_lines_are_found():
     model, templates = licenses.fit(["some ordinary prose of the version", "the terms of the work"]), licenses.Templates(licenses.TEMPLATES)
     gpl = ("# This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU General Public License as published by\n"

@@ -27,10 +27,11 @@ over its classes; a row with a null id is a training row (its remainder is null)
 
 from __future__ import annotations
 
+import functools
 import math
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pandas as pd
@@ -49,6 +50,7 @@ END_ID, IDS = 50256, 50257
 START = IDS
 CLASSES, SINGLE = 128, 112
 WINDOW, STRIDE, WIDTH = 32, 24, 8
+CAUSAL = np.tri(WINDOW, dtype=np.float32)
 #: Windows of a group, least steps of its training (small groups go over their windows again), and windows of a step.
 GROUP_WINDOWS, STEPS, BATCH = 64_000, 300, 128
 #: Weight of an id's own frequency against its frequency after a class, and of that against the one after an id.
@@ -56,6 +58,8 @@ BACK_OFF, BACK_OFF_ID = 5.0, 2.0
 COMMON, COMMON_PAIRS = 1 << 16, 1 << 20
 #: Ids whose pairs a task sorts at once, and distinct pairs it holds before it hands their counts on.
 SORT_IDS, HELD_PAIRS = 1 << 22, 1 << 21
+#: Bits beside a pair's key (below 2**32) for its place among those looked up at once.
+KEY_BITS = 32
 #: Fills a stored window up.
 PAD = 0xFFFF
 #: Ids that are gathered for the model, windows that go through it together, and the scores it takes unshifted.
@@ -75,6 +79,28 @@ def classes_of(counts: np.ndarray) -> np.ndarray:
     return np.append(classes, CLASSES)
 
 
+@functools.cache
+def touch_products() -> None:
+    """One product that fills OpenBLAS's buffer, once a process: thin products on a fresh buffer took four times as long."""
+    square = np.ones((512, 512), np.float32)
+    np.matmul(square, square)
+
+
+def powers(t: np.ndarray, halvings: int, out: np.ndarray) -> np.ndarray:
+    """exp(t * 2**halvings) for ``t`` up to 1/8, from its series, squared: off by about 3e-7 * 2**halvings of it at most.
+
+    numpy has ``exp`` as a loop over single numbers on some processors; these are steps over whole arrays.
+    """
+    np.multiply(t, np.float32(1 / 24), out=out)
+    for term in (1 / 6, 1 / 2, 1):
+        out += np.float32(term)
+        out *= t
+    out += np.float32(1)
+    for _ in range(halvings):
+        out *= out
+    return out
+
+
 @dataclass
 class AttentionModel:
     counts: np.ndarray  # how often each id occurs
@@ -87,6 +113,14 @@ class AttentionModel:
     first: np.ndarray  # log probability of each class after each id
     p: dict[str, np.ndarray]
     bound: float = math.inf
+    kept: dict[str, np.ndarray] = field(default_factory=dict, init=False, repr=False)
+
+    def room(self, name: str, *shape: int) -> np.ndarray:
+        """An array that is used again under its name: pages of fresh memory cost more than the sums in them."""
+        size = math.prod(shape)
+        if name not in self.kept or self.kept[name].size < size:
+            self.kept[name] = np.empty(size, np.float32)
+        return self.kept[name][:size].reshape(shape)
 
     @staticmethod
     def start(before: np.ndarray, ids: np.ndarray) -> AttentionModel:
@@ -133,7 +167,10 @@ class AttentionModel:
         """How often each pair occurs, and whether ``pairs`` holds it."""
         if not len(self.pairs):
             return np.zeros(len(key), np.float32), np.zeros(len(key), bool)
-        at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
+        order = np.sort(key.astype(np.uint64) << np.uint64(KEY_BITS) | np.arange(len(key), dtype=np.uint64))  # keys in order find their places near one another
+        at = np.empty(len(key), np.int64)
+        at[(order & np.uint64((1 << KEY_BITS) - 1)).astype(np.int64)] = np.searchsorted(self.pairs, (order >> np.uint64(KEY_BITS)).astype(np.int64))
+        at = np.minimum(at, len(self.pairs) - 1)
         hit = self.pairs[at] == key
         return np.where(hit, self.times[at], np.float32(0)), hit
 
@@ -148,98 +185,138 @@ class AttentionModel:
         return np.log((times + self.prior(before, ids)) / (self.led[before, self.classes[ids]] + np.float32(BACK_OFF_ID)))
 
     def forward(self, x: np.ndarray) -> tuple[np.ndarray, tuple]:
-        """Logits for the class after each position of the id windows ``x``."""
-        p, last, x = self.p, self.first[x], self.classes[x]
-        e = p["emb"][x] + p["pos"][:x.shape[1]]
-        q, k, v = e @ p["q"], e @ p["k"], e @ p["v"]
-        a = q @ k.transpose(0, 2, 1) / np.sqrt(np.array(WIDTH, e.dtype))
-        a += np.triu(np.full((x.shape[1], x.shape[1]), -1e9, e.dtype), 1)
-        a -= a.max(-1, keepdims=True)
+        """Logits for the class after each position of the id windows ``x``, in arrays that the next call overwrites."""
+        p, before, n = self.p, self.classes.take(x), x.size
+        e = p["emb"].take(before, axis=0) + p["pos"][:x.shape[1]]
+        rows = e.reshape(-1, WIDTH)  # products of many rows at once
+        q, k, v = ((rows @ p[n]).reshape(e.shape) for n in "qkv")
+        a = np.matmul(q / np.float32(math.sqrt(WIDTH)), k.transpose(0, 2, 1), out=self.room("a", *x.shape, x.shape[1]))
+        if float(np.vecdot(q, q).max(initial=0)) * float(np.vecdot(k, k).max(initial=0)) > WIDTH * BOUND ** 2:
+            a += np.triu(np.full(a.shape[1:], -1e9, e.dtype), 1)
+            a -= a.max(-1, keepdims=True)
         np.exp(a, out=a)
-        a /= a.sum(-1, keepdims=True)
+        a *= CAUSAL[:x.shape[1], :x.shape[1]]
+        a /= (a @ np.ones(x.shape[1], e.dtype))[..., None]
         c = a @ v
-        h = np.tanh(c @ p["o"] + e)
-        return h @ p["out"] + p["pair"][x] + last, (e, q, k, v, a, c, h)
+        h = np.tanh((c.reshape(-1, WIDTH) @ p["o"]).reshape(e.shape) + e)
+        z, more = np.matmul(h.reshape(-1, WIDTH), p["out"], out=self.room("z", n, CLASSES)), self.room("more", n, CLASSES)
+        z += p["pair"].take(before.ravel(), axis=0, out=more, mode="clip")
+        z += self.first.take(x.ravel(), axis=0, out=more, mode="clip")
+        return z.reshape(*x.shape, CLASSES), (e, q, k, v, a, c, h)
 
     def train(self, windows: np.ndarray, times: np.ndarray | None = None, seed: int = 4) -> None:
         """Adam on cross entropy, in whole passes over ``windows`` (rows of WINDOW + 1 ids, START before a text, -1 pads), each weighed by its ``times``."""
+        touch_products()
+        self.near = self.classes.astype(np.uint8)
         rng = np.random.default_rng(seed)
-        p = self.p = {n: w.astype(np.float32) for n, w in self.p.items()}
+        names = sorted(self.p)
+        flat = np.concatenate([self.p[n].ravel() for n in names]).astype(np.float32)
+        cuts = np.cumsum([self.p[n].size for n in names])[:-1]
+        view = lambda m: {n: part.reshape(self.p[n].shape) for n, part in zip(names, np.split(m, cuts), strict=True)}
+        slope, m1, m2 = (np.zeros_like(flat) for _ in range(3))
+        g, p = view(slope), view(flat)
+        self.p = p
         weight = np.ones(len(windows), np.float32) if times is None else np.asarray(times, np.float32)
-        m1, m2 = ({n: np.zeros_like(w) for n, w in p.items()} for _ in range(2))
         passes = -(-STEPS // -(-len(windows) // BATCH)) if len(windows) else 0
         parts = (part for _ in range(passes) for order in [rng.permutation(len(windows))] for part in np.split(order, range(BATCH, len(order), BATCH)))
+        rows = lambda m: m.reshape(-1, WIDTH)
+        ones = np.ones(CLASSES, np.float32)
         for step, part in enumerate(parts, 1):
             w = windows[part]
-            x, y, on = np.maximum(w[:, :-1], 0), self.classes[w[:, 1:]], (w[:, 1:] >= 0) * weight[part, None]
+            x, y, on = np.maximum(w[:, :-1], 0), self.classes.take(np.maximum(w[:, 1:], 0)).ravel(), ((w[:, 1:] >= 0) * weight[part, None]).ravel()
             z, (e, q, k, v, a, c, h) = self.forward(x)
-            x = self.classes[x].ravel()
+            x = self.near.take(x).ravel()
             z = z.reshape(-1, CLASSES)
-            z -= z.max(-1, keepdims=True)
+            if np.abs(p["out"]).sum(0).max() + np.abs(p["pair"]).max() > BOUND:
+                z -= z.max(-1, keepdims=True)
             np.exp(z, out=z)
-            on = (on / max(on.sum(), np.float32(1))).ravel()
-            z *= (on / z.sum(-1))[:, None]
-            z[np.arange(len(z)), np.where(on > 0, y.ravel(), 0)] -= on
-            flat = lambda m: m.reshape(-1, WIDTH)
+            total = z @ ones
+            z[np.arange(len(z)), y] -= total
+            share = (on / max(on.sum(), np.float32(1)) / total)[:, None]  # a row's slope is its row of z times this
             order = np.argsort(x, kind="stable")  # rows of one class follow one another
-            first = np.flatnonzero(np.diff(x[order], prepend=-1))
-            there = x[order][first]
-            g = {"out": flat(h).T @ z, "pair": np.zeros_like(p["pair"]), "emb": np.zeros_like(p["emb"])}
-            g["pair"][there] = np.add.reduceat(z[order], first)
-            dh = (z @ p["out"].T).reshape(h.shape) * (1 - h * h)
-            g["o"] = flat(c).T @ flat(dh)
-            dc, de = dh @ p["o"].T, dh.copy()
+            first = np.flatnonzero(np.diff(x[order], prepend=np.uint8(255)))
+            there = x[order[first]].astype(np.int64)
+            slope[:] = 0
+            g["out"][:] = (rows(h) * share).T @ z
+            dh = ((z @ p["out"].T) * share).reshape(h.shape) * (1 - h * h)
+            z, share = z.take(order, axis=0, out=self.room("more", *z.shape), mode="clip"), share.ravel()[order]
+            for at, low, high in zip(there.tolist(), first.tolist(), [*first[1:].tolist(), len(z)], strict=True):
+                np.matmul(share[low:high], z[low:high], out=g["pair"][at])
+            g["o"][:] = rows(c).T @ rows(dh)
+            dc, de = (rows(dh) @ p["o"].T).reshape(dh.shape), dh.copy()
             da, dv = dc @ v.transpose(0, 2, 1), a.transpose(0, 2, 1) @ dc
-            ds = a * (da - (da * a).sum(-1, keepdims=True)) / np.float32(math.sqrt(WIDTH))
-            dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q
+            da -= np.vecdot(dc, c)[..., None]
+            da *= a
+            dq, dk = da @ (k / np.float32(math.sqrt(WIDTH))), da.transpose(0, 2, 1) @ (q / np.float32(math.sqrt(WIDTH)))
             for n, d in (("q", dq), ("k", dk), ("v", dv)):
-                g[n] = flat(e).T @ flat(d)
-                de += d @ p[n].T
-            g["pos"] = de.sum(0)
-            g["emb"][there] = np.add.reduceat(flat(de)[order], first)
-            for n, d in g.items():
-                m1[n] = 0.9 * m1[n] + 0.1 * d
-                m2[n] = 0.99 * m2[n] + 0.01 * d * d
-                p[n] -= 0.02 * (m1[n] / (1 - 0.9 ** step)) / (np.sqrt(m2[n] / (1 - 0.99 ** step)) + 1e-8)
+                g[n][:] = rows(e).T @ rows(d)
+                de += (rows(d) @ p[n].T).reshape(de.shape)
+            g["pos"][:] = de.sum(0)
+            g["emb"][there] = np.add.reduceat(rows(de)[order], first)
+            m1 += np.float32(0.1) * (slope - m1)
+            m2 += np.float32(0.01) * (slope * slope - m2)
+            flat -= np.float32(0.02 / (1 - 0.9 ** step)) * m1 / (np.sqrt(m2 / np.float32(1 - 0.99 ** step)) + np.float32(1e-8))
         self.ready()
 
     def log_class(self, w: np.ndarray) -> np.ndarray:
         """Log probability of the class after each position of id windows (rows of WINDOW + 1, -1 pads).
 
+        A window that does not begin a text scores no position that the one before it scores; those are 0.
+        """
+        got = np.zeros((len(w), WINDOW), np.float32)
+        begins = w[:, 0] == START
+        for rows, skip in ((begins, 0), (~begins, WINDOW - STRIDE)):
+            if rows.all():
+                got[:, skip:] = self.log_class_from(w, skip)
+            elif rows.any():
+                got[rows, skip:] = self.log_class_from(w[rows], skip)
+        return got
+
+    def log_class_from(self, w: np.ndarray, skip: int) -> np.ndarray:
+        """:meth:`log_class` of the positions from ``skip`` on, which see the whole window before them.
+
         Scores are bounded by the trained tables, so exponentials need no shift by a maximum (``first`` holds
         log probabilities, so some class of each row is near 0);
         tables beyond ``BOUND`` take the shifted form of ``forward``.
         """
-        p, x, y = self.p, np.maximum(w[:, :-1], 0), self.classes[np.maximum(w[:, 1:], 0)]
+        p, known = self.p, self.near.take(np.maximum(w, 0)).astype(np.int64)  # pads take any class: what they score is dropped
+        x, y = w[:, :-1], known[:, 1 + skip:].ravel()
         if self.bound > BOUND:
-            z, _ = self.forward(x)
+            z = self.forward(np.maximum(x, 0))[0][:, skip:].reshape(-1, CLASSES)
             z = z - z.max(-1, keepdims=True)
-        else:
-            e = self.emb.take(x, axis=0)
-            e += p["pos"]
-            k = e @ p["k"]
-            a = np.exp((e @ self.query) @ k.transpose(0, 2, 1))
-            a *= self.causal
-            v = np.concatenate([e @ p["v"], np.ones((*x.shape, 1), e.dtype)], -1)  # the last column sums the weights
-            c = a @ v
-            z = np.tanh((c[..., :-1] / c[..., -1:]) @ p["o"] + e) @ p["out"]
-            z += self.lead.take(x, axis=0)
-        n = z.shape[0] * z.shape[1]
-        flat = z.reshape(n, CLASSES)
-        got = flat.ravel().take(np.arange(0, n * CLASSES, CLASSES) + y.ravel())
-        got -= np.log(np.exp(flat, out=flat) @ np.ones(CLASSES, z.dtype))
-        return got.reshape(y.shape)
+            return (z[np.arange(len(z)), y] - np.log(np.exp(z).sum(-1))).reshape(len(w), -1)
+        e = p["emb"].take(known[:, :-1], axis=0)
+        e += p["pos"]
+        rows, late = e.reshape(-1, WIDTH), np.ascontiguousarray(e[:, skip:])
+        a = np.matmul((late.reshape(-1, WIDTH) @ self.query).reshape(late.shape), (rows @ p["k"]).reshape(e.shape).transpose(0, 2, 1),
+                      out=self.room("z", len(w), WINDOW - skip, WINDOW))
+        a = powers(a, self.reach, self.room("a", *a.shape))
+        a *= CAUSAL[skip:]
+        c = a @ (rows @ self.value + self.one).reshape(*x.shape, WIDTH + 1)  # the last column sums the weights
+        c = (c[..., :-1] / c[..., -1:]).reshape(-1, WIDTH)
+        h = np.tanh(c @ p["o"] + late.reshape(-1, WIDTH))
+        x = x[:, skip:].ravel()
+        z, more = self.room("z", len(x), CLASSES), self.room("more", len(x), CLASSES)
+        each = powers(np.matmul(h, self.part, out=z), self.halvings, more)
+        odds = self.odds.take(x, axis=0, out=z, mode="clip")
+        total = np.vecdot(each, odds)
+        return (np.vecdot(h, self.heads.take(y, axis=0)) + np.log(odds[np.arange(len(y)), y] / total)).reshape(len(w), -1)
 
     def ready(self) -> None:
         """Tables that scoring reads."""
+        touch_products()
         p = {n: w.astype(np.float32) for n, w in self.p.items()}
         e = (p["emb"][:, None] + p["pos"]).reshape(-1, WIDTH)
         reach = np.linalg.norm(e @ p["q"], axis=1).max() * np.linalg.norm(e @ p["k"], axis=1).max() / math.sqrt(WIDTH)
-        self.bound = float(max(reach, np.abs(p["out"]).sum(0).max() + np.abs(p["pair"]).max()))
-        self.query = p["q"] / np.float32(math.sqrt(WIDTH))
-        self.emb = p["emb"][self.classes]
-        self.lead = self.first + p["pair"][self.classes]
-        self.causal = np.tril(np.ones((WINDOW, WINDOW), np.float32))
+        most = float(np.abs(p["out"]).sum(0).max())
+        self.bound = float(max(reach, most + np.abs(p["pair"]).max()))
+        halvings = lambda most: max(0, math.ceil(math.log2(8 * min(most, BOUND)))) if most else 0
+        self.reach, self.halvings = halvings(reach), halvings(most)
+        self.query = p["q"] / np.float32(math.sqrt(WIDTH) * 2 ** self.reach)
+        self.value, self.one = np.pad(p["v"], ((0, 0), (0, 1))), np.eye(WIDTH + 1, dtype=np.float32)[-1]
+        self.odds = np.exp(self.first + p["pair"][self.classes])
+        self.near = self.classes.astype(np.uint8)  # classes in a table that a core's cache holds
+        self.part, self.heads = p["out"] / np.float32(2 ** self.halvings), np.ascontiguousarray(p["out"].T)
         self.p = p
 
     def score(self, texts: list[np.ndarray], rare: list[np.ndarray] | None = None) -> np.ndarray:
@@ -256,14 +333,13 @@ class AttentionModel:
         owner = np.repeat(np.arange(len(n)), count)
         first = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
         start, end = begin[owner] + first * STRIDE, (begin + n + 1)[owner]
-        new = np.where(first == 0, 0, WINDOW - STRIDE)
+        size, windows = end - start, np.lib.stride_tricks.sliding_window_view(flat, WINDOW + 1)
         total = np.zeros(len(n))
-        for at in range(0, len(owner), MANY):
-            part = slice(at, at + MANY)
-            place = start[part, None] + np.arange(WINDOW + 1)
-            w = np.where(place < end[part, None], flat[np.minimum(place, len(flat) - 1)], -1)
-            on = (w[:, 1:] >= 0) & (np.arange(WINDOW) >= new[part, None])
-            total += np.bincount(owner[part], np.where(on, self.log_class(w), 0).sum(1), minlength=len(n))
+        order = np.argsort(first > 0, kind="stable")  # windows that begin a text, then the others, which score fewer ids
+        for part in np.split(order, range(MANY, len(order), MANY)):
+            w = windows[start[part]]
+            w[np.arange(WINDOW + 1) >= size[part, None]] = -1
+            total += np.bincount(owner[part], np.where(w[:, 1:] >= 0, self.log_class(w), 0).sum(1), minlength=len(n))
         before = np.delete(flat[:len(ids) + len(n)], (begin + n)) if len(n) else flat[:0]  # the id before each id
         key = before * IDS + ids
         times, hit = self.held(key)
@@ -362,7 +438,7 @@ def counted_model(pairs: DataFrame) -> AttentionModel:
 
 
 def windows_of(rows: DataFrame, share: float, groups: int) -> DataFrame:
-    """(group, key, ids, n): ``share`` of the windows of ``rows``, dealt to ``groups``; n counts those of repeated rows.
+    """(group, key, ids, n): ``share`` of the windows of ``rows``, dealt to ``groups`` (a partition each); n is 1.
 
     The choice hashes id, text and place only, so it does not depend on partitions.
     """
@@ -380,11 +456,19 @@ def windows_of(rows: DataFrame, share: float, groups: int) -> DataFrame:
                     found += [ids[at:at + WINDOW + 1].tobytes() for at in (picked * WINDOW).tolist()]
                     keys.append(key[picked])
             key = np.concatenate(keys)
-            yield pa.RecordBatch.from_arrays([pa.array((key % np.uint64(groups)).astype(np.int64)), pa.array(key.view(np.int64)), pa.array(found, pa.binary())], names=["group", "key", "ids"])
+            yield pa.RecordBatch.from_arrays([pa.array((key % np.uint64(groups)).astype(np.int32)), pa.array(key.view(np.int64)), pa.array(found, pa.binary())], names=["group", "key", "ids"])
 
-    # dealt by group once; the counts and the training keep that partitioning
-    made = rows.select("doc_id", "ids").mapInArrow(run, "group long, key long, ids binary").repartition("group")
-    return made.groupBy("group", "key", "ids").agg(F.count("*").alias("n"))
+    # a partition for each group, so the tasks that train have equal shares
+    made = rows.select("doc_id", "ids").mapInArrow(run, "group int, key long, ids binary")
+    return made.repartitionById(groups, F.col("group")).withColumn("n", F.lit(1).cast("long"))
+
+
+def distinct_windows(key: np.ndarray, ids: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct pairs of ``key`` and ``ids`` in their order, and the sums of their ``n``."""
+    order = np.lexsort((ids, key))
+    key, ids = key[order], ids[order]
+    first = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (ids[1:] != ids[:-1])))
+    return key[first], ids[first], np.add.reduceat(n[order], first)
 
 
 def trained(model: AttentionModel, rows: DataFrame, total: int) -> AttentionModel:
@@ -393,14 +477,27 @@ def trained(model: AttentionModel, rows: DataFrame, total: int) -> AttentionMode
         none = np.zeros(0, np.int64)  # training reads no pairs
         shared = rows.sparkSession.sparkContext.broadcast(replace(model, pairs=none, times=none))
 
-        def run(group: pd.DataFrame) -> pd.DataFrame:
-            group = group.sort_values(["key", "ids"], kind="stable")
-            w = np.frombuffer(b"".join(group["ids"]), "<u2").reshape(-1, WINDOW + 1).astype(np.int64)
-            m = replace(shared.value, p={n: x.copy() for n, x in shared.value.p.items()})
-            m.train(np.where(w == PAD, -1, w), group["n"].to_numpy(np.int64))
-            return pd.DataFrame({"weight": [float(group["n"].sum())], "p": [np.concatenate([m.p[n].ravel() for n in sorted(m.p)]).astype(np.float64)]})
+        groups = -(-total // GROUP_WINDOWS)
 
-        each = windows_of(rows, 1.0, -(-total // GROUP_WINDOWS)).groupBy("group").applyInPandas(run, "weight double, p array<double>")
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            waiting, size = [], 0
+            for batch in (b for b in batches if b.num_rows):
+                ids = np.frombuffer(b"".join(batch.column("ids").to_pylist()), f"S{2 * (WINDOW + 1)}")
+                waiting.append((batch.column("key").to_numpy(), ids, batch.column("n").to_numpy()))
+                size += len(ids)
+                if size > 4 * GROUP_WINDOWS:  # repeated rows: their windows are held once
+                    waiting, size = [distinct_windows(*map(np.concatenate, zip(*waiting, strict=True)))], 0
+            if not waiting:
+                return
+            key, ids, n = distinct_windows(*map(np.concatenate, zip(*waiting, strict=True)))
+            group = key.view(np.uint64) % np.uint64(groups)
+            for mine in (group == at for at in np.unique(group)):
+                w = ids[mine].view("<u2").reshape(-1, WINDOW + 1).astype(np.int64)
+                m = replace(shared.value, p={n: x.copy() for n, x in shared.value.p.items()})
+                m.train(np.where(w == PAD, -1, w), n[mine])
+                yield pa.RecordBatch.from_arrays([pa.array([float(n[mine].sum())]), pa.array([np.concatenate([m.p[n].ravel() for n in sorted(m.p)]).astype(np.float64)])], names=["weight", "p"])
+
+        each = windows_of(rows, 1.0, groups).select("key", "ids", "n").mapInArrow(run, "weight double, p array<double>")
         mean = (each.select("weight", F.posexplode("p").alias("at", "x")).groupBy("at")
                 .agg((F.sum(F.col("weight") * F.col("x")) / F.sum("weight")).alias("x")).toPandas().sort_values("at")["x"].to_numpy())  # one row a weight
         at = 0
