@@ -32,6 +32,18 @@ def test_byte_level_ids_match_the_library(texts):
         assert np.frombuffer(t.ids(text), "<u4").tolist() == t.whole.encode(text, add_special_tokens=False).ids
 
 
+def test_byte_level_leaves_a_cache_that_does_not_pay(monkeypatch):
+    monkeypatch.setattr(tokenizing, "TRIED_PARTS", 50)
+    t, same = (tokenizing.ByteLevel("byte_bpe_50k.json") for _ in range(2))
+    rng = np.random.default_rng(5)
+    alphabet = ["a", "bc", "é", "12", "!", "'s", " ", "  ", "\n", "\t", "\u00a0", "\u3000", "\x1c", "字"]
+    for i in range(400):
+        text = "".join(rng.choice(alphabet, rng.integers(0, 30))) + f" new{i} word{i}"
+        assert np.frombuffer(t.ids(text), "<u4").tolist() == t.whole.encode(text, add_special_tokens=False).ids, repr(text)
+        same.ids("the same words " * 5)
+    assert not t.pays and not t.cache and same.pays and same.cache
+
+
 def test_packing_is_an_exact_round_trip(corpus, texts):
     t = tokenizing.byte_level("byte_bpe_50k.json").whole
     want = Counter((i, tuple(t.encode(x or "", add_special_tokens=False).ids) + (1,)) for i, x in texts)
@@ -202,6 +214,54 @@ def test_lm_training_follows_the_gradient():
     assert m.log_class(windows).mean() > before + 0.2
 
 
+def _plain_loss(m, p, windows):
+    """Mean cross entropy of the classes in double precision, from the four tables of the attention one by one."""
+    x, y, on = np.maximum(windows[:, :-1], 0), m.classes[np.maximum(windows[:, 1:], 0)], windows[:, 1:] >= 0
+    e = p["emb"][m.classes[x]] + p["pos"]
+    a = (e @ p["q"]) @ (e @ p["k"]).transpose(0, 2, 1) / math.sqrt(lm_scoring.WIDTH)
+    a = np.exp(a) * np.tri(lm_scoring.WINDOW)
+    h = np.tanh(a / a.sum(-1, keepdims=True) @ (e @ p["v"]) @ p["o"] + e)
+    z = h @ p["out"] + p["pair"][m.classes[x]] + m.first[x]
+    got = np.take_along_axis(z, y[..., None], 2)[..., 0] - np.log(np.exp(z).sum(-1))
+    return -got[on].mean()
+
+
+@pytest.mark.parametrize("bound", [lm_scoring.BOUND, 0.01])  # 0.01: the shifted forms
+def test_lm_steps_follow_the_slope_of_each_table(monkeypatch, bound):
+    rng = np.random.default_rng(6)
+    ids = rng.integers(0, 200, 4000)
+    m = lm_scoring.AttentionModel.start(ids[:-1], ids[1:])
+    windows = np.lib.stride_tricks.sliding_window_view(ids, lm_scoring.WINDOW + 1)[::lm_scoring.WINDOW][:40].copy()
+    windows[:5, 20:] = -1
+    for n in ("out", "pair", "emb", "pos"):
+        m.p[n] = rng.normal(0, 0.5, m.p[n].shape)
+    start = {n: x.astype(float) for n, x in m.p.items()}
+    monkeypatch.setattr(lm_scoring, "STEPS", 1)
+    monkeypatch.setattr(lm_scoring, "BOUND", bound)
+    m.fit(windows)
+    for n, before in start.items():  # Adam's first step: 0.02 against the sign of each slope
+        for at in rng.integers(0, before.size, 12):
+            ends = []
+            for move in (-1e-4, 1e-4):
+                moved = before.copy()
+                moved.flat[at] += move
+                ends.append(_plain_loss(m, {**start, n: moved}, windows))
+            if abs(slope := (ends[1] - ends[0]) / 2e-4) > 1e-5:
+                assert m.p[n].flat[at] - before.flat[at] == pytest.approx(-0.02 * np.sign(slope), rel=0.01), (n, at)
+
+
+def test_lm_training_weighs_classes_without_single_exponentials(monkeypatch):
+    rng = np.random.default_rng(7)
+    ids = rng.integers(0, 300, 20_000)
+    m = lm_scoring.AttentionModel.start(ids[:-1], ids[1:])
+    made, each = [], lm_scoring.powers
+    monkeypatch.setattr(lm_scoring, "powers", lambda t, *a: made.append(len(t) * (t.ndim == 2)) or each(t, *a))
+    windows = np.lib.stride_tricks.sliding_window_view(ids, lm_scoring.WINDOW + 1)[::lm_scoring.WINDOW]
+    monkeypatch.setattr(lm_scoring, "STEPS", 1)
+    m.train(windows)
+    assert sum(made) == windows[:, 1:].size  # rows of classes: one an id
+
+
 def test_lm_model_size_and_context():
     assert (lm_scoring.CLASSES, lm_scoring.SINGLE) == (128, 112)
     m = lm_scoring.AttentionModel.start(np.array([1, 2, 3]), np.array([2, 3, 1]))

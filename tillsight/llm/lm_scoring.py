@@ -63,7 +63,7 @@ KEY_BITS = 32
 #: Fills a stored window up.
 PAD = 0xFFFF
 #: Ids that are gathered for the model, windows that go through it together, and the scores it takes unshifted.
-BATCH_IDS, MANY, BOUND = 60_000, 64, 60.0
+BATCH_IDS, MANY, BOUND = 60_000, 128, 60.0
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -101,6 +101,11 @@ def powers(t: np.ndarray, halvings: int, out: np.ndarray) -> np.ndarray:
     return out
 
 
+def halvings(most: float) -> int:
+    """How often a range up to ``most`` is halved for :func:`powers`."""
+    return max(0, math.ceil(math.log2(8 * min(most, BOUND)))) if most else 0
+
+
 @dataclass
 class AttentionModel:
     counts: np.ndarray  # how often each id occurs
@@ -113,6 +118,7 @@ class AttentionModel:
     first: np.ndarray  # log probability of each class after each id
     p: dict[str, np.ndarray]
     bound: float = math.inf
+    learning: bool = field(default=False, init=False, repr=False)
     kept: dict[str, np.ndarray] = field(default_factory=dict, init=False, repr=False)
 
     def room(self, name: str, *shape: int) -> np.ndarray:
@@ -184,30 +190,61 @@ class AttentionModel:
             times, _ = self.held(before * IDS + ids)
         return np.log((times + self.prior(before, ids)) / (self.led[before, self.classes[ids]] + np.float32(BACK_OFF_ID)))
 
-    def forward(self, x: np.ndarray) -> tuple[np.ndarray, tuple]:
-        """Logits for the class after each position of the id windows ``x``, in arrays that the next call overwrites."""
+    def forward(self, x: np.ndarray) -> tuple[np.ndarray | None, tuple]:
+        """Logits for the class after each position of the id windows ``x`` (None while ``learning``), in arrays that the next call overwrites."""
         p, before, n = self.p, self.classes.take(x), x.size
-        e = p["emb"].take(before, axis=0) + p["pos"][:x.shape[1]]
-        rows = e.reshape(-1, WIDTH)  # products of many rows at once
-        q, k, v = ((rows @ p[n]).reshape(e.shape) for n in "qkv")
-        a = np.matmul(q / np.float32(math.sqrt(WIDTH)), k.transpose(0, 2, 1), out=self.room("a", *x.shape, x.shape[1]))
-        if float(np.vecdot(q, q).max(initial=0)) * float(np.vecdot(k, k).max(initial=0)) > WIDTH * BOUND ** 2:
+        e = p["emb"].take(before, axis=0)
+        e += p["pos"][:x.shape[1]]
+        ends = np.concatenate([e, np.ones((*x.shape, 1), e.dtype)], axis=2)
+        u = (e.reshape(-1, WIDTH) @ (p["q"] @ p["k"].T / np.float32(math.sqrt(WIDTH)))).reshape(e.shape)  # queries by keys: one table
+        a = np.matmul(u, e.transpose(0, 2, 1), out=self.room("a", *x.shape, x.shape[1]))
+        if float(np.vecdot(u, u).max(initial=0)) * float(np.vecdot(e, e).max(initial=0)) > BOUND ** 2:
             a += np.triu(np.full(a.shape[1:], -1e9, e.dtype), 1)
             a -= a.max(-1, keepdims=True)
         np.exp(a, out=a)
         a *= CAUSAL[:x.shape[1], :x.shape[1]]
-        a /= (a @ np.ones(x.shape[1], e.dtype))[..., None]
-        c = a @ v
-        h = np.tanh((c.reshape(-1, WIDTH) @ p["o"]).reshape(e.shape) + e)
+        c = a @ ends  # the last column sums the weights
+        c, total = c[..., :WIDTH] / c[..., WIDTH:], c[..., WIDTH:]
+        h = np.tanh((c.reshape(-1, WIDTH) @ (p["v"] @ p["o"])).reshape(e.shape) + e)
+        if self.learning:
+            return None, (e, ends, u, a, total, c, h)
         z, more = np.matmul(h.reshape(-1, WIDTH), p["out"], out=self.room("z", n, CLASSES)), self.room("more", n, CLASSES)
         z += p["pair"].take(before.ravel(), axis=0, out=more, mode="clip")
         z += self.first.take(x.ravel(), axis=0, out=more, mode="clip")
-        return z.reshape(*x.shape, CLASSES), (e, q, k, v, a, c, h)
+        return z.reshape(*x.shape, CLASSES), (e, ends, u, a, total, c, h)
+
+    def odds_of(self, h: np.ndarray, ids: np.ndarray, n: np.ndarray, likely: np.ndarray) -> np.ndarray:
+        """What each class weighs after each id, up to a factor a row: the exponentials of :meth:`forward`'s logits, in a reused array.
+
+        Rows of ``h`` stand in runs of equal ids: each of ``ids`` comes ``n`` times. ``likely``: the exponentials of ``first``.
+        """
+        p, near = self.p, self.classes[ids]
+        z, more = self.room("z", len(h), CLASSES), self.room("more", len(h), CLASSES)
+        most = np.abs(p["out"]).sum(0).max()
+        if most + np.abs(p["pair"]).max() > BOUND:
+            np.matmul(h, p["out"], out=z)
+            z += np.repeat(self.first[ids] + p["pair"][near], n, axis=0)
+            z -= z.max(-1, keepdims=True)
+            return np.exp(z, out=z)
+        k = halvings(most)
+        each = powers(np.matmul(h, p["out"] / np.float32(2 ** k), out=z), k, more)
+        odds = likely.take(ids, axis=0)
+        odds *= np.exp(p["pair"])[near]
+        each *= odds.take(np.repeat(np.arange(len(ids)), n), axis=0, out=z, mode="clip")
+        return each
 
     def train(self, windows: np.ndarray, times: np.ndarray | None = None, seed: int = 4) -> None:
+        """:meth:`fit`, and the tables for scoring."""
+        self.fit(windows, times, seed)
+        self.ready()
+
+    def fit(self, windows: np.ndarray, times: np.ndarray | None = None, seed: int = 4) -> None:
         """Adam on cross entropy, in whole passes over ``windows`` (rows of WINDOW + 1 ids, START before a text, -1 pads), each weighed by its ``times``."""
         touch_products()
-        self.near = self.classes.astype(np.uint8)
+        near, likely = self.classes.astype(np.uint8), np.exp(self.first)
+        ranked = np.argsort(self.classes, kind="stable")  # ids by class
+        place = np.empty(IDS + 1, np.uint16)
+        place[ranked] = np.arange(IDS + 1)
         rng = np.random.default_rng(seed)
         names = sorted(self.p)
         flat = np.concatenate([self.p[n].ravel() for n in names]).astype(np.float32)
@@ -215,48 +252,52 @@ class AttentionModel:
         view = lambda m: {n: part.reshape(self.p[n].shape) for n, part in zip(names, np.split(m, cuts), strict=True)}
         slope, m1, m2 = (np.zeros_like(flat) for _ in range(3))
         g, p = view(slope), view(flat)
-        self.p = p
+        self.p, self.learning = p, True
         weight = np.ones(len(windows), np.float32) if times is None else np.asarray(times, np.float32)
         passes = -(-STEPS // -(-len(windows) // BATCH)) if len(windows) else 0
         parts = (part for _ in range(passes) for order in [rng.permutation(len(windows))] for part in np.split(order, range(BATCH, len(order), BATCH)))
-        rows = lambda m: m.reshape(-1, WIDTH)
-        ones = np.ones(CLASSES, np.float32)
+        rows = lambda m: m.reshape(-1, m.shape[-1])
+        ones, root = np.ones(CLASSES, np.float32), np.float32(math.sqrt(WIDTH))
         for step, part in enumerate(parts, 1):
             w = windows[part]
-            x, y, on = np.maximum(w[:, :-1], 0), self.classes.take(np.maximum(w[:, 1:], 0)).ravel(), ((w[:, 1:] >= 0) * weight[part, None]).ravel()
-            z, (e, q, k, v, a, c, h) = self.forward(x)
-            x = self.near.take(x).ravel()
-            z = z.reshape(-1, CLASSES)
-            if np.abs(p["out"]).sum(0).max() + np.abs(p["pair"]).max() > BOUND:
-                z -= z.max(-1, keepdims=True)
-            np.exp(z, out=z)
-            total = z @ ones
-            z[np.arange(len(z)), y] -= total
-            share = (on / max(on.sum(), np.float32(1)) / total)[:, None]  # a row's slope is its row of z times this
-            order = np.argsort(x, kind="stable")  # rows of one class follow one another
-            first = np.flatnonzero(np.diff(x[order], prepend=np.uint8(255)))
-            there = x[order[first]].astype(np.int64)
+            x, on = np.maximum(w[:, :-1], 0), ((w[:, 1:] >= 0) * weight[part, None]).ravel()
+            e, ends, u, a, total, c, h = self.forward(x)[1]
+            x, y = x.ravel(), near.take(np.maximum(w[:, 1:], 0).ravel())
+            at = place.take(x)
+            order = np.argsort(at, kind="stable")  # rows of one class, and of one id, follow one another from here on
+            at, y, on, late = at[order], y[order], on[order], rows(h).take(order, axis=0)
+            begin = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
+            ids = ranked[at[begin]]
+            z = self.odds_of(late, ids, np.diff(begin, append=len(at)), likely)
+            run = np.flatnonzero(np.diff(self.classes[ids], prepend=-1))
+            first, there = begin[run], self.classes[ids[run]]
+            all_ = z @ ones
+            z[np.arange(len(z)), y] -= all_
+            share = on / max(on.sum(), np.float32(1)) / all_  # a row's slope is its row of z times this
             slope[:] = 0
-            g["out"][:] = (rows(h) * share).T @ z
-            dh = ((z @ p["out"].T) * share).reshape(h.shape) * (1 - h * h)
-            z, share = z.take(order, axis=0, out=self.room("more", *z.shape), mode="clip"), share.ravel()[order]
             for at, low, high in zip(there.tolist(), first.tolist(), [*first[1:].tolist(), len(z)], strict=True):
-                np.matmul(share[low:high], z[low:high], out=g["pair"][at])
-            g["o"][:] = rows(c).T @ rows(dh)
-            dc, de = (rows(dh) @ p["o"].T).reshape(dh.shape), dh.copy()
-            da, dv = dc @ v.transpose(0, 2, 1), a.transpose(0, 2, 1) @ dc
-            da -= np.vecdot(dc, c)[..., None]
-            da *= a
-            dq, dk = da @ (k / np.float32(math.sqrt(WIDTH))), da.transpose(0, 2, 1) @ (q / np.float32(math.sqrt(WIDTH)))
-            for n, d in (("q", dq), ("k", dk), ("v", dv)):
-                g[n][:] = rows(e).T @ rows(d)
-                de += (rows(d) @ p[n].T).reshape(de.shape)
+                np.dot(share[low:high], z[low:high], out=g["pair"][at])
+            share = share[:, None]
+            g["out"][:] = (late * share).T @ z
+            dh = np.empty_like(late)
+            dh[order] = (z @ p["out"].T) * share * (1 - late * late)
+            turned = rows(c).T @ dh  # the slope of v @ o
+            g["v"][:], g["o"][:] = turned @ p["o"].T, p["v"].T @ turned
+            dc = (dh @ (p["v"] @ p["o"]).T).reshape(c.shape) / total
+            de = np.matmul(a.transpose(0, 2, 1), dc)
+            de += dh.reshape(de.shape)
+            a *= np.concatenate([dc, -np.vecdot(dc, c)[..., None]], axis=2) @ ends.transpose(0, 2, 1)  # the slope of the attention's logits
+            s = a @ e
+            mixed = rows(e).T @ rows(s) / root  # the slope of q @ k.T
+            g["q"][:], g["k"][:] = mixed @ p["k"], mixed.T @ p["q"]
+            de += (rows(s) @ (p["k"] @ p["q"].T / root)).reshape(de.shape)
+            de += a.transpose(0, 2, 1) @ u
             g["pos"][:] = de.sum(0)
             g["emb"][there] = np.add.reduceat(rows(de)[order], first)
             m1 += np.float32(0.1) * (slope - m1)
             m2 += np.float32(0.01) * (slope * slope - m2)
             flat -= np.float32(0.02 / (1 - 0.9 ** step)) * m1 / (np.sqrt(m2 / np.float32(1 - 0.99 ** step)) + np.float32(1e-8))
-        self.ready()
+        self.learning = False
 
     def log_class(self, w: np.ndarray) -> np.ndarray:
         """Log probability of the class after each position of id windows (rows of WINDOW + 1, -1 pads).
@@ -287,14 +328,13 @@ class AttentionModel:
             return (z[np.arange(len(z)), y] - np.log(np.exp(z).sum(-1))).reshape(len(w), -1)
         e = p["emb"].take(known[:, :-1], axis=0)
         e += p["pos"]
-        rows, late = e.reshape(-1, WIDTH), np.ascontiguousarray(e[:, skip:])
-        a = np.matmul((late.reshape(-1, WIDTH) @ self.query).reshape(late.shape), (rows @ p["k"]).reshape(e.shape).transpose(0, 2, 1),
-                      out=self.room("z", len(w), WINDOW - skip, WINDOW))
+        late = np.ascontiguousarray(e[:, skip:]).reshape(-1, WIDTH)
+        a = np.matmul((late @ self.query).reshape(len(w), WINDOW - skip, WIDTH), e.transpose(0, 2, 1), out=self.room("z", len(w), WINDOW - skip, WINDOW))
         a = powers(a, self.reach, self.room("a", *a.shape))
         a *= CAUSAL[skip:]
-        c = a @ (rows @ self.value + self.one).reshape(*x.shape, WIDTH + 1)  # the last column sums the weights
+        c = a @ np.concatenate([e, np.ones((*x.shape, 1), np.float32)], axis=2)  # the last column sums the weights
         c = (c[..., :-1] / c[..., -1:]).reshape(-1, WIDTH)
-        h = np.tanh(c @ p["o"] + late.reshape(-1, WIDTH))
+        h = np.tanh(c @ self.value + late)
         x = x[:, skip:].ravel()
         z, more = self.room("z", len(x), CLASSES), self.room("more", len(x), CLASSES)
         each = powers(np.matmul(h, self.part, out=z), self.halvings, more)
@@ -310,10 +350,8 @@ class AttentionModel:
         reach = np.linalg.norm(e @ p["q"], axis=1).max() * np.linalg.norm(e @ p["k"], axis=1).max() / math.sqrt(WIDTH)
         most = float(np.abs(p["out"]).sum(0).max())
         self.bound = float(max(reach, most + np.abs(p["pair"]).max()))
-        halvings = lambda most: max(0, math.ceil(math.log2(8 * min(most, BOUND)))) if most else 0
         self.reach, self.halvings = halvings(reach), halvings(most)
-        self.query = p["q"] / np.float32(math.sqrt(WIDTH) * 2 ** self.reach)
-        self.value, self.one = np.pad(p["v"], ((0, 0), (0, 1))), np.eye(WIDTH + 1, dtype=np.float32)[-1]
+        self.query, self.value = p["q"] @ p["k"].T / np.float32(math.sqrt(WIDTH) * 2 ** self.reach), p["v"] @ p["o"]
         self.odds = np.exp(self.first + p["pair"][self.classes])
         self.near = self.classes.astype(np.uint8)  # classes in a table that a core's cache holds
         self.part, self.heads = p["out"] / np.float32(2 ** self.halvings), np.ascontiguousarray(p["out"].T)
@@ -494,7 +532,7 @@ def trained(model: AttentionModel, rows: DataFrame, total: int) -> AttentionMode
             for mine in (group == at for at in np.unique(group)):
                 w = ids[mine].view("<u2").reshape(-1, WINDOW + 1).astype(np.int64)
                 m = replace(shared.value, p={n: x.copy() for n, x in shared.value.p.items()})
-                m.train(np.where(w == PAD, -1, w), n[mine])
+                m.fit(np.where(w == PAD, -1, w), n[mine])
                 yield pa.RecordBatch.from_arrays([pa.array([float(n[mine].sum())]), pa.array([np.concatenate([m.p[n].ravel() for n in sorted(m.p)]).astype(np.float64)])], names=["weight", "p"])
 
         each = windows_of(rows, 1.0, groups).select("key", "ids", "n").mapInArrow(run, "weight double, p array<double>")
