@@ -5,6 +5,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -311,6 +312,25 @@ def test_lm_powers_are_exponentials():
         assert got == pytest.approx(np.exp(z.astype(float)), rel=3e-7 * 2 ** halvings + 1e-6)
 
 
+def test_lm_words_of_a_batch_are_hashed_as_single_words(monkeypatch):
+    rng = np.random.default_rng(8)
+    alphabet = ["A", "a", "b" * 9, "é", "É", "Z", " ", "\n", "\t", "\x0b", "\x1c", "\u00a0", "\0"]
+    texts = [None if rng.random() < 0.1 else "".join(rng.choice(alphabet, rng.integers(0, 25))) for _ in range(2000)]
+    words = [(t or "").encode().lower().split() for t in texts]
+    known = {}
+    for size in (4, 16, 1 << 15):  # words longer than what is hashed at once, too
+        monkeypatch.setattr(lm_scoring, "HASH_BYTES", size)
+        for low in range(0, len(texts), 100):
+            some = pa.array(["x y", *texts[low:low + 100]], pa.string())[1:]
+            hashes, first = lm_scoring.word_hashes(some)
+            assert np.diff(first).tolist() == [len(w) for w in words[low:low + 100]]
+            for word, h in zip((w for row in words[low:low + 100] for w in row), hashes.tolist(), strict=True):
+                assert known.setdefault(word, h) == h
+    assert len(set(known.values())) == len(known) > 1000
+    for none in ([], [None], ["", None, " \n"]):
+        assert [x.tolist() for x in lm_scoring.word_hashes(pa.array(none, pa.string()))] == [[], [0] * (len(none) + 1)]
+
+
 def test_lm_pairs_are_looked_up_in_any_order():
     rng = np.random.default_rng(3)
     ids = rng.integers(0, 50, 3000)

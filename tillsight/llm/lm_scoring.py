@@ -29,7 +29,6 @@ from __future__ import annotations
 
 import functools
 import math
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field, replace
 
@@ -58,6 +57,11 @@ BACK_OFF, BACK_OFF_ID = 5.0, 2.0
 COMMON, COMMON_PAIRS = 1 << 16, 1 << 20
 #: Ids whose pairs a task sorts at once, and distinct pairs it holds before it hands their counts on.
 SORT_IDS, HELD_PAIRS = 1 << 22, 1 << 21
+#: Bytes that are no part of a word; what each byte (A-Z as a-z) and each place counts for in a word's hash; bytes that are hashed at once.
+BLANK = np.isin(np.arange(256), [32, *range(9, 14)])
+BYTES = np.random.default_rng(11).integers(1, 1 << 64, 256, np.uint64)
+BYTES[65:91] = BYTES[97:123]
+STEP, HASH_BYTES = 0x9E3779B97F4A7C15, 1 << 15
 #: Bits beside a pair's key (below 2**32) for its place among those looked up at once.
 KEY_BITS = 32
 #: Fills a stored window up.
@@ -66,9 +70,46 @@ PAD = 0xFFFF
 BATCH_IDS, MANY, BOUND = 60_000, 128, 60.0
 
 
-def words_of(text: str | None) -> list[bytes]:
-    """Runs of bytes outside ASCII white space, A-Z lower-cased."""
-    return (text or "").encode("utf-8", "surrogatepass").lower().split()
+@functools.lru_cache(1)
+def _places(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """``STEP`` to the power of each place, and the inverses, modulo 2**64."""
+    up, down = np.full(size, STEP, np.uint64), np.full(size, pow(STEP, -1, 1 << 64), np.uint64)
+    up[0] = down[0] = 1
+    return np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
+
+
+def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all words of ``texts``, and the place of each text's first one, then their number.
+
+    A word is a run of bytes outside ASCII white space, A-Z lower-cased; a hash sums a number for each byte times ``STEP`` to
+    the power of its place in the word. Whole batches of bytes are hashed at once: one call a word cost three times as much.
+    """
+    if not len(texts):
+        return np.zeros(0, np.int64), np.zeros(1, np.int64)
+    texts = texts.cast(pa.large_binary()).fill_null(b"")
+    ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[ends[0]:ends[-1]]
+    ends = ends - ends[0]
+    blank = BLANK.take(data)
+    after, before = np.append(True, blank), np.append(blank, True)  # blanks and ends of texts around each byte
+    after[ends] = before[ends] = True
+    begin, end = np.flatnonzero(after[:-1] > blank), np.flatnonzero(before[1:] > blank) + 1
+    found, at = np.empty(len(begin), np.uint64), 0
+    up, down = _places(HASH_BYTES)
+    while at < len(begin):
+        low, to = begin[at], int(np.searchsorted(end, begin[at] + HASH_BYTES, "right"))
+        if to > at:
+            sums = np.zeros(end[to - 1] - low + 1, np.uint64)
+            np.cumsum(BYTES.take(data[low:end[to - 1]]) * up[:len(sums) - 1], out=sums[1:])
+            found[at:to] = (sums[end[at:to] - low] - sums[begin[at:to] - low]) * down[begin[at:to] - low]
+        else:  # a word that is longer than that
+            to, h, turn = at + 1, 0, 1
+            for some in np.split(data[low:end[at]], range(HASH_BYTES, int(end[at] - low), HASH_BYTES)):
+                h += int((BYTES.take(some) * up[:len(some)]).sum(dtype=np.uint64)) * turn
+                turn = turn * pow(STEP, HASH_BYTES, 1 << 64) % (1 << 64)
+            found[at] = h % (1 << 64)
+        at = to
+    return found.view(np.int64), np.searchsorted(begin, ends)
 
 
 def classes_of(counts: np.ndarray) -> np.ndarray:
@@ -101,6 +142,19 @@ def powers(t: np.ndarray, halvings: int, out: np.ndarray) -> np.ndarray:
     return out
 
 
+def row_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The sums of products over the last, short axis."""
+    return np.einsum("...k,...k->...", a, b)
+
+
+def with_ones(e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The rows of each window with a one behind them, and the windows turned round in memory: products with these take half the time."""
+    ends, turned = np.empty((*e.shape[:2], WIDTH + 1), e.dtype), np.empty((len(e), WIDTH + 1, e.shape[1]), e.dtype)
+    ends[..., :WIDTH], turned[:, :WIDTH] = e, e.transpose(0, 2, 1)
+    ends[..., WIDTH], turned[:, WIDTH] = 1, 1
+    return ends, turned
+
+
 def halvings(most: float) -> int:
     """How often a range up to ``most`` is halved for :func:`powers`."""
     return max(0, math.ceil(math.log2(8 * min(most, BOUND)))) if most else 0
@@ -182,36 +236,41 @@ class AttentionModel:
 
     def prior(self, before: np.ndarray, ids: np.ndarray) -> np.ndarray:
         """What a pair counts for besides its occurrences."""
-        return np.float32(BACK_OFF_ID) * self.inside[self.classes[before], ids]
+        return np.float32(BACK_OFF_ID) * self.inside.ravel().take(self.classes.take(before) * IDS + ids)
 
     def log_inside(self, before: np.ndarray, ids: np.ndarray, times: np.ndarray | None = None) -> np.ndarray:
         """Log probability of each id within its class, after the id ``before`` it."""
         if times is None:
             times, _ = self.held(before * IDS + ids)
-        return np.log((times + self.prior(before, ids)) / (self.led[before, self.classes[ids]] + np.float32(BACK_OFF_ID)))
+        return np.log((times + self.prior(before, ids)) / (self.led.ravel().take(before * CLASSES + self.classes.take(ids)) + np.float32(BACK_OFF_ID)))
 
     def forward(self, x: np.ndarray) -> tuple[np.ndarray | None, tuple]:
         """Logits for the class after each position of the id windows ``x`` (None while ``learning``), in arrays that the next call overwrites."""
         p, before, n = self.p, self.classes.take(x), x.size
         e = p["emb"].take(before, axis=0)
         e += p["pos"][:x.shape[1]]
-        ends = np.concatenate([e, np.ones((*x.shape, 1), e.dtype)], axis=2)
+        ends, turned = with_ones(e)
         u = (e.reshape(-1, WIDTH) @ (p["q"] @ p["k"].T / np.float32(math.sqrt(WIDTH)))).reshape(e.shape)  # queries by keys: one table
-        a = np.matmul(u, e.transpose(0, 2, 1), out=self.room("a", *x.shape, x.shape[1]))
-        if float(np.vecdot(u, u).max(initial=0)) * float(np.vecdot(e, e).max(initial=0)) > BOUND ** 2:
+        a, raw = (self.room(name, *x.shape, x.shape[1]) for name in ("a", "raw"))
+        most = math.sqrt(float(row_products(u, u).max(initial=0)) * float(row_products(e, e).max(initial=0)))  # no product of a row and a column is larger
+        if most > BOUND:
+            np.matmul(u, turned[:, :WIDTH], out=a)
             a += np.triu(np.full(a.shape[1:], -1e9, e.dtype), 1)
             a -= a.max(-1, keepdims=True)
-        np.exp(a, out=a)
+            np.exp(a, out=a)
+        else:
+            k = halvings(most)
+            powers(np.matmul(u / np.float32(2 ** k), turned[:, :WIDTH], out=raw), k, a)
         a *= CAUSAL[:x.shape[1], :x.shape[1]]
         c = a @ ends  # the last column sums the weights
         c, total = c[..., :WIDTH] / c[..., WIDTH:], c[..., WIDTH:]
         h = np.tanh((c.reshape(-1, WIDTH) @ (p["v"] @ p["o"])).reshape(e.shape) + e)
         if self.learning:
-            return None, (e, ends, u, a, total, c, h)
+            return None, (e, turned, u, a, total, c, h)
         z, more = np.matmul(h.reshape(-1, WIDTH), p["out"], out=self.room("z", n, CLASSES)), self.room("more", n, CLASSES)
         z += p["pair"].take(before.ravel(), axis=0, out=more, mode="clip")
         z += self.first.take(x.ravel(), axis=0, out=more, mode="clip")
-        return z.reshape(*x.shape, CLASSES), (e, ends, u, a, total, c, h)
+        return z.reshape(*x.shape, CLASSES), (e, turned, u, a, total, c, h)
 
     def odds_of(self, h: np.ndarray, ids: np.ndarray, n: np.ndarray, likely: np.ndarray) -> np.ndarray:
         """What each class weighs after each id, up to a factor a row: the exponentials of :meth:`forward`'s logits, in a reused array.
@@ -229,7 +288,7 @@ class AttentionModel:
         k = halvings(most)
         each = powers(np.matmul(h, p["out"] / np.float32(2 ** k), out=z), k, more)
         odds = likely.take(ids, axis=0)
-        odds *= np.exp(p["pair"])[near]
+        odds *= np.exp(p["pair"]).take(near, axis=0)
         each *= odds.take(np.repeat(np.arange(len(ids)), n), axis=0, out=z, mode="clip")
         return each
 
@@ -258,10 +317,12 @@ class AttentionModel:
         parts = (part for _ in range(passes) for order in [rng.permutation(len(windows))] for part in np.split(order, range(BATCH, len(order), BATCH)))
         rows = lambda m: m.reshape(-1, m.shape[-1])
         ones, root = np.ones(CLASSES, np.float32), np.float32(math.sqrt(WIDTH))
+        numbers = np.arange(BATCH * WINDOW)
+        back = np.empty_like(numbers)
         for step, part in enumerate(parts, 1):
             w = windows[part]
             x, on = np.maximum(w[:, :-1], 0), ((w[:, 1:] >= 0) * weight[part, None]).ravel()
-            e, ends, u, a, total, c, h = self.forward(x)[1]
+            e, turned, u, a, total, c, h = self.forward(x)[1]
             x, y = x.ravel(), near.take(np.maximum(w[:, 1:], 0).ravel())
             at = place.take(x)
             order = np.argsort(at, kind="stable")  # rows of one class, and of one id, follow one another from here on
@@ -272,28 +333,29 @@ class AttentionModel:
             run = np.flatnonzero(np.diff(self.classes[ids], prepend=-1))
             first, there = begin[run], self.classes[ids[run]]
             all_ = z @ ones
-            z[np.arange(len(z)), y] -= all_
+            spot = np.arange(0, z.size, CLASSES) + y
+            z.ravel()[spot] -= all_
             share = on / max(on.sum(), np.float32(1)) / all_  # a row's slope is its row of z times this
             slope[:] = 0
             for at, low, high in zip(there.tolist(), first.tolist(), [*first[1:].tolist(), len(z)], strict=True):
                 np.dot(share[low:high], z[low:high], out=g["pair"][at])
             share = share[:, None]
             g["out"][:] = (late * share).T @ z
-            dh = np.empty_like(late)
-            dh[order] = (z @ p["out"].T) * share * (1 - late * late)
-            turned = rows(c).T @ dh  # the slope of v @ o
-            g["v"][:], g["o"][:] = turned @ p["o"].T, p["v"].T @ turned
+            back[order] = numbers[:len(order)]
+            dh = ((z @ p["out"].T) * (share - share * late * late)).take(back[:len(order)], axis=0)
+            joined = rows(c).T @ dh  # the slope of v @ o
+            g["v"][:], g["o"][:] = joined @ p["o"].T, p["v"].T @ joined
             dc = (dh @ (p["v"] @ p["o"]).T).reshape(c.shape) / total
             de = np.matmul(a.transpose(0, 2, 1), dc)
             de += dh.reshape(de.shape)
-            a *= np.concatenate([dc, -np.vecdot(dc, c)[..., None]], axis=2) @ ends.transpose(0, 2, 1)  # the slope of the attention's logits
+            a *= np.matmul(np.concatenate([dc, -row_products(dc, c)[..., None]], axis=2), turned, out=self.room("raw", *a.shape))  # the slope of the attention's logits
             s = a @ e
             mixed = rows(e).T @ rows(s) / root  # the slope of q @ k.T
             g["q"][:], g["k"][:] = mixed @ p["k"], mixed.T @ p["q"]
             de += (rows(s) @ (p["k"] @ p["q"].T / root)).reshape(de.shape)
             de += a.transpose(0, 2, 1) @ u
             g["pos"][:] = de.sum(0)
-            g["emb"][there] = np.add.reduceat(rows(de)[order], first)
+            g["emb"][there] = np.add.reduceat(rows(de).take(order, axis=0), first)
             m1 += np.float32(0.1) * (slope - m1)
             m2 += np.float32(0.01) * (slope * slope - m2)
             flat -= np.float32(0.02 / (1 - 0.9 ** step)) * m1 / (np.sqrt(m2 / np.float32(1 - 0.99 ** step)) + np.float32(1e-8))
@@ -328,11 +390,11 @@ class AttentionModel:
             return (z[np.arange(len(z)), y] - np.log(np.exp(z).sum(-1))).reshape(len(w), -1)
         e = p["emb"].take(known[:, :-1], axis=0)
         e += p["pos"]
-        late = np.ascontiguousarray(e[:, skip:]).reshape(-1, WIDTH)
-        a = np.matmul((late @ self.query).reshape(len(w), WINDOW - skip, WIDTH), e.transpose(0, 2, 1), out=self.room("z", len(w), WINDOW - skip, WINDOW))
+        late, (ends, turned) = np.ascontiguousarray(e[:, skip:]).reshape(-1, WIDTH), with_ones(e)
+        a = np.matmul((late @ self.query).reshape(len(w), WINDOW - skip, WIDTH), turned[:, :WIDTH], out=self.room("z", len(w), WINDOW - skip, WINDOW))
         a = powers(a, self.reach, self.room("a", *a.shape))
         a *= CAUSAL[skip:]
-        c = a @ np.concatenate([e, np.ones((*x.shape, 1), np.float32)], axis=2)  # the last column sums the weights
+        c = a @ ends  # the last column sums the weights
         c = (c[..., :-1] / c[..., -1:]).reshape(-1, WIDTH)
         h = np.tanh(c @ self.value + late)
         x = x[:, skip:].ravel()
@@ -340,7 +402,7 @@ class AttentionModel:
         each = powers(np.matmul(h, self.part, out=z), self.halvings, more)
         odds = self.odds.take(x, axis=0, out=z, mode="clip")
         total = np.vecdot(each, odds)
-        return (np.vecdot(h, self.heads.take(y, axis=0)) + np.log(odds[np.arange(len(y)), y] / total)).reshape(len(w), -1)
+        return (row_products(h, self.heads.take(y, axis=0)) + np.log(odds.ravel().take(np.arange(0, odds.size, CLASSES) + y) / total)).reshape(len(w), -1)
 
     def ready(self) -> None:
         """Tables that scoring reads."""
@@ -424,34 +486,38 @@ def _stored_ids(value: pa.Scalar) -> np.ndarray:
     return np.frombuffer(value.as_py(), "<u2").astype(np.int64)
 
 
-def pair_counts(rows: DataFrame) -> DataFrame:
-    """(key, n): the count of every pair (id before or START, id) of ``rows``; partial counts in each task first."""
+def partial_counts(found: Iterator[np.ndarray], names: list[str]) -> Iterator[pa.RecordBatch]:
+    """Distinct numbers of a task and how often each occurs; a number may come again in a later batch."""
+    waiting, size = [], 0
+    keys, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting, size = [], 0
-        keys, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    def fold() -> tuple[np.ndarray, np.ndarray]:
+        new, times = np.unique(np.concatenate(waiting), return_counts=True) if waiting else (keys[:0], n[:0])
+        both, at = np.unique(np.concatenate([keys, new]), return_inverse=True)
+        return both, np.bincount(at, np.concatenate([n, times]), minlength=len(both)).astype(np.int64)
 
-        def fold() -> tuple[np.ndarray, np.ndarray]:
-            new, times = np.unique(np.concatenate(waiting), return_counts=True) if waiting else (keys[:0], n[:0])
-            both, at = np.unique(np.concatenate([keys, new]), return_inverse=True)
-            return both, np.bincount(at, np.concatenate([n, times]), minlength=len(both)).astype(np.int64)
+    def out() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n)], names=names)
 
-        def out() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n)], names=["key", "n"])
+    for some in found:
+        waiting.append(some)
+        size += len(some)
+        if size > SORT_IDS:
+            keys, n = fold()
+            waiting, size = [], 0
+        if len(keys) > HELD_PAIRS:
+            yield out()
+            keys, n = keys[:0], n[:0]
+    keys, n = fold()
+    yield out()
 
-        for batch in batches:
-            for value in batch.column("ids"):
-                ids = _stored_ids(value)
-                waiting.append(np.append(START, ids[:-1]) * IDS + ids)
-                size += len(ids)
-                if size > SORT_IDS:
-                    keys, n = fold()
-                    waiting, size = [], 0
-            if len(keys) > HELD_PAIRS:
-                yield out()
-                keys, n = keys[:0], n[:0]
-        keys, n = fold()
-        yield out()
+
+def pair_counts(rows: DataFrame) -> DataFrame:
+    """(key, n): the count of every pair (id before or START, id) of ``rows``; partial counts in each task first."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        every = (_stored_ids(value) for batch in batches for value in batch.column("ids"))
+        return partial_counts((np.append(START, ids[:-1]) * IDS + ids for ids in every), ["key", "n"])
 
     return rows.select("ids").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
@@ -552,20 +618,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
     """(h, c): the count of every word of ``docs`` by its hash; partial counts in each task first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter = Counter()
-
-        def out() -> pa.RecordBatch:
-            h = np.fromiter(map(xxhash.xxh3_64_intdigest, held), np.uint64, len(held))
-            made = pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(list(held.values()), pa.int64())], names=["h", "c"])
-            held.clear()
-            return made
-
-        for batch in batches:
-            for text in batch.column(0):
-                held.update(words_of(text.as_py()))
-            if len(held) > 400_000:
-                yield out()
-        yield out()
+        return partial_counts((word_hashes(batch.column(0))[0] for batch in batches), ["h", "c"])
 
     return docs.select(F.col("text").cast("string")).mapInArrow(run, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
 
@@ -593,13 +646,12 @@ def score_documents(docs: DataFrame, held_out: Column, tokenizer: str = "byte_bp
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m, (keys, known) = model.value, common.value
         row = TaskContext.get().partitionId() << 40
-        for batch in batches:
+        for batch in (b for b in batches if b.num_rows):
             waiting, held, scores, rare = [], 0, [], [] if others else None
             n_tokens, n_known, base, tails, times = [], [], [], [], []
-            for text, ids in zip(batch.column("text"), batch.column("ids"), strict=True):
-                tf = Counter(words_of(text.as_py()))
-                h = np.fromiter(map(xxhash.xxh3_64_intdigest, tf), np.uint64, len(tf)).view(np.int64)
-                n = np.fromiter(tf.values(), np.int64, len(tf))
+            hashes, first = word_hashes(batch.column("text"))
+            for mine, ids in zip(np.split(hashes, first[1:-1]), batch.column("ids"), strict=True):
+                h, n = np.unique(mine, return_counts=True)
                 at = np.minimum(np.searchsorted(keys, h), max(len(keys) - 1, 0))
                 hit = keys[at] == h if len(keys) else np.zeros(len(h), bool)
                 n_tokens.append(int(n.sum()) + 1)
