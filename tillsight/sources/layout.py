@@ -22,7 +22,7 @@ def range_edges(df: DataFrame, column: str, bits: int = BITS) -> list:
     """At most ``2 ** bits - 1`` edges that part the values into ranges, from a sample of ``SAMPLED`` rows a range."""
     rows = df.select(column).where(F.col(column).isNotNull())
     n, wanted = rows.count(), SAMPLED << bits
-    part = rows if n <= wanted else rows.sample(1.5 * wanted / n, seed=7)
+    part = rows if n <= wanted else rows.sample(fraction=1.5 * wanted / n, seed=7)
     got = [r[0] for r in part.limit(2 * wanted).orderBy(column).collect()]
     return sorted({got[i * len(got) >> bits] for i in range(1, 1 << bits)}) if got else []
 
